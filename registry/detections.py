@@ -71,7 +71,7 @@ def unknown(spark, d):
 
 def lost(spark, d):
     before = joins.known_tags(det(spark, d), ind(spark, d))
-    late = ind(spark, d).withColumn("tagging_datetime", F.col("tagging_datetime") + F.expr("INTERVAL 15 DAYS"))
+    late = ind(spark, d).withColumn("tagging_datetime", F.col("tagging_datetime") + F.expr("INTERVAL 28 DAYS"))
     return joins.tags_lost(before, joins.detections_after_tagging(det(spark, d), late, 24))
 
 
@@ -240,7 +240,7 @@ QUERIES = {
         lost,
         with_tables(
             """SELECT elasmo FROM det JOIN ind ON elasmo = acoustic_tag_id
-            GROUP BY elasmo HAVING count_if(time >= tagging_datetime + INTERVAL 16 DAYS) = 0""",
+            GROUP BY elasmo HAVING count_if(time >= tagging_datetime + INTERVAL 29 DAYS) = 0""",
             "det",
             "ind",
         ),

@@ -1 +1,173 @@
-QUERIES = {}
+"""Comparison of two versions of a table."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from registry.bindings import load, with_tables
+from trackspark.operators import diff, joins
+from trackspark.operators.rows import global_row_number
+from trackspark.plans.maintenance import compare_tables, diagnose_tables
+
+COLUMNS = ("p_partkey", "p_name", "p_brand", "p_type", "p_size", "p_retailprice")
+
+
+def old(spark, d):
+    return load(spark, d, "part")
+
+
+def new(spark, d):
+    key = F.col("p_partkey")
+    return load(spark, d, "part").where(key % 90 != 0).select(
+        "p_partkey",
+        F.when(key % 70 != 0, F.col("p_name")).alias("p_name"),
+        F.when(key % 30 == 0, "NA").otherwise(F.col("p_brand")).alias("p_brand"),
+        "p_type",
+        "p_size",
+        F.when(key % 50 == 0, F.col("p_retailprice") + 1).otherwise(F.col("p_retailprice")).alias("p_retailprice"),
+    )
+
+
+VERSIONS = """old AS (SELECT p_partkey, p_name, p_brand, p_type, p_size, p_retailprice FROM part),
+    new AS (SELECT p_partkey, CASE WHEN p_partkey % 70 <> 0 THEN p_name END AS p_name,
+        CASE WHEN p_partkey % 30 = 0 THEN NULL ELSE p_brand END AS p_brand, p_type, p_size,
+        CASE WHEN p_partkey % 50 = 0 THEN p_retailprice + 1 ELSE p_retailprice END AS p_retailprice
+        FROM part WHERE p_partkey % 90 <> 0)"""
+SAME = " AND ".join(f"a.{c} IS NOT DISTINCT FROM b.{c}" for c in COLUMNS)
+
+
+def anti_sql(left: str, right: str) -> str:
+    return with_tables(f"SELECT a.* FROM {left} a WHERE NOT EXISTS (SELECT 1 FROM {right} b WHERE {SAME})", VERSIONS)
+
+
+def differs_sql(c: str) -> str:
+    if c in ("p_retailprice", "p_size"):
+        return f"coalesce(abs(n.{c} - o.{c}) > 1.490116119384766e-08, (n.{c} IS NULL) <> (o.{c} IS NULL))"
+    return f"n.{c} IS DISTINCT FROM o.{c}"
+
+
+def standard(spark, d):
+    """Brand numbers and sizes as text next to names: only all-numeric columns become double."""
+    rows = new(spark, d).select(
+        "p_partkey",
+        "p_name",
+        F.when(F.col("p_brand") == "NA", "<NA>").otherwise(F.regexp_replace("p_brand", "Brand#", " +")).alias("brand_no"),
+        F.when(F.col("p_size") % 2 == 0, "").otherwise(F.col("p_size").cast("string")).alias("odd_size"),
+        F.lit("NA").alias("nothing"),
+        F.concat(F.col("p_size").cast("string"), F.lit("a")).alias("mixed"),
+    )
+    return diff.standardise_types(rows)
+
+
+def compared(spark, d):
+    return compare_tables(new(spark, d), old(spark, d), keys=["p_partkey"])
+
+
+def diagnosed(spark, d):
+    return diagnose_tables(new(spark, d), old(spark, d), keys=["p_partkey"])
+
+
+def identical(other, **options):
+    def run(spark, d):
+        left = diff.standardise_types(new(spark, d))
+        right = diff.standardise_types(other(spark, d))
+        return diff.tables_identical(left, right, **options)
+
+    return run
+
+
+def by_position(spark, d):
+    """Rows aligned by their position in key order instead of by key."""
+    return compare_tables(new(spark, d), old(spark, d), order_by=["p_partkey"]).by_variable
+
+
+def numbered(spark, d):
+    rows = old(spark, d).select("p_partkey", "p_brand")
+    return global_row_number(rows, ["p_brand", "p_partkey"])
+
+
+def by_variable_sql(pairing: str) -> str:
+    return with_tables(
+        " UNION ALL ".join(
+            f"""SELECT '{c}' AS variable, count_if({differs_sql(c)}) AS n_diff,
+            count_if((n.{c} IS NULL) <> (o.{c} IS NULL)) AS n_one_null FROM {pairing}"""
+            for c in COLUMNS
+            if c != "p_partkey" or "pos" in pairing
+        ),
+        VERSIONS,
+        """new_pos AS (SELECT *, row_number() OVER (ORDER BY p_partkey) AS pos FROM new)""",
+        """old_pos AS (SELECT *, row_number() OVER (ORDER BY p_partkey) AS pos FROM old)""",
+    )
+
+
+CELLS = "cells AS (" + " UNION ALL ".join(
+    f"""SELECT n.p_partkey, '{c}' AS variable, CAST(n.{c} AS VARCHAR) AS new_value, CAST(o.{c} AS VARCHAR) AS old_value,
+    (n.{c} IS NULL) <> (o.{c} IS NULL) AS one_null FROM new n JOIN old o USING (p_partkey) WHERE {differs_sql(c)}"""
+    for c in COLUMNS[1:]
+) + ")"
+
+QUERIES = {
+    "anti_new_vs_old": (lambda spark, d: compared(spark, d).rows_only_new, anti_sql("new", "old")),
+    "anti_old_vs_new": (lambda spark, d: compared(spark, d).rows_only_old, anti_sql("old", "new")),
+    "anti_keeps_duplicates": (
+        lambda spark, d: joins.anti_join_null_safe(new(spark, d).select("p_brand", "p_size"), old(spark, d).select("p_brand", "p_size")),
+        with_tables(
+            """SELECT coalesce(p_brand, 'NA') AS p_brand, p_size FROM new WHERE (coalesce(p_brand, 'NA'), p_size)
+            NOT IN (SELECT (p_brand, p_size) FROM old)""",
+            VERSIONS,
+        ),
+    ),
+    "diff_row_counts": (
+        lambda spark, d: compared(spark, d).row_counts,
+        with_tables(
+            """SELECT count(n.p_partkey) FILTER (o.p_partkey IS NOT NULL) AS rows_shared, count_if(o.p_partkey IS NULL) AS rows_only_new,
+            count_if(n.p_partkey IS NULL) AS rows_only_old FROM new n FULL JOIN old o ON n.p_partkey = o.p_partkey""",
+            VERSIONS,
+        ),
+    ),
+    "diff_by_variable": (lambda spark, d: compared(spark, d).by_variable, by_variable_sql("new n JOIN old o USING (p_partkey)")),
+    "diff_by_position": (by_position, by_variable_sql("new_pos n JOIN old_pos o USING (pos)")),
+    "diff_cells": (lambda spark, d: diagnosed(spark, d).differing_cells, with_tables("SELECT * FROM cells", VERSIONS, CELLS)),
+    "diff_samples": (
+        lambda spark, d: diagnosed(spark, d).samples,
+        with_tables(
+            "SELECT * FROM cells QUALIFY row_number() OVER (PARTITION BY variable ORDER BY p_partkey) <= 5", VERSIONS, CELLS
+        ),
+    ),
+    "diff_diagnostics": (
+        lambda spark, d: diagnosed(spark, d).diagnostics,
+        with_tables(
+            """SELECT true AS column_names_match, true AS column_types_match,
+            (SELECT count(*) FROM new) = (SELECT count(*) FROM old) AS row_counts_match, true AS column_counts_match,
+            true AS attributes_equal, same AS identical, same AS identical_after_rounding, same AS identical_after_encoding
+            FROM (SELECT NOT EXISTS (SELECT * FROM new EXCEPT ALL SELECT * FROM old)
+            AND NOT EXISTS (SELECT * FROM old EXCEPT ALL SELECT * FROM new) AS same)""",
+            VERSIONS,
+        ),
+    ),
+    "standardise_types": (
+        standard,
+        with_tables(
+            """SELECT p_partkey, p_name, CAST(replace(p_brand, 'Brand#', '') AS DOUBLE) AS brand_no,
+            CASE WHEN p_size % 2 <> 0 THEN p_size::DOUBLE END AS odd_size, CAST(NULL AS DOUBLE) AS nothing,
+            CAST(p_size AS VARCHAR) || 'a' AS mixed FROM new""",
+            VERSIONS,
+        ),
+    ),
+    "tables_identical": (
+        identical(old),
+        with_tables(
+            """SELECT NOT EXISTS (SELECT * FROM new EXCEPT ALL SELECT * FROM old)
+            AND NOT EXISTS (SELECT * FROM old EXCEPT ALL SELECT * FROM new) AS identical""",
+            VERSIONS,
+        ),
+    ),
+    "tables_identical_ordered": (
+        identical(new, order_by=["p_partkey"]),
+        with_tables("SELECT count(*) = count(DISTINCT p_partkey) AS identical FROM new", VERSIONS),
+    ),
+    "global_row_number": (
+        numbered,
+        "SELECT p_partkey, p_brand, row_number() OVER (ORDER BY p_brand, p_partkey) AS row_id FROM part",
+    ),
+}

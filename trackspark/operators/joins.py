@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -12,26 +13,23 @@ from pyspark.sql import types as T
 from trackspark.functions.times import add_clock_hours
 from trackspark.operators.rows import keep_first
 
-LOOKUP_ROWS = 10_000
-
-
 def lookup_table(spark: SparkSession, mapping: Mapping[str, str], key: str, value: str) -> DataFrame:
-    """Two-column table of a mapping held in the configuration."""
-    return spark.createDataFrame(list(mapping.items()), f"{key} string, {value} string")
+    """Two-column table of a mapping held in the configuration.
+
+    Built from Arrow it becomes a local relation: Spark knows its exact size and broadcasts it
+    only below its threshold.
+    """
+    table = pa.table({key: pa.array(list(mapping), pa.string()), value: pa.array(list(mapping.values()), pa.string())})
+    return spark.createDataFrame(table)
 
 
 def map_lookup(
     df: DataFrame, mapping: Mapping[str, str], key: str, value: str, default: str | None = None
 ) -> DataFrame:
-    """Add ``value`` looked up from ``key``; unmatched rows get ``default``.
-
-    The mapping comes from the driver's configuration; its side is broadcast only up to
-    ``LOOKUP_ROWS`` entries.
-    """
+    """Add ``value`` looked up from ``key``; unmatched rows get ``default``."""
     table = lookup_table(df.sparkSession, mapping, "_key", "_value")
-    side = F.broadcast(table) if len(mapping) <= LOOKUP_ROWS else table
     found = F.col("_value") if default is None else F.coalesce("_value", F.lit(default))
-    return df.join(side, F.col(key) == F.col("_key"), "left").withColumn(value, found).drop("_key", "_value")
+    return df.join(table, F.col(key) == F.col("_key"), "left").withColumn(value, found).drop("_key", "_value")
 
 
 def known_tags(det: DataFrame, ind: DataFrame) -> DataFrame:
