@@ -24,7 +24,7 @@ from trackspark.operators.combine import most_precise_coordinates, union_by_name
 from trackspark.operators.isolation import flag_single_detections, remove_single_detections, removal_stats
 from trackspark.operators.rows import distinct_per_source, keep_first
 from trackspark.operators.timeline import add_country
-from trackspark.plans.detections import clean_detections, combine_detections, compile_detections
+from trackspark.plans.detections import combine_detections, compile_detections
 
 DET = "time, station, elasmo, agency, location, event_id"
 
@@ -102,12 +102,13 @@ def compiled(spark, d):
 
 def cleaned(spark, d):
     out = compile_detections(det(spark, d).drop("location"), vmov(spark, d), ind(spark, d), TZ)
-    return shown(clean_detections(out.detections, 24)[0])
+    flagged = flag_single_detections(out.detections, 24, tie_break=["event_id"])
+    return shown(remove_single_detections(flagged))
 
 
 def asof_deployment(spark, d):
     right = vmov(spark, d).select("station", "date_in", F.col("location").alias("deployed_at"), "s_suppkey")
-    return shown(joins.asof_join(det(spark, d), right, ["station"], "time", "date_in", bucket_days=7))
+    return shown(joins.asof_join(det(spark, d), right, ["station"], "time", "date_in"))
 
 
 def local_day(spark, d):
@@ -251,7 +252,7 @@ QUERIES = {
         with_tables(f"SELECT {DET} FROM tagged", "det", "ind", AFTER_SQL.format(hours=24)),
     ),
     "interval_join_deployments": (placed(), PLACED_SQL),
-    "interval_join_shuffled": (placed(broadcast_mb=0), PLACED_SQL),
+    "interval_join_unhinted": (placed(broadcast_mb=0), PLACED_SQL),
     "compile_detections": (
         compiled,
         with_tables("SELECT * FROM compiled", "det", "ind", "vmov", AFTER_SQL.format(hours=24), COMPILED_SQL),

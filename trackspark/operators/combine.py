@@ -30,11 +30,17 @@ def most_precise_coordinates(df: DataFrame, order: Sequence[str] = ()) -> DataFr
     gathered in one task.
     """
 
+    # A location has few distinct texts: reduce to those first, each with its first position.
+    first = [F.min(F.struct(*[F.struct(F.isnull(o), F.col(o)) for o in order])).alias("_at")] if len(order) > 1 else []
+    first = [F.min(order[0]).alias("_at")] if len(order) == 1 else first
+    grouped = df.groupBy(F.col("location").alias("_location"), "deploy_long", "deploy_lat")
+    texts = grouped.agg(*(first or [F.lit(0).alias("_at")]))
+
     def best(c: str) -> Column:
-        rank = F.struct(-digit_count(F.col(c)), *[F.struct(F.isnull(o), F.col(o)) for o in order], F.col(c))
+        rank = F.struct(-digit_count(F.col(c)), F.isnull("_at"), F.col("_at"), F.col(c))
         return F.min_by(F.col(c), F.when(F.col(c).isNotNull(), rank)).alias(f"_{c}")
 
-    chosen = df.groupBy(F.col("location").alias("_location")).agg(best("deploy_long"), best("deploy_lat"))
+    chosen = texts.groupBy("_location").agg(best("deploy_long"), best("deploy_lat"))
     return (
         df.join(chosen, F.col("location").eqNullSafe(F.col("_location")), "inner")
         .withColumns({"deploy_long": F.col("_deploy_long"), "deploy_lat": F.col("_deploy_lat")})

@@ -7,17 +7,19 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from trackspark.functions.times import MICROS_PER_HOUR, hours_between
+from trackspark.functions.times import hours_between
+from trackspark.operators.buckets import time_bucket
 from trackspark.sources.checks import require_columns, require_positive, require_timestamp
 
 NULL_TIME_BUCKET = -(10**12)
 NULL_TIME_SPREAD = 1024
+KEYS = ("elasmo", "location")
 
 
 def flag_single_detections(
     det: DataFrame,
     time_window_hours: float = 1,
-    bucket_hours: float = 24,
+    bucket_days: float | None = None,
     tie_break: Sequence[str] = (),
 ) -> DataFrame:
     """Flag detections with no neighbour of the same tag at the same location in the window.
@@ -30,12 +32,13 @@ def flag_single_detections(
     One resident tag at one receiver may hold a large share of the table, so the lead/lag window
     runs per (tag, location, time bucket). The neighbours across bucket borders come in as marker
     rows taken from a per-bucket aggregate, which leaves a single shuffle of the detections.
+    The bucket width is measured on the data unless given.
     """
     require_columns(det, ("elasmo", "location", "time"))
     require_timestamp(det, "time")
     require_positive("time_window_hours", time_window_hours)
-    keys = ["elasmo", "location"]
-    in_time = F.floor(F.unix_micros("time") / F.lit(int(bucket_hours * MICROS_PER_HOUR)))
+    keys = list(KEYS)
+    in_time = time_bucket(det, keys, "time", bucket_days)
     spread = F.pmod(F.xxhash64(*det.columns), F.lit(NULL_TIME_SPREAD))
     rows = det.withColumn(
         "_bucket", F.when(F.col("time").isNull(), F.lit(NULL_TIME_BUCKET) - spread).otherwise(in_time)

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from trackspark.functions.times import add_clock_hours
+from trackspark.operators.buckets import bucket_of, day_number, measured_bucket_days
 from trackspark.operators.rows import keep_first
 
 def lookup_table(spark: SparkSession, mapping: Mapping[str, str], key: str, value: str) -> DataFrame:
@@ -40,7 +41,8 @@ def known_tags(det: DataFrame, ind: DataFrame) -> DataFrame:
 
 def unknown_tags(det: DataFrame, ind: DataFrame) -> DataFrame:
     """Report: tags detected but absent from the tag table, a missing tag included."""
-    return det.select("elasmo").subtract(ind.select(F.col("acoustic_tag_id").alias("elasmo")))
+    # Distinct before the set difference, so that it runs on tags, not on detections.
+    return det.select("elasmo").distinct().subtract(ind.select(F.col("acoustic_tag_id").alias("elasmo")))
 
 
 def detections_after_tagging(
@@ -62,13 +64,7 @@ def detections_after_tagging(
 
 def tags_lost(before: DataFrame, after: DataFrame) -> DataFrame:
     """Report: tags present before a filter and absent after it."""
-    return before.select("elasmo").subtract(after.select("elasmo"))
-
-
-def _day_number(c: Column, dtype: T.DataType) -> Column:
-    if isinstance(dtype, T.DateType):
-        return F.unix_date(c)
-    return F.floor(F.unix_micros(c) / F.lit(86_400_000_000)).cast("int")
+    return before.select("elasmo").distinct().subtract(after.select("elasmo").distinct())
 
 
 def interval_join(
@@ -94,7 +90,7 @@ def interval_join(
     """
     usable = intervals.where(F.col(start) <= F.col(end)).dropna(subset=list(on))
     dtype = points.schema[point].dataType
-    lo, hi = _day_number(F.col(start), dtype), _day_number(F.col(end), dtype)
+    lo, hi = day_number(F.col(start), dtype), day_number(F.col(end), dtype)
     text = [F.coalesce(F.octet_length(f.name), F.lit(0)) for f in usable.schema if isinstance(f.dataType, T.StringType)]
     width = reduce(lambda a, b: a + b, text, F.lit(16 * (len(usable.columns) + 1)))
     size = usable.agg(
@@ -109,7 +105,7 @@ def interval_join(
         return F.floor(day / slice_days)
 
     sliced = usable.withColumn("_slice", F.explode(F.sequence(slice_of(lo), slice_of(hi))))
-    keyed = points.withColumn("_slice", slice_of(_day_number(F.col(point), dtype)))
+    keyed = points.withColumn("_slice", slice_of(day_number(F.col(point), dtype)))
     joined = keyed.join(F.broadcast(sliced) if small else sliced, [*on, "_slice"], "inner")
     out = [*points.columns, *[c for c in intervals.columns if c not in points.columns]]
     return joined.where(F.col(point).between(F.col(start), F.col(end))).select(*out)
@@ -129,7 +125,7 @@ def asof_join(
     by: Sequence[str],
     left_time: str,
     right_time: str,
-    bucket_days: int = 365,
+    bucket_days: float | None = None,
 ) -> DataFrame:
     """Each left row with the last right row of its key at or before its time.
 
@@ -138,36 +134,34 @@ def asof_join(
     nulls inside a matched row are kept.
 
     Both sides are stacked and read by a window per (key, time bucket); what holds at the start
-    of a bucket comes in as one marker row per bucket, so no key is read by a single task.
+    of a bucket comes in as one marker row per bucket, so no key is read by a single task. The
+    bucket width is measured on the left side unless given.
     """
     payload = [c for c in right.columns if c not in (*by, right_time)]
     dtype = left.schema[left_time].dataType
 
-    def bucket(day: Column) -> Column:
-        return F.floor(day / bucket_days)
+    days = measured_bucket_days(left, by, left_time) if bucket_days is None else bucket_days
 
     lefts = left.withColumns(
-        {"_t": F.col(left_time), "_side": F.lit(1), "_bucket": bucket(_day_number(F.col(left_time), dtype))}
+        {"_t": F.col(left_time), "_side": F.lit(1), "_bucket": bucket_of(F.col(left_time), dtype, days)}
     )
     rights = right.where(F.col(right_time).isNotNull()).select(
         *by,
         F.col(right_time).alias("_t"),
         F.lit(0).alias("_side"),
-        bucket(_day_number(F.col(right_time), dtype)).alias("_bucket"),
+        bucket_of(F.col(right_time), dtype, days).alias("_bucket"),
         F.struct(F.col(right_time).alias("_matched"), *payload).alias("_right"),
     )
-    per_bucket = (
-        lefts.select(*by, "_bucket", F.lit(None).cast(rights.schema["_right"].dataType).alias("_right"))
-        .unionByName(rights.select(*by, "_bucket", "_right"))
-        .groupBy(*by, "_bucket")
-        .agg(F.max_by("_right", F.col("_right._matched")).alias("_right"))
-    )
-    earlier = (
-        Window.partitionBy(*by).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    # One row per key and bucket on either side; the frame ends before the current bucket.
+    read = lefts.where(F.col("_bucket").isNotNull()).select(*by, "_bucket", "_side").distinct()
+    offered = rights.groupBy(*by, "_bucket").agg(
+        F.max_by("_right", F.col("_right._matched")).alias("_right"), F.lit(0).alias("_side")
     )
+    earlier = Window.partitionBy(*by).orderBy("_bucket").rangeBetween(Window.unboundedPreceding, -1)
     carried = (
-        per_bucket.withColumn("_right", F.last("_right", ignorenulls=True).over(earlier))
-        .where(F.col("_right").isNotNull())
+        read.unionByName(offered, allowMissingColumns=True)
+        .withColumn("_right", F.last("_right", ignorenulls=True).over(earlier))
+        .where((F.col("_side") == 1) & F.col("_right").isNotNull())
         .select(*by, "_bucket", "_right", F.col("_right._matched").alias("_t"), F.lit(0).alias("_side"))
     )
     upto = (

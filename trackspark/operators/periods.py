@@ -86,7 +86,7 @@ def assign_period(
     if monthly:
         first, clock = _month_floor(lo, tz), wall_clock(time, tz)
         months = (F.year(clock) - F.year(first)) * 12 + F.month(clock) - F.month(first)
-        inside = (clock >= first) & (clock < _month_ceiling(hi, tz))
+        inside = (time >= from_wall_clock(first, tz)) & (time < from_wall_clock(_month_ceiling(hi, tz), tz))
         return det.where(inside).withColumn("interval_id", (months + 1).cast("int"))
     inside = (time >= lo) & (time < hi + F.make_dt_interval(mins=F.lit(1)))
     return det.where(inside).withColumn("interval_id", F.lit(1))

@@ -14,7 +14,16 @@ def active_tags(det: DataFrame, ind: DataFrame, tz: str | None = "UTC") -> DataF
 
     Detections are reduced to distinct (tag, month) before they meet the tag table.
     """
-    months = det.select("elasmo", year_month(F.col("time"), tz).alias("ym")).distinct()
+    return active_from_months(tag_months(det, tz), ind)
+
+
+def tag_months(det: DataFrame, tz: str | None = "UTC") -> DataFrame:
+    """Distinct (tag, month) of the detections."""
+    return det.select("elasmo", year_month(F.col("time"), tz).alias("ym")).distinct()
+
+
+def active_from_months(months: DataFrame, ind: DataFrame) -> DataFrame:
+    """Distinct tags per species and month, from distinct (tag, month)."""
     species = ind.select(F.col("acoustic_tag_id").alias("elasmo"), "species")
     joined = months.join(species, "elasmo", "inner")
     return joined.groupBy("species", "ym").agg(F.count_distinct("elasmo").alias("active_count"))
@@ -48,7 +57,8 @@ def join_activity_deployment(active: DataFrame, deployed: DataFrame) -> DataFram
     """Each active month with the running total of the last deployment month up to it."""
     left = active.select("species", first_of_month(F.col("ym")).alias("roll_date"), "active_count")
     right = deployed.select("species", first_of_month(F.col("date_tagged")).alias("_month"), "cs")
-    return asof_join(left, right, ["species"], "roll_date", "_month")
+    # Both sides are species by month, so one bucket per year needs no measuring.
+    return asof_join(left, right, ["species"], "roll_date", "_month", bucket_days=365)
 
 
 def skeleton_grid(joined: DataFrame, det: DataFrame, ind: DataFrame) -> DataFrame:

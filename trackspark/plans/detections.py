@@ -36,7 +36,7 @@ def compile_detections(
         ind = ind.withColumn("acoustic_tag_id", tag_id(F.col("acoustic_tag_id")))
     tagged = joins.detections_after_tagging(det, ind, WAIT_HOURS if skip_first_day else 0, tz)
     placed = joins.assign_locations(tagged, vmov).where(F.col("location").isNotNull())
-    known = joins.known_tags(det, ind)
+    known = joins.known_tags(det.select("elasmo").distinct(), ind)
     return Compiled(placed, joins.unknown_tags(det, ind), joins.tags_lost(known, tagged))
 
 

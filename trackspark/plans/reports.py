@@ -113,8 +113,15 @@ def timeline_tables(
     det: DataFrame, ind: DataFrame, vloc: DataFrame | None, config: TimelineConfig = TimelineConfig()
 ) -> Timeline:
     """Binned detections with the tables that label them."""
+    return _label_timeline(_timeline_base(det, ind, vloc, config), ind, config)
+
+
+def _timeline_base(det: DataFrame, ind: DataFrame, vloc: DataFrame | None, config: TimelineConfig) -> DataFrame:
     base = timeline.timeline_base(det, ind, vloc, config.exclude_site, config.species, config.dedupe_right)
-    base = time_window(base, config.start, config.end, config.tz)
+    return time_window(base, config.start, config.end, config.tz)
+
+
+def _label_timeline(base: DataFrame, ind: DataFrame, config: TimelineConfig) -> Timeline:
     grid = TimeGrid(base, config.step_days, config.months_left, config.tz)
     rows = timeline.binned_timeline(base, grid, config.agency_country)
     markers = timeline.tagging_markers(base, ind, grid)
@@ -135,7 +142,9 @@ def run_timeline(
     registry: str = "vloc_extended",
 ) -> Timeline:
     t = read_tables(spark, folder, ["det_cleaned", "ind", registry])
-    out = timeline_tables(t["det_cleaned"], t["ind"], t[registry], config)
+    # Five tables come from the same joined rows: they are written once and read back.
+    write_tables({"timeline_base": _timeline_base(t["det_cleaned"], t["ind"], t[registry], config)}, out_folder)
+    out = _label_timeline(read_tables(spark, out_folder, ["timeline_base"])["timeline_base"], t["ind"], config)
     write_tables(
         {
             "timeline_grid": out.grid,
@@ -157,11 +166,15 @@ def monthly_residency(
     scope: str = "species",
     empty: str = "zero",
 ) -> DataFrame:
-    """Mean share of deployed tags that were active, per species and calendar month."""
+    """Mean share of deployed tags that were active, per species and calendar month.
+
+    Every step needs the detections only as distinct (tag, month), so they are read once.
+    """
+    months = residency.tag_months(det, tz)
     joined = residency.join_activity_deployment(
-        residency.active_tags(det, ind, tz), residency.deployed_tags(ind, det, tz, scope)
+        residency.active_from_months(months, ind), residency.deployed_tags(ind, months, tz, scope)
     )
-    return residency.monthly_proportions(joined, residency.skeleton_grid(joined, det, ind), empty)
+    return residency.monthly_proportions(joined, residency.skeleton_grid(joined, months, ind), empty)
 
 
 def run_residency(spark: SparkSession, folder: str, out_folder: str, source: str = "det_cleaned_season", **options) -> None:

@@ -18,6 +18,8 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
 }
+# Fixed at start: do not record a Python call site for every column expression.
+START_CONF = {"spark.python.sql.dataFrameDebugging.enabled": "false"}
 
 
 def configure(spark: SparkSession) -> SparkSession:
@@ -32,7 +34,7 @@ def build_session(app: str = "trackspark", master: str | None = None, **conf: st
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    for key, value in {**RUNTIME_CONF, **conf}.items():
+    for key, value in {**RUNTIME_CONF, **START_CONF, **conf}.items():
         builder = builder.config(key, value)
     return configure(builder.getOrCreate())
 
