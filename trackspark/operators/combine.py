@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from trackspark.functions.text import digit_count, norm_name
-from trackspark.operators.joins import map_lookup
+from trackspark.operators.joins import lookup_table
 from trackspark.operators.rows import keep_first
 
 
@@ -75,6 +75,6 @@ def _depth(df: DataFrame, depths: Mapping[str, float] | None, column: str) -> Da
     if not depths:
         return df.withColumn(column, known)
     texts = {name: str(float(depth)) for name, depth in depths.items()}
-    named = df.withColumn("_name", norm_name(F.col("location")))
-    found = map_lookup(named, texts, "_name", "_depth")
+    table = lookup_table(df.sparkSession, texts, "_name", "_depth").withColumn("_name", norm_name(F.col("_name")))
+    found = df.join(table, norm_name(F.col("location")) == F.col("_name"), "left")
     return found.withColumn(column, F.coalesce(known, F.col("_depth").cast("double"))).drop("_name", "_depth")
