@@ -106,9 +106,20 @@ def cleaned(spark, d):
     return shown(remove_single_detections(flagged))
 
 
-def asof_deployment(spark, d):
-    right = vmov(spark, d).select("station", "date_in", F.col("location").alias("deployed_at"), "s_suppkey")
-    return shown(joins.asof_join(det(spark, d), right, ["station"], "time", "date_in"))
+def asof_deployment(**options):
+    def run(spark, d):
+        right = vmov(spark, d).select("station", "date_in", F.col("location").alias("deployed_at"), "s_suppkey")
+        return shown(joins.asof_join(det(spark, d), right, ["station"], "time", "date_in", **options))
+
+    return run
+
+
+ASOF_SQL = with_tables(
+    """SELECT time, det.station, elasmo, agency, det.location, event_id, vmov.location AS deployed_at, s_suppkey
+    FROM det ASOF LEFT JOIN vmov ON det.station = vmov.station AND time >= date_in""",
+    "det",
+    "vmov",
+)
 
 
 def local_day(spark, d):
@@ -269,15 +280,8 @@ QUERIES = {
             flagged_sql(24, "compiled"),
         ),
     ),
-    "asof_detection_deployment": (
-        asof_deployment,
-        with_tables(
-            """SELECT time, det.station, elasmo, agency, det.location, event_id, vmov.location AS deployed_at, s_suppkey
-            FROM det ASOF LEFT JOIN vmov ON det.station = vmov.station AND time >= date_in""",
-            "det",
-            "vmov",
-        ),
-    ),
+    "asof_detection_deployment": (asof_deployment(), ASOF_SQL),
+    "asof_detection_deployment_stacked": (asof_deployment(broadcast_mb=0), ASOF_SQL),
     "dates_to_local_day": (
         local_day,
         with_tables(

@@ -87,8 +87,8 @@ def test_after_tagging(spark, ts):
     assert bag(joins.tags_lost(known, kept)) == [(2,)]
 
 
-@pytest.mark.parametrize("days", [None, 1 / 24, 1, 365])
-def test_asof_agrees_with_brute_force(spark, days):
+@pytest.mark.parametrize("days, megabytes", [(None, 64), (None, 0), (1 / 24, 64), (1, 64), (365, 64)])
+def test_asof_agrees_with_brute_force(spark, days, megabytes):
     rng = random.Random(5)
     keys = ["k", "k", "k", "m", None]
     right, seen = [], set()
@@ -99,13 +99,24 @@ def test_asof_agrees_with_brute_force(spark, days):
             right.append((key, START + timedelta(hours=hour), None if i % 7 == 0 else i))
     left = [(rng.choice([*keys, "none"]), None if n % 50 == 0 else START + timedelta(hours=rng.randrange(24 * 60)), n) for n in range(400)]
     out = joins.asof_join(
-        spark.createDataFrame(left, "k string, t timestamp, n int"), spark.createDataFrame(right, "k string, at timestamp, v int"), ["k"], "t", "at", days
+        spark.createDataFrame(left, "k string, t timestamp, n int"), spark.createDataFrame(right, "k string, at timestamp, v int"), ["k"], "t", "at", days, megabytes
     )
     def match(key, time):
         earlier = [(a, v) for k, a, v in right if k == key and time is not None and a <= time]
         return max(earlier, key=lambda e: e[0])[1] if earlier else None
     assert sorted((r.n, r.v) for r in out.collect()) == sorted(((n, match(k, t)) for k, t, n in left), key=lambda x: x[0])
     assert out.columns == ["k", "t", "n", "v"]
+    # A small right side is looked up in place; otherwise both sides go through a window.
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert ("BroadcastHashJoin" in plan) == (days is None and megabytes == 64)
+
+
+def test_asof_with_an_empty_side(spark, ts):
+    left = spark.createDataFrame([("a", ts("2024-01-03"))], "k string, t timestamp")
+    right = spark.createDataFrame([], "k string, at timestamp, v int")
+    for days in (None, 1):
+        assert bag(joins.asof_join(left, right, ["k"], "t", "at", days).select("v")) == [(None,)]
+        assert joins.asof_join(left.limit(0), right, ["k"], "t", "at", days).count() == 0
 
 
 def test_asof_keeps_a_null_inside_the_matched_row(spark, ts):

@@ -16,12 +16,12 @@ NUMERIC_TEXT = r"^\s*[-+]?[0-9]*\.?[0-9]+\s*$"
 def norm_name(c: Column) -> Column:
     """Lower case, outer blanks removed, inner runs of blanks replaced by one underscore."""
     squeezed = F.trim(F.regexp_replace(F.lower(c), r"[\s\p{Z}]+", " "))
-    return F.regexp_replace(squeezed, " ", "_")
+    return F.translate(squeezed, " ", "_")
 
 
 def suffix_id(c: Column) -> Column:
     """Text after the last hyphen; null when there is none (``"A-"``)."""
-    return F.regexp_substr(c, F.lit("[^-]+$"))
+    return F.nullif(F.substring_index(c, "-", -1), F.lit(""))
 
 
 def tag_id(c: Column) -> Column:

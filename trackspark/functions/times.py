@@ -15,16 +15,19 @@ from pyspark.sql import functions as F
 MICROS_PER_HOUR = 3_600_000_000
 MICROS_PER_DAY = 24 * MICROS_PER_HOUR
 
-# Date-time directives with the text they accept and the matching Spark pattern.
+# Date-time directives with the text they accept, the matching Spark pattern and
+# its zero-padded form.
 DIRECTIVES = {
-    "%Y": (r"\d{1,4}", "y"),
-    "%y": (r"\d{2}", "yy"),
-    "%m": (r"\d{1,2}", "M"),
-    "%d": (r"\d{1,2}", "d"),
-    "%H": (r"\d{1,2}", "H"),
-    "%M": (r"\d{1,2}", "m"),
-    "%S": (r"\d{1,2}", "s"),
+    "%Y": (r"\d{1,4}", "y", "yyyy"),
+    "%y": (r"\d{2}", "yy", "yy"),
+    "%m": (r"\d{1,2}", "M", "MM"),
+    "%d": (r"\d{1,2}", "d", "dd"),
+    "%H": (r"\d{1,2}", "H", "HH"),
+    "%M": (r"\d{1,2}", "m", "mm"),
+    "%S": (r"\d{1,2}", "s", "ss"),
 }
+# Layouts a plain cast reads; it takes the same digits and ignores nothing in between.
+CASTABLE = ("yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd HH:mm")
 # Month abbreviations; two-digit years 69-99 belong to the 1900s.
 MONTHS = ("jan", "feb", "mar", "apr", "may", "jun", "jul", "aug", "sep", "oct", "nov", "dec")
 LAST_YEAR_OF_2000S = 2068
@@ -102,23 +105,33 @@ def parse_clock(c: Column, fmt: str) -> Column:
     """Clock reading from text by a date-time format.
 
     Text after the part the format covers is ignored, fields may be unpadded, and a text that
-    does not match gives null.
+    does not match gives null. Texts laid out like the zero-padded year-first form are cast
+    directly, which spares the usual export the pattern matching.
     """
-    prefix, pattern, rest = r"^\s*", "", fmt
+    prefix, pattern, padded, rest = r"^\s*", "", "", fmt
     while rest:
         token = rest[:2]
         if token in DIRECTIVES:
-            accepted, letters = DIRECTIVES[token]
-            prefix, pattern, rest = prefix + accepted, pattern + letters, rest[2:]
+            accepted, letters, full = DIRECTIVES[token]
+            prefix, pattern, padded, rest = prefix + accepted, pattern + letters, padded + full, rest[2:]
         elif rest[0].isspace():
-            prefix, pattern, rest = prefix + r"\s+", pattern + " ", rest.lstrip()
+            prefix, pattern, padded, rest = prefix + r"\s+", pattern + " ", padded + " ", rest.lstrip()
         elif rest[0] == "%" or rest[0].isalpha():
             raise ValueError(f"unsupported date format: {fmt!r}")
         else:
-            prefix, pattern, rest = prefix + re.escape(rest[0]), pattern + rest[0], rest[1:]
+            prefix, pattern, padded, rest = prefix + re.escape(rest[0]), pattern + rest[0], padded + rest[0], rest[1:]
     text = F.trim(F.regexp_replace(F.regexp_substr(c, F.lit(prefix)), r"\s+", " "))
-    clock = F.try_to_timestamp(text, F.lit(pattern))
-    return _century(clock) if "%y" in fmt else clock
+    general = F.try_to_timestamp(text, F.lit(pattern))
+    if "%y" in fmt:
+        return _century(general)
+    if padded not in CASTABLE:
+        return general
+    head = F.substring(c, 1, len(padded))
+    laid_out = F.length(head) == len(padded)
+    for at, mark in enumerate(padded):
+        if not mark.isalpha():
+            laid_out = laid_out & (F.substring(c, at + 1, 1) == mark)
+    return F.coalesce(F.when(laid_out, head.try_cast("timestamp")), general)
 
 
 def _century(clock: Column) -> Column:

@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from trackspark.functions.text import digit_count, norm_name
 from trackspark.operators.joins import lookup_table
 from trackspark.operators.rows import keep_first
+from trackspark.operators.sizes import broadcast_if_small
+from trackspark.session import shared_dir
 
 
 def union_by_name(*frames: DataFrame) -> DataFrame:
@@ -27,7 +29,8 @@ def most_precise_coordinates(df: DataFrame, order: Sequence[str] = ()) -> DataFr
     (without an order, the smallest text). Rows without a location form one group.
 
     The choice is an aggregate with map-side combine joined back, so that a busy location is not
-    gathered in one task.
+    gathered in one task. Its result, one row per location, is written to the shared checkpoint
+    folder once; measured small it is broadcast, which spares the rows a shuffle by location.
     """
 
     # A location has few distinct texts: reduce to those first, each with its first position.
@@ -40,9 +43,10 @@ def most_precise_coordinates(df: DataFrame, order: Sequence[str] = ()) -> DataFr
         rank = F.struct(-digit_count(F.col(c)), F.isnull("_at"), F.col("_at"), F.col(c))
         return F.min_by(F.col(c), F.when(F.col(c).isNotNull(), rank)).alias(f"_{c}")
 
-    chosen = texts.groupBy("_location").agg(best("deploy_long"), best("deploy_lat"))
+    shared_dir(df.sparkSession)
+    chosen = texts.groupBy("_location").agg(best("deploy_long"), best("deploy_lat")).checkpoint()
     return (
-        df.join(chosen, F.col("location").eqNullSafe(F.col("_location")), "inner")
+        df.join(broadcast_if_small(chosen), F.col("location").eqNullSafe(F.col("_location")), "inner")
         .withColumns({"deploy_long": F.col("_deploy_long"), "deploy_lat": F.col("_deploy_lat")})
         .select(*df.columns)
     )

@@ -8,11 +8,11 @@ from functools import reduce
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from trackspark.functions.times import add_clock_hours
 from trackspark.operators.buckets import bucket_of, day_number, measured_bucket_days
 from trackspark.operators.rows import keep_first
+from trackspark.operators.sizes import BROADCAST_MB, row_bytes
 
 def lookup_table(spark: SparkSession, mapping: Mapping[str, str], key: str, value: str) -> DataFrame:
     """Two-column table of a mapping held in the configuration.
@@ -67,6 +67,33 @@ def tags_lost(before: DataFrame, after: DataFrame) -> DataFrame:
     return before.select("elasmo").distinct().subtract(after.select("elasmo").distinct())
 
 
+class _Slices:
+    """Time ranges listed once per time slice they touch, for an equi join on (key, slice).
+
+    A busy key is thereby spread over time, and a point only meets ranges near it; a point lies in
+    one slice, hence no duplicates. One aggregate over the ranges sets the slice width (at most
+    about three slices per range on average) and measures their size.
+    """
+
+    def __init__(self, ranges: DataFrame, first_day: Column, last_day: Column, broadcast_mb: int):
+        size = ranges.agg(
+            F.count(F.lit(1)).alias("n"),
+            F.coalesce(F.sum((last_day - first_day + 1).cast("bigint")), F.lit(0)).alias("days"),
+            F.coalesce(F.max(row_bytes(ranges)), F.lit(0)).alias("row_bytes"),
+        ).first()
+        self.days = max(1, -(-size["days"] // max(1, size["n"])))
+        self.small = 3 * size["n"] * size["row_bytes"] <= broadcast_mb * 1024 * 1024
+        touched = F.sequence(self.of(first_day), self.of(last_day))
+        self.ranges = ranges.withColumn("_slice", F.explode(touched))
+
+    def of(self, day: Column) -> Column:
+        return F.floor(day / self.days)
+
+    def side(self) -> DataFrame:
+        """The right side of the join, hinted for broadcast when measured small."""
+        return F.broadcast(self.ranges) if self.small else self.ranges
+
+
 def interval_join(
     points: DataFrame,
     intervals: DataFrame,
@@ -74,39 +101,21 @@ def interval_join(
     point: str,
     start: str,
     end: str,
-    broadcast_mb: int = 64,
+    broadcast_mb: int = BROADCAST_MB,
 ) -> DataFrame:
     """Inner join of each point to the intervals of its key that contain it, both ends closed.
 
     Overlapping intervals multiply rows; an interval with an open or inverted range matches
     nothing; null keys match nothing. Columns of ``intervals`` other than the key are added.
 
-    Every interval is listed once per time slice it touches and the join is an equi join on
-    (key, slice) with the exact range as residual, so a busy key is spread over time and a point
-    only meets intervals near it. A point lies in one slice, hence no duplicates. One aggregate
-    over the intervals sets the slice width (at most about three slices per interval on average)
-    and measures their size; they are broadcast only below ``broadcast_mb``, otherwise both sides
-    shuffle on (key, slice).
+    The join is an equi join on (key, time slice) with the exact range as residual. The intervals
+    are broadcast only when measured below ``broadcast_mb``, otherwise both sides shuffle.
     """
     usable = intervals.where(F.col(start) <= F.col(end)).dropna(subset=list(on))
     dtype = points.schema[point].dataType
-    lo, hi = day_number(F.col(start), dtype), day_number(F.col(end), dtype)
-    text = [F.coalesce(F.octet_length(f.name), F.lit(0)) for f in usable.schema if isinstance(f.dataType, T.StringType)]
-    width = reduce(lambda a, b: a + b, text, F.lit(16 * (len(usable.columns) + 1)))
-    size = usable.agg(
-        F.count(F.lit(1)).alias("n"),
-        F.coalesce(F.sum((hi - lo + 1).cast("bigint")), F.lit(0)).alias("days"),
-        F.coalesce(F.max(width), F.lit(0)).alias("row_bytes"),
-    ).first()
-    slice_days = max(1, -(-size["days"] // max(1, size["n"])))
-    small = 3 * size["n"] * size["row_bytes"] <= broadcast_mb * 1024 * 1024
-
-    def slice_of(day: Column) -> Column:
-        return F.floor(day / slice_days)
-
-    sliced = usable.withColumn("_slice", F.explode(F.sequence(slice_of(lo), slice_of(hi))))
-    keyed = points.withColumn("_slice", slice_of(day_number(F.col(point), dtype)))
-    joined = keyed.join(F.broadcast(sliced) if small else sliced, [*on, "_slice"], "inner")
+    slices = _Slices(usable, day_number(F.col(start), dtype), day_number(F.col(end), dtype), broadcast_mb)
+    keyed = points.withColumn("_slice", slices.of(day_number(F.col(point), dtype)))
+    joined = keyed.join(slices.side(), [*on, "_slice"], "inner")
     out = [*points.columns, *[c for c in intervals.columns if c not in points.columns]]
     return joined.where(F.col(point).between(F.col(start), F.col(end))).select(*out)
 
@@ -126,26 +135,77 @@ def asof_join(
     left_time: str,
     right_time: str,
     bucket_days: float | None = None,
+    broadcast_mb: int = BROADCAST_MB,
 ) -> DataFrame:
     """Each left row with the last right row of its key at or before its time.
 
     Left rows without an earlier right row stay, with nulls. Null keys match each other. The
-    right side should hold one row per key and time. The right columns travel as one struct, so
-    nulls inside a matched row are kept.
+    right side should hold one row per key and time. Nulls inside a matched row are kept.
 
-    Both sides are stacked and read by a window per (key, time bucket); what holds at the start
-    of a bucket comes in as one marker row per bucket, so no key is read by a single task. The
-    bucket width is measured on the left side unless given.
+    A right side measured below ``broadcast_mb`` is broadcast, and the left side is not shuffled.
+    Otherwise (or when ``bucket_days`` is given, which skips measuring) both sides are stacked and
+    read by a window per key and time bucket.
+    """
+    dated = right.where(F.col(right_time).isNotNull())
+    if bucket_days is None:
+        found = _asof_slices(left, dated, by, left_time, right_time, broadcast_mb)
+        if found is not None:
+            return found
+        bucket_days = measured_bucket_days(left, by, left_time)
+    return _asof_stacked(left, dated, by, left_time, right_time, bucket_days)
+
+
+def _asof_slices(
+    left: DataFrame, right: DataFrame, by: Sequence[str], left_time: str, right_time: str, broadcast_mb: int
+) -> DataFrame | None:
+    """As-of join as a range join: a right row holds until the next of its key; None if too big.
+
+    Open ends are listed up to the last slice of the table, where later left rows look them up.
     """
-    payload = [c for c in right.columns if c not in (*by, right_time)]
     dtype = left.schema[left_time].dataType
+    last_day = right.agg(F.max(day_number(F.col(right_time), dtype))).first()[0]
+    if last_day is None:
+        last_day = 0
+    payload = [c for c in right.columns if c not in (*by, right_time)]
+    following = F.lead(right_time).over(Window.partitionBy(*by).orderBy(right_time))
+    held = right.select(
+        *[F.col(c).alias(f"_r_{c}") for c in by],
+        F.col(right_time).alias("_from"),
+        following.alias("_until"),
+        *[F.col(c).alias(f"_p_{c}") for c in payload],
+    )
+    until = F.coalesce(day_number(F.col("_until"), dtype), F.lit(last_day))
+    slices = _Slices(held, day_number(F.col("_from"), dtype), until, broadcast_mb)
+    if not slices.small:
+        return None
+    side = slices.side().withColumnRenamed("_slice", "_r_slice")
+    time = F.col(left_time)
+    place = slices.of(F.least(day_number(time, dtype), F.lit(last_day)))
+    conditions = [F.col(c).eqNullSafe(F.col(f"_r_{c}")) for c in by]
+    conditions += [F.col("_slice") == F.col("_r_slice"), F.col("_from") <= time]
+    conditions.append(F.coalesce(time < F.col("_until"), F.lit(True)))
+    return (
+        left.withColumn("_slice", F.when(time.isNotNull(), place))
+        .join(side, conditions, "left")
+        .select(*left.columns, *[F.col(f"_p_{c}").alias(c) for c in payload])
+    )
+
 
-    days = measured_bucket_days(left, by, left_time) if bucket_days is None else bucket_days
+def _asof_stacked(
+    left: DataFrame, right: DataFrame, by: Sequence[str], left_time: str, right_time: str, days: float
+) -> DataFrame:
+    """As-of join by a window over both sides stacked, per (key, time bucket).
+
+    What holds at the start of a bucket comes in as one marker row per bucket, so no key is read
+    by a single task. The right columns travel as one struct.
+    """
+    payload = [c for c in right.columns if c not in (*by, right_time)]
+    dtype = left.schema[left_time].dataType
 
     lefts = left.withColumns(
         {"_t": F.col(left_time), "_side": F.lit(1), "_bucket": bucket_of(F.col(left_time), dtype, days)}
     )
-    rights = right.where(F.col(right_time).isNotNull()).select(
+    rights = right.select(
         *by,
         F.col(right_time).alias("_t"),
         F.lit(0).alias("_side"),

@@ -17,6 +17,7 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    "spark.sql.autoBroadcastJoinThreshold": "32m",
 }
 # Fixed at start: do not record a Python call site for every column expression.
 START_CONF = {"spark.python.sql.dataFrameDebugging.enabled": "false"}
