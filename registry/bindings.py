@@ -69,9 +69,9 @@ def det_sites(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def ind(spark: SparkSession, folder: str) -> DataFrame:
-    """Tags: customers, one in seven missing."""
+    """Tags: the customers of all market segments but one, whose tags are unknown."""
     start = F.lit("2023-12-25 12:00:00").cast("timestamp")
-    return load(spark, folder, "customer").where(F.col("c_custkey") % 7 != 0).select(
+    return load(spark, folder, "customer").where(F.col("c_mktsegment") != "FURNITURE").select(
         F.col("c_custkey").alias("acoustic_tag_id"),
         (start + F.make_dt_interval(days=(F.col("c_custkey") % 20).cast("int"))).alias("tagging_datetime"),
         F.col("c_mktsegment").alias("species"),
@@ -87,10 +87,10 @@ def ind(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def vmov(spark: SparkSession, folder: str) -> DataFrame:
-    """Deployments: suppliers below 100, disjoint per station."""
+    """Deployments: suppliers, disjoint per station."""
     start = F.lit("2024-01-01 00:00:00").cast("timestamp")
     day = (F.floor(F.col("s_suppkey") / 10) * 3).cast("int")
-    return load(spark, folder, "supplier").where(F.col("s_suppkey") < 100).select(
+    return load(spark, folder, "supplier").select(
         (F.col("s_suppkey") % 10).cast("string").alias("station"),
         (start + F.make_dt_interval(days=day)).alias("date_in"),
         (start + F.make_dt_interval(days=day, hours=F.lit(60))).alias("date_out"),
@@ -154,15 +154,15 @@ SQL = {
         c_mktsegment AS species, CAST(c_custkey % 2 AS VARCHAR) AS sex, c_acctbal AS pcl, c_acctbal + 1 AS fl,
         c_acctbal + 2 AS tl, CAST(NULL AS DOUBLE) AS stl, 25.5::DOUBLE AS latitude, -79.25::DOUBLE AS longitude,
         CASE WHEN c_custkey % 5 <> 0 THEN 'site ' || CAST(c_custkey % 3 AS VARCHAR) END AS site
-        FROM customer WHERE c_custkey % 7 <> 0)""",
+        FROM customer WHERE c_mktsegment <> 'FURNITURE')""",
     "vmov": """vmov AS (SELECT CAST(s_suppkey % 10 AS VARCHAR) AS station,
         TIMESTAMP '2024-01-01 00:00:00' + to_days(CAST(s_suppkey // 10 * 3 AS INTEGER)) AS date_in,
         TIMESTAMP '2024-01-01 00:00:00' + to_days(CAST(s_suppkey // 10 * 3 AS INTEGER)) + INTERVAL 60 HOURS AS date_out,
-        'loc_' || CAST(s_suppkey % 5 AS VARCHAR) AS location, s_suppkey FROM supplier WHERE s_suppkey < 100)""",
+        'loc_' || CAST(s_suppkey % 5 AS VARCHAR) AS location, s_suppkey FROM supplier)""",
     "vmov_long": """vmov AS (SELECT CAST(s_suppkey % 10 AS VARCHAR) AS station,
         TIMESTAMP '2024-01-01 00:00:00' + to_days(CAST(s_suppkey // 10 * 3 AS INTEGER)) AS date_in,
         TIMESTAMP '2024-01-01 00:00:00' + to_days(CAST(s_suppkey // 10 * 3 + s_suppkey % 40 AS INTEGER)) AS date_out,
-        'loc_' || CAST(s_suppkey % 5 AS VARCHAR) AS location, s_suppkey FROM supplier WHERE s_suppkey < 100)""",
+        'loc_' || CAST(s_suppkey % 5 AS VARCHAR) AS location, s_suppkey FROM supplier)""",
     "det_years": """det AS (SELECT CAST(o_orderdate AS TIMESTAMP) AS time, o_custkey AS elasmo, o_orderkey AS event_id
         FROM orders)""",
     "ind_years": """ind AS (SELECT c_custkey AS acoustic_tag_id, c_mktsegment AS species,

@@ -183,7 +183,7 @@ PRECISE = """best AS (SELECT location, arg_max(deploy_lat, length(regexp_replace
 
 def registry_input(spark, d):
     rows = coordinates(spark, d)
-    own = rows.where(F.col("s_suppkey") % 5 == 1).select(
+    own = rows.where(F.col("location") == "loc_1").select(
         F.col("deploy_lat").cast("double").alias("deploy_lat"),
         F.col("deploy_long").cast("double").alias("deploy_long"),
         "location",
@@ -202,7 +202,7 @@ def registry(spark, d):
 
 OWN_VLOC = """own AS (SELECT deploy_lat::DOUBLE AS deploy_lat, deploy_long::DOUBLE AS deploy_long, location,
     CASE WHEN s_suppkey % 2 = 0 THEN 7.5::DOUBLE END AS bottom_depth, CAST(NULL AS DOUBLE) AS riser_length,
-    3.25::DOUBLE AS instrument_depth, agency FROM coords WHERE s_suppkey % 5 = 1)"""
+    3.25::DOUBLE AS instrument_depth, agency FROM coords WHERE location = 'loc_1')"""
 REGISTRY_SQL = """, foreign_rows AS (SELECT deploy_lat::DOUBLE AS deploy_lat, deploy_long::DOUBLE AS deploy_long, location, agency
     FROM {source} QUALIFY row_number() OVER (PARTITION BY deploy_lat::DOUBLE, deploy_long::DOUBLE ORDER BY {order}) = 1),
 both_rows AS (SELECT * FROM own UNION ALL BY NAME

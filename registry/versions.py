@@ -18,7 +18,7 @@ def old(spark, d):
 
 def new(spark, d):
     key = F.col("p_partkey")
-    return load(spark, d, "part").where(key % 90 != 0).select(
+    return load(spark, d, "part").where(F.col("p_size") != 13).select(
         "p_partkey",
         F.when(key % 70 != 0, F.col("p_name")).alias("p_name"),
         F.when(key % 30 == 0, "NA").otherwise(F.col("p_brand")).alias("p_brand"),
@@ -32,7 +32,7 @@ VERSIONS = """old AS (SELECT p_partkey, p_name, p_brand, p_type, p_size, p_retai
     new AS (SELECT p_partkey, CASE WHEN p_partkey % 70 <> 0 THEN p_name END AS p_name,
         CASE WHEN p_partkey % 30 = 0 THEN NULL ELSE p_brand END AS p_brand, p_type, p_size,
         CASE WHEN p_partkey % 50 = 0 THEN p_retailprice + 1 ELSE p_retailprice END AS p_retailprice
-        FROM part WHERE p_partkey % 90 <> 0)"""
+        FROM part WHERE p_size <> 13)"""
 SAME = " AND ".join(f"a.{c} IS NOT DISTINCT FROM b.{c}" for c in COLUMNS)
 
 

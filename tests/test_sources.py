@@ -84,10 +84,11 @@ def test_format_switch(spark, tmp_path, ts):
 
 
 def test_period_csv(spark, tmp_path):
-    df = spark.createDataFrame([(1, 7, None), (2, 8, 0.5)], "interval_id int, id int, residency_index double")
-    tables.save_period_csv(df, str(tmp_path / "out"), tables.SUMMARY_HEADINGS)
+    rows = [(1, 9, 0.25), (2, 8, 0.5), (1, 7, None)]
+    df = spark.createDataFrame(rows, "interval_id int, id int, residency_index double").repartition(3)
+    tables.save_period_csv(df, str(tmp_path / "out"), tables.SUMMARY_HEADINGS, ["id"])
     files = {p.parent.name: p.read_text() for p in (tmp_path / "out").rglob("*.csv")}
-    assert files == {"interval_id=1": "ID,Residency Index\n7,\n", "interval_id=2": "ID,Residency Index\n8,0.5\n"}
+    assert files == {"interval_id=1": "ID,Residency Index\n7,\n9,0.25\n", "interval_id=2": "ID,Residency Index\n8,0.5\n"}
 
 
 def test_named_tables_by_local_day(spark, tmp_path, ts):

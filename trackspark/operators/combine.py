@@ -10,8 +10,7 @@ from pyspark.sql import functions as F
 from trackspark.functions.text import digit_count, norm_name
 from trackspark.operators.joins import lookup_table
 from trackspark.operators.rows import keep_first
-from trackspark.operators.sizes import broadcast_if_small
-from trackspark.session import shared_dir
+from trackspark.operators.sizes import settled
 
 
 def union_by_name(*frames: DataFrame) -> DataFrame:
@@ -43,10 +42,9 @@ def most_precise_coordinates(df: DataFrame, order: Sequence[str] = ()) -> DataFr
         rank = F.struct(-digit_count(F.col(c)), F.isnull("_at"), F.col("_at"), F.col(c))
         return F.min_by(F.col(c), F.when(F.col(c).isNotNull(), rank)).alias(f"_{c}")
 
-    shared_dir(df.sparkSession)
-    chosen = texts.groupBy("_location").agg(best("deploy_long"), best("deploy_lat")).checkpoint()
+    chosen = texts.groupBy("_location").agg(best("deploy_long"), best("deploy_lat"))
     return (
-        df.join(broadcast_if_small(chosen), F.col("location").eqNullSafe(F.col("_location")), "inner")
+        df.join(settled(chosen), F.col("location").eqNullSafe(F.col("_location")), "inner")
         .withColumns({"deploy_long": F.col("_deploy_long"), "deploy_lat": F.col("_deploy_lat")})
         .select(*df.columns)
     )

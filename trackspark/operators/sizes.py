@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from trackspark.session import shared_dir
+
 BROADCAST_MB = 64
 CELL_BYTES = 16
 
@@ -21,7 +23,17 @@ def row_bytes(df: DataFrame) -> Column:
 def broadcast_if_small(df: DataFrame, limit_mb: int = BROADCAST_MB) -> DataFrame:
     """Hint a broadcast when the measured size is below the limit, otherwise leave it to a shuffle.
 
-    Measuring runs the plan of ``df``: use it on tables that are stored or checkpointed.
+    Measuring runs the plan of ``df``: use it on tables that are stored, or see ``settled``.
     """
     size = df.agg(F.coalesce(F.sum(row_bytes(df).cast("bigint")), F.lit(0))).first()[0]
     return F.broadcast(df) if size <= limit_mb * 1024 * 1024 else df
+
+
+def settled(df: DataFrame, limit_mb: int = BROADCAST_MB) -> DataFrame:
+    """A per-key result written once to the shared checkpoint folder and broadcast if measured small.
+
+    Spark plans the size of an aggregate from its input, so without this a join to a table of a
+    few keys would shuffle the detections.
+    """
+    shared_dir(df.sparkSession)
+    return broadcast_if_small(df.checkpoint(), limit_mb)

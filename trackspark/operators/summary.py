@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from trackspark.functions.times import clock_text, days_between, hours_between, local_date
+from trackspark.operators.sizes import settled
 from trackspark.sources.checks import require_columns
 
 MATRIX_MAX_COLUMNS = 10_000
@@ -84,7 +85,7 @@ def individual_summary(
 def detections_with_min_days(det: DataFrame, tz: str | None = "UTC", min_days: int = 1) -> DataFrame:
     """Detections of the tags that reach the minimum number of days, per period."""
     keys = ["interval_id", "elasmo"] if "interval_id" in det.columns else ["elasmo"]
-    totals = detection_totals(det, tz, min_days).select(*[F.col(k).alias(f"_{k}") for k in keys])
+    totals = settled(detection_totals(det, tz, min_days).select(*[F.col(k).alias(f"_{k}") for k in keys]))
     same = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys]
     return det.join(totals, same, "left_semi")
 

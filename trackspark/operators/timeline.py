@@ -49,7 +49,8 @@ def add_country(df: DataFrame, agency_country: Mapping[str, str]) -> DataFrame:
 
 def tag_ordinals(df: DataFrame) -> DataFrame:
     """Rank (``indice``) of each tag when tags are listed by species, then id."""
-    tags = df.groupBy("elasmo").agg(F.min("species").alias("species"))
+    # Distinct pairs first: a minimum of texts alone would sort the detections.
+    tags = df.select("elasmo", "species").distinct().groupBy("elasmo").agg(F.min("species").alias("species"))
     coarse = [F.col("species"), F.floor(F.col("elasmo") / TAGS_PER_GROUP)]
     return ordinals(tags, ["species", "elasmo"], coarse, "indice")
 
@@ -60,15 +61,16 @@ def add_ordinal(df: DataFrame, tags: DataFrame) -> DataFrame:
     return df.join(listed, F.col("elasmo").eqNullSafe(F.col("_elasmo")), "left").drop("_elasmo")
 
 
-def binned_timeline(df: DataFrame, grid: TimeGrid, agency_country: Mapping[str, str]) -> DataFrame:
-    """Timeline rows with bin, bin date, country and tag rank."""
+def binned_timeline(
+    df: DataFrame, grid: TimeGrid, tags: DataFrame, agency_country: Mapping[str, str]
+) -> DataFrame:
+    """Timeline rows with bin, bin date, country and the rank of their tag in ``tags``."""
     binned = add_country(grid.add_bin(df, date="date"), agency_country)
-    return add_ordinal(binned, tag_ordinals(df))
+    return add_ordinal(binned, tags)
 
 
-def tagging_markers(df: DataFrame, ind: DataFrame, grid: TimeGrid) -> DataFrame:
-    """One row per tag-table row of a detected tag, placed on the timeline's time grid."""
-    tags = tag_ordinals(df)
+def tagging_markers(ind: DataFrame, grid: TimeGrid, tags: DataFrame) -> DataFrame:
+    """One row per tag-table row of a ranked tag, placed on the timeline's time grid."""
     animals = ind.select(F.col("acoustic_tag_id").alias("elasmo"), "species", "sex", "stl", "tagging_datetime")
     listed = animals.join(tags.select("elasmo", "indice"), "elasmo", "inner")
     return grid.add_bin(listed, "tagging_datetime", "_bin", "date").drop("_bin")

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from trackspark.functions.times import clock_text
 from trackspark.operators import activity, residency, summary, timeline
 from trackspark.operators.periods import TimeGrid, assign_period, period_table, time_window
+from trackspark.operators.sizes import settled
 from trackspark.sources.tables import SUMMARY_HEADINGS, read_tables, save_period_csv, write_tables
 
 
@@ -54,10 +55,11 @@ def run_summary(
     t = read_tables(spark, folder, ["det_cleaned", "ind"])
     report = period_summary(t["det_cleaned"], t["ind"], config)
     shown = report.periods.withColumn("period", clock_text(F.col("period"), config.tz, "yyyy-MM-dd HH:mm:ss"))
-    save_period_csv(shown, posixpath.join(out_folder, "dattime"))
-    save_period_csv(report.summary, posixpath.join(out_folder, "summary"), SUMMARY_HEADINGS)
+    save_period_csv(shown, posixpath.join(out_folder, "dattime"), order_by=["index"])
+    save_period_csv(report.summary, posixpath.join(out_folder, "summary"), SUMMARY_HEADINGS, ["species", "id"])
     matrix = summary.detection_matrix(report.detections, config.by_agency)
-    save_period_csv(matrix, posixpath.join(out_folder, "matrix_ind_location"))
+    group = "agency" if config.by_agency else "location"
+    save_period_csv(matrix, posixpath.join(out_folder, "matrix_ind_location"), order_by=[group])
     if report.kept is not None:
         # Inputs are never overwritten: the kept detections are a table of their own.
         write_tables({"det_min_days": report.kept}, out_folder, config.tz)
@@ -123,8 +125,9 @@ def _timeline_base(det: DataFrame, ind: DataFrame, vloc: DataFrame | None, confi
 
 def _label_timeline(base: DataFrame, ind: DataFrame, config: TimelineConfig) -> Timeline:
     grid = TimeGrid(base, config.step_days, config.months_left, config.tz)
-    rows = timeline.binned_timeline(base, grid, config.agency_country)
-    markers = timeline.tagging_markers(base, ind, grid)
+    tags = settled(timeline.tag_ordinals(base))
+    rows = timeline.binned_timeline(base, grid, tags, config.agency_country)
+    markers = timeline.tagging_markers(ind, grid, tags)
     return Timeline(
         grid=grid.table(),
         rows=rows,

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import posixpath
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -102,10 +102,19 @@ def save_table(
         df.write.mode("overwrite").parquet(path)
 
 
-def save_period_csv(df: DataFrame, path: str, headings: Mapping[str, str] | None = None) -> None:
-    """CSV report with empty cells for nulls, one folder per period id in a single job."""
+def save_period_csv(
+    df: DataFrame, path: str, headings: Mapping[str, str] | None = None, order_by: Sequence[str] = ()
+) -> None:
+    """CSV report with empty cells for nulls, one folder per period id in a single job.
+
+    Rows are gathered by period into files of even size, usually one per period, and sorted in it.
+    """
+    period = ["interval_id"] if "interval_id" in df.columns else []
+    df = df.hint("rebalance", *period)
+    if order_by:
+        df = df.sortWithinPartitions(*[F.col(c).asc_nulls_last() for c in (*period, *order_by)])
     renamed = df.withColumnsRenamed(dict(headings)) if headings else df
     writer = renamed.write.mode("overwrite").option("header", "true").option("nullValue", "").option("emptyValue", "")
-    if "interval_id" in renamed.columns:
-        writer = writer.partitionBy("interval_id")
+    if period:
+        writer = writer.partitionBy(*period)
     writer.csv(path)
