@@ -7,7 +7,7 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from registry.bindings import CONTACTS, TZ, det, instant, load, local, shown, with_tables
+from registry.bindings import CONTACTS, TZ, det, det_years, instant, load, local, shown, with_tables
 from trackspark.functions import text as tx
 from trackspark.functions import times
 from trackspark.operators.periods import assign_period
@@ -62,6 +62,22 @@ def clock(spark, d):
     return det(spark, d).select("event_id", times.serial_to_clock(second / F.lit(86400.0)).alias("clock"))
 
 
+def clock_day_later(spark, d):
+    """A clock day added in the data zone; over a zone change it is 23 or 25 hours."""
+    return shown(det_years(spark, d).select("event_id", times.add_clock_hours(F.col("time"), 24, TZ).alias("later")))
+
+
+def relabelled(spark, d):
+    t = F.col("time")
+    return shown(
+        det(spark, d).select(
+            "event_id",
+            times.relabel_zone(t, "UTC", TZ).alias("forced"),
+            times.clock_seconds_as_utc(t, TZ).alias("clock_as_utc"),
+        )
+    )
+
+
 def snake(spark, d):
     raw = load(spark, d, "part").toDF("Part Key", "Part Name", "BRAND", "typeOfPart", "Size (%)", "Retail.Price")
     return tx.clean_names(raw)
@@ -352,6 +368,16 @@ QUERIES = {
         '[aeiou]t', '_', 'g') AS name FROM part""",
     ),
     "serial_to_clock": (clock, "SELECT event_id, strftime(CAST(ts AS TIMESTAMP), '%H:%M:%S') AS clock FROM events"),
+    "add_clock_hours": (
+        clock_day_later,
+        with_tables(f"SELECT event_id, {instant(local('time') + ' + INTERVAL 24 HOURS')} AS later FROM det", "det_years"),
+    ),
+    "zone_relabel": (
+        relabelled,
+        with_tables(
+            f"SELECT event_id, {instant('time')} AS forced, date_trunc('second', {local('time')}) AS clock_as_utc FROM det", "det"
+        ),
+    ),
     "clean_names": (
         snake,
         """SELECT p_partkey AS part_key, p_name AS part_name, p_brand AS brand, p_type AS type_of_part, p_size AS size_percent,

@@ -131,6 +131,14 @@ def weeks_deployed(spark, d):
     return activity.weekly_deployments(vmov_long(spark, d), TZ)
 
 
+def unusable(spark, d):
+    """Corrected deployments with the ends of some swapped: those have no weeks."""
+    moves = vmov(spark, d)
+    swap = F.col("location") == "loc_3"
+    swapped = moves.withColumn("date_out", F.when(swap, F.col("date_in") - F.expr("INTERVAL 3 DAYS")).otherwise(F.col("date_out")))
+    return shown(activity.unusable_ranges(swapped, TZ))
+
+
 def weeks_detected(spark, d):
     return shown(activity.weekly_detections(det_sites(spark, d), vmov_long(spark, d), "AG0", TZ))
 
@@ -357,6 +365,14 @@ QUERIES = {
         weeks_deployed,
         with_tables("SELECT station, date_in, date_out, location, s_suppkey, weeks, source FROM deployed_weeks", "vmov_long", DEPLOYED),
     ),
+    "unusable_deployment_ranges": (
+        unusable,
+        with_tables(
+            """SELECT station, date_in, date_in - INTERVAL 3 DAYS AS date_out, location, s_suppkey FROM vmov
+            WHERE location = 'loc_3'""",
+            "vmov",
+        ),
+    ),
     "weekly_detection_activity": (
         weeks_detected,
         with_tables("SELECT * FROM detected_weeks", "det_sites", "vmov_long", DETECTED),
