@@ -94,6 +94,8 @@ def run_clean(
     tz: str = "US/Eastern",
 ) -> DataFrame:
     """Write the cleaned detections; the statistics come from the sizes of the stored tables."""
+    if source == target:
+        raise ValueError("a job never overwrites its input")
     det = read_tables(spark, folder, [source])[source]
     write_tables({target: clean_detections(det, time_window_hours)[0]}, folder, tz)
     cleaned = read_tables(spark, folder, [target])[target]
