@@ -30,4 +30,4 @@ def test_entry(spark):
     from __spark_entry__ import entry, oracle_sql, queries
 
     assert entry(spark).count() > 0
-    assert queries().keys() == oracle_sql().keys()
+    assert queries().keys() >= oracle_sql().keys() >= all_queries().keys()
