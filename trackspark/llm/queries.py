@@ -2,14 +2,22 @@
 
 from __future__ import annotations
 
-from trackspark.llm import pii, topk, warc
+from trackspark.llm import jaccard, langid, mixing, packing, pii, quality, substrings, tokens, topk, warc
 
 QUERIES = {
+    "op1_jaccard": jaccard.op1_jaccard,
+    "op2_quality": quality.op2_quality,
+    "op3_packing": packing.op3_packing,
     "op4_pii": pii.op4_pii,
+    "op5_substrings": substrings.op5_substrings,
+    "op6_mixing": mixing.op6_mixing,
+    "op7_langid": langid.op7_langid,
+    "op8_tokens": tokens.op8_tokens,
     "op9_warc": warc.op9_warc,
     "op10_topk": topk.op10_topk,
 }
 SQL = {
+    "op6_mixing": mixing.OP6_SQL,
     "op9_warc": warc.OP9_SQL,
     "op10_topk": topk.OP10_SQL,
 }
