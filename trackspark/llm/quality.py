@@ -30,7 +30,7 @@ LABELLED_ROWS = 5_000
 # One in so many sampled rows calibrates instead of training.
 CALIBRATION_FOLD = 5
 STEPS, PENALTY = 150, 1e-6
-KEEP_FROM = 0.3
+KEEP_FROM = 0.5
 LEAST_WORDS = 50
 MOST_REPEATED_PERCENT = 50
 SYMBOLS = b"#*$%&|<>"

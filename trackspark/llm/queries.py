@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
 from trackspark.llm import jaccard, langid, mixing, packing, pii, quality, substrings, tokens, topk, warc
 
 QUERIES = {
@@ -15,6 +16,7 @@ QUERIES = {
     "op8_tokens": tokens.op8_tokens,
     "op9_warc": warc.op9_warc,
     "op10_topk": topk.op10_topk,
+    "pipeline": corpus_pipeline.run,
 }
 SQL = {
     "op6_mixing": mixing.OP6_SQL,
