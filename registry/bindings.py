@@ -52,11 +52,11 @@ def with_tables(body: str, *ctes: str) -> str:
 
 
 def det(spark: SparkSession, folder: str) -> DataFrame:
-    """Detections: events."""
+    """Detections: events; every fifth tag has a number that no animal carries."""
     return load(spark, folder, "events").select(
         F.col("ts").alias("time"),
         (F.col("user_id") % 10).cast("string").alias("station"),
-        F.col("user_id").alias("elasmo"),
+        F.when(F.col("user_id") % 5 == 0, -F.col("user_id")).otherwise(F.col("user_id")).alias("elasmo"),
         F.concat(F.lit("AG"), (F.col("event_id") % 4).cast("string")).alias("agency"),
         F.col("event_type").alias("location"),
         "event_id",
@@ -65,13 +65,13 @@ def det(spark: SparkSession, folder: str) -> DataFrame:
 
 def det_sites(spark: SparkSession, folder: str) -> DataFrame:
     """Detections whose location is the one their station is deployed at."""
-    return det(spark, folder).withColumn("location", F.concat(F.lit("loc_"), (F.col("elasmo") % 5).cast("string")))
+    return det(spark, folder).withColumn("location", F.concat(F.lit("loc_"), (F.abs("elasmo") % 5).cast("string")))
 
 
 def ind(spark: SparkSession, folder: str) -> DataFrame:
-    """Tags: the customers of all market segments but one, whose tags are unknown."""
+    """Tags: the customers."""
     start = F.lit("2023-12-25 12:00:00").cast("timestamp")
-    return load(spark, folder, "customer").where(F.col("c_mktsegment") != "FURNITURE").select(
+    return load(spark, folder, "customer").select(
         F.col("c_custkey").alias("acoustic_tag_id"),
         (start + F.make_dt_interval(days=(F.col("c_custkey") % 20).cast("int"))).alias("tagging_datetime"),
         F.col("c_mktsegment").alias("species"),
@@ -133,8 +133,8 @@ def coordinates(spark: SparkSession, folder: str) -> DataFrame:
     key = F.col("s_suppkey")
     return load(spark, folder, "supplier").select(
         F.concat(F.lit("loc_"), (key % 5).cast("string")).alias("location"),
-        F.concat(F.lit("24."), F.substring(F.lit("4268437"), F.lit(1), (key % 6 + 1).cast("int"))).alias("deploy_lat"),
-        F.concat(F.lit("-79."), F.substring(F.lit("2534119"), F.lit(1), (key % 4 + 1).cast("int"))).alias("deploy_long"),
+        F.concat(F.lit("31."), F.substring(F.lit("1937524"), F.lit(1), (key % 6 + 1).cast("int"))).alias("deploy_lat"),
+        F.concat(F.lit("-64."), F.substring(F.lit("8162075"), F.lit(1), (key % 4 + 1).cast("int"))).alias("deploy_long"),
         F.concat(F.lit("AG"), (key % 4).cast("string")).alias("agency"),
         "s_suppkey",
     )
@@ -144,17 +144,18 @@ CONTACTS = {"c0": "AG0", "c1": "AG1", "c2": "AG2", "c3": "AG3"}
 COUNTRIES = {"AG0": "North", "AG1": "North", "AG2": "South"}
 
 SQL = {
-    "det": """det AS (SELECT CAST(ts AS TIMESTAMP) AS time, CAST(user_id % 10 AS VARCHAR) AS station, user_id AS elasmo,
+    "det": """det AS (SELECT CAST(ts AS TIMESTAMP) AS time, CAST(user_id % 10 AS VARCHAR) AS station,
+        CASE WHEN user_id % 5 = 0 THEN -user_id ELSE user_id END AS elasmo,
         'AG' || CAST(event_id % 4 AS VARCHAR) AS agency, event_type AS location, event_id FROM events)""",
     "det_sites": """det AS (SELECT CAST(ts AS TIMESTAMP) AS time, CAST(user_id % 10 AS VARCHAR) AS station,
-        user_id AS elasmo, 'AG' || CAST(event_id % 4 AS VARCHAR) AS agency,
+        CASE WHEN user_id % 5 = 0 THEN -user_id ELSE user_id END AS elasmo, 'AG' || CAST(event_id % 4 AS VARCHAR) AS agency,
         'loc_' || CAST(user_id % 5 AS VARCHAR) AS location, event_id FROM events)""",
     "ind": """ind AS (SELECT c_custkey AS acoustic_tag_id,
         TIMESTAMP '2023-12-25 12:00:00' + to_days(CAST(c_custkey % 20 AS INTEGER)) AS tagging_datetime,
         c_mktsegment AS species, CAST(c_custkey % 2 AS VARCHAR) AS sex, c_acctbal AS pcl, c_acctbal + 1 AS fl,
         c_acctbal + 2 AS tl, CAST(NULL AS DOUBLE) AS stl, 25.5::DOUBLE AS latitude, -79.25::DOUBLE AS longitude,
         CASE WHEN c_custkey % 5 <> 0 THEN 'site ' || CAST(c_custkey % 3 AS VARCHAR) END AS site
-        FROM customer WHERE c_mktsegment <> 'FURNITURE')""",
+        FROM customer)""",
     "vmov": """vmov AS (SELECT CAST(s_suppkey % 10 AS VARCHAR) AS station,
         TIMESTAMP '2024-01-01 00:00:00' + to_days(CAST(s_suppkey // 10 * 3 AS INTEGER)) AS date_in,
         TIMESTAMP '2024-01-01 00:00:00' + to_days(CAST(s_suppkey // 10 * 3 AS INTEGER)) + INTERVAL 60 HOURS AS date_out,
@@ -170,8 +171,8 @@ SQL = {
     "vloc_types": """names AS (SELECT DISTINCT event_type AS location FROM events),
         vloc AS (SELECT location FROM names UNION ALL SELECT location FROM names WHERE location < 'e')""",
     "coordinates": """coords AS (SELECT 'loc_' || CAST(s_suppkey % 5 AS VARCHAR) AS location,
-        '24.' || substr('4268437', 1, CAST(1 + s_suppkey % 6 AS INTEGER)) AS deploy_lat,
-        '-79.' || substr('2534119', 1, CAST(1 + s_suppkey % 4 AS INTEGER)) AS deploy_long,
+        '31.' || substr('1937524', 1, CAST(1 + s_suppkey % 6 AS INTEGER)) AS deploy_lat,
+        '-64.' || substr('8162075', 1, CAST(1 + s_suppkey % 4 AS INTEGER)) AS deploy_long,
         'AG' || CAST(s_suppkey % 4 AS VARCHAR) AS agency, s_suppkey FROM supplier)""",
     "contacts": """contacts(contact, agency) AS (VALUES ('c0', 'AG0'), ('c1', 'AG1'), ('c2', 'AG2'), ('c3', 'AG3'))""",
     "countries": """countries(agency, country) AS (VALUES ('AG0', 'North'), ('AG1', 'North'), ('AG2', 'South'))""",

@@ -197,7 +197,7 @@ def registry_input(spark, d):
 
 def registry(spark, d):
     own, rows = registry_input(spark, d)
-    return update_receiver_registry(own, rows, {"loc_2": 148.0}, {"loc_1": 178.0, "loc_3": 100.5}, ["s_suppkey"])
+    return update_receiver_registry(own, rows, {"loc_2": 37.0}, {"loc_1": 61.5, "loc_3": 52.25}, ["s_suppkey"])
 
 
 OWN_VLOC = """own AS (SELECT deploy_lat::DOUBLE AS deploy_lat, deploy_long::DOUBLE AS deploy_long, location,
@@ -206,9 +206,9 @@ OWN_VLOC = """own AS (SELECT deploy_lat::DOUBLE AS deploy_lat, deploy_long::DOUB
 REGISTRY_SQL = """, foreign_rows AS (SELECT deploy_lat::DOUBLE AS deploy_lat, deploy_long::DOUBLE AS deploy_long, location, agency
     FROM {source} QUALIFY row_number() OVER (PARTITION BY deploy_lat::DOUBLE, deploy_long::DOUBLE ORDER BY {order}) = 1),
 both_rows AS (SELECT * FROM own UNION ALL BY NAME
-    SELECT *, CASE WHEN location = 'loc_2' THEN 148.0::DOUBLE END AS instrument_depth FROM foreign_rows)
-SELECT deploy_lat, deploy_long, location, coalesce(bottom_depth, CASE location WHEN 'loc_1' THEN 178.0::DOUBLE
-    WHEN 'loc_3' THEN 100.5::DOUBLE END) AS bottom_depth, riser_length, instrument_depth, agency FROM both_rows"""
+    SELECT *, CASE WHEN location = 'loc_2' THEN 37.0::DOUBLE END AS instrument_depth FROM foreign_rows)
+SELECT deploy_lat, deploy_long, location, coalesce(bottom_depth, CASE location WHEN 'loc_1' THEN 61.5::DOUBLE
+    WHEN 'loc_3' THEN 52.25::DOUBLE END) AS bottom_depth, riser_length, instrument_depth, agency FROM both_rows"""
 
 
 def combine(spark, d):

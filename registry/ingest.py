@@ -92,7 +92,8 @@ def mixed(spark, d):
         F.when(key % 4 == 0, F.date_format(t, "M/d/yy H:mm"))
         .when(key % 8 == 1, F.date_format(t, "M/d/yyyy H:mm:ss"))
         .when(key % 4 == 1, F.date_format(t, "M/d/yyyy H:mm"))
-        .when(key % 4 == 2, F.date_format(t, "MM-dd-yyyy HH:mm:ss"))
+        .when(key % 8 == 2, F.date_format(t, "MM-dd-yyyy HH:mm:ss"))
+        .when(key % 8 == 6, F.concat(F.date_format(t, "M/d/yyyy HH:mm"), F.lit(" PM")))
         .otherwise("not a date")
     )
     return load(spark, d, "orders").select("o_orderkey", text.alias("stamp"), text.alias("text"))
@@ -103,10 +104,10 @@ MIXED = """stamped AS (SELECT o_orderkey, CAST(o_orderdate AS TIMESTAMP) + to_ho
     texts AS (SELECT o_orderkey, CASE WHEN o_orderkey % 4 = 0 THEN strftime(t, '%-m/%-d/%y %-H:%M')
         WHEN o_orderkey % 8 = 1 THEN strftime(t, '%-m/%-d/%Y %-H:%M:%S')
         WHEN o_orderkey % 4 = 1 THEN strftime(t, '%-m/%-d/%Y %-H:%M')
-        WHEN o_orderkey % 4 = 2 THEN strftime(t, '%m-%d-%Y %H:%M:%S') ELSE 'not a date' END AS text FROM stamped),
-    parsed AS (SELECT o_orderkey, text, CASE WHEN contains(text, '/') THEN
-        try_strptime(regexp_extract(text, '^[^:]*:[0-9]{2}'), ['%m/%d/%y %H:%M', '%m/%d/%Y %H:%M'])
-        ELSE try_strptime(text, '%m-%d-%Y %H:%M:%S') END AS stamp FROM texts)"""
+        WHEN o_orderkey % 8 = 2 THEN strftime(t, '%m-%d-%Y %H:%M:%S')
+        WHEN o_orderkey % 8 = 6 THEN strftime(t, '%-m/%-d/%Y %H:%M PM') ELSE 'not a date' END AS text FROM stamped),
+    parsed AS (SELECT o_orderkey, text, try_strptime(text,
+        ['%m/%d/%y %H:%M', '%m/%d/%Y %H:%M', '%m/%d/%Y %H:%M:%S', '%m-%d-%Y %H:%M:%S']) AS stamp FROM texts)"""
 
 
 def converted(spark, d):
@@ -307,7 +308,7 @@ def sheet_file(spark, d):
     t = F.col("time")
     second = F.hour(t) * 3600 + F.minute(t) * 60 + F.second(t)
     rows = det(spark, d).select(
-        F.concat((F.col("elasmo") + 100000).cast("string"), F.lit(".0")).alias("INS_SERIAL_NO"),
+        F.concat((F.abs("elasmo") + 100000).cast("string"), F.lit(".0")).alias("INS_SERIAL_NO"),
         F.when(F.col("event_id") % 4 == 0, "NA").otherwise((second / F.lit(86400.0)).cast("string")).alias("event_ts"),
         F.when(F.col("event_id") % 5 == 0, "  ").otherwise(F.concat(F.lit(" "), "location", F.lit(" "))).alias("Site Name"),
         text_of("event_id").alias("event_id"),
@@ -338,6 +339,22 @@ def switched(spark, d):
     return shown(load_table(spark, f"{folder}/rows.parquet").join(text, "event_id"))
 
 
+def quoted_cells(spark, d):
+    """Cells with quotes, commas, line breaks and backslashes, written as CSV and read back by header name."""
+    p = F.col("p_name")
+    cells = load(spark, d, "part").select(
+        "p_partkey",
+        F.concat(F.lit('said "'), p, F.lit('", twice')).alias("quoted"),
+        F.concat(p, F.lit("\n"), F.col("p_brand"), F.lit(",x")).alias("broken"),
+        F.concat(F.lit("C:\\"), p, F.lit("\\")).alias("path"),
+        F.lit("last").alias("last"),
+    )
+    folder = scratch(spark)
+    save_table(cells, folder, "csv")
+    back = scan_csv_by_name(spark, folder, multi_line=True).drop("_source_file")
+    return back.withColumn("p_partkey", F.col("p_partkey").cast("bigint"))
+
+
 def stored(spark, d):
     """A detection table written by local day, read back for a range of days."""
     rows = det(spark, d).select("time", "station", "elasmo", F.col("location").alias("sensor_value"), F.lit("m").alias("sensor_unit"), "agency")
@@ -450,6 +467,11 @@ QUERIES = {
             "det",
         ),
     ),
+    "csv_quoted_cells": (
+        quoted_cells,
+        r"""SELECT p_partkey, 'said "' || p_name || '", twice' AS quoted, p_name || chr(10) || p_brand || ',x' AS broken,
+        'C:\' || p_name || '\' AS path, 'last' AS last FROM part""",
+    ),
     "load_save_switch": (
         switched,
         with_tables(f"SELECT event_id, time, location, strftime({local('time')}, '%Y-%m-%d %H:%M') AS minute FROM det", "det"),

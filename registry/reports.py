@@ -93,15 +93,30 @@ def counts(spark, d):
 
 
 def tenths(spark, d):
-    return det(spark, d).withColumn("elasmo", F.col("elasmo") % 10)
+    return det(spark, d).withColumn("elasmo", F.pmod("elasmo", F.lit(10)))
 
 
 def matrix(by_agency):
     return lambda spark, d: summary.detection_matrix(tenths(spark, d), by_agency)
 
 
+def lists(spark, d):
+    rows = assign_period(det(spark, d), monthly=True, tz=TZ)
+    counted = summary.count_lists(summary.detection_counts(rows))
+    # A text per group, so that any engine shows it alike.
+    cell = F.transform("counts", lambda x: F.concat_ws(":", x["elasmo"], x["n"]))
+    return counted.select("interval_id", "location", F.array_join(cell, " ").alias("counts"))
+
+
+LISTS = with_tables(
+    f"""SELECT interval_id, location, string_agg(elasmo || ':' || n, ' ' ORDER BY elasmo) AS counts FROM (
+        SELECT {PERIOD_ID} AS interval_id, location, elasmo, count(*) AS n FROM det GROUP BY 1, 2, 3) GROUP BY 1, 2""",
+    "det",
+)
+
+
 def matrix_sql(group: str) -> str:
-    cells = ", ".join(f'count_if(elasmo % 10 = {i}) AS "{i}"' for i in range(10))
+    cells = ", ".join(f'count_if((elasmo % 10 + 10) % 10 = {i}) AS "{i}"' for i in range(10))
     return with_tables(f"SELECT {group}, {cells} FROM det GROUP BY {group}", "det")
 
 
@@ -355,6 +370,7 @@ QUERIES = {
         ),
     ),
     "detection_counts_long": (counts, with_tables("SELECT location, elasmo, count(*) AS n FROM det GROUP BY 1, 2", "det")),
+    "detection_count_lists": (lists, LISTS),
     "detection_matrix_by_location": (matrix(False), matrix_sql("location")),
     "detection_matrix_by_agency": (matrix(True), matrix_sql("agency")),
     "clean_receiver_deployments": (

@@ -81,22 +81,53 @@ def by_position(spark, d):
     return compare_tables(new(spark, d), old(spark, d), order_by=["p_partkey"]).by_variable
 
 
+def by_brand(spark, d):
+    """A repeated key that may be null: rows of one brand pair in the order of the other columns."""
+    standard_new, standard_old = (diff.standardise_types(t(spark, d)) for t in (new, old))
+    return diff.Alignment(standard_new, standard_old, keys=["p_brand"]).by_variable()
+
+
+def exact(spark, d):
+    """Whole numbers beyond the precision of doubles, one apart for every seventh key."""
+    big = load(spark, d, "part").select("p_partkey", (F.col("p_partkey") + 9007199254740992).alias("big"))
+    other = big.withColumn("big", F.col("big") + F.when(F.col("p_partkey") % 7 == 0, 1).otherwise(0))
+    return diff.Alignment(other, big, keys=["p_partkey"]).by_variable()
+
+
+def slightly_off(spark, d):
+    """Prices that differ in the 7th decimal only: unequal plainly, equal after rounding."""
+    off = old(spark, d).withColumn("p_retailprice", F.bround("p_retailprice", 2) + F.lit(0.0000001))
+    plain = old(spark, d).withColumn("p_retailprice", F.bround("p_retailprice", 2))
+    return diff.diagnostics(off, plain).select("identical", "identical_after_rounding", "row_counts_match")
+
+
+def only_order(spark, d):
+    """The same rows as bags; numbered by a column in which the other version runs backwards, they differ."""
+    rows = old(spark, d).select("p_partkey", "p_brand")
+    turned = rows.select((F.lit(-1) * F.col("p_partkey")).alias("p_partkey"), "p_brand")
+    bag, placed = (diff.tables_identical(rows, turned, **o) for o in ({}, {"order_by": ["p_brand"]}))
+    same = diff.tables_identical(rows, rows.repartition(7), order_by=["p_brand"])
+    return bag.select(F.col("identical").alias("bag")).select("bag", placed.scalar().alias("placed"), same.scalar().alias("shuffled"))
+
+
 def numbered(spark, d):
     rows = old(spark, d).select("p_partkey", "p_brand")
     return global_row_number(rows, ["p_brand", "p_partkey"])
 
 
-def by_variable_sql(pairing: str) -> str:
+def by_variable_sql(pairing: str, keys: tuple[str, ...] = ("p_partkey",)) -> str:
     return with_tables(
         " UNION ALL ".join(
             f"""SELECT '{c}' AS variable, count_if({differs_sql(c)}) AS n_diff,
             count_if((n.{c} IS NULL) <> (o.{c} IS NULL)) AS n_one_null FROM {pairing}"""
             for c in COLUMNS
-            if c != "p_partkey" or "pos" in pairing
+            if c not in keys or "pos" in pairing
         ),
         VERSIONS,
         """new_pos AS (SELECT *, row_number() OVER (ORDER BY p_partkey) AS pos FROM new)""",
         """old_pos AS (SELECT *, row_number() OVER (ORDER BY p_partkey) AS pos FROM old)""",
+        """new_brand AS (SELECT *, row_number() OVER (PARTITION BY p_brand ORDER BY p_partkey) AS nth FROM new)""",
+        """old_brand AS (SELECT *, row_number() OVER (PARTITION BY p_brand ORDER BY p_partkey) AS nth FROM old)""",
     )
 
 
@@ -127,6 +158,30 @@ QUERIES = {
     ),
     "diff_by_variable": (lambda spark, d: compared(spark, d).by_variable, by_variable_sql("new n JOIN old o USING (p_partkey)")),
     "diff_by_position": (by_position, by_variable_sql("new_pos n JOIN old_pos o USING (pos)")),
+    "diff_repeated_keys": (
+        by_brand,
+        by_variable_sql("new_brand n JOIN old_brand o ON n.p_brand IS NOT DISTINCT FROM o.p_brand AND n.nth = o.nth", ("p_brand",)),
+    ),
+    "diff_exact_integers": (
+        exact,
+        "SELECT 'big' AS variable, count_if(p_partkey % 7 = 0) AS n_diff, 0::BIGINT AS n_one_null FROM part",
+    ),
+    "diff_flags_rounding": (
+        slightly_off,
+        """SELECT NOT EXISTS (SELECT p_partkey, round_even(p_retailprice, 2) + 0.0000001::DOUBLE FROM part
+            EXCEPT ALL SELECT p_partkey, round_even(p_retailprice, 2) FROM part) AS identical,
+        NOT EXISTS (SELECT p_partkey, round_even(round_even(p_retailprice, 2) + 0.0000001::DOUBLE, 6) FROM part
+            EXCEPT ALL SELECT p_partkey, round_even(round_even(p_retailprice, 2), 6) FROM part) AS identical_after_rounding,
+        true AS row_counts_match""",
+    ),
+    "tables_identical_order_only": (
+        only_order,
+        """WITH a AS (SELECT p_partkey, p_brand FROM part), b AS (SELECT -p_partkey AS p_partkey, p_brand FROM part),
+        x AS (SELECT *, row_number() OVER (ORDER BY p_brand, p_partkey) AS i FROM a),
+        y AS (SELECT *, row_number() OVER (ORDER BY p_brand, p_partkey) AS i FROM b)
+        SELECT NOT EXISTS (SELECT * FROM a EXCEPT ALL SELECT * FROM b) AS bag,
+        NOT EXISTS (SELECT * FROM x EXCEPT ALL SELECT * FROM y) AS placed, true AS shuffled""",
+    ),
     "diff_cells": (lambda spark, d: diagnosed(spark, d).differing_cells, with_tables("SELECT * FROM cells", VERSIONS, CELLS)),
     "diff_samples": (
         lambda spark, d: diagnosed(spark, d).samples,

@@ -111,3 +111,25 @@ def test_conversion_stats(spark):
         quality.convert_dates(out)
     with pytest.raises(ValueError):
         quality.convert_dates(df, "missing")
+
+
+def test_repeated_and_null_keys_pair_one_to_one(spark):
+    rows = [(None, 1), (None, 2), (None, 3), (5, 1), (5, 2)]
+    df = spark.createDataFrame(rows, "k int, v int")
+    same = diff.Alignment(df, df.repartition(3), keys=["k"])
+    assert bag(same.counts()) == [(5, 0, 0)] and bag(same.by_variable()) == [("v", 0, 0)]
+    more = diff.Alignment(df.union(df.limit(1)), df, keys=["k"])
+    assert bag(more.counts()) == [(5, 1, 0)]
+
+
+def test_whole_numbers_are_compared_exactly(spark):
+    a = spark.createDataFrame([(1, 9007199254740993)], "k int, v bigint")
+    b = spark.createDataFrame([(1, 9007199254740992)], "k int, v bigint")
+    assert bag(diff.Alignment(a, b, keys=["k"]).by_variable()) == [("v", 1, 0)]
+    c = a.withColumn("v", a.v.cast("double"))
+    assert bag(diff.Alignment(c, b, keys=["k"]).by_variable()) == [("v", 0, 0)]
+
+
+def test_order_is_compared_whatever_the_layout(spark):
+    df = spark.createDataFrame([(i % 3, i) for i in range(200)], "k int, v int")
+    assert diff.tables_identical(df, df.repartition(7), order_by=["k"]).first()[0]

@@ -140,3 +140,13 @@ def test_map_lookup(spark):
     assert bag(joins.map_lookup(df, {}, "c", "agency")) == [("c1", None), ("cx", None), (None, None)]
     plan = joins.map_lookup(df, {"c1": "A"}, "c", "agency").select(F.col("agency"))._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan
+
+
+def test_asof_takes_one_right_row_per_time_on_either_path(spark):
+    left = spark.createDataFrame([(1, 10)], "k int, t int").selectExpr("k", "timestamp_seconds(t) as t")
+    right = spark.createDataFrame([(1, 5, "b"), (1, 5, "c"), (1, 5, "a")], "k int, s int, v string")
+    right = right.selectExpr("k", "timestamp_seconds(s) as at", "v")
+    for days in (None, 1.0):
+        assert bag(joins.asof_join(left, right, ["k"], "t", "at", days).select("v")) == [("c",)]
+    with pytest.raises(TypeError, match="at is date"):
+        joins.asof_join(left, right.withColumn("at", right["at"].cast("date")), ["k"], "t", "at")

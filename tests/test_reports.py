@@ -77,8 +77,11 @@ def test_matrix_and_long_form_agree(det):
     assert sum(r.n for r in summary.detection_counts(det).collect()) == 6
     by_agency = summary.detection_matrix(det, True, ids=[1, 2])
     assert bag(by_agency) == [("AG0", 2, 0), ("AG1", 1, 0), (None, 0, 1)]
-    with pytest.raises(ValueError, match="detection_counts"):
-        summary.detection_matrix(det, max_columns=2)
+    blocks = list(summary.matrix_blocks(summary.detection_counts(det), width=3))
+    assert [(p, b, m.columns) for p, b, m in blocks] == [(None, 0, ["location", "1", "2", "9"]), (None, 1, ["location", "NA"])]
+    assert bag(blocks[1][2]) == [("a", 0), ("b", 1), (None, 0)]
+    lists = summary.count_lists(summary.detection_counts(det)).collect()
+    assert {r.location: [tuple(x) for x in r.counts] for r in lists}["b"] == [(None, 1), (2, 1), (9, 1)]
     empty = summary.detection_matrix(det.limit(0))
     assert empty.columns == ["location"] and empty.count() == 0
 
@@ -232,3 +235,10 @@ def test_detections_are_read_once_for_residency(spark, years, tmp_path):
     out = reports.monthly_residency(spark.read.parquet(str(tmp_path / "det")), ind, "UTC")
     out.collect()
     assert "ReusedExchange" in out._jdf.queryExecution().executedPlan().toString()
+
+
+def test_matrix_of_many_tags_and_of_a_periods_own_tags(spark):
+    det = spark.range(12_000).selectExpr("id as elasmo", "'a' as location", "id % 2 as interval_id", "1L as n")
+    blocks = list(summary.matrix_blocks(det, width=4000))
+    assert [(p, b, len(m.columns)) for p, b, m in blocks] == [(0, 0, 4001), (0, 1, 2001), (1, 0, 4001), (1, 1, 2001)]
+    assert blocks[2][2].columns[:3] == ["location", "1", "3"]

@@ -32,11 +32,11 @@ def test_distinct_per_source(spark):
     assert bag(rows.distinct_per_source(df, None)) == [(1,)]
 
 
-def test_ordinals_number_over_coarse_groups(spark):
-    keys = [(s, e) for s in ("b", "a", None) for e in (5, 250_000, 100_001, 7)]
+def test_ordinals_of_sparse_ids_and_common_prefixes(spark):
+    keys = [(s, e) for s in ("loc_b", "loc_a", None) for e in (5, 250_000_000_000, 100_001, 7)]
     random.Random(1).shuffle(keys)
     df = spark.createDataFrame(keys, "species string, elasmo bigint")
-    out = rows.ordinals(df, ["species", "elasmo"], [F.col("species"), F.floor(F.col("elasmo") / 100_000)], "n")
+    out = rows.ordinals(df, ["species", "elasmo"], "n")
     expected = sorted(keys, key=lambda k: (k[0] is None, k[0] or "", k[1]))
     assert {(r.species, r.elasmo): r.n for r in out.collect()} == {k: i + 1 for i, k in enumerate(expected)}
 
@@ -76,14 +76,14 @@ def test_registry_update(spark):
         [("2.50", "1.0", "c", "AG1", 1), ("2.5", "1", "later", "AG1", 2), ("x", None, "d", "AG2", 3), ("7", "8", "a", "AG2", 4)],
         "deploy_long string, deploy_lat string, location string, agency string, n int",
     )
-    out = combine.update_receiver_registry(vloc, orph, {"C": 148, "a": 1}, {"A": 178.0, "b": 3.0}, ["n"])
+    out = combine.update_receiver_registry(vloc, orph, {"C": 37, "a": 1}, {"A": 61.5, "b": 3.0}, ["n"])
     got = {(r.location, r.deploy_lat): (r.deploy_long, r.bottom_depth, r.instrument_depth) for r in out.collect()}
     assert got == {
-        ("a", 1.0): (2.0, 178.0, 5.0),
+        ("a", 1.0): (2.0, 61.5, 5.0),
         ("b", 1.0): (2.0, 9.0, None),
-        ("c", 1.0): (2.5, None, 148.0),
+        ("c", 1.0): (2.5, None, 37.0),
         ("d", None): (None, None, None),
-        ("a", 8.0): (7.0, 178.0, 1.0),
+        ("a", 8.0): (7.0, 61.5, 1.0),
     }
 
 

@@ -83,6 +83,17 @@ def test_format_switch(spark, tmp_path, ts):
             tables.save_table(df, f"{tmp_path}/{path}", fmt)
 
 
+def test_csv_cells_of_all_kinds_survive(spark, tmp_path):
+    rows = [('lost "buoy", found', "two\nlines", "C:\\dir\\", "z"), ('"', ",", "\\\\", "z"), (None, 'a""b', "x\\\"y", None)]
+    df = spark.createDataFrame(rows, "a string, b string, c string, d string")
+    tables.save_table(df, f"{tmp_path}/t.csv")
+    assert bag(tables.load_table(spark, f"{tmp_path}/t.csv")) == bag(df)
+    text = "".join(p.read_text() for p in (tmp_path / "t.csv").glob("*.csv"))
+    assert 'lost ""buoy"", found' in text
+    tables.save_period_csv(df, f"{tmp_path}/report")
+    assert bag(csv_files.read_sheet(spark, f"{tmp_path}/report", with_order=False).drop("_source_file")) == bag(df)
+
+
 def test_period_csv(spark, tmp_path):
     rows = [(1, 9, 0.25), (2, 8, 0.5), (1, 7, None)]
     df = spark.createDataFrame(rows, "interval_id int, id int, residency_index double").repartition(3)
@@ -102,6 +113,11 @@ def test_named_tables_by_local_day(spark, tmp_path, ts):
     assert sorted((r.elasmo, r.date) for r in stored.collect()) == [(5, date(2024, 1, 4)), (6, date(2024, 1, 6))]
     one_day = tables.prune_days(stored, "2024-01-06", "2024-01-06")
     assert [r.elasmo for r in one_day.collect()] == [6]
+    bounded = tables.read_detections(spark, str(tmp_path), "det_cleaned", "2024-03-01", "2024-03-05")
+    assert bounded.count() == 0 and "date" not in bounded.columns
+    assert "PartitionFilters: [isnotnull(date" in bounded._jdf.queryExecution().executedPlan().toString()
+    wide = tables.read_detections(spark, str(tmp_path), "det_cleaned", "2024-01-31")
+    assert wide.count() == 2
     assert "PartitionFilters: [isnotnull(date" in one_day._jdf.queryExecution().executedPlan().toString()
     assert tables.read_tables(spark, str(tmp_path), ["det_cleaned"])["det_cleaned"].columns == det.columns
     with pytest.raises(FileNotFoundError, match="vmov.*ind"):

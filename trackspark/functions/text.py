@@ -19,6 +19,11 @@ def norm_name(c: Column) -> Column:
     return F.translate(squeezed, " ", "_")
 
 
+def normalised(name: str) -> str:
+    """``norm_name`` of a text of the driver."""
+    return "_".join(name.lower().split())
+
+
 def suffix_id(c: Column) -> Column:
     """Text after the last hyphen; null when there is none (``"A-"``)."""
     return F.nullif(F.substring_index(c, "-", -1), F.lit(""))

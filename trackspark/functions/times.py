@@ -101,33 +101,34 @@ def add_clock_hours(ts: Column, hours: int, tz: str | None) -> Column:
     return from_wall_clock(wall_clock(ts, tz) + F.make_dt_interval(hours=F.lit(hours)), tz)
 
 
-def parse_clock(c: Column, fmt: str) -> Column:
+def parse_clock(c: Column, fmt: str, whole: bool = False) -> Column:
     """Clock reading from text by a date-time format.
 
-    Text after the part the format covers is ignored, fields may be unpadded, and a text that
-    does not match gives null. Texts laid out like the zero-padded year-first form are cast
+    Text after the part the format covers is ignored (``whole``: must be blank), fields may be unpadded, and a text
+    that does not match gives null. Texts laid out like the zero-padded year-first form are cast
     directly, which spares the usual export the pattern matching.
     """
     prefix, pattern, padded, rest = r"^\s*", "", "", fmt
     while rest:
         token = rest[:2]
         if token in DIRECTIVES:
-            accepted, letters, full = DIRECTIVES[token]
-            prefix, pattern, padded, rest = prefix + accepted, pattern + letters, padded + full, rest[2:]
+            shape, letters, full = DIRECTIVES[token]
+            prefix, pattern, padded, rest = prefix + shape, pattern + letters, padded + full, rest[2:]
         elif rest[0].isspace():
             prefix, pattern, padded, rest = prefix + r"\s+", pattern + " ", padded + " ", rest.lstrip()
         elif rest[0] == "%" or rest[0].isalpha():
             raise ValueError(f"unsupported date format: {fmt!r}")
         else:
             prefix, pattern, padded, rest = prefix + re.escape(rest[0]), pattern + rest[0], padded + rest[0], rest[1:]
-    text = F.trim(F.regexp_replace(F.regexp_substr(c, F.lit(prefix)), r"\s+", " "))
+    accepted = F.regexp_substr(c, F.lit(prefix + r"\s*$" if whole else prefix))
+    text = F.trim(F.regexp_replace(accepted, r"\s+", " "))
     general = F.try_to_timestamp(text, F.lit(pattern))
     if "%y" in fmt:
         return _century(general)
     if padded not in CASTABLE:
         return general
     head = F.substring(c, 1, len(padded))
-    laid_out = F.length(head) == len(padded)
+    laid_out = F.length(F.rtrim(c) if whole else head) == len(padded)
     for at, mark in enumerate(padded):
         if not mark.isalpha():
             laid_out = laid_out & (F.substring(c, at + 1, 1) == mark)
@@ -180,18 +181,13 @@ def mixed_date(
     c: Column,
     formats: tuple[str, ...] = ("%m/%d/%y %H:%M", "%m/%d/%Y %H:%M"),
     tz: str | None = "UTC",
-    keep_seconds: bool = False,
 ) -> Column:
-    """Instant from a column mixing several date formats: the first format that parses wins.
+    """Instant from a column mixing several date formats: the first format that reads the whole text wins.
 
-    What a format does not cover is ignored, so ``4/8/25 9:05:30`` read by ``%H:%M`` loses its
-    seconds; ``keep_seconds`` first tries each format with seconds added. Texts no format reads
-    fall back to month-day-year with any separators. Unparsed texts give null.
+    Texts that no format reads as a whole fall back to month-day-year with any separators and optional seconds, so
+    seconds are kept. Texts with anything else behind the date give null.
     """
-    tries = list(formats)
-    if keep_seconds:
-        tries = [f + ":%S" for f in formats if f.endswith("%M")] + tries
-    attempts = [parse_clock(c, f) for f in tries] + [parse_month_day_year(c)]
+    attempts = [parse_clock(c, f, whole=True) for f in formats] + [parse_month_day_year(c)]
     return from_wall_clock(F.coalesce(*attempts), tz)
 
 

@@ -90,7 +90,7 @@ def add_offset(activity: DataFrame, offset: float = 0.4) -> DataFrame:
     """Add ``y_position``: the rank of the location name, shifted for detection rows."""
     require_columns(activity, ["location", "source"])
     names = activity.select(F.col("location").alias("_location")).where(F.col("_location").isNotNull()).distinct()
-    ranks = ordinals(names, ["_location"], [F.substring("_location", 1, 2)], "_rank")
+    ranks = ordinals(names, ["_location"], "_rank")
     shift = F.when(F.col("source") == DETECTION_SOURCE, F.lit(float(offset))).otherwise(F.lit(0.0))
     return (
         activity.join(ranks, F.col("location") == F.col("_location"), "left")

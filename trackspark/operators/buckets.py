@@ -42,9 +42,3 @@ def bucket_of(c: Column, dtype: T.DataType, days: float) -> Column:
         return F.floor(F.unix_date(c) / F.lit(max(1, int(days))))
     width = max(1, int(days * MICROS_PER_DAY) // MICROS_PER_SECOND) * MICROS_PER_SECOND
     return F.floor(F.unix_micros(c) / F.lit(width))
-
-
-def time_bucket(df: DataFrame, keys: Sequence[str], time: str, days: float | None) -> Column:
-    """Bucket number of a time column, with the width measured unless given."""
-    width = measured_bucket_days(df, keys, time) if days is None else days
-    return bucket_of(F.col(time), df.schema[time].dataType, width)

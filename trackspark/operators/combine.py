@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from trackspark.functions.text import digit_count, norm_name
+from trackspark.functions.text import digit_count, norm_name, normalised
 from trackspark.operators.joins import lookup_table
 from trackspark.operators.rows import keep_first
 from trackspark.operators.sizes import settled
@@ -66,8 +66,11 @@ def update_receiver_registry(
     foreign = orph.select("deploy_long", "deploy_lat", "location", "agency", *order).withColumns(
         {c: F.col(c).try_cast("double") for c in ("deploy_long", "deploy_lat")}
     )
-    foreign = keep_first(foreign, ["deploy_long", "deploy_lat"], order)
-    foreign = foreign.select("deploy_long", "deploy_lat", "location", "agency")
+    # Few places come from many detections: reduce to places and their first occurrence before sorting.
+    places = ["deploy_long", "deploy_lat", "location", "agency"]
+    at = [x for c in order for x in (F.isnull(c).alias(f"no_{c}"), F.col(c))]
+    first = foreign.groupBy(*places).agg(F.min(F.struct(*at) if at else F.lit(0)).alias("_at"))
+    foreign = keep_first(first, ["deploy_long", "deploy_lat"], ["_at"]).select(*places)
     foreign = _depth(foreign, instrument_depths, "instrument_depth")
     return _depth(union_by_name(vloc, foreign), bottom_depths, "bottom_depth")
 
@@ -76,7 +79,9 @@ def _depth(df: DataFrame, depths: Mapping[str, float] | None, column: str) -> Da
     known = F.col(column) if column in df.columns else F.lit(None).cast("double")
     if not depths:
         return df.withColumn(column, known)
-    texts = {name: str(float(depth)) for name, depth in depths.items()}
-    table = lookup_table(df.sparkSession, texts, "_name", "_depth").withColumn("_name", norm_name(F.col("_name")))
+    texts: dict[str, str] = {}
+    for name, depth in depths.items():  # the first entry of a normalised name counts
+        texts.setdefault(normalised(name), str(float(depth)))
+    table = lookup_table(df.sparkSession, texts, "_name", "_depth")
     found = df.join(table, norm_name(F.col("location")) == F.col("_name"), "left")
     return found.withColumn(column, F.coalesce(known, F.col("_depth").cast("double"))).drop("_name", "_depth")

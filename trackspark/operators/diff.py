@@ -4,13 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from trackspark.functions.text import NUMERIC_TEXT, missing_to_null
 from trackspark.functions.times import clock_seconds_as_utc, relabel_zone
-from trackspark.operators.rows import global_row_number, top_per_group
+from trackspark.operators.rows import global_row_number, nulls_last, sortable, top_per_group
 
 # Fixed value: numbers closer than this are equal (square root of the double epsilon).
 NUMBER_TOLERANCE = 1.490116119384766e-08
@@ -66,7 +66,8 @@ def tables_identical(new: DataFrame, old: DataFrame, order_by: Sequence[str] | N
 
 
 def _differs(a: Column, b: Column, dtype: T.DataType, tolerance: float) -> Column:
-    if isinstance(dtype, T.NumericType):
+    """Floating numbers differ beyond the tolerance; whole and decimal numbers are compared exactly."""
+    if isinstance(dtype, (T.DoubleType, T.FloatType)):
         x, y = a.cast("double"), b.cast("double")
         same = (x == y) | (F.abs(x - y) <= tolerance)
         return F.coalesce(~same, a.isNull() != b.isNull())
@@ -76,7 +77,8 @@ def _differs(a: Column, b: Column, dtype: T.DataType, tolerance: float) -> Colum
 class Alignment:
     """Rows of two tables brought side by side, by key columns or by position in a given order.
 
-    Keys match null-safely. The comparison keeps one row per pair; differences are counted in
+    Keys match null-safely. Rows of one key are numbered in the order of the shared columns and paired by number, so
+    repeated and null keys pair one to one. The comparison keeps one row per pair; differences are counted in
     wide form, so rows are not multiplied by the number of columns.
     """
 
@@ -98,12 +100,13 @@ class Alignment:
         self.only_old = [c for c in old.columns if c not in new.columns]
         # Columns of two kinds are compared as texts.
         self.types = {
-            c: a if _kind(a) == _kind(b) else T.StringType()
+            c: _common(a, b)
             for c in self.shared
             for a, b in [(new.schema[c].dataType, old.schema[c].dataType)]
         }
         left, right = self._side(new, "n"), self._side(old, "o")
         same = [F.col(f"n_k{i}").eqNullSafe(F.col(f"o_k{i}")) for i in range(len(self.keys))]
+        same.append(F.col("n_nth") == F.col("o_nth"))
         self.pairs = left.join(right, same, "full")
         self.both = F.col("n_here").isNotNull() & F.col("o_here").isNotNull()
         self.tolerance = tolerance
@@ -116,7 +119,12 @@ class Alignment:
             if isinstance(self.types[c], T.StringType):
                 cell = cell.cast("string")
             cells.append(cell.alias(f"{p}_{i}"))
-        return df.select(*keys, *cells, F.lit(1).alias(f"{p}_here"))
+        if self.keys == ["row_id"]:
+            nth = F.lit(1)  # positions are unique
+        else:
+            rest = sortable(df, [c for c in self.shared if c not in self.keys])
+            nth = F.row_number().over(Window.partitionBy(*self.keys).orderBy(*nulls_last(rest or self.keys)))
+        return df.select(*keys, *cells, nth.alias(f"{p}_nth"), F.lit(1).alias(f"{p}_here"))
 
     def _difference(self, i: int) -> Column:
         return _differs(F.col(f"n_{i}"), F.col(f"o_{i}"), self.types[self.shared[i]], self.tolerance)
@@ -166,8 +174,12 @@ class Alignment:
         return top_per_group(self.differing_cells(), ["variable"], self.keys, k)
 
 
-def _kind(dtype: T.DataType) -> str:
-    return "number" if isinstance(dtype, T.NumericType) else dtype.simpleString()
+def _common(a: T.DataType, b: T.DataType) -> T.DataType:
+    """Type two columns are compared as: both exact numbers, numbers, one type, or else texts."""
+    if isinstance(a, T.NumericType) and isinstance(b, T.NumericType):
+        floating = (T.DoubleType, T.FloatType)
+        return T.DoubleType() if isinstance(a, floating) or isinstance(b, floating) else a
+    return a if a == b else T.StringType()
 
 
 def _rounded(df: DataFrame, digits: int) -> DataFrame:
@@ -190,10 +202,14 @@ def diagnostics(new: DataFrame, old: DataFrame, digits: int = 6) -> DataFrame:
     names = new.columns == old.columns
     types = [t for _, t in _plain_types(new)] == [t for _, t in _plain_types(old)]
 
-    def identical(a: DataFrame, b: DataFrame) -> Column:
-        if not (names and types):
-            return F.lit(False)
-        return _unequal_rows(a, b).scalar() == 0
+    kinds = {type(f.dataType) for f in new.schema}
+    plain = _unequal_rows(new, old).scalar() == 0 if names and types else F.lit(False)
+
+    def identical(change, *changed: type) -> Column:
+        """Equality after a change; without a column that it changes, plain equality."""
+        if not (names and types) or kinds.isdisjoint(changed):
+            return plain
+        return _unequal_rows(change(new), change(old)).scalar() == 0
 
     def rows(df: DataFrame) -> Column:
         return df.agg(F.count(F.lit(1))).scalar()
@@ -204,8 +220,8 @@ def diagnostics(new: DataFrame, old: DataFrame, digits: int = 6) -> DataFrame:
         (rows(new) == rows(old)).alias("row_counts_match"),
         F.lit(len(new.columns) == len(old.columns)).alias("column_counts_match"),
         F.lit(_attributes(new) == _attributes(old)).alias("attributes_equal"),
-        identical(new, old).alias("identical"),
-        identical(_rounded(new, digits), _rounded(old, digits)).alias("identical_after_rounding"),
-        identical(_valid_utf8(new), _valid_utf8(old)).alias("identical_after_encoding"),
+        plain.alias("identical"),
+        identical(lambda t: _rounded(t, digits), T.DoubleType, T.FloatType, T.DecimalType).alias("identical_after_rounding"),
+        identical(_valid_utf8, T.StringType).alias("identical_after_encoding"),
     )
 

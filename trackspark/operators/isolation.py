@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from trackspark.functions.times import hours_between
-from trackspark.operators.buckets import time_bucket
+from trackspark.operators.buckets import LONGEST_DAYS, ROWS_PER_BUCKET, bucket_of, day_number
+from trackspark.session import shared_dir
 from trackspark.sources.checks import require_columns, require_positive, require_timestamp
 
 NULL_TIME_BUCKET = -(10**12)
@@ -32,24 +33,37 @@ def flag_single_detections(
     One resident tag at one receiver may hold a large share of the table, so the lead/lag window
     runs per (tag, location, time bucket). The neighbours across bucket borders come in as marker
     rows taken from a per-bucket aggregate, which leaves a single shuffle of the detections.
-    The bucket width is measured on the data unless given.
+    The bucket width is measured on the data unless given: one aggregate per (tag, location, day), written once,
+    gives the width and, where a bucket is whole days, the markers too, so the detections are read twice in all.
     """
     require_columns(det, ("elasmo", "location", "time"))
     require_timestamp(det, "time")
     require_positive("time_window_hours", time_window_hours)
     keys = list(KEYS)
-    in_time = time_bucket(det, keys, "time", bucket_days)
+    day = day_number(F.col("time"), det.schema["time"].dataType)
+    times = [F.count("time").alias("_n"), F.min("time").alias("_first"), F.max("time").alias("_last")]
+    timed = det.where(F.col("time").isNotNull())
+    edges = None
+    if bucket_days is None:
+        shared_dir(det.sparkSession)
+        daily = timed.groupBy(*keys, day.alias("_day")).agg(*times).checkpoint()
+        busiest = daily.agg(F.max("_n")).first()[0]
+        bucket_days = min(LONGEST_DAYS, ROWS_PER_BUCKET / max(1, busiest or 0))
+        if bucket_days >= 1:
+            whole = int(bucket_days)
+            in_time = F.floor(day / whole)
+            edges = daily.groupBy(*keys, F.floor(F.col("_day") / whole).alias("_bucket")).agg(
+                F.min("_first").alias("_first"), F.max("_last").alias("_last")
+            )
+    if edges is None:
+        in_time = bucket_of(F.col("time"), det.schema["time"].dataType, bucket_days)
+        edges = timed.groupBy(*keys, in_time.alias("_bucket")).agg(*times[1:])
     spread = F.pmod(F.xxhash64(*det.columns), F.lit(NULL_TIME_SPREAD))
     rows = det.withColumn(
         "_bucket", F.when(F.col("time").isNull(), F.lit(NULL_TIME_BUCKET) - spread).otherwise(in_time)
     ).withColumn("_mark", F.lit(0))
 
     by_key = Window.partitionBy(*keys).orderBy("_bucket")
-    edges = (
-        det.where(F.col("time").isNotNull())
-        .groupBy(*keys, in_time.alias("_bucket"))
-        .agg(F.min("time").alias("_first"), F.max("time").alias("_last"))
-    )
     outside = edges.select(
         *keys,
         "_bucket",

@@ -139,14 +139,17 @@ def asof_join(
 ) -> DataFrame:
     """Each left row with the last right row of its key at or before its time.
 
-    Left rows without an earlier right row stay, with nulls. Null keys match each other. The
-    right side should hold one row per key and time. Nulls inside a matched row are kept.
+    Left rows without an earlier right row stay, with nulls. Null keys match each other. Of right
+    rows of one key and time the greatest by the other columns counts. Nulls inside a matched row are kept.
 
     A right side measured below ``broadcast_mb`` is broadcast, and the left side is not shuffled.
     Otherwise (or when ``bucket_days`` is given, which skips measuring) both sides are stacked and
     read by a window per key and time bucket.
     """
-    dated = right.where(F.col(right_time).isNotNull())
+    kinds = left.schema[left_time].dataType, right.schema[right_time].dataType
+    if kinds[0] != kinds[1]:
+        raise TypeError(f"{left_time} is {kinds[0].simpleString()}, {right_time} is {kinds[1].simpleString()}")
+    dated = _one_per_time(right.where(F.col(right_time).isNotNull()), [*by, right_time])
     if bucket_days is None:
         found = _asof_slices(left, dated, by, left_time, right_time, broadcast_mb)
         if found is not None:
@@ -155,6 +158,13 @@ def asof_join(
     return _asof_stacked(left, dated, by, left_time, right_time, bucket_days)
 
 
+def _one_per_time(right: DataFrame, keys: Sequence[str]) -> DataFrame:
+    payload = [c for c in right.columns if c not in keys]
+    if not payload:
+        return right.distinct()
+    return right.groupBy(*keys).agg(F.max(F.struct(*payload)).alias("_one")).select(*keys, "_one.*").select(*right.columns)
+
+
 def _asof_slices(
     left: DataFrame, right: DataFrame, by: Sequence[str], left_time: str, right_time: str, broadcast_mb: int
 ) -> DataFrame | None:

@@ -17,11 +17,10 @@ def convert_dates(
     column: str = DATE_COLUMN,
     formats: tuple[str, ...] = DATE_FORMATS,
     tz: str | None = "UTC",
-    keep_seconds: bool = False,
 ) -> DataFrame:
     """Replace a text column of mixed date formats by instants; other columns pass through."""
     require_text(df, column)
-    return df.withColumn(column, mixed_date(F.col(f"`{column}`"), tuple(formats), tz, keep_seconds))
+    return df.withColumn(column, mixed_date(F.col(f"`{column}`"), tuple(formats), tz))
 
 
 def conversion_stats(df: DataFrame, column: str = DATE_COLUMN) -> DataFrame:

@@ -14,6 +14,11 @@ def nulls_last(columns: Sequence[str]) -> list[Column]:
     return [F.col(c).asc_nulls_last() for c in columns]
 
 
+def sortable(df: DataFrame, columns: Sequence[str]) -> list[str]:
+    """Those of the columns that can be sorted by: maps cannot."""
+    return [c for c in columns if "map<" not in df.schema[c].dataType.simpleString()]
+
+
 def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[str] = ()) -> DataFrame:
     """First row per key combination by ``order``; nulls count as a key value.
 
@@ -42,40 +47,23 @@ def top_per_group(df: DataFrame, keys: Sequence[str], order: Sequence[str], k: i
     return df.withColumn("_n", F.row_number().over(first)).where(F.col("_n") <= k).drop("_n")
 
 
-def ordinals(distinct_keys: DataFrame, order: Sequence[str], coarse: Sequence[Column], name: str) -> DataFrame:
-    """Position (1, 2, …) of each distinct key in the given order, nulls last.
-
-    ``coarse`` are expressions that sort like a prefix of ``order``. Rows are numbered within a
-    coarse group and shifted by the sizes of the groups before it; only the group sizes are
-    numbered in one task.
-    """
-    groups = [f"_g{i}" for i in range(len(coarse))]
-    keyed = distinct_keys.withColumns(dict(zip(groups, coarse)))
-    sizes = keyed.groupBy(*groups).agg(F.count(F.lit(1)).alias("_size"))
-    before = Window.orderBy(*nulls_last(groups)).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select(
-        *[F.col(g).alias(f"_o{g}") for g in groups],
-        F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_offset"),
-    )
-    same = [F.col(g).eqNullSafe(F.col(f"_o{g}")) for g in groups]
-    within = Window.partitionBy(*groups).orderBy(*nulls_last(order))
-    return (
-        keyed.withColumn("_n", F.row_number().over(within))
-        .join(offsets, same, "inner")
-        .withColumn(name, (F.col("_n") + F.col("_offset")).cast("int"))
-        .select(*distinct_keys.columns, name)
-    )
+def ordinals(distinct_keys: DataFrame, order: Sequence[str], name: str) -> DataFrame:
+    """Position (1, 2, …) of each distinct key in the given order, nulls last; range partitions share the work."""
+    return global_row_number(distinct_keys, order, name).withColumn(name, F.col(name).cast("int"))
 
 
 def global_row_number(df: DataFrame, order: Sequence[str], name: str = "row_id") -> DataFrame:
     """Row number over the whole table in the given order, without gathering it in one task.
 
+    Rows of equal order are numbered by their other columns: the numbers do not depend on the layout, and a value
+    that many rows share is spread over tasks.
+
     The sorted table is written to the shared checkpoint folder once, so that the numbers stay
     fixed when executors are lost; partition sizes then give each partition its offset.
     """
     shared_dir(df.sparkSession)
     placed = (
-        df.orderBy(*nulls_last(order))
+        df.orderBy(*nulls_last([*order, *sortable(df, [c for c in df.columns if c not in order])]))
         .withColumn("_place", F.monotonically_increasing_id())
         .checkpoint()
         .withColumn("_part", F.shiftright("_place", 33))

@@ -2,16 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from trackspark.functions.times import clock_text, days_between, hours_between, local_date
 from trackspark.operators.sizes import settled
 from trackspark.sources.checks import require_columns
 
-MATRIX_MAX_COLUMNS = 10_000
+# Tags of a block of matrix columns.
+BLOCK_COLUMNS = 1_000
 
 
 def _distinct_with_null(c: str) -> Column:
@@ -96,22 +97,46 @@ def detection_counts(det: DataFrame, group: str = "location") -> DataFrame:
     return det.groupBy(*period, group, "elasmo").agg(F.count(F.lit(1)).alias("n"))
 
 
-def detection_matrix(
-    det: DataFrame,
-    group_by_agency: bool = False,
-    ids: Sequence[int] | None = None,
-    max_columns: int = MATRIX_MAX_COLUMNS,
-) -> DataFrame:
+def count_lists(counts: DataFrame, group: str = "location") -> DataFrame:
+    """Per (period,) group the tags and counts as one array sorted by tag: a matrix of any number of tags."""
+    period = ["interval_id"] if "interval_id" in counts.columns else []
+    return counts.groupBy(*period, group).agg(F.sort_array(F.collect_list(F.struct("elasmo", "n"))).alias("counts"))
+
+
+def matrix_blocks(
+    counts: DataFrame, group: str = "location", width: int = BLOCK_COLUMNS
+) -> Iterator[tuple[int | None, int, DataFrame]]:
+    """The wide matrix of each period over that period's tags, in blocks of at most ``width`` columns.
+
+    Yields (period, number of the block, matrix with a row for every group of the period). Tags are numbered on
+    Spark and come to the driver one block at a time; ``counts`` is the long form, best read from where it is stored.
+    """
+    period = ["interval_id"] if "interval_id" in counts.columns else []
+    tags = counts.select(*period, "elasmo").distinct()
+    per_period = Window.partitionBy(*period).orderBy(F.col("elasmo").asc_nulls_last())
+    placed = tags.withColumn("_block", F.floor((F.row_number().over(per_period) - 1) / width).cast("int"))
+    ids = F.sort_array(F.collect_list(F.struct(F.isnull("elasmo").alias("last"), "elasmo"))).alias("ids")
+    blocks = placed.groupBy(*period, "_block").agg(ids).orderBy(*period, "_block")
+    for row in blocks.toLocalIterator():
+        rows = counts
+        if period:
+            rows = counts.where(F.col("interval_id").eqNullSafe(F.lit(row["interval_id"]))).drop("interval_id")
+        names = ["NA" if x.elasmo is None else str(x.elasmo) for x in row.ids]
+        # Tags of other blocks keep their groups' rows and fill no column.
+        keyed = rows.select(group, F.coalesce(F.col("elasmo").cast("string"), F.lit("NA")).alias("elasmo"), "n")
+        wide = keyed.groupBy(group).pivot("elasmo", names).agg(F.sum("n")).na.fill(0, subset=names)
+        yield (row["interval_id"] if period else None), row["_block"], wide
+
+
+def detection_matrix(det: DataFrame, group_by_agency: bool = False, ids: Sequence[int] | None = None) -> DataFrame:
     """Location (or agency) by tag matrix of counts, empty cells 0, tags in numeric order.
 
     The tag ids become columns, so they must be known when the query is built: pass them or let
-    them be listed. More than ``max_columns`` tags raise; ``detection_counts`` has no such limit.
+    them be listed. ``count_lists`` and ``matrix_blocks`` serve any number of tags.
     """
     group = "agency" if group_by_agency else "location"
     if ids is None:
-        listed = det.select("elasmo").distinct().limit(max_columns + 1).collect()
-        if len(listed) > max_columns:
-            raise ValueError(f"more than {max_columns} tags; use detection_counts")
+        listed = det.select("elasmo").distinct().collect()
         ids = sorted((r[0] for r in listed), key=lambda v: (v is None, v))
     names = ["NA" if v is None else str(v) for v in ids]
     period = ["interval_id"] if "interval_id" in det.columns else []

@@ -16,7 +16,6 @@ BASE_COLUMNS = (
     "time", "station", "elasmo", "agency", "location", "tagging_datetime", "species",
     "sex", "pcl", "fl", "tl", "stl", "latitude", "longitude",
 )
-TAGS_PER_GROUP = 100_000
 
 
 def timeline_base(
@@ -51,8 +50,7 @@ def tag_ordinals(df: DataFrame) -> DataFrame:
     """Rank (``indice``) of each tag when tags are listed by species, then id."""
     # Distinct pairs first: a minimum of texts alone would sort the detections.
     tags = df.select("elasmo", "species").distinct().groupBy("elasmo").agg(F.min("species").alias("species"))
-    coarse = [F.col("species"), F.floor(F.col("elasmo") / TAGS_PER_GROUP)]
-    return ordinals(tags, ["species", "elasmo"], coarse, "indice")
+    return ordinals(tags, ["species", "elasmo"], "indice")
 
 
 def add_ordinal(df: DataFrame, tags: DataFrame) -> DataFrame:

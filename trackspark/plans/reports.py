@@ -13,7 +13,7 @@ from trackspark.functions.times import clock_text
 from trackspark.operators import activity, residency, summary, timeline
 from trackspark.operators.periods import TimeGrid, assign_period, period_table, time_window
 from trackspark.operators.sizes import settled
-from trackspark.sources.tables import SUMMARY_HEADINGS, read_tables, save_period_csv, write_tables
+from trackspark.sources.tables import SUMMARY_HEADINGS, read_detections, read_tables, save_period_csv, write_tables
 
 
 @dataclass(frozen=True)
@@ -24,6 +24,7 @@ class SummaryConfig:
     monthly: bool = False
     by_agency: bool = False
     min_days: int | None = None
+    matrix_width: int = summary.BLOCK_COLUMNS
 
 
 @dataclass(frozen=True)
@@ -51,18 +52,27 @@ def period_summary(det: DataFrame, ind: DataFrame, config: SummaryConfig = Summa
 def run_summary(
     spark: SparkSession, folder: str, out_folder: str, config: SummaryConfig = SummaryConfig()
 ) -> SummaryReport:
-    """Write period breakpoints, summaries and matrices as CSV, one folder per period."""
-    t = read_tables(spark, folder, ["det_cleaned", "ind"])
-    report = period_summary(t["det_cleaned"], t["ind"], config)
+    """Write period breakpoints, summaries and matrices as CSV, one folder per period.
+
+    A matrix has the tags of its period, in blocks of columns where there are many. The detections kept go to
+    ``det_cleaned_season`` beside the input tables, where the residency job looks for them.
+    """
+    t = read_tables(spark, folder, ["ind"])
+    det = read_detections(spark, folder, "det_cleaned", config.start, config.end)
+    report = period_summary(det, t["ind"], config)
     shown = report.periods.withColumn("period", clock_text(F.col("period"), config.tz, "yyyy-MM-dd HH:mm:ss"))
     save_period_csv(shown, posixpath.join(out_folder, "dattime"), order_by=["index"])
     save_period_csv(report.summary, posixpath.join(out_folder, "summary"), SUMMARY_HEADINGS, ["species", "id"])
-    matrix = summary.detection_matrix(report.detections, config.by_agency)
+    # What the residency job reads: the detections within the periods, of tags with enough days if asked for.
+    write_tables({"det_cleaned_season": report.detections if report.kept is None else report.kept}, folder, config.tz)
+    # The long form is always complete and written first; the matrices of the periods come from it.
     group = "agency" if config.by_agency else "location"
-    save_period_csv(matrix, posixpath.join(out_folder, "matrix_ind_location"), order_by=[group])
-    if report.kept is not None:
-        # Inputs are never overwritten: the kept detections are a table of their own.
-        write_tables({"det_min_days": report.kept}, out_folder, config.tz)
+    write_tables({"counts_ind_location": report.counts}, out_folder)
+    counts = spark.read.parquet(posixpath.join(out_folder, "counts_ind_location"))
+    for period, block, matrix in summary.matrix_blocks(counts, group, config.matrix_width):
+        place = "interval_id=all" if period is None else f"interval_id={period}"
+        path = posixpath.join(out_folder, "matrix_ind_location", place, f"block={block}")
+        save_period_csv(matrix, path, order_by=[group])
     return report
 
 
@@ -144,9 +154,11 @@ def run_timeline(
     config: TimelineConfig = TimelineConfig(),
     registry: str = "vloc_extended",
 ) -> Timeline:
-    t = read_tables(spark, folder, ["det_cleaned", "ind", registry])
+    t = read_tables(spark, folder, ["ind", registry])
+    bounds = (config.start, config.end) if config.start and config.end else ()
+    det = read_detections(spark, folder, "det_cleaned", *bounds)
     # Five tables come from the same joined rows: they are written once and read back.
-    write_tables({"timeline_base": _timeline_base(t["det_cleaned"], t["ind"], t[registry], config)}, out_folder)
+    write_tables({"timeline_base": _timeline_base(det, t["ind"], t[registry], config)}, out_folder)
     out = _label_timeline(read_tables(spark, out_folder, ["timeline_base"])["timeline_base"], t["ind"], config)
     write_tables(
         {

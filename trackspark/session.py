@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 from pathlib import Path
 
@@ -51,7 +52,7 @@ def shared_dir(spark: SparkSession) -> str:
         if not context.getCheckpointDir():
             context.setCheckpointDir(named)
         return named
-    if not context.master.startswith("local"):
+    if not re.match(r"local(\[|$)", context.master):  # local-cluster is a cluster
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
     made = Path(tempfile.mkdtemp(prefix="run-")).as_uri()
     context.setCheckpointDir(made)

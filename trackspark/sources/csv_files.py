@@ -17,8 +17,11 @@ SOURCE_FILE = "_source_file"
 SOURCE_ORDER = ("_source_file", "_source_block", "_source_row")
 HEADER_THREADS = 16
 
-# Blanks around cells are dropped, both an empty cell and the text NA are missing.
+# A quote within a quoted cell is doubled, a backslash is a plain character; blanks around cells are
+# dropped, both an empty cell and the text NA are missing.
+CSV_DIALECT = {"quote": '"', "escape": '"'}
 CSV_OPTIONS = {
+    **CSV_DIALECT,
     "header": "true",
     "mode": "PERMISSIVE",
     "nullValue": "NA",
@@ -46,8 +49,8 @@ def list_files(spark: SparkSession, folder: str, pattern: str = "*.csv") -> list
     return [r.path for r in found]
 
 
-def _header(spark: SparkSession, path: str) -> tuple[str, ...]:
-    return tuple(spark.read.options(**CSV_OPTIONS).csv(path).columns)
+def _header(spark: SparkSession, path: str, multi_line: bool) -> tuple[str, ...]:
+    return tuple(spark.read.options(**CSV_OPTIONS).option("multiLine", multi_line).csv(path).columns)
 
 
 def scan_csv_by_name(
@@ -57,6 +60,7 @@ def scan_csv_by_name(
     layout: str = "file",
     columns: list[str] | None = None,
     with_order: bool = False,
+    multi_line: bool = False,
 ) -> DataFrame:
     """All matching CSV files below a folder as one table, columns bound by header name.
 
@@ -68,6 +72,9 @@ def scan_csv_by_name(
     directory, for exports with many files per directory; the scan then checks each file's header
     and fails on one that differs.
 
+    ``multi_line`` accepts line breaks within quoted cells; such files are not split, so big exports, which hold
+    none, are better read without.
+
     Adds ``_source_file``; ``with_order`` also adds two columns that together with it give the
     input order (``SOURCE_ORDER``).
     """
@@ -77,7 +84,7 @@ def scan_csv_by_name(
     for path in list_files(spark, folder, pattern):
         groups.setdefault(path if layout == "file" else posixpath.dirname(path), []).append(path)
     with ThreadPoolExecutor(HEADER_THREADS) as pool:
-        headers = list(pool.map(lambda paths: _header(spark, paths[0]), groups.values()))
+        headers = list(pool.map(lambda paths: _header(spark, paths[0], multi_line), groups.values()))
     by_header: dict[tuple[str, ...], list[str]] = {}
     for header, paths in zip(headers, groups.values()):
         by_header.setdefault(header, []).extend(paths)
@@ -87,6 +94,7 @@ def scan_csv_by_name(
         schema = T.StructType([T.StructField(name, T.StringType()) for name in header])
         scan = (
             spark.read.options(**CSV_OPTIONS)
+            .option("multiLine", multi_line)
             .option("enforceSchema", "true" if layout == "file" else "false")
             .schema(schema)
             .csv(paths)
@@ -108,6 +116,7 @@ def read_sheet(
     cast_overrides: Mapping[str, str] | None = None,
     clock_column: str | None = "event_ts",
     with_order: bool = True,
+    multi_line: bool = True,
 ) -> DataFrame:
     """A sheet exported as CSV, text columns with chosen columns cast.
 
@@ -115,7 +124,7 @@ def read_sheet(
     becomes ``HH:MM:SS`` text. Cells that do not cast become null.
     """
     casts = {"INS_SERIAL_NO": "double", "event_ts": "double"} if cast_overrides is None else cast_overrides
-    sheet = scan_csv_by_name(spark, folder, pattern, with_order=with_order)
+    sheet = scan_csv_by_name(spark, folder, pattern, with_order=with_order, multi_line=multi_line)
     sheet = sheet.withColumns({c: F.col(f"`{c}`").try_cast(t) for c, t in casts.items() if c in sheet.columns})
     if clock_column in sheet.columns and clock_column in casts:
         sheet = sheet.withColumn(clock_column, serial_to_clock(F.col(clock_column)))

@@ -4,13 +4,14 @@ from __future__ import annotations
 
 import posixpath
 from collections.abc import Mapping, Sequence
+from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trackspark.functions.times import clock_text, local_date
 from trackspark.sources.checks import require_paths
-from trackspark.sources.csv_files import CSV_OPTIONS
+from trackspark.sources.csv_files import CSV_DIALECT, CSV_OPTIONS
 from trackspark.sources.schemas import TABLES
 
 # Headings of the summary report.
@@ -32,6 +33,7 @@ SUMMARY_HEADINGS = {
     "residency_index": "Residency Index",
 }
 DAY_COLUMN = "date"
+SPARE_DAYS = 32
 
 
 def table_path(folder: str, name: str) -> str:
@@ -60,6 +62,24 @@ def prune_days(df: DataFrame, start: str, end: str) -> DataFrame:
     return df.where(F.col(DAY_COLUMN).between(F.lit(start).cast("date"), F.lit(end).cast("date")))
 
 
+def read_detections(
+    spark: SparkSession, folder: str, name: str, start: str | None = None, end: str | None = None
+) -> DataFrame:
+    """A stored detection table, only the days that a job with these bounds can use.
+
+    Days are kept ``SPARE_DAYS`` beyond the bounds: the zone of the stored days may be another one, and monthly
+    periods begin before their first bound. The job's own filter on the time then decides.
+    """
+    require_paths(spark, [table_path(folder, name)])
+    rows = read_table(spark, folder, name)
+    spare = timedelta(days=SPARE_DAYS)
+    if start is not None:
+        rows = rows.where(F.col(DAY_COLUMN) >= F.lit((datetime.fromisoformat(start) - spare).date()))
+    if end is not None:
+        rows = rows.where(F.col(DAY_COLUMN) <= F.lit((datetime.fromisoformat(end) + spare).date()))
+    return rows.drop(DAY_COLUMN)
+
+
 def write_tables(tables: Mapping[str, DataFrame], folder: str, tz: str | None = "UTC") -> None:
     """Write every table under its name; detection tables are partitioned by local day.
 
@@ -83,10 +103,13 @@ def _format(path: str, fmt: str) -> str:
     return fmt
 
 
-def load_table(spark: SparkSession, path: str, fmt: str = "auto") -> DataFrame:
-    """A table from csv (all text) or parquet, chosen by the extension."""
+def load_table(spark: SparkSession, path: str, fmt: str = "auto", multi_line: bool = True) -> DataFrame:
+    """A table from csv (all text) or parquet, chosen by the extension.
+
+    Quoted cells of a csv may hold line breaks; ``multi_line=False`` lets Spark split its files instead.
+    """
     if _format(path, fmt) == "csv":
-        return spark.read.options(**CSV_OPTIONS).csv(path)
+        return spark.read.options(**CSV_OPTIONS).option("multiLine", multi_line).csv(path)
     return spark.read.parquet(path)
 
 
@@ -97,7 +120,7 @@ def save_table(
     if _format(path, fmt) == "csv":
         if date_column:
             df = df.withColumn(date_column, clock_text(F.col(f"`{date_column}`"), tz))
-        df.write.mode("overwrite").option("header", "true").option("nullValue", "NA").csv(path)
+        df.write.mode("overwrite").options(**CSV_DIALECT).option("header", "true").option("nullValue", "NA").csv(path)
     else:
         df.write.mode("overwrite").parquet(path)
 
@@ -114,7 +137,7 @@ def save_period_csv(
     if order_by:
         df = df.sortWithinPartitions(*[F.col(c).asc_nulls_last() for c in (*period, *order_by)])
     renamed = df.withColumnsRenamed(dict(headings)) if headings else df
-    writer = renamed.write.mode("overwrite").option("header", "true").option("nullValue", "").option("emptyValue", "")
+    writer = renamed.write.mode("overwrite").options(**CSV_DIALECT).option("header", "true").option("nullValue", "").option("emptyValue", "")
     if period:
         writer = writer.partitionBy(*period)
     writer.csv(path)
