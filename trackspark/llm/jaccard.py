@@ -376,6 +376,29 @@ def op1_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linked_components(table(spark, sf_dir, "documents"), words=3, percent=90)
 
 
+OP1_SQL = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x20\x09-\x0D]+') AS w FROM documents
+), sets AS (
+  SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+    ELSE list_distinct(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) END AS g FROM d
+), grams AS (
+  SELECT doc_id, unnest(g) AS s FROM sets
+), pairs AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n FROM grams a JOIN grams b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY ALL
+), links AS (
+  SELECT a, b FROM pairs JOIN sets x ON a = x.doc_id JOIN sets y ON b = y.doc_id WHERE 100 * n >= 90 * (len(x.g) + len(y.g) - n)
+), both_ways AS (
+  SELECT a, b FROM links UNION ALL SELECT b, a FROM links
+), reach AS (
+  SELECT doc_id, doc_id AS seen FROM d UNION SELECT reach.doc_id, b FROM reach JOIN both_ways ON seen = a
+)
+SELECT doc_id, len(g)::BIGINT AS n_shingles, component_id
+FROM sets JOIN (SELECT doc_id, min(seen) AS component_id FROM reach GROUP BY doc_id) USING (doc_id)
+"""
+
+
 def one_of_each(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """The documents with one of each component: the row of the least id, all columns as they were.
 

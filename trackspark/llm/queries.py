@@ -19,6 +19,8 @@ QUERIES = {
     "pipeline": corpus_pipeline.run,
 }
 SQL = {
+    "op1_jaccard": jaccard.OP1_SQL,
+    "op5_substrings": substrings.OP5_SQL,
     "op6_mixing": mixing.OP6_SQL,
     "op9_warc": warc.OP9_SQL,
     "op10_topk": topk.OP10_SQL,

@@ -329,3 +329,23 @@ def remove_repeats(docs: DataFrame, digest: bool = False, bucket_bytes: int = BU
 def op5_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = remove_repeats(table(spark, sf_dir, "documents"), digest=True)
     return found.select("doc_id", "n_words", "n_removed", F.col("kept").cast("string").alias("kept_sha256"))
+
+
+OP5_SQL = rf"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+), windows AS (
+  SELECT doc_id, s, array_to_string(w[s:s + {WINDOW - 1}], ' ') AS words
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - {WINDOW - 2})) AS s FROM d WHERE len(w) >= {WINDOW})
+), ranked AS (
+  SELECT doc_id, s, row_number() OVER (PARTITION BY words ORDER BY doc_id, s) AS place FROM windows
+), gone AS (
+  SELECT DISTINCT doc_id, s + i AS p FROM ranked, range({WINDOW}) AS r(i) WHERE place > 1
+), words AS (
+  SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS p FROM d
+), kept AS (
+  SELECT doc_id, string_agg(word, ' ' ORDER BY p) AS text, count(*) AS n FROM words ANTI JOIN gone USING (doc_id, p) GROUP BY doc_id
+)
+SELECT doc_id, len(w)::BIGINT AS n_words, (len(w) - coalesce(n, 0))::BIGINT AS n_removed, sha256(coalesce(text, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (doc_id)
+"""
