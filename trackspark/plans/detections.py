@@ -12,7 +12,7 @@ from trackspark.functions.text import norm_name, tag_id
 from trackspark.operators import joins
 from trackspark.operators.combine import most_precise_coordinates, union_by_name, update_receiver_registry
 from trackspark.operators.isolation import flag_single_detections, remove_single_detections, removal_stats
-from trackspark.sources.tables import read_tables, write_tables
+from trackspark.sources.tables import read_tables, table_path, write_tables
 
 WAIT_HOURS = 24
 
@@ -74,7 +74,10 @@ def run_combine(
     tz: str = "US/Eastern",
 ) -> None:
     t = read_tables(spark, folder, ["det_compiled", "vloc"])
-    total, registry = combine_detections(t["det_compiled"], t["vloc"], foreign, depths)
+    # Foreign files are parsed and de-duplicated once: their rows are read for coordinates, union and registry.
+    write_tables({"foreign_rows": union_by_name(*foreign)}, folder)
+    stored = spark.read.parquet(table_path(folder, "foreign_rows"))
+    total, registry = combine_detections(t["det_compiled"], t["vloc"], [stored], depths)
     # The registry is read above, so the extended one is written beside it.
     write_tables({"det_tot": total, "vloc_extended": registry}, folder, tz)
 

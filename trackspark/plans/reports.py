@@ -5,6 +5,7 @@ from __future__ import annotations
 import posixpath
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -114,18 +115,46 @@ class TimelineConfig:
 
 @dataclass(frozen=True)
 class Timeline:
-    grid: DataFrame
-    rows: DataFrame
-    markers: DataFrame
-    legend: DataFrame
-    label_positions: DataFrame
+    """Binned detections and the tables that label them, each built when asked for."""
+
+    base: DataFrame
+    ind: DataFrame
+    config: TimelineConfig
+
+    @cached_property
+    def _grid(self) -> TimeGrid:
+        return TimeGrid(self.base, self.config.step_days, self.config.months_left, self.config.tz)
+
+    @cached_property
+    def _tags(self) -> DataFrame:
+        return settled(timeline.tag_ordinals(self.base))
+
+    @cached_property
+    def grid(self) -> DataFrame:
+        return self._grid.table()
+
+    @cached_property
+    def rows(self) -> DataFrame:
+        return timeline.binned_timeline(self.base, self._grid, self._tags, self.config.agency_country)
+
+    @cached_property
+    def markers(self) -> DataFrame:
+        return timeline.tagging_markers(self.ind, self._grid, self._tags)
+
+    @cached_property
+    def legend(self) -> DataFrame:
+        return timeline.legend_dimension(timeline.add_country(self.base, self.config.agency_country))
+
+    @cached_property
+    def label_positions(self) -> DataFrame:
+        return timeline.species_label_positions(self.markers)
 
 
 def timeline_tables(
     det: DataFrame, ind: DataFrame, vloc: DataFrame | None, config: TimelineConfig = TimelineConfig()
 ) -> Timeline:
     """Binned detections with the tables that label them."""
-    return _label_timeline(_timeline_base(det, ind, vloc, config), ind, config)
+    return Timeline(_timeline_base(det, ind, vloc, config), ind, config)
 
 
 def _timeline_base(det: DataFrame, ind: DataFrame, vloc: DataFrame | None, config: TimelineConfig) -> DataFrame:
@@ -133,20 +162,6 @@ def _timeline_base(det: DataFrame, ind: DataFrame, vloc: DataFrame | None, confi
     return time_window(base, config.start, config.end, config.tz)
 
 
-def _label_timeline(base: DataFrame, ind: DataFrame, config: TimelineConfig) -> Timeline:
-    grid = TimeGrid(base, config.step_days, config.months_left, config.tz)
-    tags = settled(timeline.tag_ordinals(base))
-    rows = timeline.binned_timeline(base, grid, tags, config.agency_country)
-    markers = timeline.tagging_markers(ind, grid, tags)
-    return Timeline(
-        grid=grid.table(),
-        rows=rows,
-        markers=markers,
-        legend=timeline.legend_dimension(timeline.add_country(base, config.agency_country)),
-        label_positions=timeline.species_label_positions(markers),
-    )
-
-
 def run_timeline(
     spark: SparkSession,
     folder: str,
@@ -159,7 +174,7 @@ def run_timeline(
     det = read_detections(spark, folder, "det_cleaned", *bounds)
     # Five tables come from the same joined rows: they are written once and read back.
     write_tables({"timeline_base": _timeline_base(det, t["ind"], t[registry], config)}, out_folder)
-    out = _label_timeline(read_tables(spark, out_folder, ["timeline_base"])["timeline_base"], t["ind"], config)
+    out = Timeline(read_tables(spark, out_folder, ["timeline_base"])["timeline_base"], t["ind"], config)
     write_tables(
         {
             "timeline_grid": out.grid,
@@ -183,11 +198,14 @@ def monthly_residency(
 ) -> DataFrame:
     """Mean share of deployed tags that were active, per species and calendar month.
 
-    Every step needs the detections only as distinct (tag, month), so they are read once.
+    Every step needs the detections only as distinct (tag, month): these, and the joined species and months, are
+    written once.
     """
-    months = residency.tag_months(det, tz)
-    joined = residency.join_activity_deployment(
-        residency.active_from_months(months, ind), residency.deployed_tags(ind, months, tz, scope)
+    months = settled(residency.tag_months(det, tz))
+    joined = settled(
+        residency.join_activity_deployment(
+            residency.active_from_months(months, ind), residency.deployed_tags(ind, months, tz, scope)
+        )
     )
     return residency.monthly_proportions(joined, residency.skeleton_grid(joined, months, ind), empty)
 
