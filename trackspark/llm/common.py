@@ -33,6 +33,13 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def stored(df: DataFrame) -> DataFrame:
+    """Like ``cut`` for larger tables: written as compressed Parquet, which checkpoint files are not."""
+    folder = scratch(df.sparkSession, "table")
+    df.write.parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)
+
+
 def text_bytes(column: str = "text") -> Column:
     """The text as UTF-8 bytes; Python then needs no decoding to find words."""
     return F.col(column).cast("binary").alias("text")
@@ -44,30 +51,6 @@ def slices(batches: Iterable[pa.RecordBatch], rows: int = SLICE_ROWS) -> Iterato
             yield batch.slice(start, rows)
 
 
-class WordHashes:
-    """64-bit content hashes of words, remembered for a bounded number of words.
-
-    The hash depends on the word alone, so it is the word's name on every executor and needs no dictionary.
-    """
-
-    def __init__(self, most: int = 300_000):
-        self.most, self.known = most, {}
-
-    def of(self, words: list[bytes]) -> np.ndarray:
-        import xxhash
-
-        known, digest = self.known, xxhash.xxh3_64_intdigest
-        if len(known) > self.most:
-            known.clear()
-        out = []
-        for word in words:
-            value = known.get(word)
-            if value is None:
-                value = known[word] = digest(word)
-            out.append(value)
-        return np.array(out, dtype=np.uint64)
-
-
 def mixed(values: np.ndarray) -> np.ndarray:
     """A bijection of 64-bit integers that spreads every input bit (the finaliser of MurmurHash3)."""
     values = values ^ (values >> np.uint64(33))
@@ -77,6 +60,53 @@ def mixed(values: np.ndarray) -> np.ndarray:
     return values ^ (values >> np.uint64(33))
 
 
+SPACES = np.isin(np.arange(256), np.frombuffer(b" \t\n\r\x0b\x0c", dtype=np.uint8))
+BYTE_WORTH = mixed(np.arange(1, 257, dtype=np.uint64))
+POWER = 0xD1342543DE82EF95
+# Bytes hashed at once; longer texts are cut at a space.
+PIECE = 1 << 20
+_POWERS = [np.ones(1, dtype=np.uint64), np.ones(1, dtype=np.uint64)]
+
+
+def powers(count: int) -> list[np.ndarray]:
+    """The first powers of POWER and of its inverse modulo 2^64."""
+    if len(_POWERS[0]) < count:
+        for i, base in enumerate((POWER, pow(POWER, -1, 1 << 64))):
+            steps = np.full(max(count, 1 << 16), base, dtype=np.uint64)
+            steps[0] = 1
+            _POWERS[i] = np.cumprod(steps)
+    return _POWERS
+
+
+def word_hashes(text: bytes) -> np.ndarray:
+    """64-bit content hash of each word of a UTF-8 text, in order; the words are those of ``bytes.split``.
+
+    A word's hash is the sum of its bytes' worths times the powers of its positions: running sums over the text give
+    all words at once. It depends on the word alone, so it is the word's name on every executor, without a dictionary.
+    """
+    if len(text) > 2 * PIECE:
+        parts, start = [], 0
+        while start < len(text):
+            spaces = np.flatnonzero(SPACES[np.frombuffer(text, dtype=np.uint8, offset=start)[PIECE:]])
+            end = start + PIECE + int(spaces[0]) if len(spaces) else len(text)
+            parts.append(_hashed(text[start:end]))
+            start = end
+        return np.concatenate(parts)
+    return _hashed(text)
+
+
+def _hashed(text: bytes) -> np.ndarray:
+    codes = np.frombuffer(text, dtype=np.uint8)
+    space = np.ones(len(codes) + 2, dtype=bool)
+    space[1:-1] = SPACES[codes]
+    edges = np.flatnonzero(space[1:] != space[:-1])
+    starts, ends = edges[::2], edges[1::2]
+    forward, back = powers(len(codes) + 1)
+    sums = np.zeros(len(codes) + 1, dtype=np.uint64)
+    np.cumsum(BYTE_WORTH[codes] * forward[: len(codes)], out=sums[1:])
+    return mixed((sums[ends] - sums[starts]) * back[starts])
+
+
 def rolled(hashes: np.ndarray, width: int, base: int = 0x9E3779B97F4A7C15) -> np.ndarray:
     """Hash of every run of ``width`` consecutive hashes; shorter inputs give an empty array."""
     count = len(hashes) - width + 1

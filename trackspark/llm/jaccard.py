@@ -3,10 +3,12 @@
 A text's set holds the hashes of its distinct n-grams of words, ascending: the global order. Texts with equal sets
 are one class. Different sets are linked when ``100 * intersection >= percent * union``.
 
-Meeting. Two linked sets differ in at most k elements, k bound by their sizes. Elements are dealt by hash into more
-than k parts, so that linked sets agree on a whole part, not an empty one; each part's content is a key. Sizes fall
-into bands as wide as linked sizes can differ, and a set gives keys for its own band and the next. Keys of one
-document are a fixed share of its elements, and unrelated sets, even ones that share passages, do not share keys.
+Meeting. Two linked sets differ in at most k elements, k bound by their sizes. Elements are dealt by hash into
+k + 1 + slack parts, so that linked sets agree on more than slack whole parts, and on half of these that are not
+empty; each part's content is a key. Sizes fall into bands as wide as linked sizes can differ, and a set gives keys for
+its own band and the next. Keys of one document are a fixed share of its elements. Sets that only share a passage
+agree on few parts: a set with fewer shared keys than a link needs leaves, and so do keys that then have one set only,
+for ``PRUNING`` rounds.
 
 Trees. What meets is compared in blocks: the sets of one side stand in a trie over the global order, equal beginnings
 stored once; a set of the other side walks it with its overlap so far, and leaves a subtree when even all remaining
@@ -15,9 +17,9 @@ not compared again.
 
 Groups of copies. A first round compares every set with the least id it shares a key with, a second with a
 pseudo-random one: that ties groups of any size together with one comparison a set. Only keys on which different
-components still meet go on: components that meet there form clusters, whose sets are cut into blocks by size, and
-every pair of blocks that sizes permit is joined. So no link between different components is lost, and no pairs
-within a group are listed. What comes back from a block joins components; its number is below the block's sets.
+components still meet go on; keys with the same least set are one group, whose sets are cut into blocks by size, and
+every pair of blocks that sizes permit is joined. So no link between different components is lost, and no pairs within a group
+are listed. What comes back from a block joins components; its number is below the block's sets.
 
 Defined results. A null or empty text, or one without words, has an empty set and is linked with nothing. A text of
 fewer words than ``words`` has one n-gram, the whole sequence. Texts are processed whole. Rows with one id are one
@@ -34,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from trackspark.llm.common import WordHashes, cut, mixed, rolled, slices, table
+from trackspark.llm.common import cut, mixed, rolled, slices, stored, table, word_hashes
 from trackspark.operators.sizes import broadcast_if_small
 
 WORDS, PERCENT = 5, 80
@@ -43,11 +45,14 @@ BLOCK_SETS = 256
 # Elements of an edge compared before the bound is looked at again.
 STRIDE = 64
 STAR_ROUNDS = 2
+PRUNING = 2
+# Sides of a set in a block.
+STORED, PROBES, BOTH = 0, 1, 2
 
 
-def shingles(text: bytes | None, words: int, known: WordHashes) -> np.ndarray:
+def shingles(text: bytes | None, words: int) -> np.ndarray:
     """The ascending set of n-gram hashes; only A-Z are lowered."""
-    hashes = known.of((text or b"").lower().split())
+    hashes = word_hashes((text or b"").lower())
     if 0 < len(hashes) < words:
         return rolled(hashes, len(hashes))
     return np.unique(rolled(hashes, words))
@@ -61,20 +66,24 @@ def band_starts(percent: int, upto: int) -> list[int]:
     return starts
 
 
-def scheme(number: int, starts: list[int], percent: int) -> tuple[int, int]:
-    """(k, parts) of the scheme that compares bands ``number - 1`` and ``number``."""
+def scheme(number: int, starts: list[int], percent: int) -> tuple[int, int, int]:
+    """(k, parts, keys that linked sets share at least) of the scheme that compares bands ``number - 1`` and ``number``."""
     most = starts[number + 1] - 1
     k = 2 * most * (100 - percent) // (100 + percent)
-    return k, k + 1 + max(1, k // 16)
+    slack = max(2, k // 4)
+    return k, k + 1 + slack, 1 + slack // 2
 
 
-def part_keys(tokens: np.ndarray, percent: int, starts: list[int]) -> np.ndarray:
-    """Keys of a set. Where k is 0 only equal sets are linked, and those are one class already."""
+def part_keys(tokens: np.ndarray, percent: int, starts: list[int]) -> Iterator[tuple[int, int, np.ndarray]]:
+    """(scheme, keys needed for a link, keys) of a set. Where k is 0 only equal sets are linked: one class already.
+
+    Linked sets share parts - k parts at least; all but the empty parts of either set are full in both. So full parts
+    suffice for a set with few empty ones, and a set with more gives its empty parts too.
+    """
     band = int(np.searchsorted(starts, len(tokens), side="right")) - 1
     spread, worth = mixed(tokens ^ np.uint64(0x5851F42D4C957F2D)), mixed(tokens + np.uint64(1))
-    out = []
     for number in (band, band + 1):
-        k, parts = scheme(number, starts, percent)
+        k, parts, needed = scheme(number, starts, percent)
         if not k:
             continue
         part = (spread % np.uint64(parts)).astype(np.int64)
@@ -83,10 +92,10 @@ def part_keys(tokens: np.ndarray, percent: int, starts: list[int]) -> np.ndarray
         at = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1]]))
         full = part[at]
         tag = mixed(np.uint64(number << 32) + np.arange(parts, dtype=np.uint64))
-        out.append(mixed(np.add.reduceat(worth[order], at) ^ tag[full]))
-        if len(full) <= k:  # too few full parts to promise an equal one: the empty ones count too
-            out.append(np.delete(tag, full))
-    return np.concatenate(out) if out else np.empty(0, dtype=np.uint64)
+        keys = mixed(np.add.reduceat(worth[order], at) ^ tag[full])
+        if len(full) < k + needed:
+            keys = np.concatenate([keys, np.delete(tag, full)])
+        yield number, needed, keys
 
 
 def described(words: int):
@@ -95,11 +104,10 @@ def described(words: int):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import xxhash
 
-        known = WordHashes()
         for batch in slices(batches):
             sizes, hashes = [], []
             for text in batch.column("text").to_pylist():
-                tokens = shingles(text, words, known)
+                tokens = shingles(text, words)
                 sizes.append(len(tokens))
                 hashes.append(xxhash.xxh3_128_digest(tokens.tobytes()))
             both = np.frombuffer(b"".join(hashes), dtype=np.int64).reshape(-1, 2)
@@ -112,25 +120,27 @@ def described(words: int):
 
 
 def keyed(words: int, percent: int):
-    """(key, doc_id) of each set, once per set and task."""
+    """(key, doc_id, scheme, needed) of each set, once per set and task."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import xxhash
 
-        known, seen, starts = WordHashes(), set(), band_starts(percent, 1 << 10)
+        seen, starts = set(), band_starts(percent, 1 << 10)
         for batch in slices(batches):
-            keys, docs = [np.empty(0, dtype=np.uint64)], [np.empty(0, dtype=np.int64)]
+            rows = [(np.empty(0, dtype=np.uint64), np.empty(0, dtype=np.int64), np.empty(0, dtype=np.int32), np.empty(0, dtype=np.int32))]
             for doc, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True):
-                tokens = shingles(text, words, known)
+                tokens = shingles(text, words)
                 name = xxhash.xxh3_128_digest(tokens.tobytes())
                 if not len(tokens) or name in seen:
                     continue
                 seen.add(name)
                 if starts[-3] <= len(tokens):
                     starts = band_starts(percent, 4 * len(tokens))
-                keys.append(part_keys(tokens, percent, starts))
-                docs.append(np.full(len(keys[-1]), doc))
-            yield pa.record_batch([np.concatenate(keys).view(np.int64), np.concatenate(docs)], names=["key", "doc_id"])
+                for number, needed, keys in part_keys(tokens, percent, starts):
+                    size = len(keys)
+                    rows.append((keys, np.full(size, doc), np.full(size, number, dtype=np.int32), np.full(size, needed, dtype=np.int32)))
+            keys, docs, numbers, needs = (np.concatenate(c) for c in zip(*rows, strict=True))
+            yield pa.record_batch([keys.view(np.int64), docs, numbers, needs], names=["key", "doc_id", "scheme", "needed"])
 
     return run
 
@@ -139,9 +149,8 @@ def gathered(words: int):
     """(rep, tokens) of the texts that are compared."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = WordHashes()
         for batch in slices(batches):
-            sets = [shingles(t, words, known).tobytes() for t in batch.column("text").to_pylist()]
+            sets = [shingles(t, words).tobytes() for t in batch.column("text").to_pylist()]
             yield pa.record_batch([batch.column("doc_id"), pa.array(sets, pa.binary())], names=["rep", "tokens"])
 
     return run
@@ -230,11 +239,11 @@ def block_links(percent: int):
                 parent[x] = x = parent.get(parent[x], parent[x])
             return x
 
-        stored = [c for c in cells if c[0] == 0 and c[3]]
+        stored = [c for c in cells if c[0] != PROBES and c[3]]
         trie = Trie([np.frombuffer(c[3], dtype=np.uint64) for c in stored], [c[2] for c in stored])
         found = []
         for side, rep, comp, tokens in cells:
-            if side != 1 or not tokens:
+            if side == STORED or not tokens:
                 continue
             skip = lambda other, comp=comp: root(other) == root(comp)
             for i in trie.linked(np.frombuffer(tokens, dtype=np.uint64), percent, skip):
@@ -283,6 +292,30 @@ def relabelled(labels: DataFrame, links: DataFrame) -> DataFrame:
     return cut(joined.select("rep", F.coalesce("new_comp", "comp").alias("comp")))
 
 
+def pruned(keys: DataFrame) -> DataFrame:
+    """Without the keys of one set only, and then without the sets that share too few keys of a scheme for a link."""
+    by_key, by_set = Window.partitionBy("key"), Window.partitionBy("rep", "scheme")
+    several = keys.withColumns({"lo": F.min("rep").over(by_key), "hi": F.max("rep").over(by_key)}).filter("lo < hi")
+    enough = several.withColumn("shared", F.count("*").over(by_set)).filter("shared >= needed")
+    return enough.select("key", "rep", "scheme", "needed")
+
+
+def prefixes(keys: DataFrame) -> DataFrame:
+    """(key, rep): of a set's keys, from the rarest on, all but one less than a link needs.
+
+    Two sets that share as many keys as needed share one of these, in the global order of (sets of a key, key); what
+    stays away are each set's most frequent keys.
+    """
+    by_key = Window.partitionBy("key")
+    order = Window.partitionBy("rep", "scheme").orderBy("sets", "key")
+    ranked = keys.withColumn("sets", F.count("*").over(by_key)).withColumns(
+        {"place": F.row_number().over(order), "shared": F.count("*").over(Window.partitionBy("rep", "scheme"))}
+    )
+    first = ranked.filter("place <= shared - needed + 1").select("key", "rep")
+    several = first.withColumns({"lo": F.min("rep").over(by_key), "hi": F.max("rep").over(by_key)})
+    return several.filter("lo < hi").select("key", "rep")
+
+
 def star_blocks(meetings: DataFrame, number: int) -> DataFrame:
     """Blocks of one round: every set against one set it meets, in blocks of at most ``BLOCK_SETS`` sets a side.
 
@@ -301,8 +334,8 @@ def star_blocks(meetings: DataFrame, number: int) -> DataFrame:
     per_lead = pairs.withColumn("all", F.count("*").over(Window.partitionBy("lead")))
     cell = F.pmod(F.xxhash64("rep"), F.ceil(F.col("all") / BLOCK_SETS))
     dealt = cut(per_lead.withColumn("block", F.concat_ws("-", "lead", cell)))
-    stored = dealt.select("block", F.lit(0).alias("side"), "rep", "comp")
-    probes = dealt.select("block", F.lit(1).alias("side"), F.col("lead").alias("rep"), F.col("lead_comp").alias("comp"))
+    stored = dealt.select("block", F.lit(STORED).alias("side"), "rep", "comp")
+    probes = dealt.select("block", F.lit(PROBES).alias("side"), F.col("lead").alias("rep"), F.col("lead_comp").alias("comp"))
     return stored.union(probes.distinct())
 
 
@@ -311,23 +344,31 @@ def met(keys: DataFrame, labels: DataFrame) -> DataFrame:
     found = keys.join(labels, "rep")
     by_key = Window.partitionBy("key")
     spread = found.withColumn("lo", F.min("comp").over(by_key)).withColumn("hi", F.max("comp").over(by_key))
-    return cut(spread.filter("lo < hi").select("key", "rep", "comp", "lo"))
+    return stored(spread.filter("lo < hi").select("key", "rep", "comp"))
+
 
+def group_blocks(meetings: DataFrame, sizes: DataFrame, percent: int) -> DataFrame:
+    """Blocks for every pair of sets of one group that sizes permit.
 
-def cluster_blocks(meetings: DataFrame, sizes: DataFrame, percent: int) -> DataFrame:
-    """Blocks for every pair of sets of one cluster that sizes permit; clusters join components that meet on a key."""
-    clusters = components(meetings.select(F.col("comp").alias("a"), F.col("lo").alias("b")).distinct())
-    involved = meetings.select("rep", "comp").distinct().join(sizes, "rep")
-    placed = involved.join(clusters.withColumnRenamed("comp", "cluster"), F.col("comp") == F.col("node"))
-    order = Window.partitionBy("cluster").orderBy("n_shingles", "rep")
-    cells = cut(placed.select("rep", "comp", "n_shingles", "cluster", F.floor((F.row_number().over(order) - 1) / BLOCK_SETS).alias("cell")))
-    cell = cells.groupBy("cluster", "cell").agg(F.min("n_shingles").alias("lo"), F.max("n_shingles").alias("hi"))
-    other = cell.toDF("cluster", "cell2", "lo2", "hi2")
-    pairs = cell.join(other, "cluster").filter((F.col("cell") <= F.col("cell2")) & (F.col("lo2") * percent <= F.col("hi") * 100))
-    named = cut(pairs.select("cluster", "cell", "cell2", F.concat_ws("-", "cluster", "cell", "cell2").alias("block")))
-    left = named.join(cells, ["cluster", "cell"]).select("block", F.lit(0).alias("side"), "rep", "comp")
-    right = named.drop("cell").withColumnRenamed("cell2", "cell").join(cells, ["cluster", "cell"])
-    return left.union(right.select("block", F.lit(1).alias("side"), "rep", "comp"))
+    A key belongs to the group of its least set, and a set to the groups of its keys: sets that share a key share a
+    group, and the many keys of a family of texts make few groups.
+    """
+    by_key, by_group = Window.partitionBy("key"), Window.partitionBy("group")
+    grouped = meetings.withColumn("group", F.min("rep").over(by_key)).select("group", "rep", "comp").distinct()
+    mixed_groups = grouped.withColumns({"lo": F.min("comp").over(by_group), "hi": F.max("comp").over(by_group)}).filter("lo < hi")
+    involved = mixed_groups.select("group", "rep", "comp").join(sizes, "rep")
+    cell = F.floor((F.row_number().over(by_group.orderBy("n_shingles", "rep")) - 1) / BLOCK_SETS)
+    cells = cut(involved.select("group", "rep", "comp", "n_shingles", cell.alias("cell")))
+    spans = cells.groupBy("group", "cell").agg(F.min("n_shingles").alias("lo"), F.max("n_shingles").alias("hi"))
+    # Most groups have one cell, which meets itself: its sets are stored and probe at once.
+    alone = cells.select(F.concat_ws("-", "group", "cell").alias("block"), F.lit(BOTH).alias("side"), "rep", "comp")
+    large = spans.join(spans.filter("cell > 0").select("group").distinct(), "group")
+    other = large.toDF("group", "cell2", "lo2", "hi2")
+    pairs = large.join(other, "group").filter((F.col("cell") < F.col("cell2")) & (F.col("lo2") * percent <= F.col("hi") * 100))
+    named = pairs.select("group", "cell", "cell2", F.concat_ws("-", "group", "cell", "cell2").alias("block"))
+    left = named.join(cells, ["group", "cell"]).select("block", F.lit(STORED).alias("side"), "rep", "comp")
+    right = named.drop("cell").withColumnRenamed("cell2", "cell").join(cells, ["group", "cell"])
+    return alone.union(left).union(right.select("block", F.lit(PROBES).alias("side"), "rep", "comp"))
 
 
 def linked_components(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
@@ -340,15 +381,16 @@ def linked_components(docs: DataFrame, words: int = WORDS, percent: int = PERCEN
     own = cut(member.groupBy("doc_id", "rep").agg(F.max("n_shingles").alias("n_shingles")))
 
     # Keys that more than one document of different tasks holds, by class.
-    keys = rows.filter("doc_id is not null").mapInArrow(keyed(words, percent), "key long, doc_id long")
+    keys = rows.filter("doc_id is not null").mapInArrow(keyed(words, percent), "key long, doc_id long, scheme int, needed int")
     by_key = Window.partitionBy("key")
     shared = keys.withColumn("lo", F.min("doc_id").over(by_key)).withColumn("hi", F.max("doc_id").over(by_key)).filter("lo < hi")
-    by_class = cut(shared.select("key", "doc_id").join(own, "doc_id").select("key", "rep").distinct())
-    several = by_class.withColumn("lo", F.min("rep").over(by_key)).withColumn("hi", F.max("rep").over(by_key))
-    meeting_keys = cut(several.filter("lo < hi").select("key", "rep"))
+    meeting_keys = shared.join(own.select("doc_id", "rep"), "doc_id").select("key", "rep", "scheme", "needed").distinct()
+    for _ in range(PRUNING):
+        meeting_keys = stored(pruned(meeting_keys))
+    meeting_keys = stored(prefixes(meeting_keys))
     active = cut(meeting_keys.select(F.col("rep").alias("active")).distinct())
     wanted = rows.join(broadcast_if_small(active), F.col("doc_id") == F.col("active")).select("doc_id", "text")
-    sets = cut(wanted.mapInArrow(gathered(words), "rep long, tokens binary"))
+    sets = stored(wanted.mapInArrow(gathered(words), "rep long, tokens binary"))
     sizes = sets.select("rep", (F.octet_length("tokens") / 8).cast("long").alias("n_shingles")).groupBy("rep").agg(F.max("n_shingles").alias("n_shingles"))
 
     labels = active.select(F.col("active").alias("rep"), F.col("active").alias("comp"))
@@ -361,7 +403,7 @@ def linked_components(docs: DataFrame, words: int = WORDS, percent: int = PERCEN
         links.append(found)
         labels = relabelled(labels, found)
         meetings = met(meeting_keys, labels)
-    links.append(joined_blocks(cluster_blocks(meetings, sizes, percent), sets, percent))
+    links.append(joined_blocks(group_blocks(meetings, sizes, percent), sets, percent))
     every = links[0]
     for more in links[1:]:
         every = every.union(more)

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trackspark.llm.common import WordHashes, mixed, rolled, slices, table
+from trackspark.llm.common import SPACES, mixed, rolled, slices, table, word_hashes
 
 DIMS = 1 << 16
 LABELLED_ROWS = 5_000
@@ -34,9 +34,7 @@ KEEP_FROM = 0.5
 LEAST_WORDS = 50
 MOST_REPEATED_PERCENT = 50
 SYMBOLS = b"#*$%&|<>"
-SPACES = b" \t\n\r\x0b\x0c"
 IS_SYMBOL = np.isin(np.arange(256), np.frombuffer(SYMBOLS, dtype=np.uint8))
-IS_SPACE = np.isin(np.arange(256), np.frombuffer(SPACES, dtype=np.uint8))
 OUT = (
     "doc_id long, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long,"
     " base_failed boolean, kept boolean, probability double"
@@ -50,9 +48,9 @@ def cells(text: bytes, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     codes = np.frombuffer(text, dtype=np.uint8).astype(np.uint64)
     for width in (3, 4):
         parts.append((rolled(codes, width) & half) | np.uint64(DIMS // 2))
-    counts = np.bincount(np.concatenate(parts).astype(np.int64), minlength=DIMS)
-    at = np.flatnonzero(counts)
-    return at, counts[at]
+    ordered = np.sort(np.concatenate(parts).astype(np.uint16), kind="stable")  # a radix sort
+    at = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]])) if len(ordered) else np.empty(0, dtype=np.int64)
+    return ordered[at].astype(np.int64), np.diff(np.append(at, len(ordered)))
 
 
 def weights_of(counts: np.ndarray) -> np.ndarray:
@@ -61,16 +59,16 @@ def weights_of(counts: np.ndarray) -> np.ndarray:
     return values / np.sqrt((values * values).sum())
 
 
-def base_facts(text: bytes, words: list[bytes], hashes: np.ndarray) -> tuple[int, int, int, int]:
+def base_facts(text: bytes, hashes: np.ndarray) -> tuple[int, int, int, int]:
     """word_chars, n_symbols, n_dup_lines, n_repeat_words."""
     codes = np.frombuffer(text, dtype=np.uint8)
     # Words hold all code points but the six spaces; a code point has one byte that continues none.
-    chars = int(((codes & 0xC0) != 0x80).sum()) - int(IS_SPACE[codes].sum())
+    chars = int(((codes & 0xC0) != 0x80).sum()) - int(SPACES[codes].sum())
     seen, repeated_lines = set(), 0
     for line in text.split(b"\n"):
         if line in seen:
             repeated_lines += 1
-        elif line.strip(SPACES):
+        elif line.strip():
             seen.add(line)
     windows = rolled(hashes, 3)
     repeats = 0
@@ -78,7 +76,7 @@ def base_facts(text: bytes, words: list[bytes], hashes: np.ndarray) -> tuple[int
         order = np.argsort(windows)
         same = windows[order[1:]] == windows[order[:-1]]
         if same.any():
-            covered = np.zeros(len(words), dtype=bool)
+            covered = np.zeros(len(hashes), dtype=bool)
             starts = np.concatenate([order[1:][same], order[:-1][same]])
             for step in range(3):
                 covered[starts + step] = True
@@ -98,11 +96,10 @@ class Model:
 
 def featured(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Sparse features of the sampled texts: cell numbers of two bytes, counts of one (255 and more are 255)."""
-    hashes = WordHashes()
     for batch in slices(batches):
         found = []
         for text in batch.column("text").to_pylist():
-            at, counts = cells(text, hashes.of(text.split()))
+            at, counts = cells(text, word_hashes(text))
             found.append((at.astype(np.uint16).tobytes(), np.minimum(counts, 255).astype(np.uint8).tobytes()))
         yield pa.record_batch(
             [
@@ -188,20 +185,18 @@ def judge(docs: DataFrame, model: Model | None) -> DataFrame:
     """Base facts, probability and verdict of every row."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = WordHashes()
         for batch in slices(batches):
             rows = []
             for text in batch.column("text").to_pylist():
                 text = text or b""
-                words = text.split()
-                hashes = known.of(words)
-                facts = base_facts(text, words, hashes)
-                failed = len(words) < LEAST_WORDS or 100 * facts[3] > MOST_REPEATED_PERCENT * len(words)
+                hashes = word_hashes(text)
+                facts = base_facts(text, hashes)
+                failed = len(hashes) < LEAST_WORDS or 100 * facts[3] > MOST_REPEATED_PERCENT * len(hashes)
                 chance = None
-                if model is not None and words:
+                if model is not None and len(hashes):
                     at, counts = cells(text, hashes)
                     chance = model.probability(model.weights[at] @ weights_of(np.minimum(counts, 255)) + model.weights[-1])
-                rows.append((len(words), *facts, failed, not failed and (chance is None or chance >= KEEP_FROM), chance))
+                rows.append((len(hashes), *facts, failed, not failed and (chance is None or chance >= KEEP_FROM), chance))
             columns = list(zip(*rows, strict=True))
             kinds = [pa.int64()] * 5 + [pa.bool_()] * 2 + [pa.float64()]
             names = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "probability"]

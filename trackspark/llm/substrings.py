@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from trackspark.llm.common import WordHashes, mixed, rolled, slices, table
+from trackspark.llm.common import mixed, rolled, slices, table, word_hashes
 
 WINDOW = 20
 BLOCK, NEAR = 6, 6
@@ -193,11 +193,11 @@ def reveal(buckets: int):
     """Block names of each text, and the places settled at once: repeats within the task and long runs."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, entries = WordHashes(), Entries(buckets)
+        entries = Entries(buckets)
         for batch in slices(batches):
             runs: list[tuple[int, int, int]] = []
             for doc, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True):
-                words = known.of(text.split())
+                words = word_hashes(text)
                 if len(words) < WINDOW:
                     continue
                 mark = fingerprint(text)
@@ -254,7 +254,7 @@ def verify(buckets: int):
 
     def run(revealed: pa.Table, texts: pa.Table) -> pa.Table:
         found = places_by_document(revealed)
-        known, entries, out = WordHashes(), Entries(buckets), []
+        entries, out = Entries(buckets), []
         if found:
             for batch in texts.to_batches(max_chunksize=128):
                 for doc, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True):
@@ -262,7 +262,7 @@ def verify(buckets: int):
                     places = found.get((doc, mark))
                     if places is None:
                         continue
-                    words = known.of(text.split())
+                    words = word_hashes(text)
                     starts = candidate_starts(places, len(words))
                     names = rolled(words, WINDOW)[starts]
                     more = rolled(words, WINDOW, SECOND_BASE)[starts].astype(np.uint32)
