@@ -36,7 +36,7 @@ from trackspark.operators.sizes import settled
 WEIGHTS = (5, 2, 1)
 SHARE_PERCENT = 150
 MOST_PASSES = 2
-BUCKET_ROWS = 20_000
+BUCKET_ROWS = 4_000
 # Weight over training time, at even knots, of the sources in order, repeating: early, even, late. Only ratios count.
 SCHEDULES = ((3, 2, 1, 1, 1), (1, 1, 1, 1, 1), (1, 1, 1, 2, 3))
 
