@@ -21,6 +21,8 @@ from __future__ import annotations
 import os
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
+from functools import cached_property
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -36,13 +38,18 @@ UNDETERMINED = "und"
 # Added to every piece count; also the count of an unknown character.
 SMOOTHING = 0.5
 # Longer words take a path of their own, position by position.
-SHORT_WORD = 48
+SHORT_WORD = 24
+# Short words are computed with plain products, scaled by this per character; what still falls below LEAST is
+# computed again in logarithms.
+PER_CHARACTER, LEAST = 64.0, 1e-250
 # Words whose probabilities a task remembers.
 REMEMBERED = 200_000
 # Texts whose distinct words are segmented together in training.
 TRAINING_ROWS = 1024
 LETTER = regex.compile(r"\p{L}")
 BASE = np.uint64(0x9E3779B97F4A7C15)
+ODD = np.uint64(0xD6E8FEB86659FD93)
+TABLE_BITS, TABLE_SHIFTS = 20, (44, 34, 24, 14)
 
 
 def held_out(doc_id: Column) -> Column:
@@ -62,10 +69,27 @@ class Vocabulary:
         pieces = [self.processor.id_to_piece(i) for i in range(size) if not any(f(i) for f in skip)]
         self.number = {p: n for n, p in enumerate(pieces)}
         self.longest = max(map(len, pieces))
+        special = [i for i in range(size) if any(f(i) for f in skip)]
+        # Number of each id of the file; ids without a piece count as unknown, behind the last piece.
+        self.number_of_id = np.full(size, len(pieces), dtype=np.int64)
+        self.number_of_id[np.setdiff1d(np.arange(size), special)] = np.arange(len(pieces))
         hashes = np.array([self.hashed(p) for p in pieces], dtype=np.uint64)
-        self.order = np.argsort(hashes).astype(np.int64)
-        self.sorted = hashes[self.order]
-        assert len(np.unique(hashes)) == len(pieces), "two pieces share a hash"
+        # Tables by different bits of the hash: a piece stands in the first in which its place is free.
+        self.tables, left = [], np.arange(len(pieces))
+        for shift in TABLE_SHIFTS:
+            if not len(left):
+                break
+            table = np.full(1 << TABLE_BITS, -1, dtype=np.int32)
+            place = self.place(hashes[left], shift)
+            table[place[::-1]] = left[::-1]
+            self.tables.append((shift, table))
+            left = left[table[place] != left]
+        assert not len(left), "two pieces share their places"
+        self.hashes = np.append(hashes, ~hashes[:1])
+
+    @staticmethod
+    def place(hashes: np.ndarray, shift: int) -> np.ndarray:
+        return ((hashes * ODD >> np.uint64(shift)) & np.uint64((1 << TABLE_BITS) - 1)).astype(np.int64)
 
     @staticmethod
     def hashed(piece: str) -> int:
@@ -76,8 +100,15 @@ class Vocabulary:
 
     def find(self, hashes: np.ndarray) -> np.ndarray:
         """Piece number of each hash, -1 for none."""
-        at = np.minimum(np.searchsorted(self.sorted, hashes), len(self.sorted) - 1)
-        return np.where(self.sorted[at] == hashes, self.order[at], -1)
+        shift, table = self.tables[0]
+        found = table[self.place(hashes, shift)]
+        found[self.hashes[found] != hashes] = -1
+        for shift, table in self.tables[1:]:
+            other = table[self.place(hashes, shift)]
+            at = np.flatnonzero(other >= 0)
+            at = at[self.hashes[other[at]] == hashes[at]]
+            found[at] = other[at]
+        return found
 
 
 _VOCABULARIES: dict[str, Vocabulary] = {}
@@ -107,10 +138,11 @@ def counted(path: str):
                 for word in text.decode("utf-8", "replace").split():
                     seen[word] = seen.get(word, 0) + 1
             for lang, seen in words.items():
-                into = counts[lang]
-                for times, pieces in zip(seen.values(), vocab.processor.encode(list(seen), out_type=str), strict=True):
-                    for piece in pieces:
-                        into[number.get(piece, -2)] += times
+                ids = vocab.processor.encode(list(seen))
+                lengths = np.fromiter(map(len, ids), dtype=np.int64, count=len(ids))
+                flat = vocab.number_of_id[np.fromiter(chain.from_iterable(ids), dtype=np.int64, count=int(lengths.sum()))]
+                times = np.repeat(np.fromiter(seen.values(), dtype=np.int64, count=len(ids)), lengths)
+                counts[lang][:-1] += np.bincount(flat, weights=times, minlength=len(number) + 1).astype(np.int64)
         for lang, into in counts.items():
             at = np.flatnonzero(into)
             piece = np.where(at >= len(number), at - len(into), at)
@@ -128,6 +160,10 @@ class Model:
     logs: np.ndarray
     path: str
 
+    @cached_property
+    def worth(self) -> np.ndarray:
+        return np.exp(self.logs)
+
 
 def fit(docs: DataFrame, train: Column, path: str = MODEL_FILE) -> Model:
     """Count pieces over all rows with ``train`` true, a text and a language."""
@@ -155,28 +191,32 @@ def short_words(words: list[str], model: Model, vocab: Vocabulary) -> np.ndarray
     codes = np.zeros((count, width), dtype=np.uint64)
     flat = np.frombuffer("".join(words).encode("utf-32-le"), dtype=np.uint32)
     codes[np.arange(width) < lengths[:, None]] = flat.astype(np.uint64) + np.uint64(1)
-    forward = np.full((width + 1, count, kinds), -np.inf)
-    forward[0] = 0.0
-    unknown = model.logs[-1]
+    forward = np.zeros((width + 1, count, kinds))
+    forward[0] = 1.0
+    unknown = model.worth[-1] * PER_CHARACTER
     running: list[np.ndarray] = []  # hash of the last n + 1 characters
+    order = np.argsort(lengths, kind="stable")
     for end in range(1, width + 1):
-        alive = np.flatnonzero(lengths >= end)
+        alive = order[np.searchsorted(lengths, end, sorter=order) :]
         char = codes[:, end - 1]
-        grown = [char]
-        for before in running[: vocab.longest - 1]:
-            grown.append(before * BASE + char)
-        running = grown
-        total = np.full((len(alive), kinds), -np.inf)
+        running = [char, *(before * BASE + char for before in running[: vocab.longest - 1])]
+        total = forward[end, alive]
         for back, hashes in enumerate(running[:end], start=1):
             piece = vocab.find(hashes[alive])
-            hit = piece >= 0
             if back == 1:
-                step = np.where(hit[:, None], model.logs[piece], unknown)
-                total = forward[end - 1, alive] + step
-            elif hit.any():
-                total[hit] = np.logaddexp(total[hit], forward[end - back, alive[hit]] + model.logs[piece[hit]])
+                step = np.where((piece >= 0)[:, None], model.worth[piece] * PER_CHARACTER, unknown)
+                total = forward[end - 1, alive] * step
+            else:
+                hit = np.flatnonzero(piece >= 0)
+                if len(hit):
+                    scaled = model.worth[piece[hit]] * PER_CHARACTER**back
+                    total[hit] += forward[end - back, alive[hit]] * scaled
         forward[end, alive] = total
-    return forward[lengths, np.arange(count)]
+    last = forward[lengths, np.arange(count)]
+    found = np.log(np.maximum(last, LEAST)) - lengths[:, None] * np.log(PER_CHARACTER)
+    for row in np.flatnonzero((last <= LEAST).any(axis=1)):
+        found[row] = long_word(words[row], model, vocab)
+    return found
 
 
 def long_word(word: str, model: Model, vocab: Vocabulary) -> np.ndarray:
@@ -208,23 +248,29 @@ class Judge:
     def __init__(self, model: Model):
         self.model, self.vocab = model, vocabulary(model.path)
         self.row_of: dict[str, int] = {}
-        self.logs = np.zeros((0, len(model.languages)))
+        self.logs = np.zeros((1 << 12, len(model.languages)))  # grows; the first len(row_of) rows count
 
-    def learn(self, words: list[str]) -> None:
+    def learn(self, words: Iterable[str]) -> None:
         """Compute the words not yet remembered."""
-        new = {w: None for w in words if w not in self.row_of}
+        known = self.row_of
+        new = {w: None for w in words if w not in known}
         short = sorted((w for w in new if len(w) <= SHORT_WORD), key=len)
         step = max(64, 16_384 // max(1, len(self.model.languages)))
-        blocks = [self.logs]
         for start in range(0, len(short), step):
             part = short[start : start + step]
-            self.row_of.update(zip(part, range(len(self.row_of), len(self.row_of) + len(part)), strict=True))
-            blocks.append(short_words(part, self.model, self.vocab))
+            self.store(part, short_words(part, self.model, self.vocab))
         for word in new:
             if len(word) > SHORT_WORD:
-                self.row_of[word] = len(self.row_of)
-                blocks.append(long_word(word, self.model, self.vocab)[None, :])
-        self.logs = np.concatenate(blocks)
+                self.store([word], long_word(word, self.model, self.vocab)[None, :])
+
+    def store(self, words: list[str], logs: np.ndarray) -> None:
+        start, end = len(self.row_of), len(self.row_of) + len(words)
+        if end > len(self.logs):
+            grown = np.zeros((2 * end, self.logs.shape[1]))
+            grown[:start] = self.logs[:start]
+            self.logs = grown
+        self.logs[start:end] = logs
+        self.row_of.update(zip(words, range(start, end), strict=True))
 
     def judge(self, texts: list[bytes | None]) -> tuple[list[str], list[float]]:
         """Language and posterior of each text."""
@@ -232,15 +278,16 @@ class Judge:
         voiced = [bool(t) and bool(self.model.languages) and LETTER.search(t) is not None for t in plain]
         cut = [[SPACE + w for w in t.split()] if v else [] for t, v in zip(plain, voiced, strict=True)]
         if len(self.row_of) > REMEMBERED:
-            self.row_of, self.logs = {}, self.logs[:0]
-        self.learn([w for words in cut for w in words])
+            self.row_of = {}
+        self.learn(chain.from_iterable(cut))
         labels, scores = [], []
         for words, v in zip(cut, voiced, strict=True):
             if not v:
                 labels.append(UNDETERMINED)
                 scores.append(0.0)
                 continue
-            total = self.model.prior + self.logs[[self.row_of[w] for w in words]].sum(axis=0)
+            rows = np.fromiter(map(self.row_of.__getitem__, words), dtype=np.int64, count=len(words))
+            total = self.model.prior + self.logs[rows].sum(axis=0)
             best = int(total.argmax())
             labels.append(self.model.languages[best])
             scores.append(float(1.0 / np.exp(total - total[best]).sum()))
