@@ -3,7 +3,7 @@ import random
 from conftest import bag
 from pyspark.sql import functions as F
 
-from trackspark.operators import combine, rows
+from trackspark.operators import combine, rows, sizes
 
 
 def test_keep_first_follows_the_order_and_groups_nulls(spark):
@@ -91,3 +91,8 @@ def test_union_by_name(spark):
     a = spark.createDataFrame([(1, "x")], "a int, b string")
     b = spark.createDataFrame([("y", 2)], "b string, c int")
     assert bag(combine.union_by_name(a, b)) == [(1, "x", None), (None, "y", 2)]
+
+
+def test_nested_and_binary_cells_count_in_full(spark):
+    df = spark.range(1).selectExpr("array_repeat(1.5D, 100000) as a", "cast(repeat('x', 5000) as binary) as b", "id")
+    assert df.select(sizes.row_bytes(df)).first()[0] > 800_000

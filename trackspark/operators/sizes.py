@@ -15,9 +15,20 @@ CELL_BYTES = 16
 
 
 def row_bytes(df: DataFrame) -> Column:
-    """Upper estimate of the bytes of a row: a fixed part per column and the length of its texts."""
-    texts = [F.coalesce(F.octet_length(f.name), F.lit(0)) for f in df.schema if isinstance(f.dataType, T.StringType)]
-    return reduce(lambda a, b: a + b, texts, F.lit(CELL_BYTES * (len(df.columns) + 1)))
+    """Upper estimate of the bytes of a row: a fixed part per column, the length of its texts and binaries, and the
+    written length of its nested cells."""
+
+    def content(f: T.StructField) -> Column | None:
+        cell = F.col(f"`{f.name}`")
+        if isinstance(f.dataType, (T.StringType, T.BinaryType)):
+            return F.octet_length(cell)
+        if isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType)):
+            # Every element takes a character at least in writing; in memory it takes up to CELL_BYTES.
+            return F.octet_length(F.to_json(F.struct(cell.alias("c")))) * CELL_BYTES
+        return None
+
+    lengths = [F.coalesce(c, F.lit(0)) for c in map(content, df.schema) if c is not None]
+    return reduce(lambda a, b: a + b, lengths, F.lit(CELL_BYTES * (len(df.columns) + 1)))
 
 
 def broadcast_if_small(df: DataFrame, limit_mb: int = BROADCAST_MB) -> DataFrame:
