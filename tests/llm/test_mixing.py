@@ -3,7 +3,7 @@ from collections import defaultdict
 import pytest
 from pyspark.sql import functions as F
 
-from trackspark.llm.mixing import SCHEDULES, mix, mixed_documents, time_of, training_order
+from trackspark.llm.mixing import SCHEDULES, mix, mixed_documents, op6_mixing, ordered_mix, time_of, training_order
 
 FOLDER = "/root/testdata/sf0.01"
 
@@ -84,3 +84,27 @@ def test_training_order_and_documents(spark):
     assert mix(docs.limit(0)).count() == 0 and mixed_documents(docs.limit(0)).count() == 0
     empty = spark.createDataFrame([(1, None, "a"), (2, " ", None)], "doc_id long, text string, source string")
     assert {(r.doc_id, r.target, r.taken) for r in mix(empty).collect()} == {(1, 0.0, 0), (2, 0.0, 0)}
+
+
+def test_query_comes_in_training_order(spark):
+    folder = "/root/testdata/sf0.001"
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    first = {}
+    for r in training_order(mix(docs)).collect():
+        first.setdefault(r.doc_id, (r.position, r.place))
+    got = [r.doc_id for r in op6_mixing(spark, folder).collect()]
+    assert got[: len(first)] == sorted(first, key=lambda i: (*first[i], i))
+    assert sorted(got) == sorted(r.doc_id for r in docs.collect())
+
+
+def test_ordered_mix_keeps_every_row(spark):
+    docs = documents(spark)
+    rows = ordered_mix(docs).collect()
+    plain = ["doc_id", "source", "size", "place", "source_size", "target", "offset", "taken"]
+    assert sorted(str([r[c] for c in plain]) for r in rows) == sorted(str([r[c] for c in plain]) for r in mix(docs).collect())
+    assert all((r.position is None) == (r.taken == 0) for r in rows)
+    per = defaultdict(list)
+    for r in training_order(mix(docs)).collect():
+        per[r.place, r.offset].append(r.position)
+    assert all(r.position == min(per[r.place, r.offset]) for r in rows if r.taken)
+    assert ordered_mix(docs.limit(0)).count() == 0

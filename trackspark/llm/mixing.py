@@ -9,7 +9,9 @@ all sources from it on would share.
 Curriculum. A source's weight changes over training time: its schedule is piecewise linear (``SCHEDULES``), its
 integral is the source's demand up to a time. A source is consumed in a fixed pseudo-random order of its documents,
 pass after pass; a copy that starts after c of t target words gets the time at which the integral reaches c / t.
-Sorting by that position (range partitions) gives the training order.
+Sorting by that position (range partitions) gives the training order. The query writes this order of all copies and
+derives its rows from it: a document's taken words are summed over its copies, and the rows come in the order of first
+positions, part by part, with documents never taken last.
 
 Taken. A document is taken once per whole pass, and once more, or a part of it, where the last pass ends: the last
 document of a source is cut at the target. So a source's taken words are its target to within one word.
@@ -30,7 +32,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from trackspark.llm.common import WORD, cut, table
+from trackspark.llm.common import WORD, cut, stored, table
 from trackspark.operators.sizes import settled
 
 WEIGHTS = (5, 2, 1)
@@ -168,6 +170,21 @@ def training_order(mixed: DataFrame) -> DataFrame:
     return timed.repartitionByRange(*order).sortWithinPartitions(*order)
 
 
+def ordered_mix(docs: DataFrame) -> DataFrame:
+    """The rows of ``mix``, derived from the training order and sorted as it is, with the position of the first copy.
+
+    The order of all copies is written once. Rows never taken have no position and come last. A row with words is
+    known by its source and offset, so repeated rows stay apart.
+    """
+    mixed = stored(mix(docs))
+    copies = stored(training_order(mixed))
+    row = ("doc_id", "source", "size", "place", "source_size", "target", "offset")
+    used = copies.groupBy(*row).agg(F.sum("words").alias("taken"), F.min("position").alias("position"))
+    never = mixed.filter("taken = 0").select(*row, "taken", F.lit(None).cast("double").alias("position"))
+    order = (F.asc_nulls_last("position"), F.col("place"), F.col("doc_id"), F.col("offset"))
+    return used.union(never).repartitionByRange(*order).sortWithinPartitions(*order)
+
+
 def mixed_documents(docs: DataFrame) -> DataFrame:
     """The documents in training order, one row per pass, with their columns as they were.
 
@@ -184,7 +201,7 @@ def mixed_documents(docs: DataFrame) -> DataFrame:
 
 
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+    return ordered_mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
 OP6_SQL = rf"""
