@@ -1,7 +1,13 @@
+import gzip
 import random
+from pathlib import Path
+from urllib.request import url2pathname
 
+import pytest
+
+from tools.agree import bag, connect
 from trackspark.llm.common import scratch
-from trackspark.llm.warc import capture_index, merged_runs, read_archives, write_archives
+from trackspark.llm.warc import FIRST_SECOND, OP9_SQL, capture_index, merged_runs, op9_warc, parsed, read_archives, write_archives
 
 
 def test_loser_tree_merges_any_number_of_runs():
@@ -48,3 +54,44 @@ def test_small_payloads_may_stay_unlinked_and_empty_tables_work(spark):
     folder = scratch(spark, "warc")
     write_archives(spark.createDataFrame([], "page_id long, url string, html string"), folder)
     assert read_archives(spark, folder).count() == 0
+
+
+NO_ID = [
+    (None, "http://c.example/", "alone"),
+    (None, "http://c.example/", "alone"),
+    (None, None, None),
+    (None, "http://b.example/x", "same"),
+    (3, None, "same"),
+    (6, "http://c.example/", "own"),
+]
+
+
+def test_pages_without_id_agree_with_sql(spark, tmp_path):
+    pages = spark.createDataFrame([*PAGES, *NO_ID], "page_id long, url string, html string")
+    pages.write.parquet(f"{tmp_path}/pages.parquet")
+    df = op9_warc(spark, str(tmp_path))
+    spark.read.parquet(f"{tmp_path}/pages.parquet").coalesce(1).write.parquet(f"{tmp_path}/one/pages")
+    file = next(Path(f"{tmp_path}/one/pages").glob("*.parquet"))
+    con = connect("/root/testdata/sf0.001")
+    con.execute(f"CREATE OR REPLACE TEMP VIEW pages AS SELECT * FROM read_parquet('{file}')")
+    result = con.execute(OP9_SQL)
+    left = bag(df.columns, [tuple(r) for r in df.collect()])
+    assert left == bag([c[0] for c in result.description], result.fetchall())
+
+
+@pytest.mark.parametrize("min_bytes", [0, 5])
+def test_payloads_of_pages_without_id_are_kept_and_null_times_read_back(spark, min_bytes):
+    folder = scratch(spark, "warc")
+    pages = spark.createDataFrame(NO_ID, "page_id long, url string, html string")
+    write_archives(pages, folder, min_bytes)
+    found = []
+    for file in Path(url2pathname(folder.removeprefix("file://").removeprefix("file:"))).glob("*.gz"):
+        found += [(h.get("X-Page-Id"), h["WARC-Type"], body) for _, _, h, body in parsed(gzip.decompress(file.read_bytes()))]
+    assert {b for _, _, b in found} >= {b"alone", b"same", b"own"}
+    same = [(t, b) for i, t, b in found if i is None and b != b"alone" and t == ("response" if min_bytes else "revisit")]
+    assert sorted(same) == ([("response", b""), ("response", b"same")] if min_bytes else [("revisit", b""), ("revisit", b"")])
+    index = capture_index(read_archives(spark, folder))
+    rows = [r for part in index.rdd.glom().collect() for r in part]
+    assert sorted(str(r.captured) for r in rows) == [str(FIRST_SECOND + 3), str(FIRST_SECOND + 6), *["None"] * 4]
+    key = lambda r: (r.url_key, *((x is not None, x or 0) for x in (r.captured, r.page_id)))
+    assert [key(r) for r in rows] == sorted(map(key, rows)) and sum(r.page_id is None for r in rows) == 4

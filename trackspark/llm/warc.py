@@ -8,10 +8,12 @@ cuts them by ``Content-Length``, checks every payload against its digest and ret
 task's input consists of the sorted runs that the reading tasks wrote, and a loser tree merges those runs.
 
 Defined results. A null html is an empty payload. A null URL is the empty URL. Payloads of fewer than
-``min_bytes`` bytes are never linked. The response of equal payloads is the record with the smallest page id. Rows
-without an id are refused by the writer (a record needs one); repeated ids give repeated records, of which the
-first by id stays the response only once per payload text. An empty table gives an empty index. Extra columns are
-not archived.
+``min_bytes`` bytes are never linked. The response of equal payloads is the record with the smallest page id;
+repeated ids give repeated records, of which the first by id stays the response only once per payload text. A page
+without an id cannot be referred to: it is a revisit that refers to nothing (a response below ``min_bytes``), known by
+its digest, and keeps its payload unless a page with an id has the same one. Its null id, and a null time, are read
+back as null and sort first; the date of a record without a time is that of ``FIRST_SECOND``. An empty table gives an
+empty index. Extra columns are not archived.
 """
 
 from __future__ import annotations
@@ -75,7 +77,7 @@ def url_key(url: Column) -> Column:
 
 
 def classified(pages: DataFrame, min_bytes: int = 0, captured: Column | None = None) -> DataFrame:
-    """Pages with digest, size, record type and the page they refer to.
+    """Pages with digest, size, record type, the page they refer to and whether their record holds the payload.
 
     The smallest id of a digest comes from a grouped aggregate, which combines before its shuffle; only digests met
     more than once are joined back.
@@ -96,7 +98,9 @@ def classified(pages: DataFrame, min_bytes: int = 0, captured: Column | None = N
         .filter("times > 1")
         .select(F.col("sha").alias("known"), "first")
     )
-    refers = F.when((F.col("first") != F.col("page_id")) & (F.col("payload_bytes") >= min_bytes), F.col("first"))
+    linked = F.col("payload_bytes") >= min_bytes
+    refers = F.when((F.col("first") != F.col("page_id")) & linked, F.col("first"))
+    revisit = refers.isNotNull() | (F.col("page_id").isNull() & linked)
     return shaped.join(repeated, F.col("sha") == F.col("known"), "left").select(
         "page_id",
         "url",
@@ -105,35 +109,37 @@ def classified(pages: DataFrame, min_bytes: int = 0, captured: Column | None = N
         "payload_bytes",
         base32_of_hex(F.col("sha")).alias("payload_digest"),
         refers.alias("refers_to"),
+        F.when(revisit, "revisit").otherwise("response").alias("record_type"),
+        (~revisit | F.col("first").isNull()).alias("whole"),
     )
 
 
 def write_archives(pages: DataFrame, folder: str, min_bytes: int = 0, records_per_file: int = RECORDS_PER_FILE) -> None:
     """Write one WARC record per page; line ends in a URL are escaped so that headers stay intact."""
-    page = F.coalesce(F.col("page_id").cast("string"), F.raise_error(F.lit("a page without page_id has no record")))
-    revisit = F.col("refers_to").isNotNull()
+    page, digest, referred = F.col("page_id").cast("string"), F.col("payload_digest"), F.col("refers_to").cast("string")
     line = lambda name, value: F.concat(F.lit(f"{name}: "), value, F.lit("\r\n"))
+    line_if = lambda name, value: F.coalesce(line(name, value), F.lit(""))
     header = F.concat(
         F.lit("WARC/1.1\r\n"),
-        line("WARC-Type", F.when(revisit, "revisit").otherwise("response")),
-        line("WARC-Record-ID", F.concat(F.lit("<urn:page:"), page, F.lit(">"))),
-        line("WARC-Date", F.date_format(F.timestamp_seconds("captured"), "yyyy-MM-dd'T'HH:mm:ss'Z'")),
+        line("WARC-Type", F.col("record_type")),
+        line("WARC-Record-ID", F.coalesce(F.concat(F.lit("<urn:page:"), page, F.lit(">")), F.concat(F.lit("<urn:sha1:"), digest, F.lit(">")))),
+        line("WARC-Date", F.date_format(F.timestamp_seconds(F.coalesce("captured", F.lit(FIRST_SECOND))), "yyyy-MM-dd'T'HH:mm:ss'Z'")),
         line("WARC-Target-URI", F.replace(F.replace(F.col("url"), F.lit("\r"), F.lit("%0D")), F.lit("\n"), F.lit("%0A"))),
-        line("WARC-Payload-Digest", F.concat(F.lit("sha1:"), F.col("payload_digest"))),
-        line("X-Page-Id", page),
-        line("X-Captured", F.col("captured").cast("string")),
+        line("WARC-Payload-Digest", F.concat(F.lit("sha1:"), digest)),
+        line_if("X-Page-Id", page),
+        line_if("X-Captured", F.col("captured").cast("string")),
         line("X-Url-Key", F.replace(F.replace(url_key(F.col("url")), F.lit("\r"), F.lit("%0d")), F.lit("\n"), F.lit("%0a"))),
         line("X-Payload-Length", F.col("payload_bytes").cast("string")),
-        F.when(revisit, F.concat(
+        F.when(F.col("record_type") == "revisit", F.concat(
             line("WARC-Profile", F.lit("http://netpreserve.org/warc/1.1/revisit/identical-payload-digest")),
-            line("WARC-Refers-To", F.concat(F.lit("<urn:page:"), F.col("refers_to").cast("string"), F.lit(">"))),
-            line("X-Refers-To", F.col("refers_to").cast("string")),
+            line_if("WARC-Refers-To", F.concat(F.lit("<urn:page:"), referred, F.lit(">"))),
+            line_if("X-Refers-To", referred),
         )).otherwise(""),
         line("Content-Type", F.lit("text/html")),
-        line("Content-Length", F.when(revisit, F.lit("0")).otherwise(F.col("payload_bytes").cast("string"))),
+        line("Content-Length", F.when(F.col("whole"), F.col("payload_bytes").cast("string")).otherwise("0")),
         F.lit("\r\n"),
     )
-    record = F.concat(header, F.when(revisit, "").otherwise(F.col("html")))
+    record = F.concat(header, F.when(F.col("whole"), F.col("html")).otherwise(""))
     rows = classified(pages, min_bytes).select(record.alias("value"))
     writer = rows.write.option("lineSep", BLANK_LINE).option("compression", "gzip")
     writer.option("maxRecordsPerFile", records_per_file).text(folder)
@@ -156,6 +162,11 @@ def parsed(data: bytes) -> Iterator[tuple[int, int, dict[str, str], bytes]]:
         at = close + 4
 
 
+def index_order(row: tuple) -> tuple:
+    """(URL key, time, page id) with nulls first, as Spark's range partitions have them."""
+    return (row[0], *((x is not None, x or 0) for x in row[1:3]))
+
+
 def index_rows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Index rows of archives, one sorted run per archive."""
     for batch in batches:
@@ -163,14 +174,14 @@ def index_rows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             rows = []
             for offset, length, head, payload in parsed(zlib.decompress(content.as_buffer(), 31)):
                 digest, kind = head["WARC-Payload-Digest"].removeprefix("sha1:"), head["WARC-Type"]
-                if kind == "response" and base64.b32encode(hashlib.sha1(payload).digest()).decode() != digest:
+                if (kind == "response" or payload) and base64.b32encode(hashlib.sha1(payload).digest()).decode() != digest:
                     raise ValueError(f"{path}: payload at byte {offset} does not have its digest")
-                refers = head.get("X-Refers-To")
+                captured, page, refers = (int(head[n]) if n in head else None for n in ("X-Captured", "X-Page-Id", "X-Refers-To"))
                 rows.append((
-                    head["X-Url-Key"], int(head["X-Captured"]), int(head["X-Page-Id"]), kind,
-                    int(head["X-Payload-Length"]), digest, int(refers) if refers else None, path, offset, length,
+                    head["X-Url-Key"], captured, page, kind,
+                    int(head["X-Payload-Length"]), digest, refers, path, offset, length,
                 ))
-            rows.sort(key=lambda r: r[:3])
+            rows.sort(key=index_order)
             if rows:
                 yield pa.record_batch(list(map(list, zip(*rows, strict=True))), schema=INDEX_ARROW)
 
@@ -219,15 +230,14 @@ def merged_runs(runs: list[list[tuple]], key) -> Iterator[tuple]:
 def merge_partition(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Cut a task's rows into ascending runs by archive and merge them."""
     runs: dict[str, list[tuple]] = {}
-    order = lambda r: r[:3]
     for batch in batches:
         for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
             runs.setdefault(row[7], []).append(row)
     for run in runs.values():
         # A shuffle keeps a run's order but for spilled pieces; sorting an ascending list is one pass.
-        run.sort(key=order)
+        run.sort(key=index_order)
     block = []
-    for row in merged_runs([runs[name] for name in sorted(runs)], order):
+    for row in merged_runs([runs[name] for name in sorted(runs)], index_order):
         block.append(row)
         if len(block) == 10_000:
             yield pa.record_batch(list(map(list, zip(*block, strict=True))), schema=INDEX_ARROW)
