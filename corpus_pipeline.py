@@ -33,8 +33,8 @@ def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of the documents in bins of permitted lengths."""
-    return packing.pack_documents(docs)
+    """The pieces of the documents in bins of permitted lengths; bins follow the training order."""
+    return packing.pack_in_order(docs)
 
 
 STAGES = [
