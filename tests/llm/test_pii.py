@@ -94,3 +94,19 @@ def test_query_on_given_documents(spark, folder):
         assert r.base_sha256 == hashlib.sha256(joined.encode()).hexdigest()
         assert [r.n_email, r.n_ip, r.n_card, r.n_phone] == [sum(s[0] == k for s in spans) for k in BASE]
         assert r.spans.startswith(joined)
+
+
+def test_words_after_an_iban_are_not_part_of_it(spark):
+    spanish, austrian, polish = "ES91 2100 0418 4502 0005 1332", "AT61 1904 3002 3457 3201", "PL61109010140000071219812874"
+    german = "DE89 3704 0044 0532 0130 00"
+    texts = {
+        f"{spanish} BIC": [spanish],
+        f"to {austrian} 12 and {polish} EUR": [austrian, polish],
+        f"{spanish} {austrian}": [spanish, austrian],
+        f"{austrian} {austrian} {german} {spanish} A1": [austrian, austrian, german, spanish],
+        f"{german} X": [german],
+        "ES91 2100 0418 4502 0005 1333 BIC": [],
+    }
+    rows = find_pii(spark.createDataFrame([(t,) for t in texts], "text string")).collect()
+    assert {r.text: [s.hit for s in r.pii if s.kind == "iban"] for r in rows} == texts
+    assert all(r.text[s.start : s.end] == s.hit for r in rows for s in r.pii)

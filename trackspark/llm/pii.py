@@ -25,6 +25,26 @@ BASE_KINDS = ("email", "ip", "card", "phone")
 ADDED_KINDS = ("iban", "tel", "secret")
 KINDS = BASE_KINDS + ADDED_KINDS
 
+# Characters of an IBAN by country; other codes may have any length.
+IBAN_LENGTHS = {
+    15: "NO", 16: "BE", 18: "DK|FI|FK|FO|GL|NL|SD", 19: "MK|SI", 20: "AT|BA|EE|KZ|LT|LU|MN|XK", 21: "CH|HR|LI|LV",
+    22: "BG|BH|CR|DE|GB|GE|IE|ME|RS|VA", 23: "AE|GI|IL|IQ|OM|SO|TL", 24: "AD|CZ|ES|MD|PK|RO|SA|SE|SK|TN|VG",
+    25: "LY|PT|ST", 26: "IS|TR", 27: "BI|DJ|FR|GR|IT|MC|MR|SM", 28: "AL|AZ|BY|CY|DO|GT|HN|HU|LB|NI|PL|SV",
+    29: "BR|EG|PS|QA|UA", 30: "JO|KW|MU|YE", 31: "MT|SC", 32: "LC", 33: "RU",
+}
+
+
+def iban_expression() -> str:
+    """One alternative per length, so that words after an IBAN are left out; the last takes what has another length."""
+    every = []
+    for length, countries in IBAN_LENGTHS.items():
+        groups, rest = divmod(length - 4, 4)
+        last = rf"\x20?[A-Z0-9]{{{rest}}}" if rest else ""
+        every.append(rf"(?:{countries})[0-9]{{2}}(?:\x20?[A-Z0-9]{{4}}){{{groups}}}{last}(?![A-Za-z0-9])")
+    every.append(r"[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){2,7}(?:\x20?[A-Z0-9]{1,3})?(?![A-Za-z0-9])")
+    return rf"(?<![A-Za-z0-9])(?=[A-Z]{{2}}[0-9]{{2}})(?:{'|'.join(every)})"
+
+
 LOCAL = r"[A-Za-z0-9._%+-]"
 EXPRESSIONS = {
     # A run of local characters is tried at its first character, or where the last match ended.
@@ -33,7 +53,7 @@ EXPRESSIONS = {
     # A whole run of digits with single separators, where it holds 16 to 19 of them.
     "card": r"(?<![0-9])(?<![0-9][\x20-])[0-9](?:[\x20-]?[0-9]){15,18}+(?![\x20-]?[0-9])",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
-    "iban": r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){2,7}(?:\x20?[A-Z0-9]{1,3})?(?![A-Za-z0-9])",
+    "iban": iban_expression(),
     "tel": r"(?<![0-9+.-])\(?[0-9]{3}\)?[\x20.-][0-9]{3,4}[\x20.-][0-9]{4}(?![0-9.-])",
     "secret": r"(?<![0-9A-Za-z])[0-9a-f]{32,64}(?![0-9A-Za-z])",
 }
