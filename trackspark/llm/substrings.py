@@ -1,9 +1,9 @@
 """Removal of repeated word sequences of a given length, found by locally consistent recompression.
 
 Names. Round 0 names words, round 1 maximal runs of one word (three and more), round 2 pairs (a symbol of the left
-half of a coin-tossed alphabet followed by one of the right half), round 3 blocks of ``BLOCK`` words that begin where a
-symbol begins and whose name is least among ``NEAR`` neighbours. Every name is a content hash, so all tasks agree on
-it without a dictionary, and equal passages get equal interior symbols: whether a symbol begins at a word depends on
+half of a coin-tossed alphabet followed by one of the right half; only where they begin is kept), round 3 blocks of ``BLOCK`` words that begin where a
+symbol begins and whose name is least among ``NEAR`` neighbours. Only blocks are
+compared across texts: their names are content hashes, so all tasks agree on them without a dictionary, and equal passages get equal interior symbols: whether a symbol begins at a word depends on
 at most three words on either side, unless a run lies there.
 
 Reveal. Per bucket of names a task finds the block names that occur more than once. Any two equal windows of ``WINDOW``
