@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from trackspark.llm import jaccard, langid, mixing, packing, pii, quality, substrings, tokens, topk, warc
+from trackspark.llm import bpe, jaccard, langid, mixing, packing, pii, quality, substrings, tokens, topk, warc
 
 QUERIES = {
     "op1_jaccard": jaccard.op1_jaccard,
@@ -16,6 +16,7 @@ QUERIES = {
     "op8_tokens": tokens.op8_tokens,
     "op9_warc": warc.op9_warc,
     "op10_topk": topk.op10_topk,
+    "op11_bpe": bpe.op11_bpe,
     "pipeline": corpus_pipeline.run,
 }
 SQL = {
