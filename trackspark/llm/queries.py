@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from trackspark.llm import bpe, jaccard, langid, mixing, packing, pii, quality, substrings, tokens, topk, warc
+from trackspark.llm import bpe, jaccard, langid, mixing, packing, pii, quality, substrings, tokens, topk, vectorcodes, warc
 
 QUERIES = {
     "op1_jaccard": jaccard.op1_jaccard,
@@ -17,6 +17,7 @@ QUERIES = {
     "op9_warc": warc.op9_warc,
     "op10_topk": topk.op10_topk,
     "op11_bpe": bpe.op11_bpe,
+    "op12_vectorcodes": vectorcodes.op12_vectorcodes,
     "pipeline": corpus_pipeline.run,
 }
 SQL = {
@@ -25,4 +26,5 @@ SQL = {
     "op6_mixing": mixing.OP6_SQL,
     "op9_warc": warc.OP9_SQL,
     "op10_topk": topk.OP10_SQL,
+    "op12_vectorcodes": vectorcodes.OP12_SQL,
 }
