@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from trackspark.llm import bpe, jaccard, langid, mixing, packing, pii, quality, substrings, tokens, topk, vectorcodes, warc
+from trackspark.llm import bpe, jaccard, langid, mixing, packing, pii, quality, substrings, tokens, topk, variants, vectorcodes, warc
 
 QUERIES = {
     "op1_jaccard": jaccard.op1_jaccard,
@@ -18,6 +18,7 @@ QUERIES = {
     "op10_topk": topk.op10_topk,
     "op11_bpe": bpe.op11_bpe,
     "op12_vectorcodes": vectorcodes.op12_vectorcodes,
+    "op13_variants": variants.op13_variants,
     "pipeline": corpus_pipeline.run,
 }
 SQL = {
@@ -27,4 +28,5 @@ SQL = {
     "op9_warc": warc.OP9_SQL,
     "op10_topk": topk.OP10_SQL,
     "op12_vectorcodes": vectorcodes.OP12_SQL,
+    "op13_variants": variants.OP13_SQL,
 }
