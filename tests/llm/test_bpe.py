@@ -34,7 +34,7 @@ def drawn(count, longest, seed):
 
 
 def ids_of(merger, pieces):
-    return [i for p in pieces for i in merger[p]]
+    return merger.ids(pieces).tolist()
 
 
 def test_ids_equal_the_library_on_odd_texts(cutter, merger, library):
@@ -56,12 +56,19 @@ def test_pieces_without_a_cut(cutter, merger, library):
         assert ids_of(merger, next(cutter.pieces([text]))) == library.encode_ordinary(text)
 
 
+def test_both_ways_of_merging_agree(merger):
+    rng = random.Random(11)
+    for _ in range(2000):
+        piece = "".join(rng.choice("etaoin sé'") for _ in range(rng.randrange(1, 30))).encode()
+        assert merger.merged(piece) == merger.merged_long(piece)
+
+
 def test_remembered_pieces_are_bounded(monkeypatch):
     monkeypatch.setattr(bpe, "REMEMBERED", 50)
     small = Merger(read_ranks(bpe.RANK_FILE))
     for i in range(500):
-        assert small[b"word%d" % i] == small.merged(b"word%d" % i)
-    assert len(small) <= 50
+        assert small.ids([b"word%d" % i, b"word%d" % (i // 2)]).tolist() == [*small.merged(b"word%d" % i), *small.merged(b"word%d" % (i // 2))]
+        assert len(small) + len(small.older) <= 50
 
 
 def test_tables_read_many_tokens_at_a_time(merger, monkeypatch):

@@ -8,7 +8,7 @@ piece starts. The cuts are those of ``public_tokenizers.PATTERN``. What a letter
 tokenizer library once on the driver, so that both know the same Unicode version.
 
 Encoding. The pieces are slices of the text's UTF-8 bytes. A piece that has a rank is one token; otherwise neighbours are
-merged, lowest rank first and leftmost among equals, from a heap over a linked list, so that a piece of n bytes costs
+merged, lowest rank first and leftmost among equals; long pieces from a heap over a linked list, so that n bytes cost
 n log n. Short pieces are remembered, a bounded number of them. With each token its first byte in the text is kept.
 
 Decoding. The bytes of a document's tokens are laid at their kept offsets, many tokens at a time.
@@ -35,13 +35,15 @@ from pyspark.sql import functions as F
 from trackspark.llm.common import table
 
 RANK_FILE = os.path.join(os.environ.get("TOKENIZER_DIR", "/opt/tokenizers"), "byte_bpe_50k.tiktoken")
-# Pieces remembered, and the longest of them in bytes.
-REMEMBERED, LONGEST = 200_000, 64
+# Pieces remembered, and the longest of them in bytes: about 70 MB as a rule, 150 MB at most.
+REMEMBERED, LONGEST = 500_000, 64
 # Code points of a chunk of the scan, and of the texts that are encoded together.
 CHUNK = 1 << 20
 # Tokens decoded at once.
 TOKENS = 1 << 18
 BLOCK = 64
+# Greater than any rank.
+NONE = 1 << 31
 
 # Classes of code points. END stands behind a text.
 OTHER, LETTER, NUMBER, SPACE, BLANK, END = range(6)
@@ -202,23 +204,49 @@ def read_ranks(path: str) -> dict[bytes, int]:
 
 
 class Merger(dict):
-    """Token ids of pieces; a dictionary of those remembered that merges the pairs of others."""
+    """Token ids of pieces, as the bytes of 32-bit numbers; pairs are merged for pieces that are not remembered.
+
+    Pieces are remembered in two halves: when the newer is full it becomes the older, and what is met again moves back.
+    """
 
     def __init__(self, ranks: dict[bytes, int]):
         super().__init__()
-        self.ranks = ranks
+        self.ranks, self.older = ranks, {}
 
-    def __missing__(self, piece: bytes) -> tuple[int, ...]:
-        rank = self.ranks.get(piece)
-        ids = self.merged(piece) if rank is None else (rank,)
+    def __missing__(self, piece: bytes) -> bytes:
+        packed = self.older.get(piece)
+        if packed is None:
+            rank = self.ranks.get(piece)
+            packed = np.array(self.merged(piece) if rank is None else (rank,), dtype=np.int32).tobytes()
         if len(piece) <= LONGEST:
-            if len(self) >= REMEMBERED:
+            if len(self) >= REMEMBERED // 2:
+                self.older = dict(self)
                 self.clear()
-            self[piece] = ids
-        return ids
+            self[piece] = packed
+        return packed
+
+    def ids(self, pieces: Iterable[bytes]) -> np.ndarray:
+        return np.frombuffer(b"".join(map(self.__getitem__, pieces)), dtype=np.int32)
 
     def merged(self, piece: bytes) -> tuple[int, ...]:
-        """Merge pairs until none has a rank. ``pair[i]`` is the rank of the token at i with the next one, or -1."""
+        """Merge pairs until none has a rank; ``pair[i]`` is the rank of part i with the next one, or NONE."""
+        if len(piece) > LONGEST:
+            return self.merged_long(piece)
+        rank = self.ranks.get
+        parts = [piece[i : i + 1] for i in range(len(piece))]
+        pair = [rank(piece[i : i + 2], NONE) for i in range(len(piece) - 1)]
+        pair.append(NONE)
+        while (least := min(pair)) != NONE:
+            at = pair.index(least)
+            parts[at] = here = parts[at] + parts.pop(at + 1)
+            del pair[at]
+            pair[at] = NONE if at + 1 == len(parts) else rank(here + parts[at + 1], NONE)
+            if at:
+                pair[at - 1] = rank(parts[at - 1] + here, NONE)
+        return tuple([self.ranks[p] for p in parts])
+
+    def merged_long(self, piece: bytes) -> tuple[int, ...]:
+        """The same with a linked list and a heap; ``pair[i]`` is the rank of the token at byte i with the next one, or -1."""
         ranks, size = self.ranks, len(piece)
         after, before = array("i", range(1, size + 1)), array("i", range(-1, size - 1))
         pair = array("i", [ranks.get(piece[i : i + 2], -1) for i in range(size - 1)] + [-1])
@@ -299,7 +327,7 @@ def encoded(docs: DataFrame, path: str = RANK_FILE) -> DataFrame:
         for doc_ids, texts in bundles(batches):
             found, starts, ends = [], [], [0]
             for pieces in cutter.pieces(texts):
-                ids = np.fromiter(chain.from_iterable(map(merger.__getitem__, pieces)), dtype=np.int32)
+                ids = merger.ids(pieces)
                 sizes = lengths[ids]
                 found.append(ids)
                 starts.append((np.cumsum(sizes) - sizes).astype(np.int32))
