@@ -82,11 +82,43 @@ def by_position(spark, d):
 
 
 def by_brand(spark, d):
-    """A repeated key that may be null: rows of one brand pair in the order of the other columns."""
+    """A repeated key that may be null: equal rows pair first, the rest of a brand in the order of the other columns."""
     standard_new, standard_old = (diff.standardise_types(t(spark, d)) for t in (new, old))
     return diff.Alignment(standard_new, standard_old, keys=["p_brand"]).by_variable()
 
 
+def branded(spark, d):
+    key = F.col("p_partkey")
+    return load(spark, d, "part").select("p_partkey", "p_name", F.when(key % 30 != 0, F.col("p_brand")).alias("p_brand"), "p_size", "p_retailprice")
+
+
+def inserted(spark, d):
+    """Every second brand, null as one of them, has a new first row; in the others one price is changed."""
+    rows = branded(spark, d)
+    first = rows.groupBy(F.col("p_brand").alias("brand")).agg(F.min("p_partkey").alias("first"))
+    marked = rows.join(F.broadcast(first), F.col("p_brand").eqNullSafe(F.col("brand")))
+    dearer = (F.col("p_partkey") == F.col("first")) & (F.col("first") % 2 == 0)
+    changed = marked.withColumn("p_retailprice", F.when(dearer, F.col("p_retailprice") + 1).otherwise(F.col("p_retailprice")))
+    front = first.where(F.col("first") % 2 == 1).select(
+        (-F.col("first")).alias("p_partkey"), F.lit("in front").alias("p_name"), F.col("brand").alias("p_brand"), F.lit(0).alias("p_size"), F.lit(0.0).alias("p_retailprice")
+    )
+    return changed.select(*rows.columns).unionByName(front)
+
+
+def inserted_pairs(spark, d):
+    return diff.Alignment(inserted(spark, d), branded(spark, d), keys=["p_brand"])
+
+
+BRANDED = """branded AS (SELECT p_partkey, p_name, CASE WHEN p_partkey % 30 <> 0 THEN p_brand END AS p_brand, p_size, p_retailprice FROM part)"""
+INSERTED = """firsts AS (SELECT p_brand, min(p_partkey) AS f FROM branded GROUP BY 1),
+    inserted AS (SELECT p_partkey, p_name, b.p_brand, p_size, CASE WHEN p_partkey = f AND f % 2 = 0 THEN p_retailprice + 1 ELSE p_retailprice END
+        AS p_retailprice FROM branded b JOIN firsts ON b.p_brand IS NOT DISTINCT FROM firsts.p_brand
+        UNION ALL SELECT -f, 'in front', p_brand, 0, 0.0::DOUBLE FROM firsts WHERE f % 2 = 1),
+    come AS (SELECT * FROM inserted EXCEPT ALL SELECT * FROM branded), gone AS (SELECT * FROM branded EXCEPT ALL SELECT * FROM inserted)"""
+# What is left of a brand is one row on each side or one new row, so nothing has to be ranked.
+LEFT_PAIRS = "come n JOIN gone o ON n.p_brand IS NOT DISTINCT FROM o.p_brand"
+
+
 def exact(spark, d):
     """Whole numbers beyond the precision of doubles, one apart for every seventh key."""
     big = load(spark, d, "part").select("p_partkey", (F.col("p_partkey") + 9007199254740992).alias("big"))
@@ -126,8 +158,10 @@ def by_variable_sql(pairing: str, keys: tuple[str, ...] = ("p_partkey",)) -> str
         VERSIONS,
         """new_pos AS (SELECT *, row_number() OVER (ORDER BY p_partkey) AS pos FROM new)""",
         """old_pos AS (SELECT *, row_number() OVER (ORDER BY p_partkey) AS pos FROM old)""",
-        """new_brand AS (SELECT *, row_number() OVER (PARTITION BY p_brand ORDER BY p_partkey) AS nth FROM new)""",
-        """old_brand AS (SELECT *, row_number() OVER (PARTITION BY p_brand ORDER BY p_partkey) AS nth FROM old)""",
+        """new_brand AS (SELECT *, row_number() OVER (PARTITION BY p_brand ORDER BY p_partkey) AS nth
+            FROM (SELECT * FROM new EXCEPT ALL SELECT * FROM old))""",
+        """old_brand AS (SELECT *, row_number() OVER (PARTITION BY p_brand ORDER BY p_partkey) AS nth
+            FROM (SELECT * FROM old EXCEPT ALL SELECT * FROM new))""",
     )
 
 
@@ -159,6 +193,26 @@ QUERIES = {
     "diff_by_variable": (lambda spark, d: compared(spark, d).by_variable, by_variable_sql("new n JOIN old o USING (p_partkey)")),
     "diff_by_position": (by_position, by_variable_sql("new_pos n JOIN old_pos o USING (pos)")),
     "diff_repeated_keys": (
+        lambda spark, d: inserted_pairs(spark, d).by_variable(),
+        with_tables(
+            " UNION ALL ".join(
+                f"SELECT '{c}' AS variable, count_if({differs_sql(c)}) AS n_diff, count_if((n.{c} IS NULL) <> (o.{c} IS NULL)) AS n_one_null FROM {LEFT_PAIRS}"
+                for c in ("p_partkey", "p_name", "p_size", "p_retailprice")
+            ),
+            BRANDED,
+            INSERTED,
+        ),
+    ),
+    "diff_inserted_rows": (
+        lambda spark, d: inserted_pairs(spark, d).counts(),
+        with_tables(
+            """SELECT (SELECT count(*) FROM branded) AS rows_shared, (SELECT count(*) FROM inserted) - (SELECT count(*) FROM branded) AS rows_only_new,
+            0::BIGINT AS rows_only_old""",
+            BRANDED,
+            INSERTED,
+        ),
+    ),
+    "diff_changed_keys": (
         by_brand,
         by_variable_sql("new_brand n JOIN old_brand o ON n.p_brand IS NOT DISTINCT FROM o.p_brand AND n.nth = o.nth", ("p_brand",)),
     ),

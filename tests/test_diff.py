@@ -133,3 +133,56 @@ def test_whole_numbers_are_compared_exactly(spark):
 def test_order_is_compared_whatever_the_layout(spark):
     df = spark.createDataFrame([(i % 3, i) for i in range(200)], "k int, v int")
     assert diff.tables_identical(df, df.repartition(7), order_by=["k"]).first()[0]
+
+
+def test_a_row_inserted_in_front_differs_from_nothing(spark):
+    old = spark.createDataFrame([(1, i, f"n{i}", i / 7) for i in range(10)], "k int, a int, b string, x double")
+    new = old.unionAll(spark.createDataFrame([(1, -1, "front", 0.0)], old.schema))
+    pairs = diff.Alignment(new, old, keys=["k"])
+    assert bag(pairs.by_variable()) == [("a", 0, 0), ("b", 0, 0), ("x", 0, 0)]
+    assert bag(pairs.counts()) == [(10, 1, 0)] and pairs.equal == 10
+
+
+@pytest.mark.parametrize("key_rows", [1, 1000])
+def test_the_rest_of_a_key_pairs_in_order(spark, key_rows):
+    rows = [(k, v) for k in (1, 2, None) for v in (1, 1, 2, 3, 3, 3)]
+    old = spark.createDataFrame(rows, "k int, v int")
+    new = spark.createDataFrame([r for r in rows if r != (1, 3)] + [(1, 7), (2, 8), (None, 9), (None, 3)], "k int, v int")
+    pairs = diff.Alignment(new, old, keys=["k"], key_rows=key_rows)
+    # Left over: key 1 has 7 against 3, 3, 3; key 2 has one row more, the null key two.
+    assert bag(pairs.counts()) == [(16, 3, 2)]
+    assert bag(pairs.by_variable()) == [("v", 1, 0)]
+    assert bag(pairs.differing_cells()) == [(1, "v", "7", "3", False)]
+
+
+def test_copies_are_counted_not_sorted(spark):
+    one = spark.createDataFrame([(1, "x")], "k int, v string")
+    many = spark.range(200_000).select(F.lit(1).alias("k"), F.lit("x").alias("v"))
+    pairs = diff.Alignment(many, one, keys=["k"])
+    assert pairs.equal == 1 and bag(pairs.counts()) == [(1, 199_999, 0)]
+    assert bag(diff.Alignment(many, many.unionAll(one), keys=["k"]).counts()) == [(200_000, 0, 1)]
+
+
+def test_hashes_tell_nulls_apart_and_signed_zeros_not(spark):
+    rows = [(None, "a", 0.0, [1, None]), ("a", None, -0.0, [None, 1])]
+    df = spark.createDataFrame(rows, "a string, b string, x double, l array<int>")
+    hashes = [tuple(r) for r in df.select(*diff.row_hashes(df)).collect()]
+    assert len(set(hashes)) == 2
+    zeros = df.select("x")
+    assert len({tuple(r) for r in zeros.select(*diff.row_hashes(zeros)).collect()}) == 1
+    swapped = spark.createDataFrame([(r[1], r[0], *r[2:]) for r in rows], df.schema)
+    assert bag(diff.Alignment(df, swapped, keys=["x"]).counts()) == [(2, 0, 0)]
+
+
+def test_keys_of_two_kinds_match(spark):
+    a = spark.createDataFrame([(1, 5), (3_000_000_000, 6)], "k bigint, v bigint")
+    b = spark.createDataFrame([(1, 5), (2, 6)], "k int, v int")
+    assert bag(diff.Alignment(b, a, keys=["k"]).counts()) == [(1, 1, 1)]
+    c = spark.createDataFrame([(1, "5.00")], "k int, v string").withColumn("v", F.col("v").cast("decimal(5,2)"))
+    assert bag(diff.Alignment(a, c, keys=["k"]).by_variable()) == [("v", 0, 0)]
+
+
+def test_equal_rows_are_never_sorted_or_joined(spark):
+    df = spark.range(1000).select((F.col("id") % 3).alias("k"), F.col("id").alias("v"))
+    pairs = diff.Alignment(df, df.where("v <> 5"), keys=["k"])
+    assert bag(pairs.counts()) == [(999, 1, 0)] and pairs.pairs.count() == 1

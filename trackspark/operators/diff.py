@@ -3,17 +3,24 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import cached_property
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from trackspark.functions.text import NUMERIC_TEXT, missing_to_null
 from trackspark.functions.times import clock_seconds_as_utc, relabel_zone
 from trackspark.operators.rows import global_row_number, nulls_last, sortable, top_per_group
+from trackspark.operators.sizes import broadcast_if_small, settled
+from trackspark.session import shared_dir
 
 # Fixed value: numbers closer than this are equal (square root of the double epsilon).
 NUMBER_TOLERANCE = 1.490116119384766e-08
+# Unequal rows of one key that a task may number; more are numbered by a sort over all tasks.
+KEY_ROWS = 1_000_000
+# Copies of a row listed by one array.
+COPIES = 1 << 16
 
 
 def standardise_types(
@@ -40,12 +47,33 @@ def standardise_types(
     return cleaned
 
 
+def row_hashes(df: DataFrame) -> list[Column]:
+    """Two 64-bit hashes (``_h1``, ``_h2``) of a whole row: equal rows, nulls and signed zeros included, have equal hashes."""
+    cells = []
+    for f in df.schema:
+        cell = F.col(f"`{f.name}`")
+        if isinstance(f.dataType, (T.DoubleType, T.FloatType)):
+            cell = cell + F.lit(0.0)
+        elif isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType)):
+            cell = F.to_json(F.struct(cell.alias("c")), {"ignoreNullFields": "false"})
+        cells.append(cell)
+    # A null leaves a hash as it is; where the nulls are is hashed as well.
+    cells.append(F.array(*[F.isnull(F.col(f"`{c}`")) for c in df.columns]))
+    return [F.xxhash64(*cells).alias("_h1"), F.xxhash64(F.lit(1), *cells).alias("_h2")]
+
+
+def signed_counts(new: DataFrame, old: DataFrame) -> DataFrame:
+    """(_h1, _h2, _new, _old): how often each distinct row occurs in either table. Only hashes are shuffled."""
+    one, none = F.lit(1).cast("bigint"), F.lit(0).cast("bigint")
+    both = new.select(*row_hashes(new), one.alias("_new"), none.alias("_old")).unionAll(
+        old.select(*row_hashes(old), none.alias("_new"), one.alias("_old"))
+    )
+    return both.groupBy("_h1", "_h2").agg(F.sum("_new").alias("_new"), F.sum("_old").alias("_old"))
+
+
 def _unequal_rows(new: DataFrame, old: DataFrame) -> DataFrame:
     """One row: number of distinct rows whose multiplicity differs between the tables."""
-    both = new.withColumn("_sign", F.lit(1)).unionByName(old.withColumn("_sign", F.lit(-1)))
-    return (
-        both.groupBy(*new.columns).agg(F.sum("_sign").alias("_sum")).agg(F.count_if(F.col("_sum") != 0).alias("n"))
-    )
+    return signed_counts(new, old.select(*new.columns)).agg(F.count_if(F.col("_new") != F.col("_old")).alias("n"))
 
 
 def _plain_types(df: DataFrame) -> list[tuple[str, str]]:
@@ -74,12 +102,54 @@ def _differs(a: Column, b: Column, dtype: T.DataType, tolerance: float) -> Colum
     return ~a.eqNullSafe(b)
 
 
+def cancelled(new: DataFrame, old: DataFrame) -> tuple[int, DataFrame]:
+    """(pairs of equal rows, the rows that are left) of two tables with the same columns, as bags.
+
+    Every row of one table cancels one equal row of the other. What is left of a row is listed as often as it is left;
+    ``_side`` is 1 for the new table and 0 for the old one. The tables are shuffled as hashes only; their rows
+    meet the few hashes that are left over.
+    """
+    shared_dir(new.sparkSession)
+    seen = Observation()
+    counts = signed_counts(new, old).observe(seen, F.coalesce(F.sum(F.least("_new", "_old")), F.lit(0)).alias("equal"))
+    more = counts.select("_h1", "_h2", (F.col("_new") - F.col("_old")).alias("_more")).where(F.col("_more") != 0).checkpoint()
+
+    def left_over(df: DataFrame, side: int) -> DataFrame:
+        surplus = more.where(F.col("_more") > 0) if side else more.where(F.col("_more") < 0).withColumn("_more", -F.col("_more"))
+        rows = df.select("*", *row_hashes(df)).join(broadcast_if_small(surplus), ["_h1", "_h2"])
+        once = rows.dropDuplicates(["_h1", "_h2"])
+        # Copies are listed in two steps, so that no array holds them all.
+        many = once.withColumn("_part", F.explode(F.sequence(F.lit(0).cast("bigint"), F.floor((F.col("_more") - 1) / COPIES))))
+        size = F.least(F.lit(COPIES), F.col("_more") - F.col("_part") * COPIES).cast("int")
+        return many.select(*df.columns, F.explode(F.array_repeat(F.lit(side), size)).alias("_side"))
+
+    left = left_over(new, 1).unionAll(left_over(old, 0)).checkpoint()
+    return seen.get["equal"], left
+
+
+def numbered_by_key(df: DataFrame, keys: Sequence[str], order: Sequence[str], name: str, key_rows: int = KEY_ROWS) -> DataFrame:
+    """Number the rows of each key in an order; ``df`` is stored. No task numbers more than ``key_rows`` rows of a key.
+
+    Keys with more rows are numbered by a sort over all tasks, less the first number of their key.
+    """
+    per_key = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    if (per_key.agg(F.max("_n")).first()[0] or 0) <= key_rows:
+        return df.withColumn(name, F.row_number().over(Window.partitionBy(*keys).orderBy(*nulls_last(order or keys))).cast("bigint"))
+    placed = global_row_number(df, [*keys, *order], "_row")
+    first = placed.groupBy(*[F.col(k).alias(f"_f_{k}") for k in keys]).agg(F.min("_row").alias("_first"))
+    same = [F.col(k).eqNullSafe(F.col(f"_f_{k}")) for k in keys]
+    return placed.join(settled(first), same).select(*df.columns, (F.col("_row") - F.col("_first") + 1).alias(name))
+
+
 class Alignment:
     """Rows of two tables brought side by side, by key columns or by position in a given order.
 
-    Keys match null-safely. Rows of one key are numbered in the order of the shared columns and paired by number, so
-    repeated and null keys pair one to one. The comparison keeps one row per pair; differences are counted in
-    wide form, so rows are not multiplied by the number of columns.
+    By key, rows that are equal in all shared columns are paired first: they cancel as signed counts of row hashes and
+    are never sorted or joined. What is left of a key is numbered in the order of the shared columns and paired by
+    number, so repeated and null keys pair one to one. Keys match null-safely. The comparison keeps one row per pair
+    that is left; differences are counted in wide form, so rows are not multiplied by the number of columns.
+
+    Pairing runs when a result is first asked for, and what is left is written once to the shared checkpoint folder.
     """
 
     def __init__(
@@ -89,42 +159,63 @@ class Alignment:
         keys: Sequence[str] | None = None,
         order_by: Sequence[str] | None = None,
         tolerance: float = NUMBER_TOLERANCE,
+        key_rows: int = KEY_ROWS,
     ):
         if bool(keys) == bool(order_by):
             raise ValueError("give either keys or order_by")
-        if order_by:
-            new, old = (global_row_number(t, order_by, "row_id") for t in (new, old))
+        self.order_by = list(order_by or ())
         self.keys = list(keys) if keys else ["row_id"]
         self.shared = [c for c in new.columns if c in old.columns and c not in self.keys]
         self.only_new = [c for c in new.columns if c not in old.columns]
         self.only_old = [c for c in old.columns if c not in new.columns]
-        # Columns of two kinds are compared as texts.
+        # Numbers of two kinds are compared as a type that holds both, other columns of two kinds as texts.
         self.types = {
-            c: _common(a, b)
-            for c in self.shared
-            for a, b in [(new.schema[c].dataType, old.schema[c].dataType)]
+            c: _common(new.schema[c].dataType, old.schema[c].dataType)
+            for c in [*self.shared, *self.keys]
+            if c in new.columns
         }
-        left, right = self._side(new, "n"), self._side(old, "o")
-        same = [F.col(f"n_k{i}").eqNullSafe(F.col(f"o_k{i}")) for i in range(len(self.keys))]
-        same.append(F.col("n_nth") == F.col("o_nth"))
-        self.pairs = left.join(right, same, "full")
+        self.new, self.old, self.tolerance, self.key_rows = new, old, tolerance, key_rows
         self.both = F.col("n_here").isNotNull() & F.col("o_here").isNotNull()
-        self.tolerance = tolerance
 
-    def _side(self, df: DataFrame, p: str) -> DataFrame:
-        keys = [F.col(k).alias(f"{p}_k{i}") for i, k in enumerate(self.keys)]
-        cells = []
-        for i, c in enumerate(self.shared):
-            cell = F.col(c)
-            if isinstance(self.types[c], T.StringType):
-                cell = cell.cast("string")
-            cells.append(cell.alias(f"{p}_{i}"))
-        if self.keys == ["row_id"]:
-            nth = F.lit(1)  # positions are unique
+    def _side(self, df: DataFrame) -> DataFrame:
+        keys = [(F.col(k).cast(self.types[k]) if k in self.types else F.col(k)).alias(f"k{i}") for i, k in enumerate(self.keys)]
+        cells = [F.col(c).cast(self.types[c]).alias(f"c{i}") for i, c in enumerate(self.shared)]
+        return df.select(*keys, *cells)
+
+    @cached_property
+    def _paired(self) -> tuple[int, DataFrame]:
+        new, old = self.new, self.old
+        if self.order_by:
+            # Positions are unique: nothing to cancel or to number.
+            new, old = (global_row_number(t, self.order_by, "row_id") for t in (new, old))
+            equal, sides = 0, [self._side(t).withColumn("_nth", F.lit(1)) for t in (new, old)]
         else:
-            rest = sortable(df, [c for c in self.shared if c not in self.keys])
-            nth = F.row_number().over(Window.partitionBy(*self.keys).orderBy(*nulls_last(rest or self.keys)))
-        return df.select(*keys, *cells, nth.alias(f"{p}_nth"), F.lit(1).alias(f"{p}_here"))
+            equal, left = cancelled(self._side(new), self._side(old))
+            keys = [f"k{i}" for i in range(len(self.keys))]
+            order = sortable(left, [f"c{i}" for i in range(len(self.shared))])
+            numbered = numbered_by_key(left, ["_side", *keys], order, "_nth", self.key_rows)
+            sides = [numbered.where(F.col("_side") == s) for s in (1, 0)]
+        left, right = (
+            side.select(
+                *[F.col(f"k{i}").alias(f"{p}_k{i}") for i in range(len(self.keys))],
+                *[F.col(f"c{i}").alias(f"{p}_{i}") for i in range(len(self.shared))],
+                F.col("_nth").alias(f"{p}_nth"),
+                F.lit(1).alias(f"{p}_here"),
+            )
+            for p, side in zip("no", sides, strict=True)
+        )
+        same = [F.col(f"n_k{i}").eqNullSafe(F.col(f"o_k{i}")) for i in range(len(self.keys))]
+        return equal, left.join(right, [*same, F.col("n_nth") == F.col("o_nth")], "full")
+
+    @property
+    def equal(self) -> int:
+        """Pairs that are equal in all columns and were cancelled."""
+        return self._paired[0]
+
+    @property
+    def pairs(self) -> DataFrame:
+        """The pairs that were not cancelled, and the rows without a partner."""
+        return self._paired[1]
 
     def _difference(self, i: int) -> Column:
         return _differs(F.col(f"n_{i}"), F.col(f"o_{i}"), self.types[self.shared[i]], self.tolerance)
@@ -132,7 +223,7 @@ class Alignment:
     def counts(self) -> DataFrame:
         """One row: rows on both sides and on one side only."""
         return self.pairs.agg(
-            F.count_if(self.both).alias("rows_shared"),
+            (F.count_if(self.both) + F.lit(self.equal)).alias("rows_shared"),
             F.count_if(F.col("o_here").isNull()).alias("rows_only_new"),
             F.count_if(F.col("n_here").isNull()).alias("rows_only_old"),
         )
@@ -174,12 +265,23 @@ class Alignment:
         return top_per_group(self.differing_cells(), ["variable"], self.keys, k)
 
 
+# Digits before the point of whole numbers.
+DIGITS = {T.ByteType: 3, T.ShortType: 5, T.IntegerType: 10, T.LongType: 19}
+
+
 def _common(a: T.DataType, b: T.DataType) -> T.DataType:
-    """Type two columns are compared as: both exact numbers, numbers, one type, or else texts."""
-    if isinstance(a, T.NumericType) and isinstance(b, T.NumericType):
-        floating = (T.DoubleType, T.FloatType)
-        return T.DoubleType() if isinstance(a, floating) or isinstance(b, floating) else a
-    return a if a == b else T.StringType()
+    """Type two columns are compared as: a number that holds both, one type, or else texts."""
+    if a == b:
+        return a
+    if not (isinstance(a, T.NumericType) and isinstance(b, T.NumericType)):
+        return T.StringType()
+    if isinstance(a, (T.DoubleType, T.FloatType)) or isinstance(b, (T.DoubleType, T.FloatType)):
+        return T.DoubleType()
+    if type(a) in DIGITS and type(b) in DIGITS:
+        return T.LongType()
+    whole = max(DIGITS[type(t)] if type(t) in DIGITS else t.precision - t.scale for t in (a, b))
+    scale = max(getattr(t, "scale", 0) for t in (a, b))
+    return T.DecimalType(min(38, whole + scale), min(scale, 38 - min(38, whole)))
 
 
 def _rounded(df: DataFrame, digits: int) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import posixpath
 from collections.abc import Sequence
-from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -30,15 +30,34 @@ def run_date_conversion(
     return quality.conversion_stats(converted, column)
 
 
-@dataclass(frozen=True)
 class Comparison:
-    """Outcome of a table comparison; every part is a DataFrame."""
+    """Two versions compared: equality, differences per variable, rows of either side only.
 
-    identical: DataFrame
-    row_counts: DataFrame
-    by_variable: DataFrame
-    rows_only_new: DataFrame
-    rows_only_old: DataFrame
+    Every part is a DataFrame that is planned when it is first asked for.
+    """
+
+    def __init__(self, new: DataFrame, old: DataFrame, pairs: diff.Alignment):
+        self.new, self.old, self.pairs = new, old, pairs
+
+    @cached_property
+    def identical(self) -> DataFrame:
+        return diff.tables_identical(self.new, self.old)
+
+    @cached_property
+    def row_counts(self) -> DataFrame:
+        return self.pairs.counts()
+
+    @cached_property
+    def by_variable(self) -> DataFrame:
+        return self.pairs.by_variable()
+
+    @cached_property
+    def rows_only_new(self) -> DataFrame:
+        return joins.anti_join_null_safe(self.new, self.old)
+
+    @cached_property
+    def rows_only_old(self) -> DataFrame:
+        return joins.anti_join_null_safe(self.old, self.new)
 
 
 def compare_tables(
@@ -50,24 +69,32 @@ def compare_tables(
     force_zone: str | None = None,
     tolerance: float = diff.NUMBER_TOLERANCE,
 ) -> Comparison:
-    """Compare two versions: equality, differences per variable, rows of either side only."""
+    """Compare two versions, texts standardised first."""
     new, old = (diff.standardise_types(t, zone, force_zone) for t in (new, old))
-    pairs = diff.Alignment(new, old, keys, order_by, tolerance)
-    return Comparison(
-        identical=diff.tables_identical(new, old),
-        row_counts=pairs.counts(),
-        by_variable=pairs.by_variable(),
-        rows_only_new=joins.anti_join_null_safe(new, old),
-        rows_only_old=joins.anti_join_null_safe(old, new),
-    )
+    return Comparison(new, old, diff.Alignment(new, old, keys, order_by, tolerance))
 
 
-@dataclass(frozen=True)
 class Diagnosis:
-    diagnostics: DataFrame
-    by_variable: DataFrame
-    differing_cells: DataFrame
-    samples: DataFrame
+    """Comparison with diagnostics and sample differences; every part is planned when it is first asked for."""
+
+    def __init__(self, new: DataFrame, old: DataFrame, pairs: diff.Alignment, sample_size: int):
+        self.new, self.old, self.pairs, self.sample_size = new, old, pairs, sample_size
+
+    @cached_property
+    def diagnostics(self) -> DataFrame:
+        return diff.diagnostics(self.new, self.old)
+
+    @cached_property
+    def by_variable(self) -> DataFrame:
+        return self.pairs.by_variable()
+
+    @cached_property
+    def differing_cells(self) -> DataFrame:
+        return self.pairs.differing_cells()
+
+    @cached_property
+    def samples(self) -> DataFrame:
+        return self.pairs.samples(self.sample_size)
 
 
 def diagnose_tables(
@@ -80,13 +107,7 @@ def diagnose_tables(
 ) -> Diagnosis:
     """Compare two versions with diagnostics and sample differences."""
     new, old = (diff.standardise_types(t, cut_zone=cut_zone) for t in (new, old))
-    pairs = diff.Alignment(new, old, keys, order_by)
-    return Diagnosis(
-        diagnostics=diff.diagnostics(new, old),
-        by_variable=pairs.by_variable(),
-        differing_cells=pairs.differing_cells(),
-        samples=pairs.samples(samples),
-    )
+    return Diagnosis(new, old, diff.Alignment(new, old, keys, order_by), samples)
 
 
 def run_comparison(
