@@ -70,7 +70,7 @@ def test_one_shared_beginning_meets_in_few_keys():
             for key in meeting_keys(w, p):
                 held.setdefault(key, set()).add(w)
     # Words that share their first five letters are no group: few of them share a key.
-    assert max(map(len, held.values())) < 0.01 * len(words)
+    assert max(map(len, held.values())) < 0.05 * len(words)
 
 
 def test_pivots_do_not_overlap_and_cost_least():

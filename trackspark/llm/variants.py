@@ -10,10 +10,10 @@ prefix ends first in the order has a pivot that stands in the other word's prefi
 other words.
 
 Position limits. The edit lies before the gram or after it. If before, what follows is equal and the gram is shifted by the
-difference in length; if after, what precedes is equal and the gram is not shifted. Of the side that holds the edit,
-the first or the last half is equal too. A join key holds the gram, the equal side, the equal half and both lengths, for every
-such case, so that only words meet that agree on more than half of their letters; no gram is a group of its own. What
-meets is verified by edit distance.
+difference in length; if after, what precedes is equal and the gram is not shifted. Where gram and equal side are shorter than
+the side that holds the edit, the first or the last half of that side is equal too. A join key holds the gram,
+the equal side and, where needed, the half and both lengths, for every such case: only words meet that agree on half
+of their letters, and no gram is a group of its own. What meets is verified by edit distance.
 
 Forms. A word's form is its near word of largest count (of equal ones the smallest) if that is at least twice its own.
 Counts double along a chain of forms, so it has no cycle and at most 63 links; pointers are doubled until none moves.
@@ -28,7 +28,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from trackspark.llm.common import cut, stored, table
@@ -94,20 +94,25 @@ def meeting_keys(word: str, at: int) -> Iterator[str]:
     """What the word and any word one edit away that keeps the bigram at ``at`` have in common, one text per case."""
     size = len(word)
     for side, equal, other in (("<", word[at:], word[:at]), (">", word[: at + 2], word[at + 2 :])):
+        enough = False
         for more in (-1, 0, 1):
             # Letters of the shorter one of the two sides that hold the edit.
             shared = min(len(other), len(other) + more)
             if shared < 0 or (more == 0 and shared == 0):
                 continue
+            if len(equal) >= shared:
+                enough = True
+                continue
             half = shared // 2
             both = f"{side}{2 * size + more}:{equal}"
             yield f"{both}:{other[:half]}*"
-            if half:
-                yield f"{both}:*{other[len(other) - (shared - half):]}"
+            yield f"{both}:*{other[len(other) - (shared - half):]}"
+        if enough:
+            yield side + equal
 
 
 def listed(counts: dict[str, int]):
-    """(key, word, n, pivot) of all cases of each word's pivots and prefix."""
+    """(key, word, pivot) of all cases of each bigram of a word's prefix."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import xxhash
@@ -119,26 +124,28 @@ def listed(counts: dict[str, int]):
                 chosen = pivots(word, positions, counts)
                 for p in positions:
                     found = [xxhash.xxh3_64_intdigest(k) for k in meeting_keys(word, p)]
-                    for role in (False, True) if p in chosen else (False,):
-                        keys += found
-                        rows += [row] * len(found)
-                        roles += [role] * len(found)
-            words = batch.take(pa.array(rows, pa.int32()))
+                    keys += found
+                    rows += [row] * len(found)
+                    roles += [p in chosen] * len(found)
+            words = batch.column("word").take(pa.array(rows, pa.int32()))
             signed = pa.array(keys, pa.uint64()).view(pa.int64())
-            yield pa.record_batch([signed, words.column("word"), words.column("n"), pa.array(roles, pa.bool_())], names=["key", "word", "n", "pivot"])
+            yield pa.record_batch([signed, words, pa.array(roles, pa.bool_())], names=["key", "word", "pivot"])
 
     return run
 
 
 def near_pairs(words: DataFrame) -> DataFrame:
-    """(word, n, near, near_n): every two words one edit apart, once in each direction."""
-    rows = stored(words.mapInArrow(listed(gram_counts(words)), "key long, word string, n long, pivot boolean"))
-    left = rows.filter("pivot").select("key", "word", "n")
-    right = rows.filter("not pivot").select("key", F.col("word").alias("near"), F.col("n").alias("near_n"))
-    met = left.join(right, "key").filter((F.col("word") != F.col("near")) & (F.levenshtein("word", "near", 1) == 1))
-    one = met.select("word", "n", "near", "near_n")
-    other = met.select(F.col("near").alias("word"), F.col("near_n").alias("n"), F.col("word").alias("near"), F.col("n").alias("near_n"))
-    return one.union(other).distinct()
+    """(word, near): every two words one edit apart, once in each direction."""
+    rows = words.select("word").mapInArrow(listed(gram_counts(words)), "key long, word string, pivot boolean")
+    # Keys of one word, or without a pivot, go first; both sides of the join then read the same shuffle.
+    by_key = Window.partitionBy("key")
+    shared = rows.withColumns({"_lo": F.min("word").over(by_key), "_hi": F.max("word").over(by_key), "_pivot": F.max("pivot").over(by_key)})
+    shared = shared.filter("_lo < _hi and _pivot").select("key", "word", "pivot")
+    left, right = shared.filter("pivot").select("key", "word"), shared.select("key", F.col("word").alias("near"))
+    lengths = F.abs(F.length("word") - F.length("near")) <= 1
+    met = left.join(right, "key").filter(lengths & (F.col("word") != F.col("near")) & (F.levenshtein("word", "near", 1) == 1))
+    ways = F.array(F.struct("word", "near"), F.struct(F.col("near").alias("word"), F.col("word").alias("near")))
+    return met.select(F.inline(ways)).distinct()
 
 
 def roots(forms: DataFrame) -> DataFrame:
@@ -156,7 +163,8 @@ def variants(words: DataFrame) -> DataFrame:
     """(word, form, root, n, n_near, form_n) of (word, n) rows."""
     words = stored(words)
     first = F.min(F.struct((-F.col("near_n")).alias("less"), "near")).alias("first")
-    of_word = near_pairs(words).groupBy("word").agg(F.count("*").alias("n_near"), first)
+    near = near_pairs(words).join(words.select(F.col("word").alias("near"), F.col("n").alias("near_n")), "near")
+    of_word = near.groupBy("word").agg(F.count("*").alias("n_near"), first)
     found = words.join(of_word, "word", "left").withColumn("form_n", -F.col("first.less"))
     frequent = F.col("form_n") >= FORM_TIMES * F.col("n")
     found = stored(
