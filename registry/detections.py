@@ -95,6 +95,32 @@ PLACED_SQL = with_tables(
 )
 
 
+def placed_mixed(spark, d):
+    """Deployments of one second, one per odd order, next to deployments of centuries."""
+    key = F.col("o_orderkey")
+    at = F.col("o_orderdate") + F.make_dt_interval(secs=(key % 86400).cast("decimal(18,6)"))
+    orders = load(spark, d, "orders").select(at.alias("time"), (F.col("o_custkey") % 10).cast("string").alias("station"), "o_orderkey")
+    short = orders.where(key % 2 == 1).select(
+        "station", F.col("time").alias("date_in"), (F.col("time") + F.expr("INTERVAL 1 SECOND")).alias("date_out"), F.col("o_orderkey").alias("place")
+    )
+    supplier = F.col("s_suppkey")
+    long = load(spark, d, "supplier").where(supplier % 25 == 0).select(
+        F.floor(supplier / 25).cast("string").alias("station"),
+        (F.lit("1800-01-01 00:00:00").cast("timestamp") + F.make_dt_interval(days=supplier.cast("int"))).alias("date_in"),
+        F.lit("2130-01-01 00:00:00").cast("timestamp").alias("date_out"),
+        (-supplier).alias("place"),
+    )
+    return joins.interval_join(orders, short.unionByName(long), ["station"], "time", "date_in", "date_out").select("o_orderkey", "place")
+
+
+PLACED_MIXED_SQL = """WITH ords AS (SELECT CAST(o_orderdate AS TIMESTAMP) + to_seconds((o_orderkey % 86400)::DOUBLE) AS time,
+        CAST(o_custkey % 10 AS VARCHAR) AS station, o_orderkey FROM orders)
+    SELECT a.o_orderkey, b.o_orderkey AS place FROM ords a JOIN ords b ON a.station = b.station AND b.o_orderkey % 2 = 1
+        AND a.time IN (b.time, b.time + INTERVAL 1 SECOND)
+    UNION ALL SELECT o_orderkey, -s_suppkey FROM ords JOIN supplier ON s_suppkey % 25 = 0 AND station = CAST(s_suppkey // 25 AS VARCHAR)
+        AND time BETWEEN TIMESTAMP '1800-01-01' + to_days(CAST(s_suppkey AS INTEGER)) AND TIMESTAMP '2130-01-01'"""
+
+
 def compiled(spark, d):
     out = compile_detections(det(spark, d).drop("location"), vmov(spark, d), ind(spark, d), TZ)
     return shown(out.detections)
@@ -264,6 +290,7 @@ QUERIES = {
     ),
     "interval_join_deployments": (placed(), PLACED_SQL),
     "interval_join_unhinted": (placed(broadcast_mb=0), PLACED_SQL),
+    "interval_join_mixed_lengths": (placed_mixed, PLACED_MIXED_SQL),
     "compile_detections": (
         compiled,
         with_tables("SELECT * FROM compiled", "det", "ind", "vmov", AFTER_SQL.format(hours=24), COMPILED_SQL),

@@ -120,6 +120,27 @@ def matrix_sql(group: str) -> str:
     return with_tables(f"SELECT {group}, {cells} FROM det GROUP BY {group}", "det")
 
 
+BLOCK = 7
+
+
+def blocked(spark, d):
+    """The matrices of both months over all tags, seven columns a block; a text per row, so that any engine shows it alike."""
+    rows = assign_period(det(spark, d), monthly=True, tz=TZ)
+    dense = summary.matrix_rows(summary.detection_counts(rows), width=BLOCK)
+    return dense.select("interval_id", "block", "location", F.array_join("tags", ",").alias("tags"), F.array_join(F.col("counts").cast("array<string>"), ",").alias("counts"))
+
+
+BLOCKED = with_tables(
+    f"""SELECT interval_id, block, location, string_agg(CAST(elasmo AS VARCHAR), ',' ORDER BY elasmo) AS tags,
+        string_agg(CAST(coalesce(n, 0) AS VARCHAR), ',' ORDER BY elasmo) AS counts
+        FROM blocks JOIN (SELECT DISTINCT interval_id, location FROM counted) USING (interval_id)
+        LEFT JOIN counted USING (interval_id, location, elasmo) GROUP BY ALL""",
+    "det",
+    f"counted AS (SELECT {PERIOD_ID} AS interval_id, location, elasmo, count(*) AS n FROM det GROUP BY 1, 2, 3)",
+    f"""blocks AS (SELECT interval_id, elasmo, CAST((row_number() OVER (PARTITION BY interval_id ORDER BY elasmo) - 1) // {BLOCK} AS INTEGER) AS block
+        FROM (SELECT DISTINCT interval_id, elasmo FROM counted))""",
+)
+
 # --- receiver activity -----------------------------------------------------------------------
 
 
@@ -371,6 +392,7 @@ QUERIES = {
     ),
     "detection_counts_long": (counts, with_tables("SELECT location, elasmo, count(*) AS n FROM det GROUP BY 1, 2", "det")),
     "detection_count_lists": (lists, LISTS),
+    "detection_matrix_blocks": (blocked, BLOCKED),
     "detection_matrix_by_location": (matrix(False), matrix_sql("location")),
     "detection_matrix_by_agency": (matrix(True), matrix_sql("agency")),
     "clean_receiver_deployments": (

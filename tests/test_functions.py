@@ -1,3 +1,4 @@
+import random
 from datetime import datetime, timedelta
 from zoneinfo import ZoneInfo
 
@@ -131,6 +132,55 @@ def test_mixed_date_reads_whole_texts(spark, text, expected):
     assert one(spark, times.mixed_date(F.col("c")), c=text) == expected
 
 
+def by_patterns(c):
+    """What the formats and the fallback read, each by a regular expression over the whole text."""
+    shape = r"^\W*(\d{1,2}|[A-Za-z]{3,9})[\W_]+(\d{1,2})[\W_]+(\d{4}|\d{2})[\W_]+(\d{1,2})[\W_]+(\d{1,2})(?:[\W_]+(\d{1,2}))?\W*$"
+    part = [F.regexp_extract(c, shape, i) for i in range(1, 7)]
+    name = F.array_position(F.array(*[F.lit(m) for m in times.MONTHS]), F.lower(F.substring(part[0], 1, 3))).cast("int")
+    month = F.coalesce(part[0].try_cast("int"), F.nullif(name, F.lit(0)))
+    year = part[2].try_cast("int")
+    full = F.when(F.length(part[2]) == 4, year).when(year + 2000 > 2068, year + 1900).otherwise(year + 2000)
+    second = F.coalesce(part[5].try_cast("decimal(8,6)"), F.lit(0).cast("decimal(8,6)"))
+    rest = F.try_make_timestamp(full, month, *[part[i].try_cast("int") for i in (1, 3, 4)], second, F.lit("UTC"))
+    first = [times.parse_clock(c, f, whole=True) for f in ("%m/%d/%y %H:%M", "%m/%d/%Y %H:%M")]
+    return F.coalesce(*first, F.when(c.rlike(shape), rest))
+
+
+def test_parts_decide_as_patterns_do(spark):
+    rng = random.Random(12)
+    pieces = ["4", "12", "31", "2025", "75", "007", "0", "13", "Apr", "sept", "ja", "Decembers", "/", "/", "-", ".", ":", ":", " ", " ", "\t", "_", ",", "é", "\n", "PM"]
+    texts = ["".join(rng.choice(pieces) for _ in range(rng.randrange(14))) for _ in range(3000)]
+    for _ in range(6000):
+        seps = [rng.choice(["/", "/", "-", " ", ".", "_", "/ ", ", ", ""]) for _ in range(6)]
+        nums = [rng.choice(["4", "12", "04", "Apr", "March", "13"]), rng.choice(["8", "30", "31"]), rng.choice(["25", "2025", "75", "125", "5"])]
+        clock = [rng.choice(["9", "09", "23", "24"]), rng.choice(["05", "5", "60"]), rng.choice(["", "30", "7"])]
+        joins = [seps[0], seps[0], rng.choice([" ", "  ", seps[1]]), rng.choice([":", seps[2]]), ":" if clock[2] else ""]
+        body = "".join(a + b for a, b in zip([*nums, *clock], [*joins, ""], strict=True))
+        texts.append(rng.choice(["", "", " ", "_", "*"]) + body + rng.choice(["", "", " ", "_", "!", " PM"]))
+    df = spark.createDataFrame([(t,) for t in texts], "c string")
+    shown = df.select("c", by_patterns(F.col("c")).cast("string").alias("want"), times.mixed_date(F.col("c")).cast("string").alias("got"))
+    rows = shown.collect()
+    assert [r for r in rows if r.want != r.got] == []
+    assert sum(r.got is not None for r in rows) > 400
+
+
+def test_formats_that_parts_cannot_tell_are_read_by_pattern(spark):
+    text = {"c": "20240701 0930"}
+    assert one(spark, times.mixed_date(F.col("c"), ("%Y%m%d %H%M",)), **text) == one(spark, times.parse_clock(F.col("c"), "%Y%m%d %H%M", whole=True), **text)
+    assert one(spark, times.mixed_date(F.col("c"), ("%Y-%m-%d %H:%M:%S",)), c=" 2024-07-01  09:30:59 ") == "2024-07-01 09:30:59"
+    assert one(spark, times.mixed_date(F.col("c"), ("%d.%m.%Y",)), c="31.12.2024") == "2024-12-31 00:00:00"
+    with pytest.raises(ValueError):
+        times.mixed_date(F.lit("x"), ("%j",))
+
+
+def test_one_regular_expression_a_row(spark):
+    from trackspark.operators.quality import convert_dates
+
+    df = spark.createDataFrame([("4/8/25 9:05", 1)], "c string, v int")
+    plan = convert_dates(df, "c")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("regexp_extract_all") == 1 and "RLIKE" not in plan and "regexp_replace" not in plan
+
+
 def test_mixed_date_in_zone(spark):
     assert one(spark, times.mixed_date(F.col("c"), tz="US/Eastern"), c="7/1/2024 12:00") == "2024-07-01 16:00:00"
 

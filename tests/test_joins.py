@@ -56,6 +56,58 @@ def test_interval_join_agrees_with_brute_force(spark, strategy):
     assert sorted((r.n, r.location) for r in out.collect()) == expected
 
 
+def candidates(slices, points, keys, at):
+    """Pairs that meet on (key, width, slice), before the exact range is looked at."""
+    keyed = slices.looked_up(points, at)
+    return keyed.join(slices.ranges, [*keys, "_width", "_slice"], "inner")
+
+
+def test_mixed_lengths_stay_spread(spark):
+    seconds = 365 * 86400
+    short = spark.range(100_000).select(
+        F.lit("1").alias("station"), F.timestamp_seconds(F.pmod(F.xxhash64("id"), F.lit(seconds))).alias("date_in")
+    )
+    short = short.withColumn("date_out", F.col("date_in") + F.expr("INTERVAL 1 SECOND"))
+    long = spark.range(1000).select(
+        (F.col("id") % 50 + 1).cast("string").alias("station"),
+        (F.lit("1800-01-01").cast("timestamp") + F.make_dt_interval(days=F.col("id").cast("int"))).alias("date_in"),
+        F.lit("2130-01-01").cast("timestamp").alias("date_out"),
+    )
+    spans = short.unionByName(long)
+    points = spark.range(2000).select(F.lit("1").alias("station"), F.timestamp_seconds(F.col("id") * (seconds // 2000)).alias("time"))
+    first, last = (F.unix_seconds(c) for c in ("date_in", "date_out"))
+    slices = joins._sliced(points, spans, ["station"], F.unix_seconds("time"), first, last, 0)
+    assert 2 <= len(slices.widths) <= 4
+    met = candidates(slices, points, ["station"], F.unix_seconds("time"))
+    # 20 deployments of centuries hold every point; beside them a point meets hardly any.
+    assert met.count() <= 2000 * (20 + 3)
+    assert slices.ranges.count() <= joins.LISTED * 101_000 + joins.LISTED_FREE
+    # The points of one key and width lie in many slices, those of the long deployments too.
+    groups = slices.looked_up(points, F.unix_seconds("time")).groupBy("_width", "_slice").count()
+    assert groups.agg(F.max("count")).first()[0] < 50
+
+
+def test_slice_widths_follow_the_lengths():
+    level = joins._Level
+    # One length only: slices of about that length.
+    assert joins.slice_levels([level(18, 1000, 10, 1000 << 18, 0, 1 << 27)]) == {18: 17}
+    # Few rows of a shorter length share the wider slices; a crowd of them has its own.
+    long = level(20, 1000, 10, 1000 << 20, 0, 1 << 27)
+    assert joins.slice_levels([long, level(10, 10, 1, 10 << 10, 0, 1 << 27)]) == {20: 19, 10: 19}
+    assert joins.slice_levels([long, level(10, 10_000, 10_000, 10_000 << 10, 0, 1 << 27)])[10] == 10
+    # Very long ranges are cut into as many slices as the listing may hold.
+    short = level(0, 100_000, 100_000, 100_000, 0, 1 << 25)
+    chosen = joins.slice_levels([short, level(34, 1000, 10, 1000 << 34, -(1 << 33), 1 << 33)], joins.LISTED_FREE)
+    assert chosen[0] == 0 and 100 <= 2**34 / 2 ** chosen[34] <= 500
+
+
+def test_interval_join_of_dates(spark):
+    points = spark.sql("SELECT 'a' AS k, date'2024-01-01' + CAST(id AS INT) AS day FROM range(40)")
+    spans = spark.sql("SELECT 'a' AS k, date'2024-01-05' AS lo, date'2024-01-07' AS hi UNION ALL SELECT 'a', date'1990-01-01', date'2024-01-02'")
+    out = joins.interval_join(points, spans, ["k"], "day", "lo", "hi")
+    assert sorted(str(r.day)[-2:] for r in out.collect()) == ["01", "02", "05", "06", "07"]
+
+
 def test_interval_join_without_intervals(spark, ts):
     points = spark.createDataFrame([("1", ts("2024-01-01"), 1)], POINTS)
     assert joins.interval_join(points, spark.createDataFrame([], SPANS), ["station"], "time", "date_in", "date_out").count() == 0
@@ -111,6 +163,18 @@ def test_asof_agrees_with_brute_force(spark, days, megabytes):
     assert ("BroadcastHashJoin" in plan) == (days is None and megabytes == 64)
 
 
+def test_asof_with_a_crowded_key(spark):
+    """A key with most of the right side, all within days: it is spread over time buckets, not broadcast."""
+    right = spark.range(6000).select(F.when(F.col("id") % 3 > 0, "hot").otherwise(F.concat(F.lit("k"), F.col("id") % 40)).alias("k"), F.timestamp_seconds(F.col("id") * 7).alias("at"), F.col("id").alias("v"))
+    left = spark.range(3000).select(F.lit("hot").alias("k"), F.timestamp_seconds(F.col("id") * 13 + 5).alias("t"), F.col("id").alias("n"))
+    out = joins.asof_join(left, right, ["k"], "t", "at")
+    assert "BroadcastHashJoin" not in out._jdf.queryExecution().executedPlan().toString()
+    def last(t):
+        v = min(t // 7, 5999)
+        return v if v % 3 else (v - 1 if v else None)
+    assert sorted((r.n, r.v) for r in out.collect()) == [(i, last(13 * i + 5)) for i in range(3000)]
+
+
 def test_asof_with_an_empty_side(spark, ts):
     left = spark.createDataFrame([("a", ts("2024-01-03"))], "k string, t timestamp")
     right = spark.createDataFrame([], "k string, at timestamp, v int")

@@ -77,9 +77,11 @@ def test_matrix_and_long_form_agree(det):
     assert sum(r.n for r in summary.detection_counts(det).collect()) == 6
     by_agency = summary.detection_matrix(det, True, ids=[1, 2])
     assert bag(by_agency) == [("AG0", 2, 0), ("AG1", 1, 0), (None, 0, 1)]
-    blocks = list(summary.matrix_blocks(summary.detection_counts(det), width=3))
-    assert [(p, b, m.columns) for p, b, m in blocks] == [(None, 0, ["location", "1", "2", "9"]), (None, 1, ["location", "NA"])]
-    assert bag(blocks[1][2]) == [("a", 0), ("b", 1), (None, 0)]
+    blocks = [(r.block, r.location, r.tags, r.counts) for r in summary.matrix_rows(summary.detection_counts(det), width=3).collect()]
+    assert sorted(blocks, key=str) == [
+        (0, "a", ["1", "2", "9"], [2, 0, 0]), (0, "b", ["1", "2", "9"], [0, 1, 1]), (0, None, ["1", "2", "9"], [1, 0, 0]),
+        (1, "a", ["NA"], [0]), (1, "b", ["NA"], [1]), (1, None, ["NA"], [0]),
+    ]
     lists = summary.count_lists(summary.detection_counts(det)).collect()
     assert {r.location: [tuple(x) for x in r.counts] for r in lists}["b"] == [(None, 1), (2, 1), (9, 1)]
     empty = summary.detection_matrix(det.limit(0))
@@ -240,6 +242,32 @@ def test_detections_are_read_once_for_residency(spark, years, tmp_path):
 
 def test_matrix_of_many_tags_and_of_a_periods_own_tags(spark):
     det = spark.range(12_000).selectExpr("id as elasmo", "'a' as location", "id % 2 as interval_id", "1L as n")
-    blocks = list(summary.matrix_blocks(det, width=4000))
-    assert [(p, b, len(m.columns)) for p, b, m in blocks] == [(0, 0, 4001), (0, 1, 2001), (1, 0, 4001), (1, 1, 2001)]
-    assert blocks[2][2].columns[:3] == ["location", "1", "3"]
+    rows = sorted(summary.matrix_rows(det, width=4000).collect())
+    assert [(r.interval_id, r.block, len(r.tags), sum(r.counts)) for r in rows] == [(0, 0, 4000, 4000), (0, 1, 2000, 2000), (1, 0, 4000, 4000), (1, 1, 2000, 2000)]
+    assert rows[2].tags[:3] == ["1", "3", "5"]
+    with pytest.raises(ValueError, match="matrix_rows"):
+        summary.detection_matrix(det.select("elasmo", "location"))
+
+
+def test_all_matrices_are_one_write(spark, tmp_path):
+    names = ["b", 'a "q", x', None]
+    counts = spark.createDataFrame([(p, names[t % 3], t, t + 1) for p in range(1, 7) for t in range(p * 4)], "interval_id int, location string, elasmo bigint, n bigint")
+    counts = counts.unionByName(spark.createDataFrame([(1, "b", None, 7)], counts.schema))
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("matrices", "all matrices")
+    reports.save_matrices(counts, str(tmp_path / "m"), "location", 5)
+    few = len(tracker.getJobIdsForGroup("matrices"))
+    spark.sparkContext.setJobGroup("one matrix", "one matrix")
+    reports.save_matrices(counts.where("interval_id = 2"), str(tmp_path / "one"), "location", 100)
+    # Jobs follow neither the periods nor the blocks.
+    assert few == len(tracker.getJobIdsForGroup("one matrix"))
+    spark.sparkContext.setJobGroup("other", "other")
+    folders = {str(f.relative_to(tmp_path / "m")) for f in (tmp_path / "m").glob("*/*")}
+    assert folders == {f"interval_id={p}/block={b}" for p in range(1, 7) for b in range((p * 4 + (p == 1) + 4) // 5)}
+    files = list((tmp_path / "m" / "interval_id=1").rglob("*.txt"))
+    assert len(files) == 1
+    assert files[0].read_text().splitlines() == ["location,0,1,2,3,NA", '"a ""q"", x",0,2,0,0,0', "b,1,0,0,4,7", ",0,0,3,0,0"]
+    back = [line for f in (tmp_path / "m").rglob("*.txt") for line in f.read_text().splitlines()[1:]]
+    assert sum(int(v) for line in back for v in line.rsplit('"')[-1].split(",")[1:]) == sum(r.n for r in counts.collect())
+
+

@@ -96,3 +96,31 @@ def test_union_by_name(spark):
 def test_nested_and_binary_cells_count_in_full(spark):
     df = spark.range(1).selectExpr("array_repeat(1.5D, 100000) as a", "cast(repeat('x', 5000) as binary) as b", "id")
     assert df.select(sizes.row_bytes(df)).first()[0] > 800_000
+
+
+def test_running_total_over_all_rows(spark):
+    import itertools
+    import random
+
+    from trackspark.operators import rows
+
+    rng = random.Random(4)
+    data = [(rng.choice("abc"), rng.randrange(20), rng.choice([None, 1, 5, -2])) for _ in range(500)]
+    df = spark.createDataFrame(data, "k string, t int, n bigint").repartition(7)
+    out = rows.running_total(df, ["k", "t"], "n", "cs")
+    order = sorted(data, key=lambda r: (r[0], r[1], r[2] is None, r[2] or 0))
+    sums = list(itertools.accumulate(n or 0 for *_, n in order))
+    assert sorted((r.k, r.t, r.n is None, r.n or 0, r.cs) for r in out.collect()) == sorted(
+        (k, t, n is None, n or 0, cs) for (k, t, n), cs in zip(order, sums, strict=True)
+    )
+    # Every window is within a partition of the sort.
+    assert "SinglePartition" not in out._jdf.queryExecution().executedPlan().toString()
+    assert rows.running_total(df.limit(0), ["k"], "n", "cs").count() == 0
+
+
+def test_rows_of_a_key_are_numbered_alike_either_way(spark):
+    from trackspark.operators import rows
+
+    df = spark.range(300).select((F.col("id") % 4).alias("k"), F.xxhash64("id").alias("v")).unionByName(spark.sql("SELECT NULL AS k, id AS v FROM range(9)"))
+    few, many = (sorted(map(str, rows.numbered_by_key(df, ["k"], ["v"], "n", most).collect())) for most in (1, 1000))
+    assert few == many

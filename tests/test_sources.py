@@ -48,6 +48,53 @@ def test_no_file_matches(spark, tmp_path):
         csv_files.scan_csv_by_name(spark, str(tmp_path))
 
 
+def jobs_of(spark, group, run):
+    spark.sparkContext.setJobGroup(group, group)
+    out = run()
+    spark.sparkContext.setJobGroup("other", "other")
+    return out, len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+
+
+def test_headers_of_many_files_are_one_catalogue(spark, tmp_path):
+    for i in range(2000):
+        write(tmp_path, f"d {i % 7}+/f{i}.csv", f"a,b\n{i},1\n" if i % 3 else f"b,a\n1,{i}\n")
+    groups, jobs = jobs_of(spark, "many headers", lambda: csv_files.header_groups(spark, str(tmp_path)))
+    assert {h: len(p) for h, p in groups.items()} == {("a", "b"): 1333, ("b", "a"): 667}
+    write(tmp_path / "few", "x.csv", "a,b\n1,1\n")
+    write(tmp_path / "few", "y.csv", "b,a\n1,1\n")
+    _, few = jobs_of(spark, "few headers", lambda: csv_files.header_groups(spark, str(tmp_path / "few")))
+    # Jobs follow the number of headers, not of files.
+    assert jobs <= few + 2
+    out = csv_files.scan_csv_by_name(spark, str(tmp_path), pattern="f*.csv")
+    assert out.count() == 2000 and {r.b for r in out.select("b").distinct().collect()} == {"1"}
+    assert out.agg(F.sum(F.col("a").cast("bigint"))).first()[0] == sum(range(2000))
+
+
+def test_one_header_is_one_scan_of_the_folder(spark, tmp_path):
+    for i in range(30):
+        write(tmp_path, f"s/f{i}.csv", f"a,b\n{i},1\n")
+    write(tmp_path, "s/empty.csv", "")
+    assert csv_files.header_groups(spark, str(tmp_path)) == {("a", "b"): [str(tmp_path)]}
+    assert csv_files.scan_csv_by_name(spark, str(tmp_path)).count() == 30
+
+
+def test_a_big_file_is_read_for_its_first_line_only(spark, tmp_path):
+    write(tmp_path, "big.csv", "a,b\n" + "1,2\n" * 2_000_000)
+    write(tmp_path, "small.csv", "b,a\n1,2\n")
+    lines = csv_files.header_catalogue(spark, str(tmp_path))
+    assert sorted((r.path.rsplit("/", 1)[1], r.line) for r in lines.collect()) == [("big.csv", "a,b"), ("small.csv", "b,a")]
+    assert spark.conf.get("spark.sql.files.openCostInBytes") != str(csv_files.WHOLE_FILES)
+    out = csv_files.scan_csv_by_name(spark, str(tmp_path))
+    assert out.count() == 2_000_001
+
+
+def test_headers_with_line_breaks(spark, tmp_path):
+    write(tmp_path, "a.csv", '"x\none",y\n1,2\n')
+    write(tmp_path, "b.csv", '"x\ntwo",y\n3,4\n')
+    out = csv_files.scan_csv_by_name(spark, str(tmp_path), multi_line=True).drop("_source_file")
+    assert sorted(out.columns) == ["x\none", "x\ntwo", "y"] and out.count() == 2
+
+
 def test_only_wanted_columns_are_read(spark, tmp_path):
     write(tmp_path, "a.csv", "x,y,z\n1,2,3\n")
     out = csv_files.scan_csv_by_name(spark, str(tmp_path), columns=["z"])

@@ -8,6 +8,7 @@ pass is taken, as Spark's zone functions do.
 from __future__ import annotations
 
 import re
+from itertools import pairwise
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -145,36 +146,98 @@ def parse_instant(c: Column, fmt: str, tz: str | None) -> Column:
     return from_wall_clock(parse_clock(c, fmt), tz)
 
 
-def parse_month_day_year(c: Column) -> Column:
-    """Clock reading from month-day-year text with any separators and optional seconds."""
-    shape = (
-        r"^\W*(\d{1,2}|[A-Za-z]{3,9})[\W_]+(\d{1,2})[\W_]+(\d{4}|\d{2})[\W_]+"
-        r"(\d{1,2})[\W_]+(\d{1,2})(?:[\W_]+(\d{1,2}))?\W*$"
-    )
+def text_parts(c: Column) -> Column:
+    """A text cut into numbers, ASCII words, runs of blanks and single other signs, by one regular expression."""
+    return F.regexp_extract_all(c, F.lit(r"(\d+|[A-Za-z]+|\s+|[^\dA-Za-z\s])"), F.lit(1))
 
-    def part(i: int) -> Column:
-        return F.regexp_extract(c, shape, i)
 
-    names = F.array(*[F.lit(m) for m in MONTHS])
-    by_name = F.array_position(names, F.lower(F.substring(part(1), 1, 3))).cast("int")
-    month = F.coalesce(part(1).try_cast("int"), F.nullif(by_name, F.lit(0)))
-    year = part(3).try_cast("int")
-    full_year = (
-        F.when(F.length(part(3)) == 4, year)
-        .when(year + 2000 > LAST_YEAR_OF_2000S, year + 1900)
-        .otherwise(year + 2000)
+def _is_number(part: Column) -> Column:
+    return F.ascii(part).between(ord("0"), ord("9"))
+
+
+def _is_word(part: Column) -> Column:
+    return F.ascii(part).between(ord("A"), ord("Z")) | F.ascii(part).between(ord("a"), ord("z"))
+
+
+def _is_blank(part: Column) -> Column:
+    return F.ascii(part).isin(9, 10, 11, 12, 13, 32)
+
+
+def _format_items(fmt: str) -> list[str] | None:
+    """Directives, blanks (as one) and signs of a format, or None where parts of a text cannot tell them apart."""
+    items = re.findall(r"%.|\s+|.", fmt)
+    fields = [i for i in items if i in DIRECTIVES]
+    plain = all(i in DIRECTIVES or not (i[0] == "%" or i[0].isalnum()) for i in items)
+    apart = not any(a in DIRECTIVES and b in DIRECTIVES for a, b in pairwise(items))
+    year = "%y" in fields or "%Y" in fields
+    return items if plain and apart and year and {"%m", "%d"} <= set(fields) and len(fields) == len(set(fields)) else None
+
+
+def _full_year(year: Column) -> Column:
+    """Year of two digits."""
+    return year + F.when(year + 2000 > LAST_YEAR_OF_2000S, 1900).otherwise(2000)
+
+
+def _by_format(body: Column, items: list[str]) -> Column:
+    """Clock reading of the parts of a text, blanks at its ends removed, that a format reads as a whole."""
+    fits, fields = F.size(body) == len(items), {}
+    for at, item in enumerate(items):
+        part = body[at]
+        if item in DIRECTIVES:
+            longest = 4 if item == "%Y" else 2
+            fits = fits & _is_number(part) & (F.length(part).between(2 if item == "%y" else 1, longest))
+            fields[item] = part.try_cast("int")
+        else:
+            fits = fits & (_is_blank(part) if item.isspace() else part == F.lit(item))
+    year = fields["%Y"] if "%Y" in fields else _full_year(fields["%y"])
+    zero = F.lit(0)
+    clock = [fields.get(d, zero) for d in ("%H", "%M")]
+    second = fields.get("%S", zero).cast("decimal(8,6)")
+    return F.when(fits, F.try_make_timestamp(year, fields["%m"], fields["%d"], *clock, second, F.lit("UTC")))
+
+
+def _month_day_year(c: Column, parts: Column) -> Column:
+    """Clock reading from month-day-year text with any separators and optional seconds; the month may be a name."""
+    solid = F.filter(parts, lambda p: _is_number(p) | _is_word(p))
+    n, first, last = F.size(solid), solid[0], F.element_at(solid, -1)
+    # What stands before the first solid part is separators only, so it is found at its first occurrence.
+    starts = F.call_function("instr", c, first)
+    underscore = F.instr(c, "_")
+    fits = (
+        n.isin(5, 6)
+        & F.when(_is_word(first), F.length(first).between(3, 9)).otherwise(F.length(first) <= 2)
+        # A name is followed by a separator, and no underscore stands at either end.
+        & ~_is_number(F.substring(c, starts + F.length(first), F.lit(1)))
+        & ((underscore == 0) | (underscore > starts))
+        & (F.call_function("instr", F.substring_index(c, "_", -1), last) > 0)
+        & F.forall(F.slice(solid, 2, 5), _is_number)
+        & F.length(solid[2]).isin(2, 4)
     )
-    second = F.coalesce(part(6).try_cast("decimal(8,6)"), F.lit(0).cast("decimal(8,6)"))
-    parsed = F.try_make_timestamp(
-        full_year,
-        month,
-        part(2).try_cast("int"),
-        part(4).try_cast("int"),
-        part(5).try_cast("int"),
-        second,
-        F.lit("UTC"),
+    for at in (1, 3, 4, 5):
+        fits = fits & ((n <= at) | (F.length(F.get(solid, F.lit(at))) <= 2))
+    names = F.array(*[F.lit(m) for m in MONTHS])
+    by_name = F.array_position(names, F.lower(F.substring(first, 1, 3))).cast("int")
+    month = F.coalesce(first.try_cast("int"), F.nullif(by_name, F.lit(0)))
+    year = solid[2].try_cast("int")
+    second = F.coalesce(F.get(solid, F.lit(5)).try_cast("decimal(8,6)"), F.lit(0).cast("decimal(8,6)"))
+    whole = [F.get(solid, F.lit(i)).try_cast("int") for i in (1, 3, 4)]
+    read = F.try_make_timestamp(
+        F.when(F.length(solid[2]) == 4, year).otherwise(_full_year(year)), month, *whole, second, F.lit("UTC")
     )
-    return F.when(c.rlike(shape), parsed)
+    return F.when(fits, read)
+
+
+def mixed_date_of_parts(
+    c: Column, parts: Column, formats: tuple[str, ...] = ("%m/%d/%y %H:%M", "%m/%d/%Y %H:%M"), tz: str | None = "UTC"
+) -> Column:
+    """``mixed_date`` of a text that is cut into ``text_parts`` already: formats are decided on the parts."""
+    lead, tail = (F.coalesce(_is_blank(F.try_element_at(parts, F.lit(i))), F.lit(False)).cast("int") for i in (1, -1))
+    body = F.slice(parts, lead + 1, F.greatest(F.size(parts) - lead - tail, F.lit(0)))
+    attempts = []
+    for fmt in formats:
+        items = _format_items(fmt)
+        attempts.append(parse_clock(c, fmt, whole=True) if items is None else _by_format(body, items))
+    return from_wall_clock(F.coalesce(*attempts, _month_day_year(c, parts)), tz)
 
 
 def mixed_date(
@@ -185,10 +248,9 @@ def mixed_date(
     """Instant from a column mixing several date formats: the first format that reads the whole text wins.
 
     Texts that no format reads as a whole fall back to month-day-year with any separators and optional seconds, so
-    seconds are kept. Texts with anything else behind the date give null.
+    seconds are kept. Texts with anything else behind the date give null. The text is cut into parts once.
     """
-    attempts = [parse_clock(c, f, whole=True) for f in formats] + [parse_month_day_year(c)]
-    return from_wall_clock(F.coalesce(*attempts), tz)
+    return F.element_at(F.transform(F.array(text_parts(c)), lambda parts: mixed_date_of_parts(c, parts, formats, tz)), 1)
 
 
 def serial_to_clock(x: Column) -> Column:

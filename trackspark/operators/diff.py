@@ -5,20 +5,18 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import cached_property
 
-from pyspark.sql import Column, DataFrame, Observation, Window
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from trackspark.functions.text import NUMERIC_TEXT, missing_to_null
 from trackspark.functions.times import clock_seconds_as_utc, relabel_zone
-from trackspark.operators.rows import global_row_number, nulls_last, sortable, top_per_group
-from trackspark.operators.sizes import broadcast_if_small, settled
+from trackspark.operators.rows import KEY_ROWS, global_row_number, numbered_by_key, sortable, top_per_group
+from trackspark.operators.sizes import broadcast_if_small
 from trackspark.session import shared_dir
 
 # Fixed value: numbers closer than this are equal (square root of the double epsilon).
 NUMBER_TOLERANCE = 1.490116119384766e-08
-# Unequal rows of one key that a task may number; more are numbered by a sort over all tasks.
-KEY_ROWS = 1_000_000
 # Copies of a row listed by one array.
 COPIES = 1 << 16
 
@@ -127,20 +125,6 @@ def cancelled(new: DataFrame, old: DataFrame) -> tuple[int, DataFrame]:
     return seen.get["equal"], left
 
 
-def numbered_by_key(df: DataFrame, keys: Sequence[str], order: Sequence[str], name: str, key_rows: int = KEY_ROWS) -> DataFrame:
-    """Number the rows of each key in an order; ``df`` is stored. No task numbers more than ``key_rows`` rows of a key.
-
-    Keys with more rows are numbered by a sort over all tasks, less the first number of their key.
-    """
-    per_key = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    if (per_key.agg(F.max("_n")).first()[0] or 0) <= key_rows:
-        return df.withColumn(name, F.row_number().over(Window.partitionBy(*keys).orderBy(*nulls_last(order or keys))).cast("bigint"))
-    placed = global_row_number(df, [*keys, *order], "_row")
-    first = placed.groupBy(*[F.col(k).alias(f"_f_{k}") for k in keys]).agg(F.min("_row").alias("_first"))
-    same = [F.col(k).eqNullSafe(F.col(f"_f_{k}")) for k in keys]
-    return placed.join(settled(first), same).select(*df.columns, (F.col("_row") - F.col("_first") + 1).alias(name))
-
-
 class Alignment:
     """Rows of two tables brought side by side, by key columns or by position in a given order.
 

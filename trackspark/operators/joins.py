@@ -4,16 +4,26 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from functools import reduce
+from typing import NamedTuple
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from trackspark.functions.times import add_clock_hours
-from trackspark.operators.buckets import bucket_of, day_number, measured_bucket_days
+from trackspark.operators.buckets import LONGEST_DAYS, ROWS_PER_BUCKET, bucket_of, day_number, measured_bucket_days
 from trackspark.operators.rows import keep_first
 from trackspark.operators.sizes import BROADCAST_MB, row_bytes
 
+# Rows listed per time range, and further ones where points are shuffled, before slices get wider than they need to be.
+LISTED, LISTED_FREE = 4, 100_000
+# Ranges more that a point may meet for one look-up less.
+EXTRA = 2.0
+# Right rows of one key and slice that every left row there may meet in an as-of join.
+DENSE = 1_000
+
+
 def lookup_table(spark: SparkSession, mapping: Mapping[str, str], key: str, value: str) -> DataFrame:
     """Two-column table of a mapping held in the configuration.
 
@@ -67,33 +77,109 @@ def tags_lost(before: DataFrame, after: DataFrame) -> DataFrame:
     return before.select("elasmo").distinct().subtract(after.select("elasmo").distinct())
 
 
+def time_unit(c: Column, dtype: T.DataType) -> Column:
+    """Whole seconds of an instant, whole days of a date, since 1970."""
+    return F.unix_date(c).cast("bigint") if isinstance(dtype, T.DateType) else F.unix_seconds(c)
+
+
+class _Level(NamedTuple):
+    """Ranges whose length is at most 2^bits units and above half of it."""
+
+    bits: int
+    n: int
+    busiest: int
+    length: int
+    first: int
+    last: int
+
+
+def slice_levels(levels: Sequence[_Level], free: int = 0) -> dict[int, int]:
+    """For each level the bits of the slice width at which its ranges are listed.
+
+    As a rule a range is listed in slices of its own length, two at most. Long ranges are listed in finer slices as long
+    as the listing stays within ``LISTED`` rows a range and ``free`` further ones, so that points they hold are spread over time. A level
+    joins the next longer one where that brings a point of the busiest key few more ranges, because every width costs a
+    look-up of all points.
+    """
+    rows = sum(v.n for v in levels)
+    budget = LISTED * rows + free
+
+    def listing(cap: int) -> int:
+        return sum(2 * v.n + ((v.length >> cap) if v.bits > cap else 0) for v in levels)
+
+    cap = next(bits for bits in range(64) if listing(bits) <= budget)
+    chosen: dict[int, int] = {}
+    width, extra = None, 0.0
+    for level in sorted(levels, reverse=True):
+        if level.bits >= cap:
+            width = cap
+        else:
+            met = level.busiest * 2.0 ** (width + 1) / (level.last - level.first + 1) if width is not None else 0.0
+            if width is None or extra + met > EXTRA:
+                width, extra = level.bits, 0.0
+            else:
+                extra += met
+        chosen[level.bits] = width
+    return chosen
+
+
 class _Slices:
-    """Time ranges listed once per time slice they touch, for an equi join on (key, slice).
+    """Time ranges listed once per slice of time they touch, for an equi join on (key, slice width, slice).
 
-    A busy key is thereby spread over time, and a point only meets ranges near it; a point lies in
-    one slice, hence no duplicates. One aggregate over the ranges sets the slice width (at most
-    about three slices per range on average) and measures their size.
+    The widths are powers of two of seconds (or days), those of ``slice_levels``: a point looks up one slice of each
+    width and meets ranges near it only, however the lengths are mixed. A range has one width and a point
+    lies in one slice of it, hence no duplicates. One aggregate over the ranges gives the widths and the size of the listing.
     """
 
-    def __init__(self, ranges: DataFrame, first_day: Column, last_day: Column, broadcast_mb: int):
-        size = ranges.agg(
+    def __init__(self, ranges: DataFrame, keys: Sequence[str], first: Column, last: Column, broadcast_mb: int, free: int = 0):
+        bits = F.ceil(F.log2(last - first + 1)).cast("int")
+        sized = ranges.select(*keys, bits.alias("_bits"), first.alias("_first"), last.alias("_last"), row_bytes(ranges).alias("_bytes"))
+        per_key = sized.groupBy(*keys, "_bits").agg(
             F.count(F.lit(1)).alias("n"),
-            F.coalesce(F.sum((last_day - first_day + 1).cast("bigint")), F.lit(0)).alias("days"),
-            F.coalesce(F.max(row_bytes(ranges)), F.lit(0)).alias("row_bytes"),
-        ).first()
-        self.days = max(1, -(-size["days"] // max(1, size["n"])))
-        self.small = 3 * size["n"] * size["row_bytes"] <= broadcast_mb * 1024 * 1024
-        touched = F.sequence(self.of(first_day), self.of(last_day))
-        self.ranges = ranges.withColumn("_slice", F.explode(touched))
-
-    def of(self, day: Column) -> Column:
-        return F.floor(day / self.days)
+            F.sum((F.col("_last") - F.col("_first") + 1).cast("decimal(38,0)")).alias("length"),
+            F.min("_first").alias("first"),
+            F.max("_last").alias("last"),
+            F.max("_bytes").alias("bytes"),
+        )
+        found = per_key.groupBy("_bits").agg(
+            F.sum("n").alias("n"), F.max("n").alias("busiest"), F.sum("length").alias("length"), F.min("first").alias("first"), F.max("last").alias("last"), F.max("bytes").alias("bytes")
+        )
+        # One row per power of two.
+        rows = found.collect()
+        levels = [_Level(r["_bits"], r.n, r.busiest, int(r.length), r.first, r.last) for r in rows]
+        chosen = slice_levels(levels, free) if levels else {0: 0}
+        self.widths = sorted(set(chosen.values()))
+        listed = sum(2 * v.n + ((v.length >> chosen[v.bits]) if v.bits > chosen[v.bits] else 0) for v in levels)
+        self.small = listed * max((r.bytes for r in rows), default=0) <= broadcast_mb * 1024 * 1024
+        width = F.element_at(F.create_map(*[F.lit(x) for pair in chosen.items() for x in pair]), bits)
+        self.ranges = ranges.withColumn("_width", width).withColumn(
+            "_slice", F.explode(F.sequence(F.call_function("shiftright", first, F.col("_width")), F.call_function("shiftright", last, F.col("_width"))))
+        )
+
+    def looked_up(self, points: DataFrame, at: Column) -> DataFrame:
+        """Each point once per slice width; points without a time go."""
+        slices = F.array(*[F.struct(F.lit(w).alias("_width"), F.shiftright(at, w).alias("_slice")) for w in self.widths])
+        return points.where(at.isNotNull()).select("*", F.inline(slices))
 
     def side(self) -> DataFrame:
         """The right side of the join, hinted for broadcast when measured small."""
         return F.broadcast(self.ranges) if self.small else self.ranges
 
 
+def _sliced(
+    points: DataFrame, ranges: DataFrame, keys: Sequence[str], at: Column, first: Column, last: Column, broadcast_mb: int
+) -> _Slices:
+    """The listing of the ranges. One that is too big to broadcast is cut to the extent of the points, so that all its
+    slices lie where there are points and spread them."""
+    slices = _Slices(ranges, keys, first, last, broadcast_mb)
+    if slices.small:
+        return slices
+    lo, hi = points.agg(F.min(at), F.max(at)).first()
+    if lo is None:
+        return slices
+    return _Slices(ranges.where((last >= lo) & (first <= hi)), keys, F.greatest(first, F.lit(lo)), F.least(last, F.lit(hi)), broadcast_mb, LISTED_FREE)
+
+
 def interval_join(
     points: DataFrame,
     intervals: DataFrame,
@@ -108,14 +194,15 @@ def interval_join(
     Overlapping intervals multiply rows; an interval with an open or inverted range matches
     nothing; null keys match nothing. Columns of ``intervals`` other than the key are added.
 
-    The join is an equi join on (key, time slice) with the exact range as residual. The intervals
+    The join is an equi join on (key, slice width, time slice) with the exact range as residual. The intervals
     are broadcast only when measured below ``broadcast_mb``, otherwise both sides shuffle.
     """
     usable = intervals.where(F.col(start) <= F.col(end)).dropna(subset=list(on))
     dtype = points.schema[point].dataType
-    slices = _Slices(usable, day_number(F.col(start), dtype), day_number(F.col(end), dtype), broadcast_mb)
-    keyed = points.withColumn("_slice", slices.of(day_number(F.col(point), dtype)))
-    joined = keyed.join(slices.side(), [*on, "_slice"], "inner")
+    at = time_unit(F.col(point), dtype)
+    slices = _sliced(points, usable, on, at, time_unit(F.col(start), dtype), time_unit(F.col(end), dtype), broadcast_mb)
+    keyed = slices.looked_up(points, at)
+    joined = keyed.join(slices.side(), [*on, "_width", "_slice"], "inner")
     out = [*points.columns, *[c for c in intervals.columns if c not in points.columns]]
     return joined.where(F.col(point).between(F.col(start), F.col(end))).select(*out)
 
@@ -142,22 +229,46 @@ def asof_join(
     Left rows without an earlier right row stay, with nulls. Null keys match each other. Of right
     rows of one key and time the greatest by the other columns counts. Nulls inside a matched row are kept.
 
-    A right side measured below ``broadcast_mb`` is broadcast, and the left side is not shuffled.
-    Otherwise (or when ``bucket_days`` is given, which skips measuring) both sides are stacked and
-    read by a window per key and time bucket.
+    The right side is counted per key and day first. Where it is small and no day is crowded it is
+    broadcast, and the left side is not shuffled. Otherwise (or when ``bucket_days`` is given, which skips measuring) both
+    sides are stacked and read by a window per key and time bucket, a bucket so short that neither side crowds it.
     """
     kinds = left.schema[left_time].dataType, right.schema[right_time].dataType
     if kinds[0] != kinds[1]:
         raise TypeError(f"{left_time} is {kinds[0].simpleString()}, {right_time} is {kinds[1].simpleString()}")
     dated = _one_per_time(right.where(F.col(right_time).isNotNull()), [*by, right_time])
     if bucket_days is None:
-        found = _asof_slices(left, dated, by, left_time, right_time, broadcast_mb)
-        if found is not None:
-            return found
-        bucket_days = measured_bucket_days(left, by, left_time)
+        shape = _RightSide(dated, by, right_time)
+        if shape.broadcast_days(broadcast_mb):
+            return _asof_slices(left, dated, by, left_time, right_time, shape, shape.broadcast_days(broadcast_mb))
+        bucket_days = min(measured_bucket_days(left, by, left_time), ROWS_PER_BUCKET / max(1, shape.busiest), LONGEST_DAYS)
     return _asof_stacked(left, dated, by, left_time, right_time, bucket_days)
 
 
+class _RightSide:
+    """Size and crowding of the right side of an as-of join, from one aggregate per (key, day)."""
+
+    def __init__(self, right: DataFrame, by: Sequence[str], time: str):
+        day = day_number(F.col(time), right.schema[time].dataType)
+        daily = right.groupBy(*by, day.alias("_day")).agg(F.count(F.lit(1)).alias("n"), F.max(row_bytes(right)).alias("bytes"))
+        per_key = daily.groupBy(*by).agg(F.sum("n").alias("n"), F.max("n").alias("busiest"), F.max("bytes").alias("bytes"), F.min("_day").alias("first"), F.max("_day").alias("last"))
+        row = per_key.agg(
+            F.count(F.lit(1)).alias("keys"), F.sum("n").alias("n"), F.max("busiest").alias("busiest"), F.max("bytes").alias("bytes"), F.max("last").alias("last"), F.sum("first").alias("firsts")
+        ).first()
+        self.rows, self.busiest, self.bytes, self.last_day = row.n or 0, row.busiest or 0, row.bytes or 0, row["last"] or 0
+        # Days from each key's first right row to the last day of all.
+        self.days = row["keys"] * self.last_day - (row.firsts or 0) + row["keys"]
+
+    def broadcast_days(self, megabytes: int) -> int | None:
+        """Slice width in days at which the listed right side is small, or None."""
+        if self.busiest > DENSE:
+            return None
+        width = max(1, -(-self.days // max(1, self.rows)))
+        width = min(width, max(1, DENSE // max(1, self.busiest)))
+        listed = self.rows + self.days // width + 1
+        return width if listed * self.bytes <= megabytes * 1024 * 1024 else None
+
+
 def _one_per_time(right: DataFrame, keys: Sequence[str]) -> DataFrame:
     payload = [c for c in right.columns if c not in keys]
     if not payload:
@@ -166,16 +277,13 @@ def _one_per_time(right: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def _asof_slices(
-    left: DataFrame, right: DataFrame, by: Sequence[str], left_time: str, right_time: str, broadcast_mb: int
-) -> DataFrame | None:
-    """As-of join as a range join: a right row holds until the next of its key; None if too big.
+    left: DataFrame, right: DataFrame, by: Sequence[str], left_time: str, right_time: str, shape: _RightSide, days: int
+) -> DataFrame:
+    """As-of join as a range join to a small right side: a right row holds until the next of its key.
 
     Open ends are listed up to the last slice of the table, where later left rows look them up.
     """
     dtype = left.schema[left_time].dataType
-    last_day = right.agg(F.max(day_number(F.col(right_time), dtype))).first()[0]
-    if last_day is None:
-        last_day = 0
     payload = [c for c in right.columns if c not in (*by, right_time)]
     following = F.lead(right_time).over(Window.partitionBy(*by).orderBy(right_time))
     held = right.select(
@@ -184,18 +292,19 @@ def _asof_slices(
         following.alias("_until"),
         *[F.col(c).alias(f"_p_{c}") for c in payload],
     )
-    until = F.coalesce(day_number(F.col("_until"), dtype), F.lit(last_day))
-    slices = _Slices(held, day_number(F.col("_from"), dtype), until, broadcast_mb)
-    if not slices.small:
-        return None
-    side = slices.side().withColumnRenamed("_slice", "_r_slice")
+
+    def place(day: Column) -> Column:
+        return F.floor(day / F.lit(days))
+
+    until = F.coalesce(day_number(F.col("_until"), dtype), F.lit(shape.last_day))
+    touched = F.sequence(place(day_number(F.col("_from"), dtype)), place(until))
+    side = F.broadcast(held.withColumn("_r_slice", F.explode(touched)))
     time = F.col(left_time)
-    place = slices.of(F.least(day_number(time, dtype), F.lit(last_day)))
     conditions = [F.col(c).eqNullSafe(F.col(f"_r_{c}")) for c in by]
     conditions += [F.col("_slice") == F.col("_r_slice"), F.col("_from") <= time]
     conditions.append(F.coalesce(time < F.col("_until"), F.lit(True)))
     return (
-        left.withColumn("_slice", F.when(time.isNotNull(), place))
+        left.withColumn("_slice", F.when(time.isNotNull(), place(F.least(day_number(time, dtype), F.lit(shape.last_day)))))
         .join(side, conditions, "left")
         .select(*left.columns, *[F.col(f"_p_{c}").alias(c) for c in payload])
     )

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from trackspark.functions.times import first_of_month, year_month
 from trackspark.operators.joins import asof_join
+from trackspark.operators.rows import running_total
 
 
 def active_tags(det: DataFrame, ind: DataFrame, tz: str | None = "UTC") -> DataFrame:
@@ -33,7 +34,7 @@ def deployed_tags(ind: DataFrame, det: DataFrame, tz: str | None = "UTC", scope:
     """Running number of tags deployed by month, counting tags that were detected.
 
     ``scope="species"`` restarts the running total per species; ``"global"`` runs it over all
-    rows in (species, month) order.
+    rows in (species, month) order, as prefix sums of a sorted table.
     """
     if scope not in ("species", "global"):
         raise ValueError("scope must be 'species' or 'global'")
@@ -43,12 +44,9 @@ def deployed_tags(ind: DataFrame, det: DataFrame, tz: str | None = "UTC", scope:
         .groupBy("species", year_month(F.col("tagging_datetime"), tz).alias("date_tagged"))
         .agg(F.count_distinct("acoustic_tag_id").alias("_n"))
     )
-    # One row per species and month by now; the global form numbers those few rows in one task.
-    order = [F.col("date_tagged").asc_nulls_last()]
-    if scope == "species":
-        upto = Window.partitionBy("species").orderBy(*order)
-    else:
-        upto = Window.orderBy(F.col("species").asc_nulls_last(), *order)
+    if scope == "global":
+        return running_total(counts, ["species", "date_tagged"], "_n", "cs").select("species", "date_tagged", "cs")
+    upto = Window.partitionBy("species").orderBy(F.col("date_tagged").asc_nulls_last())
     upto = upto.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     return counts.select("species", "date_tagged", F.sum("_n").over(upto).alias("cs"))
 

@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from trackspark.functions.times import clock_text, days_between, hours_between, local_date
+from trackspark.operators.rows import numbered_by_key
 from trackspark.operators.sizes import settled
+from trackspark.session import shared_dir
 from trackspark.sources.checks import require_columns
+from trackspark.sources.csv_files import CSV_DIALECT
 
 # Tags of a block of matrix columns.
 BLOCK_COLUMNS = 1_000
@@ -103,40 +106,83 @@ def count_lists(counts: DataFrame, group: str = "location") -> DataFrame:
     return counts.groupBy(*period, group).agg(F.sort_array(F.collect_list(F.struct("elasmo", "n"))).alias("counts"))
 
 
-def matrix_blocks(
-    counts: DataFrame, group: str = "location", width: int = BLOCK_COLUMNS
-) -> Iterator[tuple[int | None, int, DataFrame]]:
-    """The wide matrix of each period over that period's tags, in blocks of at most ``width`` columns.
+def tag_blocks(counts: DataFrame, width: int = BLOCK_COLUMNS) -> DataFrame:
+    """(interval_id, block, elasmo, place): the tags of each period in blocks of at most ``width`` columns, place from 0.
 
-    Yields (period, number of the block, matrix with a row for every group of the period). Tags are numbered on
-    Spark and come to the driver one block at a time; ``counts`` is the long form, best read from where it is stored.
+    Tags stand in numeric order, a missing tag last. ``counts`` is the long form, best read from where it is stored.
     """
-    period = ["interval_id"] if "interval_id" in counts.columns else []
-    tags = counts.select(*period, "elasmo").distinct()
-    per_period = Window.partitionBy(*period).orderBy(F.col("elasmo").asc_nulls_last())
-    placed = tags.withColumn("_block", F.floor((F.row_number().over(per_period) - 1) / width).cast("int"))
-    ids = F.sort_array(F.collect_list(F.struct(F.isnull("elasmo").alias("last"), "elasmo"))).alias("ids")
-    blocks = placed.groupBy(*period, "_block").agg(ids).orderBy(*period, "_block")
-    for row in blocks.toLocalIterator():
-        rows = counts
-        if period:
-            rows = counts.where(F.col("interval_id").eqNullSafe(F.lit(row["interval_id"]))).drop("interval_id")
-        names = ["NA" if x.elasmo is None else str(x.elasmo) for x in row.ids]
-        # Tags of other blocks keep their groups' rows and fill no column.
-        keyed = rows.select(group, F.coalesce(F.col("elasmo").cast("string"), F.lit("NA")).alias("elasmo"), "n")
-        wide = keyed.groupBy(group).pivot("elasmo", names).agg(F.sum("n")).na.fill(0, subset=names)
-        yield (row["interval_id"] if period else None), row["_block"], wide
+    shared_dir(counts.sparkSession)
+    tags = counts.select("interval_id", "elasmo").distinct().withColumn("_missing", F.isnull("elasmo")).checkpoint()
+    placed = numbered_by_key(tags, ["interval_id"], ["_missing", "elasmo"], "_n")
+    at = F.col("_n") - 1
+    return placed.select("interval_id", F.floor(at / width).cast("int").alias("block"), "elasmo", (at % width).cast("int").alias("place"))
+
+
+def matrix_rows(counts: DataFrame, group: str = "location", width: int = BLOCK_COLUMNS) -> DataFrame:
+    """The wide matrices of all periods as rows (interval_id, block, group, tags, counts): one per period, block and group.
+
+    ``tags`` names the columns of the block, the same in all its rows; ``counts`` holds a number for each, 0 where the
+    group did not detect the tag. A row holds at most ``width`` numbers, and all periods and blocks come from the same few
+    shuffles, however many there are. Counts without periods are one period, ``all``.
+    """
+    if "interval_id" not in counts.columns:
+        counts = counts.withColumn("interval_id", F.lit("all"))
+    blocks = settled(tag_blocks(counts, width))
+    name = F.coalesce(F.col("elasmo").cast("string"), F.lit("NA"))
+    heads = blocks.groupBy("interval_id", "block").agg(F.sort_array(F.collect_list(F.struct("place", name.alias("name")))).alias("_tags"))
+    heads = settled(heads.select(F.col("interval_id").alias("_h_period"), "block", F.col("_tags.name").alias("tags")))
+    keys = ["interval_id", "block", group]
+
+    def same(prefix: str, names: list[str]) -> list[Column]:
+        return [F.col(c).eqNullSafe(F.col(f"{prefix}{c}")) for c in names]
+
+    placed = blocks.select(F.col("interval_id").alias("_b_interval_id"), F.col("elasmo").alias("_b_elasmo"), "block", "place")
+    cells = counts.join(placed, same("_b_", ["interval_id", "elasmo"])).groupBy(*keys)
+    cells = cells.agg(F.map_from_entries(F.collect_list(F.struct("place", "n"))).alias("_cells"))
+    found = cells.select(*[F.col(c).alias(f"_c_{c}") for c in keys], "_cells")
+    # Every group of a period has a row in each of the period's blocks: that is the size of the result.
+    every = counts.select("interval_id", group).distinct().join(heads, F.col("interval_id").eqNullSafe(F.col("_h_period")))
+    none = F.lit(0).cast("bigint")
+    filled = F.transform(F.sequence(F.lit(0), F.size("tags") - 1), lambda i: F.coalesce(F.try_element_at(F.col("_cells"), i), none))
+    return every.join(found, same("_c_", keys), "left").select(*keys, "tags", filled.alias("counts"))
+
+
+def matrix_lines(rows: DataFrame, group: str = "location") -> DataFrame:
+    """``matrix_rows`` as CSV lines (interval_id, block, line), ready to be written by period and block.
+
+    The heading of a block is its first line; rows follow by group, a missing group last. Each block of a period
+    is gathered in one place, so that it is one file; its size is that of the matrix.
+    """
+    dialect = {**CSV_DIALECT, "nullValue": "", "emptyValue": ""}
+
+    def line(first: Column, rest: Column) -> Column:
+        return F.concat_ws(",", F.to_csv(F.struct(F.coalesce(first, F.lit("")).alias("c")), dialect), rest)
+
+    keys = ["interval_id", "block"]
+    head = rows.select(*keys, "tags").dropDuplicates(keys).select(
+        *keys, F.lit(0).alias("_at"), F.lit(None).cast("string").alias("_group"), line(F.lit(group), F.array_join("tags", ",")).alias("line")
+    )
+    body = rows.select(
+        *keys,
+        F.when(F.isnull(group), 2).otherwise(1).alias("_at"),
+        F.col(group).cast("string").alias("_group"),
+        line(F.col(group).cast("string"), F.array_join(F.col("counts").cast("array<string>"), ",")).alias("line"),
+    )
+    placed = head.unionAll(body).repartition(*keys)
+    return placed.sortWithinPartitions(*keys, "_at", "_group").select(*keys, "line")
 
 
 def detection_matrix(det: DataFrame, group_by_agency: bool = False, ids: Sequence[int] | None = None) -> DataFrame:
     """Location (or agency) by tag matrix of counts, empty cells 0, tags in numeric order.
 
     The tag ids become columns, so they must be known when the query is built: pass them or let
-    them be listed. ``count_lists`` and ``matrix_blocks`` serve any number of tags.
+    them be listed, ``BLOCK_COLUMNS`` at most. ``count_lists`` and ``matrix_rows`` serve any number of tags.
     """
     group = "agency" if group_by_agency else "location"
     if ids is None:
-        listed = det.select("elasmo").distinct().collect()
+        listed = det.select("elasmo").distinct().limit(BLOCK_COLUMNS + 1).collect()
+        if len(listed) > BLOCK_COLUMNS:
+            raise ValueError(f"more than {BLOCK_COLUMNS} tags: pass ids, or use matrix_rows")
         ids = sorted((r[0] for r in listed), key=lambda v: (v is None, v))
     names = ["NA" if v is None else str(v) for v in ids]
     period = ["interval_id"] if "interval_id" in det.columns else []

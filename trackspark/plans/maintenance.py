@@ -21,13 +21,17 @@ def run_date_conversion(
     output_format: str = "parquet",
     tz: str = "UTC",
 ) -> DataFrame:
-    """Convert the date column of a file, write it in the chosen format, return the statistics."""
+    """Convert the date column of a file, write it in the chosen format, return the statistics.
+
+    The file is read once: the pass that writes counts what it could not read.
+    """
     if output_format not in ("csv", "parquet"):
         raise ValueError("output_format must be 'csv' or 'parquet'")
     converted = quality.convert_dates(load_table(spark, source), column, formats, tz)
     path = f"{posixpath.splitext(target)[0]}.{output_format}"
+    converted, seen = quality.observed_conversion(converted, column)
     save_table(converted, path, output_format, column, tz)
-    return quality.conversion_stats(converted, column)
+    return quality.conversion_stats_of(spark, seen.get["total"], seen.get["failed"])
 
 
 class Comparison:

@@ -55,7 +55,7 @@ def run_summary(
 ) -> SummaryReport:
     """Write period breakpoints, summaries and matrices as CSV, one folder per period.
 
-    A matrix has the tags of its period, in blocks of columns where there are many. The detections kept go to
+    A matrix has the tags of its period, in blocks of columns where there are many; one write makes them all. The detections kept go to
     ``det_cleaned_season`` beside the input tables, where the residency job looks for them.
     """
     t = read_tables(spark, folder, ["ind"])
@@ -70,13 +70,16 @@ def run_summary(
     group = "agency" if config.by_agency else "location"
     write_tables({"counts_ind_location": report.counts}, out_folder)
     counts = spark.read.parquet(posixpath.join(out_folder, "counts_ind_location"))
-    for period, block, matrix in summary.matrix_blocks(counts, group, config.matrix_width):
-        place = "interval_id=all" if period is None else f"interval_id={period}"
-        path = posixpath.join(out_folder, "matrix_ind_location", place, f"block={block}")
-        save_period_csv(matrix, path, order_by=[group])
+    save_matrices(counts, posixpath.join(out_folder, "matrix_ind_location"), group, config.matrix_width)
     return report
 
 
+def save_matrices(counts: DataFrame, path: str, group: str, width: int = summary.BLOCK_COLUMNS) -> None:
+    """The matrices of all periods as CSV, a folder per period and block of columns, in one write."""
+    lines = summary.matrix_lines(summary.matrix_rows(counts, group, width), group)
+    lines.write.mode("overwrite").partitionBy("interval_id", "block").text(path)
+
+
 def receiver_activity(
     det: DataFrame,
     vmov: DataFrame,
