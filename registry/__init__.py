@@ -1,8 +1,8 @@
 """Registered queries: every operator bound to the given tables, with the SQL that must agree."""
 
-from registry import detections, ingest, reports, versions
+from registry import detections, ingest, inputs, reports, versions
 
-MODULES = (detections, ingest, reports, versions)
+MODULES = (detections, ingest, inputs, reports, versions)
 
 
 def all_queries():

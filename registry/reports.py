@@ -20,7 +20,7 @@ from registry.bindings import (
     vmov_long,
     with_tables,
 )
-from trackspark.operators import activity, residency, summary, timeline
+from trackspark.operators import activity, residency, rollup, summary, timeline
 from trackspark.operators.periods import TimeGrid, assign_period, period_table, time_window
 from trackspark.plans import reports
 
@@ -63,7 +63,28 @@ def summarised(min_days=None):
     return run
 
 
-def summary_sql(min_days: int = 0) -> str:
+def rolled_up(full):
+    """Summaries read from the monthly roll-up: of each month, or of all time."""
+
+    def run(spark, d):
+        return reports.rollup_summaries(rollup.monthly_rollup(det(spark, d), TZ), ind(spark, d), TZ)[full]
+
+    return run
+
+
+def rolled_up_totals(spark, d):
+    """Totals over the middle two of five years, merged from months."""
+    rolled = rollup.monthly_rollup(det_years(spark, d).withColumn("location", (F.col("event_id") % 7).cast("string")), TZ)
+    return shown(rollup.totals_of_rollup(rolled, ("1995-01", "1996-12")).drop("difd", "difh"))
+
+
+def active_by_quarter(spark, d):
+    rolled = rollup.monthly_rollup(det_years(spark, d).withColumn("location", F.lit("x")))
+    quarter = F.concat(F.substring("ym", 1, 4), F.lit("Q"), F.quarter(F.to_date(F.concat("ym", F.lit("-01")))).cast("string"))
+    return rollup.merged_tags(rollup.tag_bitmaps(rolled, ind_years(spark, d)), quarter)
+
+
+def summary_sql(min_days: int = 0, period: str = PERIOD_ID) -> str:
     return with_tables(
         f"""SELECT interval_id, acoustic_tag_id AS id, species, strftime({local('tagging_datetime')}, '%Y-%m-%d %H:%M')
         AS date_tagged, sex, round_even(pcl, 2) AS pcl, round_even(fl, 2) AS fl, round_even(tl, 2) AS tl, stl,
@@ -75,7 +96,7 @@ def summary_sql(min_days: int = 0) -> str:
               FROM ind JOIN totals ON acoustic_tag_id = elasmo) WHERE days >= {min_days}""",
         "det",
         "ind",
-        f"""totals AS (SELECT {PERIOD_ID} AS interval_id, elasmo, count(*) AS n, min(time) AS lo, max(time) AS hi,
+        f"""totals AS (SELECT {period} AS interval_id, elasmo, count(*) AS n, min(time) AS lo, max(time) AS hi,
         count(DISTINCT location) AS stations, count(DISTINCT CAST({local('time')} AS DATE)) AS days FROM det GROUP BY 1, 2)""",
     )
 
@@ -373,6 +394,26 @@ QUERIES = {
     ),
     "individual_summary": (summarised(), summary_sql()),
     "individual_summary_min_days": (summarised(22), summary_sql(22)),
+    "rollup_summary_monthly": (rolled_up(0), summary_sql()),
+    "rollup_summary_full": (rolled_up(1), summary_sql(period="CAST(1 AS INTEGER)")),
+    "rollup_totals": (
+        rolled_up_totals,
+        with_tables(
+            f"""SELECT elasmo, count(*) AS total_detection, min(time) AS mintime, max(time) AS maxtime,
+            count(DISTINCT event_id % 7) AS nbrstation, count(DISTINCT CAST({local('time')} AS DATE)) AS nbrday
+            FROM det WHERE year({local('time')}) IN (1995, 1996) GROUP BY elasmo""",
+            "det_years",
+        ),
+    ),
+    "rollup_active_tags_quarterly": (
+        active_by_quarter,
+        with_tables(
+            """SELECT species, year(time) || 'Q' || quarter(time) AS period, count(DISTINCT elasmo) AS active_count
+            FROM det JOIN ind ON elasmo = acoustic_tag_id GROUP BY 1, 2""",
+            "det_years",
+            "ind_years",
+        ),
+    ),
     "detections_min_days": (
         kept_by_days,
         with_tables(

@@ -1,8 +1,12 @@
+import random
+from datetime import timedelta
+
 import pytest
 from conftest import bag
 from pyspark.sql import functions as F
 
-from trackspark.operators import activity, residency, summary, timeline
+from trackspark.operators import activity, residency, rollup, summary, timeline
+from trackspark.operators.periods import assign_period
 from trackspark.plans import reports
 
 DET = "elasmo bigint, location string, agency string, station string, time timestamp"
@@ -271,3 +275,26 @@ def test_all_matrices_are_one_write(spark, tmp_path):
     assert sum(int(v) for line in back for v in line.rsplit('"')[-1].split(",")[1:]) == sum(r.n for r in counts.collect())
 
 
+
+
+def test_rollup_merges_to_the_totals_of_detections(spark, ts):
+    rng = random.Random(6)
+    rows = [
+        (rng.choice([1, 2, None]), rng.choice(["a", "b", None]), None if i % 40 == 0 else ts("2024-01-30") + timedelta(hours=rng.randrange(24 * 70)))
+        for i in range(400)
+    ]
+    det = spark.createDataFrame(rows, "elasmo bigint, location string, time timestamp")
+    rolled = rollup.monthly_rollup(det, "US/Eastern")
+    assert bag(rollup.totals_of_rollup(rolled).select(*summary.detection_totals(det).columns)) == bag(summary.detection_totals(det, "US/Eastern"))
+    dated = det.where("time is not null")
+    monthly = assign_period(dated, monthly=True, tz="US/Eastern")
+    want = summary.detection_totals(monthly, "US/Eastern")
+    assert bag(rollup.totals_of_rollup(rollup.with_month_number(rolled)).select(*want.columns)) == bag(want)
+
+
+def test_tags_of_any_months_merge(spark):
+    rolled = spark.createDataFrame([(1, "2024-01"), (1, "2024-02"), (40_000, "2024-02"), (-7, "2024-03"), (1, "2024-03"), (9, "2024-03")], "elasmo bigint, ym string")
+    ind = spark.createDataFrame([(1, "s"), (40_000, "s"), (-7, "s"), (9, "t")], "acoustic_tag_id bigint, species string")
+    bitmaps = rollup.tag_bitmaps(rolled, ind)
+    assert bag(rollup.merged_tags(bitmaps, F.col("ym"))) == [("s", "2024-01", 1), ("s", "2024-02", 2), ("s", "2024-03", 2), ("t", "2024-03", 1)]
+    assert bag(rollup.merged_tags(bitmaps, F.lit("all"))) == [("s", "all", 3), ("t", "all", 1)]

@@ -185,3 +185,55 @@ def test_checks(spark):
     for bad in ("a", [1]):
         with pytest.raises(ValueError):
             checks.require_list("x", bad)
+
+
+def rows_of(spark, folder, name):
+    return bag(tables.read_table(spark, str(folder), name).select("time", "elasmo", "date"))
+
+
+def test_a_failed_write_leaves_the_old_tables(spark, tmp_path, ts):
+    old = spark.createDataFrame([(ts("2024-01-01"), 1)], "time timestamp, elasmo bigint")
+    tables.write_tables({"det_x": old, "other": old}, str(tmp_path))
+    broken = old.withColumn("elasmo", F.raise_error(F.lit("stop")).cast("bigint"))
+    with pytest.raises(Exception, match="stop"):
+        tables.write_tables({"det_x": old.withColumn("elasmo", F.lit(2).cast("bigint")), "other": broken}, str(tmp_path))
+    # Neither table changed, and nothing lies about.
+    assert rows_of(spark, tmp_path, "det_x") == [("2024-01-01 00:00:00", 1, date(2024, 1, 1))]
+    assert spark.read.parquet(str(tmp_path / "other")).count() == 1
+    assert sorted(p.name for p in tmp_path.iterdir() if not p.name.startswith(".")) == ["det_x", "other"]
+
+
+def test_a_table_can_be_computed_from_itself(spark, tmp_path):
+    for _ in range(3):
+        path = tmp_path / "t"
+        rows = spark.read.parquet(str(path)) if path.exists() else spark.range(1)
+        tables.write_tables({"t": rows.unionAll(rows)}, str(tmp_path))
+    assert spark.read.parquet(str(tmp_path / "t")).count() == 8
+
+
+def test_only_the_given_days_are_replaced(spark, tmp_path, ts):
+    def det(*rows):
+        return spark.createDataFrame([(ts(t), n) for t, n in rows], "time timestamp, elasmo bigint")
+
+    tables.write_tables({"det_x": det(("2024-01-01", 1), ("2024-01-02", 2), ("2024-01-03", 3))}, str(tmp_path))
+    before = {f for f in (tmp_path / "det_x" / "date=2024-01-01").iterdir()}
+    # Rows of other days are not written, a day without rows goes.
+    change = det(("2024-01-02", 20), ("2024-01-05", 50), ("2024-01-01", 9))
+    tables.write_days(change, str(tmp_path), "det_x", [date(2024, 1, 2), date(2024, 1, 3), date(2024, 1, 5)])
+    assert [r[1] for r in rows_of(spark, tmp_path, "det_x")] == [1, 20, 50]
+    assert {f for f in (tmp_path / "det_x" / "date=2024-01-01").iterdir()} == before
+    assert not [p for p in (tmp_path / "det_x").iterdir() if p.name.startswith("_old") or p.name.startswith("_new")]
+    assert bag(tables.read_days(spark, str(tmp_path), "det_x", [date(2024, 1, 5)]).select("elasmo")) == [(50,)]
+
+
+def test_rules_are_one_aggregate(spark, tmp_path):
+    df = spark.createDataFrame([(1, "a"), (None, " "), (3, None)], "elasmo bigint, location string")
+    report = checks.rule_report(df, checks.DETECTION_RULES, {"elasmo": "bigint", "time": "timestamp"})
+    assert [tuple(r) for r in report.collect()] == [
+        ("elasmo is bigint", 0), ("time is timestamp", 1), ("a detection has a time", None), ("a detection has a tag", 1), ("a detection has a location", 2),
+    ]
+    assert report._jdf.queryExecution().optimizedPlan().toString().count("Aggregate") == 1
+    paths = checks.path_report(spark, {"here": str(tmp_path), "gone": str(tmp_path / "x")})
+    assert bag(paths) == [("gone exists", 1), ("here exists", 0)]
+    write(tmp_path, "a.csv", "x")
+    assert bag(checks.pattern_report(spark, str(tmp_path), ["*.csv", "*.gz"])) == [("a file matches *.csv", 0), ("a file matches *.gz", 1)]

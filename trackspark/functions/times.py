@@ -182,7 +182,7 @@ def _by_format(body: Column, items: list[str]) -> Column:
     """Clock reading of the parts of a text, blanks at its ends removed, that a format reads as a whole."""
     fits, fields = F.size(body) == len(items), {}
     for at, item in enumerate(items):
-        part = body[at]
+        part = F.get(body, F.lit(at))
         if item in DIRECTIVES:
             longest = 4 if item == "%Y" else 2
             fits = fits & _is_number(part) & (F.length(part).between(2 if item == "%y" else 1, longest))
@@ -199,7 +199,8 @@ def _by_format(body: Column, items: list[str]) -> Column:
 def _month_day_year(c: Column, parts: Column) -> Column:
     """Clock reading from month-day-year text with any separators and optional seconds; the month may be a name."""
     solid = F.filter(parts, lambda p: _is_number(p) | _is_word(p))
-    n, first, last = F.size(solid), solid[0], F.element_at(solid, -1)
+    n, first, last = F.size(solid), F.get(solid, F.lit(0)), F.try_element_at(solid, F.lit(-1))
+    third = F.get(solid, F.lit(2))
     # What stands before the first solid part is separators only, so it is found at its first occurrence.
     starts = F.call_function("instr", c, first)
     underscore = F.instr(c, "_")
@@ -211,18 +212,18 @@ def _month_day_year(c: Column, parts: Column) -> Column:
         & ((underscore == 0) | (underscore > starts))
         & (F.call_function("instr", F.substring_index(c, "_", -1), last) > 0)
         & F.forall(F.slice(solid, 2, 5), _is_number)
-        & F.length(solid[2]).isin(2, 4)
+        & F.length(third).isin(2, 4)
     )
     for at in (1, 3, 4, 5):
         fits = fits & ((n <= at) | (F.length(F.get(solid, F.lit(at))) <= 2))
     names = F.array(*[F.lit(m) for m in MONTHS])
     by_name = F.array_position(names, F.lower(F.substring(first, 1, 3))).cast("int")
     month = F.coalesce(first.try_cast("int"), F.nullif(by_name, F.lit(0)))
-    year = solid[2].try_cast("int")
+    year = third.try_cast("int")
     second = F.coalesce(F.get(solid, F.lit(5)).try_cast("decimal(8,6)"), F.lit(0).cast("decimal(8,6)"))
     whole = [F.get(solid, F.lit(i)).try_cast("int") for i in (1, 3, 4)]
     read = F.try_make_timestamp(
-        F.when(F.length(solid[2]) == 4, year).otherwise(_full_year(year)), month, *whole, second, F.lit("UTC")
+        F.when(F.length(third) == 4, year).otherwise(_full_year(year)), month, *whole, second, F.lit("UTC")
     )
     return F.when(fits, read)
 

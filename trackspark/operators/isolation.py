@@ -112,7 +112,12 @@ def removal_stats(flagged: DataFrame) -> DataFrame:
     """One row: original, removed and remaining detections and the removed percentage."""
     require_columns(flagged, ["single_detection"])
     total, removed = F.count(F.lit(1)), F.coalesce(F.sum("single_detection"), F.lit(0))
-    return flagged.agg(total.alias("original"), removed.alias("removed")).select(
+    return removal_stats_of(flagged.agg(total.alias("original"), removed.alias("removed")))
+
+
+def removal_stats_of(counts: DataFrame) -> DataFrame:
+    """``removal_stats`` of one row (original, removed)."""
+    return counts.select(
         "original",
         "removed",
         (F.col("original") - F.col("removed")).alias("remaining"),

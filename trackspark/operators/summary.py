@@ -18,7 +18,7 @@ from trackspark.sources.csv_files import CSV_DIALECT
 BLOCK_COLUMNS = 1_000
 
 
-def _distinct_with_null(c: str) -> Column:
+def distinct_with_null(c: str) -> Column:
     """Number of distinct values, a missing one counted as a value."""
     return F.count_distinct(F.col(c)) + F.coalesce(F.max(F.isnull(c).cast("int")), F.lit(0))
 
@@ -38,8 +38,8 @@ def detection_totals(det: DataFrame, tz: str | None = "UTC", min_days: int | Non
         F.sum("_n").alias("total_detection"),
         F.min("_min").alias("mintime"),
         F.max("_max").alias("maxtime"),
-        _distinct_with_null("location").alias("nbrstation"),
-        _distinct_with_null("_day").alias("nbrday"),
+        distinct_with_null("location").alias("nbrstation"),
+        distinct_with_null("_day").alias("nbrday"),
     )
     totals = totals.withColumns(
         {
@@ -58,7 +58,11 @@ def individual_summary(
     Days at liberty are at least 1 and missing without a tagging time; numbers are rounded to two
     decimals, half to even.
     """
-    totals = detection_totals(det, tz, min_days).drop("difd", "difh")
+    return summary_of_totals(detection_totals(det, tz, min_days).drop("difd", "difh"), ind, tz)
+
+
+def summary_of_totals(totals: DataFrame, ind: DataFrame, tz: str | None = "UTC") -> DataFrame:
+    """``individual_summary`` from the totals of each period and tag."""
     joined = ind.join(totals, F.col("acoustic_tag_id") == F.col("elasmo"), "inner")
     liberty = F.when(
         F.col("tagging_datetime").isNotNull() & F.col("maxtime").isNotNull(),
@@ -153,10 +157,12 @@ def matrix_lines(rows: DataFrame, group: str = "location") -> DataFrame:
     The heading of a block is its first line; rows follow by group, a missing group last. Each block of a period
     is gathered in one place, so that it is one file; its size is that of the matrix.
     """
-    dialect = {**CSV_DIALECT, "nullValue": "", "emptyValue": ""}
 
     def line(first: Column, rest: Column) -> Column:
-        return F.concat_ws(",", F.to_csv(F.struct(F.coalesce(first, F.lit("")).alias("c")), dialect), rest)
+        quote = F.lit(CSV_DIALECT["quote"])
+        quoted = F.concat(quote, F.replace(first, quote, F.lit(CSV_DIALECT["escape"] + CSV_DIALECT["quote"])), quote)
+        cell = F.when(first.rlike('[,"\\r\\n]'), quoted).otherwise(F.coalesce(first, F.lit("")))
+        return F.concat(cell, F.lit(","), rest)
 
     keys = ["interval_id", "block"]
     head = rows.select(*keys, "tags").dropDuplicates(keys).select(

@@ -2,17 +2,20 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
+from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from trackspark.functions.text import norm_name, tag_id
+from trackspark.functions.times import local_date
 from trackspark.operators import joins
 from trackspark.operators.combine import most_precise_coordinates, union_by_name, update_receiver_registry
-from trackspark.operators.isolation import flag_single_detections, remove_single_detections, removal_stats
-from trackspark.sources.tables import read_tables, table_path, write_tables
+from trackspark.operators.isolation import flag_single_detections, remove_single_detections, removal_stats, removal_stats_of
+from trackspark.sources.checks import require_paths
+from trackspark.sources.tables import days_around, read_days, read_tables, table_path, write_days, write_tables
 
 WAIT_HOURS = 24
 
@@ -40,10 +43,17 @@ def compile_detections(
     return Compiled(placed, joins.unknown_tags(det, ind), joins.tags_lost(known, tagged))
 
 
-def run_compile(spark: SparkSession, folder: str, tz: str = "US/Eastern", skip_first_day: bool = True) -> Compiled:
-    t = read_tables(spark, folder, ["det", "vmov", "ind"])
-    out = compile_detections(t["det"], t["vmov"], t["ind"], tz, skip_first_day)
-    write_tables({"det_compiled": out.detections}, folder, tz)
+def run_compile(
+    spark: SparkSession, folder: str, tz: str = "US/Eastern", skip_first_day: bool = True, days: Sequence[date] | None = None
+) -> Compiled:
+    """Write the attributed detections; with ``days`` only these local days are read and replaced."""
+    t = read_tables(spark, folder, ["vmov", "ind"])
+    det = read_tables(spark, folder, ["det"])["det"] if days is None else read_days(spark, folder, "det", days)
+    out = compile_detections(det, t["vmov"], t["ind"], tz, skip_first_day)
+    if days is None:
+        write_tables({"det_compiled": out.detections}, folder, tz)
+    else:
+        write_days(out.detections, folder, "det_compiled", days, tz)
     return out
 
 
@@ -72,14 +82,21 @@ def run_combine(
     foreign: list[DataFrame],
     depths: DepthTables = DepthTables(),
     tz: str = "US/Eastern",
+    days: Sequence[date] | None = None,
 ) -> None:
-    t = read_tables(spark, folder, ["det_compiled", "vloc"])
+    """Write all detections and the extended registry; with ``days`` only these local days of the detections are replaced."""
     # Foreign files are parsed and de-duplicated once: their rows are read for coordinates, union and registry.
     write_tables({"foreign_rows": union_by_name(*foreign)}, folder)
     stored = spark.read.parquet(table_path(folder, "foreign_rows"))
-    total, registry = combine_detections(t["det_compiled"], t["vloc"], [stored], depths)
-    # The registry is read above, so the extended one is written beside it.
-    write_tables({"det_tot": total, "vloc_extended": registry}, folder, tz)
+    vloc = read_tables(spark, folder, ["vloc"])["vloc"]
+    name = "det_compiled"
+    compiled = read_tables(spark, folder, [name])[name] if days is None else read_days(spark, folder, name, days)
+    total, registry = combine_detections(compiled, vloc, [stored], depths)
+    if days is None:
+        write_tables({"det_tot": total, "vloc_extended": registry}, folder, tz)
+    else:
+        write_days(total, folder, "det_tot", days, tz)
+        write_tables({"vloc_extended": registry}, folder)
 
 
 def clean_detections(det: DataFrame, time_window_hours: float = 1) -> tuple[DataFrame, DataFrame]:
@@ -95,20 +112,45 @@ def run_clean(
     source: str = "det_tot",
     target: str = "det_cleaned",
     tz: str = "US/Eastern",
+    days: Sequence[date] | None = None,
 ) -> DataFrame:
-    """Write the cleaned detections; the statistics come from the sizes of the stored tables."""
+    """Write the cleaned detections and return the removal statistics, counted by the pass that writes.
+
+    With ``days``, the local days whose detections have changed, only these and the days that the time window reaches from
+    them are replaced, and the statistics are of the days replaced. A detection is isolated or not by those within the window
+    alone, so the result is that of a full run.
+    """
     if source == target:
         raise ValueError("a job never overwrites its input")
-    det = read_tables(spark, folder, [source])[source]
-    write_tables({target: clean_detections(det, time_window_hours)[0]}, folder, tz)
-    cleaned = read_tables(spark, folder, [target])[target]
-    counts = det.select(F.lit(0).alias("single_detection")).unionAll(cleaned.select(F.lit(1)))
-    both = counts.agg(F.count_if(F.col("single_detection") == 0).alias("original"), F.sum("single_detection").alias("kept"))
-    remaining = F.coalesce("kept", F.lit(0))
-    share = F.try_divide(remaining.cast("double"), F.col("original").cast("double"))
-    return both.select(
-        "original",
-        (F.col("original") - remaining).alias("removed"),
-        remaining.alias("remaining"),
-        ((1 - share) * 100).alias("removal_pct"),
-    )
+    require_paths(spark, [table_path(folder, source)])
+    # A local day may have 23 hours.
+    reach = int(time_window_hours // 23) + 1
+    replaced = None if days is None else days_around(days, reach)
+    if replaced is None:
+        det = read_tables(spark, folder, [source])[source]
+    else:
+        det = read_days(spark, folder, source, days_around(replaced, reach))
+    flagged = flag_single_detections(det, time_window_hours)
+    if replaced is not None:
+        flagged = flagged.where(local_date(F.col("time"), tz).isin(*replaced))
+    seen = Observation()
+    flagged = flagged.observe(seen, F.count(F.lit(1)).alias("original"), F.coalesce(F.sum("single_detection"), F.lit(0)).alias("removed"))
+    kept = remove_single_detections(flagged)
+    if replaced is None:
+        write_tables({target: kept}, folder, tz)
+    else:
+        write_days(kept, folder, target, replaced, tz)
+    original, removed = seen.get["original"], seen.get["removed"]
+    # Tasks that ran twice, after the loss of an executor, are observed twice; the sizes of the files then tell.
+    written = _stored_rows(spark, folder, target, replaced)
+    if written != original - removed:
+        original = _stored_rows(spark, folder, source, replaced)
+        removed = original - written
+    counts = spark.range(1).select(F.lit(original).cast("bigint").alias("original"), F.lit(removed).cast("bigint").alias("removed"))
+    return removal_stats_of(counts)
+
+
+def _stored_rows(spark: SparkSession, folder: str, name: str, days: Sequence[date] | None) -> int:
+    """Rows of a stored table, from the footers of its files."""
+    rows = read_tables(spark, folder, [name])[name] if days is None else read_days(spark, folder, name, days)
+    return rows.count()

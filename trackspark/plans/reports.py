@@ -5,16 +5,25 @@ from __future__ import annotations
 import posixpath
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
+from datetime import date, timedelta
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trackspark.functions.times import clock_text
-from trackspark.operators import activity, residency, summary, timeline
+from trackspark.operators import activity, residency, rollup, summary, timeline
 from trackspark.operators.periods import TimeGrid, assign_period, period_table, time_window
 from trackspark.operators.sizes import settled
-from trackspark.sources.tables import SUMMARY_HEADINGS, read_detections, read_tables, save_period_csv, write_tables
+from trackspark.sources.tables import (
+    SUMMARY_HEADINGS,
+    read_days,
+    read_detections,
+    read_tables,
+    save_period_csv,
+    write_parts,
+    write_tables,
+)
 
 
 @dataclass(frozen=True)
@@ -74,6 +83,40 @@ def run_summary(
     return report
 
 
+def run_rollup(
+    spark: SparkSession,
+    folder: str,
+    source: str = "det_cleaned",
+    target: str = "rollup_month",
+    tz: str = "US/Eastern",
+    months: Sequence[str] | None = None,
+) -> None:
+    """Write the monthly roll-up of the detections; with ``months`` (``yyyy-MM``) only these are read and replaced."""
+    month = rollup.MONTH
+    if months is None:
+        rolled = rollup.monthly_rollup(read_tables(spark, folder, [source])[source], tz)
+        write_tables({target: rolled}, folder, tz, {target: month})
+        return
+    firsts = [date.fromisoformat(f"{m}-01") for m in months]
+    days = [d + timedelta(days=k) for d in firsts for k in range(31)]
+    write_parts(rollup.monthly_rollup(read_days(spark, folder, source, days), tz), folder, target, month, months)
+
+
+def rollup_summaries(rolled: DataFrame, ind: DataFrame, tz: str = "US/Eastern") -> tuple[DataFrame, DataFrame]:
+    """(monthly, full) summaries of the animals, both from the roll-up; the full period is number 1."""
+    by_month = rollup.with_month_number(rolled)
+    totals = [rollup.totals_of_rollup(rows) for rows in (by_month, by_month.withColumn("interval_id", F.lit(1)))]
+    return tuple(summary.summary_of_totals(t.drop("difd", "difh"), ind, tz) for t in totals)
+
+
+def run_rollup_summaries(spark: SparkSession, folder: str, out_folder: str, name: str = "rollup_month", tz: str = "US/Eastern") -> None:
+    """Monthly and full summaries as CSV reports, from the stored roll-up."""
+    t = read_tables(spark, folder, [name, "ind"])
+    monthly, full = rollup_summaries(t[name], t["ind"], tz)
+    save_period_csv(monthly, posixpath.join(out_folder, "summary_monthly"), SUMMARY_HEADINGS, ["species", "id"])
+    save_period_csv(full, posixpath.join(out_folder, "summary_full"), SUMMARY_HEADINGS, ["species", "id"])
+
+
 def save_matrices(counts: DataFrame, path: str, group: str, width: int = summary.BLOCK_COLUMNS) -> None:
     """The matrices of all periods as CSV, a folder per period and block of columns, in one write."""
     lines = summary.matrix_lines(summary.matrix_rows(counts, group, width), group)

@@ -11,6 +11,7 @@ IND = (
     "tl double, stl double, tag_owner string, latitude string, longitude string, site string"
 )
 DET_PLACED = DET + ", location string"
+ROLLUP = "elasmo bigint, location string, n bigint, mintime timestamp, maxtime timestamp, days int, ym string"
 
 TABLES = {
     "det": DET,
@@ -22,4 +23,5 @@ TABLES = {
     "det_tot": DET_PLACED,
     "det_cleaned": DET_PLACED,
     "det_cleaned_season": DET_PLACED,
+    "rollup_month": ROLLUP,
 }

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import posixpath
-from collections.abc import Mapping, Sequence
-from datetime import datetime, timedelta
+import uuid
+from collections.abc import Iterable, Mapping, Sequence
+from datetime import date, datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -80,19 +81,110 @@ def read_detections(
     return rows.drop(DAY_COLUMN)
 
 
-def write_tables(tables: Mapping[str, DataFrame], folder: str, tz: str | None = "UTC") -> None:
-    """Write every table under its name; detection tables are partitioned by local day.
+def _file_system(spark: SparkSession, path: str):
+    """(file system, path) of Hadoop: whatever store Spark writes to."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
+
+
+def _beside(path: str, kind: str) -> str:
+    """A new hidden name next to a path."""
+    folder, name = posixpath.split(path.rstrip("/"))
+    return posixpath.join(folder, f"_{kind}-{name.replace('=', '-')}-{uuid.uuid4().hex}")
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    fs, place = _file_system(spark, path)
+    fs.delete(place, True)
+
+
+def swap_in(spark: SparkSession, written: str, path: str) -> None:
+    """Put a finished folder in the place of another, which is kept until the new one stands there."""
+    fs, new = _file_system(spark, written)
+    _, target = _file_system(spark, path)
+    old = _file_system(spark, _beside(path, "old"))[1]
+    had = fs.exists(target)
+    if had and not fs.rename(target, old):
+        raise OSError(f"cannot move {path} aside")
+    fs.mkdirs(target.getParent())
+    if not fs.rename(new, target):
+        if had:
+            fs.rename(old, target)
+        raise OSError(f"cannot move {written} to {path}")
+    if had:
+        fs.delete(old, True)
+
+
+def _dated(df: DataFrame, tz: str | None) -> DataFrame:
+    return df.withColumn(DAY_COLUMN, local_date(F.col("time"), tz))
+
+
+def write_tables(
+    tables: Mapping[str, DataFrame], folder: str, tz: str | None = "UTC", partitions: Mapping[str, str] | None = None
+) -> None:
+    """Write every table under its name; detection tables are partitioned by local day, others by ``partitions``.
+
+    All tables are written beside their places first and swapped in when the last one is complete, so a job that fails
+    leaves the old tables as they were, and a table may be computed from its own former content.
 
     The rebalance hint gives files of even size: small days are packed together, and a day that
     holds much of the data is split over several tasks.
     """
-    for name, df in tables.items():
-        path = table_path(folder, name)
-        if name.startswith("det"):
-            dated = df.withColumn(DAY_COLUMN, local_date(F.col("time"), tz))
-            dated.hint("rebalance", DAY_COLUMN).write.mode("overwrite").partitionBy(DAY_COLUMN).parquet(path)
-        else:
-            df.write.mode("overwrite").parquet(path)
+    staged: dict[str, str] = {}
+    spark = next(iter(tables.values())).sparkSession if tables else None
+    try:
+        for name, df in tables.items():
+            staged[name] = _beside(table_path(folder, name), "new")
+            column = DAY_COLUMN if name.startswith("det") else (partitions or {}).get(name)
+            if column is None:
+                df.write.parquet(staged[name])
+                continue
+            rows = _dated(df, tz) if column == DAY_COLUMN else df
+            rows.hint("rebalance", column).write.partitionBy(column).parquet(staged[name])
+        for name, written in list(staged.items()):
+            swap_in(spark, written, table_path(folder, name))
+            del staged[name]
+    finally:
+        for written in staged.values():
+            remove_path(spark, written)
+
+
+def write_parts(df: DataFrame, folder: str, name: str, column: str, parts: Iterable) -> None:
+    """Replace the given partitions of a stored table; the other partitions keep their files.
+
+    The new partitions are written beside the table and swapped in one by one when all are complete. One without
+    rows is removed. A run that breaks off during the swaps is mended by running it again.
+    """
+    spark, path = df.sparkSession, table_path(folder, name)
+    parts = sorted(set(parts))
+    written = _beside(path, "new")
+    try:
+        df.where(F.col(column).isin(*parts)).hint("rebalance", column).write.partitionBy(column).parquet(written)
+        for part in parts:
+            new, old = (f"{where}/{column}={part}" for where in (written, path))
+            fs, place = _file_system(spark, new)
+            if fs.exists(place):
+                swap_in(spark, new, old)
+            else:
+                remove_path(spark, old)
+    finally:
+        remove_path(spark, written)
+
+
+def write_days(df: DataFrame, folder: str, name: str, days: Iterable[date], tz: str | None = "UTC") -> None:
+    """Replace the given local days of a stored detection table."""
+    write_parts(_dated(df, tz), folder, name, DAY_COLUMN, days)
+
+
+def read_days(spark: SparkSession, folder: str, name: str, days: Iterable[date]) -> DataFrame:
+    """The given local days of a stored detection table; only their files are read."""
+    require_paths(spark, [table_path(folder, name)])
+    return read_table(spark, folder, name).where(F.col(DAY_COLUMN).isin(*sorted(set(days)))).drop(DAY_COLUMN)
+
+
+def days_around(days: Iterable[date], reach: int) -> list[date]:
+    """The days with those up to ``reach`` days before and after."""
+    return sorted({day + timedelta(days=k) for day in days for k in range(-reach, reach + 1)})
 
 
 def _format(path: str, fmt: str) -> str:
