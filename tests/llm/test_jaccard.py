@@ -4,7 +4,7 @@ import re
 import numpy as np
 import pytest
 
-from trackspark.llm.jaccard import Trie, band_starts, components, linked_components, one_of_each, op1_jaccard, part_keys, shingles
+from trackspark.llm.jaccard import Postings, Trie, band_starts, components, linked_components, one_of_each, op1_jaccard, part_keys, shingles
 
 WORDS = r"[^\x20\x09-\x0D]+"
 
@@ -105,10 +105,54 @@ def test_components_of_long_paths_and_stars(spark):
 
 
 def test_one_document_of_each_component_stays(spark):
-    rows = family(random.Random(1), 10, 6, 300, 2) + [(1, None), (2, "alone here"), (None, "no id"), (2, "alone here"), (2, "x")]
-    docs = spark.createDataFrame([(i, t, "c") for i, t in rows], "doc_id long, text string, lost string")
-    assert sorted(map(str, (r.doc_id for r in one_of_each(docs).collect()))) == ["1", "10", "2", "None"]
-    assert one_of_each(docs).columns == docs.columns
+    rows = family(random.Random(1), 10, 6, 300, 2)
+    copy = rows[0][1]
+    rows += [(1, None), (2, "alone here"), (None, "no id"), (2, "alone here"), (2, "x"), (None, copy), (None, copy), (7, copy), (None, "no id")]
+    rows += [(None, None), (None, " "), (1, None), (3, "Alone  here")]
+    docs = spark.createDataFrame([(i, t, "c", 1) for i, t in rows], "doc_id long, text string, `lost` string, `node.of` int")
+    out = one_of_each(docs)
+    # The family and its copies have one row left, that of the least id; rows of one id with different texts stay.
+    left = sorted((str(r.doc_id), r.text) for r in out.collect() if (r.text or "").strip())
+    assert left == sorted([("2", "alone here"), ("2", "x"), ("7", copy), ("None", "no id")])
+    assert out.filter("coalesce(trim(text), '') = ''").count() == 4
+    assert out.columns == docs.columns
+    assert one_of_each(docs.limit(0)).count() == 0
+
+
+def test_colliding_nodes_get_another_salt(spark, monkeypatch):
+    from pyspark.sql import functions as F
+
+    from trackspark.llm import jaccard
+
+    whole = jaccard.row_node
+    monkeypatch.setattr(jaccard, "row_node", lambda docs, salt: F.pmod(whole(docs, salt), F.lit(4 if salt < 2 else 2**40)))
+    docs = spark.createDataFrame([(i, f"text number {i} stands alone") for i in range(12)], "doc_id long, text string")
+    assert jaccard.keyed_rows(docs)[0] == 2
+    assert one_of_each(docs).count() == 12
+
+
+def test_no_key_is_held_by_a_share_of_all_sets():
+    rng = np.random.default_rng(4)
+    for size in (10, 16, 25, 40, 80, 150):
+        held = {}
+        for _ in range(800):
+            tokens = np.unique(rng.integers(0, 2**63, size, dtype=np.uint64))
+            for _, _, keys in part_keys(tokens, 80, band_starts(80, 4 * size)):
+                for key in keys.tolist():
+                    held[key] = held.get(key, 0) + 1
+        assert max(held.values()) <= 2
+
+
+def test_sets_that_share_no_key_are_left_out():
+    rng = np.random.default_rng(9)
+    base = np.unique(rng.integers(0, 2**63, 50, dtype=np.uint64))
+    sets = [base, base[:49], base[:48], base[1:]]
+    trie = Trie(sets, [0, 1, 2, 3])
+    for among in ([1, 0, 1, 0], [0, 0, 0, 1], [1, 1, 1, 1], [0, 0, 0, 0]):
+        found = sorted(trie.linked(base, 80, lambda c: False, np.array(among, dtype=bool)))
+        assert found == [i for i, a in enumerate(among) if a]
+    postings = Postings([np.array([1, 5]), np.array([2]), np.array([5, 9, 2])])
+    assert postings.sharing(np.array([5, 7])).tolist() == [True, False, True]
 
 
 def test_short_sequences():

@@ -63,3 +63,36 @@ def test_odd_rows(spark):
     assert kept.columns == docs.columns
     assert sorted(str(r.doc_id) for r in kept.collect()) == sorted([str(i) for i in range(12)] + ["53", "53", "None"])
     assert predict(docs.limit(0), fit(docs.limit(0), ~held_out(docs.doc_id))).count() == 0
+
+
+def test_long_words_in_parts(monkeypatch):
+    model = small_model()
+    vocab = vocabulary(langid.MODEL_FILE)
+    words = ["▁the" * 9, "▁" + "nation" * 40, "▁" + "一aé" * 30, "▁" + "e" * 300]
+    whole = [long_word(w, model, vocab) for w in words]
+    for positions in (1, 5, 16, 33):
+        monkeypatch.setattr(langid, "POSITIONS", positions)
+        for word, want in zip(words, whole, strict=True):
+            np.testing.assert_allclose(long_word(word, model, vocab), want, rtol=1e-12)
+
+
+def test_a_very_long_word_takes_little_memory():
+    import tracemalloc
+
+    model = small_model()
+    judge = Judge(model)
+    text = ("the" * 70_000).encode()
+    tracemalloc.start()
+    labels, _ = judge.judge([text])
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert labels[0] in model.languages and peak < 20_000_000 and not judge.row_of
+
+
+def test_undecided_texts_stay(spark):
+    """Two languages with the same words: posteriors near one half are no reason to go."""
+    rows = [(i, "same words here", lang) for i, lang in enumerate(["aa", "bb", "cc", "dd"] * 6)] + [(100, "12 34", None), (101, "words", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    scores = {r.doc_id: r.score for r in predict(docs, fit(docs, ~held_out(docs.doc_id))).collect()}
+    assert scores[101] < 0.5
+    assert {r.doc_id for r in identified(docs).collect()} == set(range(24)) | {101}

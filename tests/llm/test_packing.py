@@ -2,7 +2,9 @@ import itertools
 import random
 from collections import defaultdict
 
-from trackspark.llm import packing
+from pyspark.sql import functions as F
+
+from trackspark.llm.mixing import mixed_documents
 from trackspark.llm.packing import LENGTHS, cost, op3_packing, pack, pack_documents, pack_in_order
 
 
@@ -89,31 +91,41 @@ def test_given_documents(spark):
     assert sum(docs.values()) / sum(b[0].bin_length for b in bins.values()) > 0.9
 
 
-def test_bins_follow_the_order_of_the_files(spark, tmp_path, monkeypatch):
-    monkeypatch.setattr(packing, "BUCKET_ROWS", 7)
+def test_bins_follow_the_training_order(spark, tmp_path):
     rng = random.Random(4)
-    # Later files are larger: Spark reads the largest first.
-    rows = [(None if i % 5 == 0 else i // 2, "w " * rng.randrange(1 + i // 10, 12 + i // 10) if i % 9 else None) for i in range(300)]
-    ordered = spark.createDataFrame(list(enumerate(rows)), "n long, d struct<doc_id long, text string>")
-    ordered.repartitionByRange(6, "n").sortWithinPartitions("n").select("d.*").write.parquet(f"{tmp_path}/docs")
-    pieces = [(i, r[0], -(-len(r[1].split()) // 10)) for i, r in enumerate(rows) if r[1]]
-    expected = [(doc, piece) for _, doc, count in pieces for piece in range(count)]
-    docs = spark.read.parquet(f"{tmp_path}/docs")
-    for given in (docs, ordered.orderBy("n").select("d.*")):
-        out = pack_in_order(given, (5, 10), group_pieces=20).collect()
-        bins = checked(out, (5, 10))
-        groups = defaultdict(list)
-        for r in out:
-            groups[int(r.bin_id.split("-")[0])].append((-1 if r.doc_id is None else r.doc_id, r.piece))
-        plain = [(-1 if d is None else d, p) for d, p in expected]
-        for g, found in groups.items():
-            assert sorted(found) == sorted(plain[g * 20 : g * 20 + 20])
-        orders = [b[0].bin_order for b in bins.values()]
-        assert len(set(orders)) == len(orders) and all(len({r.bin_order for r in b}) == 1 for b in bins.values())
-        assert all(b[0].bin_order // 20 == int(i.split("-")[0]) for i, b in bins.items())
-        copies = defaultdict(set)
-        for r in out:
-            copies[r.doc_id].add(r.copy)
-        assert {d: len(c) for d, c in copies.items()} == {d: sum(x[1] == d for x in pieces) for d in copies}
-        assert all(c == set(range(len(c))) for c in copies.values())
+    rows = [(None if i % 50 == 0 else i, f"w{i} " * rng.randrange(1, 35) if i % 9 else None, rng.choice(["a", "b", "b", "c", None])) for i in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    mixed = mixed_documents(docs)
+    mixed.write.parquet(f"{tmp_path}/mixed")
+    in_order = [r for r in mixed.collect() if r.text]
+    layouts = [spark.read.parquet(f"{tmp_path}/mixed"), mixed.repartition(5), mixed.orderBy(F.rand(3)).coalesce(1)]
+    results = [sorted(map(str, pack_in_order(d, (5, 10), group_pieces=20).collect())) for d in layouts]
+    # Neither files nor partitions matter.
+    assert results[0] == results[1] == results[2]
+    out = pack_in_order(layouts[1], (5, 10), group_pieces=20).collect()
+    bins = checked(out, (5, 10))
+    assert sum(r.length for r in out) == sum(len(r.text.split()) for r in in_order)
+    sizes = defaultdict(int)
+    for r in out:
+        sizes[int(r.bin_id.split("-")[0])] += 1
+    assert all(n == 20 for g, n in sizes.items() if g < max(sizes))
+    # Along the groups, the copies of a source come in the order of the mixture.
+    source = {r.doc_id: r.source for r in in_order if r.doc_id is not None}
+    group = {(r.doc_id, r.copy): int(r.bin_id.split("-")[0]) for r in out if r.piece == 0}
+    seen, last = defaultdict(int), defaultdict(int)
+    for r in in_order:
+        if r.doc_id is None:
+            continue
+        g = group[(r.doc_id, seen[r.doc_id])]
+        seen[r.doc_id] += 1
+        assert g >= last[source[r.doc_id]]
+        last[source[r.doc_id]] = g
+    orders = [b[0].bin_order for b in bins.values()]
+    assert len(set(orders)) == len(orders) and all(len({r.bin_order for r in b}) == 1 for b in bins.values())
+    assert all(b[0].bin_order // 20 == int(i.split("-")[0]) for i, b in bins.items())
+    copies = defaultdict(set)
+    for r in out:
+        copies[r.doc_id].add(r.copy)
+    assert all(c == set(range(len(c))) for c in copies.values())
     assert pack_in_order(docs.limit(0)).count() == 0
+    assert len(pack_in_order(docs.drop("source"), (5, 10)).collect()) == sum(-(-len((t or "").split()) // 10) for _, t, _ in rows)

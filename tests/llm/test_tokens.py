@@ -58,3 +58,17 @@ def test_given_documents(spark, public):
     rows = op8_tokens(spark, folder).collect()
     assert len(rows) == len(texts)
     assert all(r.n_tokens == len(made.encode(texts[r.doc_id], add_special_tokens=False).ids) for r in rows)
+
+
+def test_a_very_long_part_takes_little_memory(public):
+    import tracemalloc
+
+    counter, made = public
+    text = "nation" * 30_000
+    tracemalloc.start()
+    count = counter.text(text)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 40 * len(text) and text not in counter.known
+    short = "nation" * 400
+    assert counter.text(short) == len(made.encode(short, add_special_tokens=False).ids) and count >= 30_000

@@ -7,7 +7,7 @@ import pytest
 
 from tools.agree import bag, connect
 from trackspark.llm.common import scratch
-from trackspark.llm.warc import FIRST_SECOND, OP9_SQL, capture_index, merged_runs, op9_warc, parsed, read_archives, write_archives
+from trackspark.llm.warc import FIRST_SECOND, OP9_SQL, capture_index, merged_runs, op9_warc, parsed, read_archives, size_classes, write_archives
 
 
 def test_loser_tree_merges_any_number_of_runs():
@@ -29,8 +29,8 @@ PAGES = [
 
 def indexed(spark, pages, **options):
     folder = scratch(spark, "warc")
-    write_archives(spark.createDataFrame(pages, "page_id long, url string, html string, captured string"), folder, **options)
-    return capture_index(read_archives(spark, folder))
+    rows = write_archives(spark.createDataFrame(pages, "page_id long, url string, html string, captured string"), folder, **options)
+    return capture_index(read_archives(spark, folder), rows)
 
 
 def test_round_trip_revisits_and_order(spark):
@@ -83,15 +83,41 @@ def test_pages_without_id_agree_with_sql(spark, tmp_path):
 def test_payloads_of_pages_without_id_are_kept_and_null_times_read_back(spark, min_bytes):
     folder = scratch(spark, "warc")
     pages = spark.createDataFrame(NO_ID, "page_id long, url string, html string")
-    write_archives(pages, folder, min_bytes)
+    assert write_archives(pages, folder, min_bytes) == len(NO_ID)
     found = []
     for file in Path(url2pathname(folder.removeprefix("file://").removeprefix("file:"))).glob("*.gz"):
         found += [(h.get("X-Page-Id"), h["WARC-Type"], body) for _, _, h, body in parsed(gzip.decompress(file.read_bytes()))]
     assert {b for _, _, b in found} >= {b"alone", b"same", b"own"}
     same = [(t, b) for i, t, b in found if i is None and b != b"alone" and t == ("response" if min_bytes else "revisit")]
     assert sorted(same) == ([("response", b""), ("response", b"same")] if min_bytes else [("revisit", b""), ("revisit", b"")])
-    index = capture_index(read_archives(spark, folder))
+    index = capture_index(read_archives(spark, folder), len(NO_ID))
     rows = [r for part in index.rdd.glom().collect() for r in part]
     assert sorted(str(r.captured) for r in rows) == [str(FIRST_SECOND + 3), str(FIRST_SECOND + 6), *["None"] * 4]
     key = lambda r: (r.url_key, *((x is not None, x or 0) for x in (r.captured, r.page_id)))
     assert [key(r) for r in rows] == sorted(map(key, rows)) and sum(r.page_id is None for r in rows) == 4
+
+
+def test_files_are_bounded_by_bytes(spark):
+    assert size_classes(32 << 20, 2000)[0] == (0, (32 << 20) // 2000 + 1, 2000)
+    classes = size_classes(1000, 100)
+    assert classes == [(0, 11, 100), (11, 161, 6), (161, 1 << 62, 1)]
+    folder = scratch(spark, "warc")
+    sizes = [5] * 250 + [100] * 20 + [700, 900, 5000]
+    pages = spark.createDataFrame([(i, f"http://a.example/{i}", f"{i:05d}"[:5] + "x" * (n - 5)) for i, n in enumerate(sizes)], "page_id long, url string, html string")
+    assert write_archives(pages.coalesce(1), folder, records_per_file=100, file_bytes=1000) == len(sizes)
+    held = []
+    for file in Path(url2pathname(folder.removeprefix("file://").removeprefix("file:"))).glob("*.gz"):
+        held.append([len(body) for _, _, _, body in parsed(gzip.decompress(file.read_bytes()))])
+    assert sorted(n for h in held for n in h) == sorted(sizes)
+    assert all(sum(h) <= 1000 or len(h) == 1 for h in held)
+
+
+def test_parts_follow_the_rows(spark, monkeypatch):
+    from trackspark.llm import warc
+
+    monkeypatch.setattr(warc, "PART_ROWS", 10)
+    pages = spark.createDataFrame([(i, f"http://a.example/{i % 7}", f"p{i}") for i in range(200)], "page_id long, url string, html string")
+    folder = scratch(spark, "warc")
+    rows = write_archives(pages, folder)
+    parts = capture_index(read_archives(spark, folder), rows).rdd.glom().collect()
+    assert len(parts) == 20 and sum(map(len, parts)) == 200

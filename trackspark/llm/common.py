@@ -7,10 +7,10 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from trackspark.session import shared_dir
+from trackspark.sources.tables import remove_path
 
 # A word, for Java's and DuckDB's regular expressions. bytes.split() cuts UTF-8 at the same six characters.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -22,9 +22,27 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+# Folders made by this driver that are not discarded yet, oldest first.
+_MADE: list[str] = []
+
+
 def scratch(spark: SparkSession, name: str) -> str:
     """A new folder below the cluster's shared checkpoint folder."""
-    return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    _MADE.append(f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}")
+    return _MADE[-1]
+
+
+def made() -> int:
+    """How many folders there are now: what ``discard`` keeps."""
+    return len(_MADE)
+
+
+def discard(spark: SparkSession, since: int, keep: Iterable[str] = ()) -> None:
+    """Remove the folders made after the first ``since``, once what was computed from them is written elsewhere."""
+    keep = set(keep)
+    for folder in [f for f in _MADE[since:] if f not in keep]:
+        remove_path(spark, folder)
+        _MADE.remove(folder)
 
 
 def cut(df: DataFrame) -> DataFrame:
@@ -40,11 +58,6 @@ def stored(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(folder)
 
 
-def text_bytes(column: str = "text") -> Column:
-    """The text as UTF-8 bytes; Python then needs no decoding to find words."""
-    return F.col(column).cast("binary").alias("text")
-
-
 def slices(batches: Iterable[pa.RecordBatch], rows: int = SLICE_ROWS) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for start in range(0, batch.num_rows, rows):
@@ -117,6 +130,3 @@ def rolled(hashes: np.ndarray, width: int, base: int = 0x9E3779B97F4A7C15) -> np
         out = out * np.uint64(base) + hashes[step : step + count]
     return mixed(out)
 
-
-def frozen(*columns: tuple[str, pa.DataType]) -> pa.Schema:
-    return pa.schema(list(columns))

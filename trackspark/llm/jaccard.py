@@ -4,8 +4,9 @@ A text's set holds the hashes of its distinct n-grams of words, ascending: the g
 are one class. Different sets are linked when ``100 * intersection >= percent * union``.
 
 Meeting. Two linked sets differ in at most k elements, k bound by their sizes. Elements are dealt by hash into
-k + 1 + slack parts, so that linked sets agree on more than slack whole parts, and on half of these that are not
-empty; each part's content is a key. Sizes fall into bands as wide as linked sizes can differ, and a set gives keys for
+k + 1 + slack parts, so that linked sets agree on more than slack whole parts; each part's content is a key. A set with many
+empty parts gives keys for these too: the part's number with one of its k + 1 least elements, of which linked sets have one
+in common. So no key is held by a fixed share of all sets. Sizes fall into bands as wide as linked sizes can differ, and a set gives keys for
 its own band and the next. Keys of one document are a fixed share of its elements. Sets that only share a passage
 agree on few parts: a set with fewer shared keys than a link needs leaves, and so do keys that then have one set only,
 for ``PRUNING`` rounds.
@@ -33,7 +34,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from trackspark.llm.common import cut, mixed, rolled, slices, stored, table, word_hashes
@@ -78,7 +79,9 @@ def part_keys(tokens: np.ndarray, percent: int, starts: list[int]) -> Iterator[t
     """(scheme, keys needed for a link, keys) of a set. Where k is 0 only equal sets are linked: one class already.
 
     Linked sets share parts - k parts at least; all but the empty parts of either set are full in both. So full parts
-    suffice for a set with few empty ones, and a set with more gives its empty parts too.
+    suffice for a set with few empty ones, and a set with more gives its empty parts too. An empty part says nothing of
+    itself, so its key holds an element: of the k + 1 least elements of either of two linked sets, the least common one is
+    among those of the other.
     """
     band = int(np.searchsorted(starts, len(tokens), side="right")) - 1
     spread, worth = mixed(tokens ^ np.uint64(0x5851F42D4C957F2D)), mixed(tokens + np.uint64(1))
@@ -94,7 +97,8 @@ def part_keys(tokens: np.ndarray, percent: int, starts: list[int]) -> Iterator[t
         tag = mixed(np.uint64(number << 32) + np.arange(parts, dtype=np.uint64))
         keys = mixed(np.add.reduceat(worth[order], at) ^ tag[full])
         if len(full) < k + needed:
-            keys = np.concatenate([keys, np.delete(tag, full)])
+            least = mixed(tokens[: k + 1] + np.uint64(2))
+            keys = np.concatenate([keys, mixed(np.delete(tag, full)[:, None] ^ least).ravel()])
         yield number, needed, keys
 
 
@@ -156,24 +160,32 @@ def gathered(words: int):
     return run
 
 
+def packed_keys(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Lists of keys as bytes."""
+    for batch in batches:
+        keys = [np.asarray(k.values).tobytes() for k in batch.column("listed")]
+        yield pa.record_batch([batch.column("rep"), pa.array(keys, pa.binary())], names=["rep", "keys"])
+
+
 class Trie:
     """Ascending sets in a tree with joined edges.
 
     A node is (edge, depth after it, shortest and longest set below, number of the set ending here, children, the one
-    component of all sets below or None).
+    component of all sets below or None, begin and end of the sets below in lexicographic order).
     """
 
     def __init__(self, sets: list[np.ndarray], components: list[int]):
         self.sets, self.components = sets, components
         order = sorted(range(len(sets)), key=lambda i: sets[i].astype(">u8").tobytes())
+        self.order = np.array(order, dtype=np.int64)
         self.roots = self.grown(order)
 
     def grown(self, order: list[int]) -> list[list]:
         """Nodes for sets in lexicographic order; grown from a list of open ranges, not by recursion."""
         roots: list[list] = []
-        todo = [(order, 0, roots)]
+        todo = [(order, 0, roots, 0)]
         while todo:
-            inside, depth, into = todo.pop()
+            inside, depth, into, base = todo.pop()
             start = 0
             while start < len(inside):
                 first = self.sets[inside[start]]
@@ -191,19 +203,27 @@ class Trie:
                 below = [i for i in group if len(self.sets[i]) > until]
                 kinds = {self.components[i] for i in group}
                 children: list[list] = []
-                into.append([first[depth:until], until, min(lengths), max(lengths), ends, children, kinds.pop() if len(kinds) == 1 else None])
+                one = kinds.pop() if len(kinds) == 1 else None
+                into.append([first[depth:until], until, min(lengths), max(lengths), ends, children, one, base + start, base + end])
                 if below:
-                    todo.append((below, until, children))
+                    # Sets that end here sort before those that go on.
+                    todo.append((below, until, children, base + start + len(ends)))
                 start = end
         return roots
 
-    def linked(self, probe: np.ndarray, percent: int, skip) -> Iterator[int]:
-        """Numbers of the sets linked with the probe; ``skip(component)`` is true where no answer is wanted."""
+    def linked(self, probe: np.ndarray, percent: int, skip, among: np.ndarray | None = None) -> Iterator[int]:
+        """Numbers of the sets linked with the probe; ``skip(component)`` is true where no answer is wanted.
+
+        ``among`` tells for each set whether it can be linked at all; subtrees without such a set are left out.
+        """
         size = len(probe)
+        upto = None if among is None else np.concatenate([[0], np.cumsum(among[self.order])])
         least = -(-percent * size // 100)
         todo = [(node, 0) for node in self.roots]
         while todo:
-            (edge, depth, shortest, longest, ends, children, component), overlap = todo.pop()
+            (edge, depth, shortest, longest, ends, children, component, begin, end), overlap = todo.pop()
+            if upto is not None and upto[begin] == upto[end]:
+                continue
             if longest < least or shortest * percent > size * 100 or (component is not None and skip(component)):
                 continue
             total = size + max(shortest, least)
@@ -221,17 +241,35 @@ class Trie:
             if not alive:
                 continue
             for i in ends:
-                if 100 * overlap >= percent * (size + depth - overlap) and not skip(self.components[i]):
+                if 100 * overlap >= percent * (size + depth - overlap) and (among is None or among[i]) and not skip(self.components[i]):
                     yield i
             todo += [(child, overlap) for child in children]
 
 
+class Postings:
+    """Which of the stored sets share a key with another one."""
+
+    def __init__(self, keys: list[np.ndarray]):
+        self.count = len(keys)
+        every, owners = np.concatenate(keys), np.repeat(np.arange(len(keys)), [len(k) for k in keys])
+        order = np.argsort(every, kind="stable")
+        self.keys, self.owners = every[order], owners[order]
+
+    def sharing(self, keys: np.ndarray) -> np.ndarray:
+        found = np.zeros(self.count, dtype=bool)
+        for a, b in zip(np.searchsorted(self.keys, keys, "left"), np.searchsorted(self.keys, keys, "right"), strict=True):
+            found[self.owners[a:b]] = True
+        return found
+
+
 def block_links(percent: int):
-    """Join the two sides of a block; returns links that join different components."""
+    """Join the two sides of a block; returns links that join different components. Sets with ``keys`` are compared only
+    with those they share one with."""
 
     def run(key: tuple[pa.Scalar, ...], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = pa.Table.from_batches(list(batches)).sort_by([("rep", "ascending"), ("side", "ascending")])
-        cells = list(zip(*(rows.column(n).to_pylist() for n in ("side", "rep", "comp", "tokens")), strict=True))
+        keys = [np.frombuffer(k, dtype=np.int64) if k else None for k in rows.column("keys").to_pylist()]
+        cells = list(zip(*(rows.column(n).to_pylist() for n in ("side", "rep", "comp", "tokens")), keys, strict=True))
         parent: dict[int, int] = {}
 
         def root(x: int) -> int:
@@ -241,12 +279,16 @@ def block_links(percent: int):
 
         stored = [c for c in cells if c[0] != PROBES and c[3]]
         trie = Trie([np.frombuffer(c[3], dtype=np.uint64) for c in stored], [c[2] for c in stored])
+        postings = Postings([c[4] for c in stored]) if stored and all(c[4] is not None for c in stored) else None
         found = []
-        for side, rep, comp, tokens in cells:
+        for side, _, comp, tokens, own in cells:
             if side == STORED or not tokens:
                 continue
+            among = postings.sharing(own) if postings and own is not None else None
+            if among is not None and not among.any():
+                continue
             skip = lambda other, comp=comp: root(other) == root(comp)
-            for i in trie.linked(np.frombuffer(tokens, dtype=np.uint64), percent, skip):
+            for i in trie.linked(np.frombuffer(tokens, dtype=np.uint64), percent, skip, among):
                 a, b = root(trie.components[i]), root(comp)
                 if a != b:
                     parent[max(a, b)] = min(a, b)
@@ -257,8 +299,8 @@ def block_links(percent: int):
 
 
 def joined_blocks(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Links (a, b) between components, from rows (block, side, rep, comp) and the sets."""
-    rows = broadcast_if_small(cut(members)).join(sets, "rep").select("block", "side", "rep", "comp", "tokens")
+    """Links (a, b) between components, from rows (block, side, rep, comp) and the sets (rep, tokens, keys)."""
+    rows = broadcast_if_small(cut(members)).join(sets, "rep").select("block", "side", "rep", "comp", "tokens", "keys")
     return rows.groupBy("block").applyInArrow(block_links(percent), "a long, b long")
 
 
@@ -399,11 +441,14 @@ def linked_components(docs: DataFrame, words: int = WORDS, percent: int = PERCEN
     links = [own.join(twice, "doc_id").select("a", F.col("rep").alias("b"))]
     meetings = met(meeting_keys, labels)
     for number in range(STAR_ROUNDS):
-        found = cut(joined_blocks(star_blocks(meetings, number), sets, percent))
+        found = cut(joined_blocks(star_blocks(meetings, number), sets.withColumn("keys", F.lit(None).cast("binary")), percent))
         links.append(found)
         labels = relabelled(labels, found)
         meetings = met(meeting_keys, labels)
-    links.append(joined_blocks(group_blocks(meetings, sizes, percent), sets, percent))
+    # Within a group only sets that share a key can be linked.
+    own_keys = meetings.select("rep", "key").distinct().groupBy("rep").agg(F.collect_list("key").alias("listed"))
+    keyed_sets = sets.join(own_keys.mapInArrow(packed_keys, "rep long, keys binary"), "rep")
+    links.append(joined_blocks(group_blocks(meetings, sizes, percent), keyed_sets, percent))
     every = links[0]
     for more in links[1:]:
         every = every.union(more)
@@ -441,19 +486,54 @@ FROM sets JOIN (SELECT doc_id, min(seen) AS component_id FROM reach GROUP BY doc
 """
 
 
+# Columns that the stage adds for a while; no document table has such names.
+NODE, FIRST, LOST, REPEATED = "node of the row", "place within the node", "node that goes", "node of several rows"
+
+
+def row_node(docs: DataFrame, salt: int) -> Column:
+    """A number for each (id, text); nulls are values."""
+    doc_id, text = F.col("doc_id").cast("long"), F.col("text")
+    return F.xxhash64(F.lit(salt), F.isnull(doc_id), doc_id, text)
+
+
+def keyed_rows(docs: DataFrame) -> tuple[int, DataFrame]:
+    """(salt, table of node, id and row count): the salt gives different rows different nodes.
+
+    Nodes have 64 bits; whether two rows (128-bit text hashes) share one is looked at, and then another salt is taken.
+    """
+    salt = 0
+    while True:
+        text = [F.xxhash64(F.lit(1), "text").alias("t1"), F.xxhash64(F.lit(2), "text").alias("t2")]
+        rows = docs.select(row_node(docs, salt).alias("node"), F.col("doc_id").cast("long").alias("doc_id"), *text)
+        once = cut(rows.groupBy("node", "doc_id", "t1", "t2").agg(F.count("*").alias("rows")))
+        if once.groupBy("node").count().filter("count > 1").isEmpty():
+            return salt, once.select("node", "doc_id", "rows")
+        salt += 1
+
+
 def one_of_each(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
-    """The documents with one of each component: the row of the least id, all columns as they were.
+    """The documents with one of each component, all columns as they were.
 
-    Rows without an id stay. Of rows of one id one stays, the first by a hash of the row.
+    Rows are told apart by id and text: rows of one id with different texts are documents of their own, and rows without
+    an id take part. Of a component the row of the least id stays (a null id only where there is no other; of equal ids the
+    least by a hash of the text); of rows equal in id and text the first by a hash of the row. Texts without a
+    word are linked with nothing and all stay.
     """
-    found = cut(linked_components(docs, words, percent))
-    losers = broadcast_if_small(cut(found.filter("component_id < doc_id").select(F.col("doc_id").alias("lost")).distinct()))
-    several = found.filter("doc_id is not null").groupBy(F.col("doc_id").alias("repeated")).count().filter("count > 1")
-    several = broadcast_if_small(cut(several.select("repeated")))
-    doc_id = docs["doc_id"].cast("long")
-    kept = docs.join(losers, doc_id == losers["lost"], "left_anti")
-    once = kept.join(several, doc_id == several["repeated"], "left_anti")
-    more = kept.join(several, doc_id == several["repeated"], "left_semi")
-    order = Window.partitionBy("doc_id").orderBy(F.xxhash64(*(F.col(f"`{c}`") for c in docs.columns)))
-    first = more.select("*", F.row_number().over(order).alias("row of its id")).filter("`row of its id` = 1")
-    return once.union(first.drop("row of its id"))
+    names = docs.columns
+    plain = docs.select(F.col("`doc_id`").alias("doc_id"), F.col("`text`").alias("text"))
+    salt, rows = keyed_rows(plain)
+    linked = linked_components(plain.select(row_node(plain, salt).alias("doc_id"), "text"), words, percent)
+    found = linked.filter("n_shingles > 0").select(F.col("doc_id").alias("node"), F.col("component_id").alias("component")).distinct()
+    found = cut(found.join(rows, "node"))
+    order = F.struct(F.isnull("doc_id").alias("last"), "doc_id", "node")
+    winners = found.groupBy("component").agg(F.min(order).alias("first")).select(F.col("first.node").alias("stays"))
+    losers = found.join(winners, F.col("node") == F.col("stays"), "left_anti").select(F.col("node").alias(LOST))
+    losers = broadcast_if_small(cut(losers))
+    several = broadcast_if_small(cut(found.filter("rows > 1").select(F.col("node").alias(REPEATED))))
+    marked = docs.withColumn(NODE, row_node(docs, salt))
+    kept = marked.join(losers, F.col(NODE) == F.col(LOST), "left_anti")
+    once = kept.join(several, F.col(NODE) == F.col(REPEATED), "left_anti")
+    more = kept.join(several, F.col(NODE) == F.col(REPEATED), "left_semi")
+    by_row = Window.partitionBy(NODE).orderBy(F.xxhash64(*(F.col(f"`{c}`") for c in names)))
+    first = more.withColumn(FIRST, F.row_number().over(by_row)).filter(F.col(FIRST) == 1).drop(FIRST)
+    return once.union(first).select(*(F.col(f"`{c}`") for c in names))

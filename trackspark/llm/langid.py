@@ -42,8 +42,10 @@ SHORT_WORD = 24
 # Short words are computed with plain products, scaled by this per character; what still falls below LEAST is
 # computed again in logarithms.
 PER_CHARACTER, LEAST = 64.0, 1e-250
-# Words whose probabilities a task remembers.
+# Words whose probabilities a task remembers, short ones only, and positions of a long word looked up at once.
 REMEMBERED = 200_000
+LONGEST_REMEMBERED = 200
+POSITIONS = 4096
 # Texts whose distinct words are segmented together in training.
 TRAINING_ROWS = 1024
 LETTER = regex.compile(r"\p{L}")
@@ -220,26 +222,35 @@ def short_words(words: list[str], model: Model, vocab: Vocabulary) -> np.ndarray
 
 
 def long_word(word: str, model: Model, vocab: Vocabulary) -> np.ndarray:
-    """The same forward pass over one word of any length: pieces of all lengths are looked up for all positions."""
-    codes = np.frombuffer(word.encode("utf-32-le"), dtype=np.uint32).astype(np.uint64) + np.uint64(1)
-    matches: list[list[tuple[int, int]]] = [[] for _ in range(len(codes) + 1)]
-    hashes = codes.copy()
-    for length in range(1, min(vocab.longest, len(codes)) + 1):
-        if length > 1:
-            hashes = hashes[:-1] * BASE + codes[length - 1 :]
-        found = vocab.find(hashes)
-        for start in np.flatnonzero(found >= 0).tolist():
-            matches[start + length].append((start, int(found[start])))
-    ring = [np.zeros(len(model.languages))]
-    for end in range(1, len(codes) + 1):
-        total = None if any(start == end - 1 for start, _ in matches[end]) else ring[end - 1] + model.logs[-1]
-        for start, piece in matches[end]:
-            value = ring[start] + model.logs[piece]
-            total = value if total is None else np.logaddexp(total, value)
-        ring.append(total)
-        if end > vocab.longest:
-            ring[end - vocab.longest - 1] = None
-    return ring[-1]
+    """The same forward pass over one word of any length: pieces of all lengths are looked up for many positions at once.
+
+    Only the sums of the last positions, as many as a piece is long, are kept, so a word takes memory for its letters alone.
+    """
+    codes = np.frombuffer(word.encode("utf-32-le"), dtype=np.uint32)
+    reach = vocab.longest
+    ring = {0: np.zeros(len(model.languages))}
+    for begin in range(0, len(codes), POSITIONS):
+        # Ends of pieces: begin + 1 up to stop; they start at most ``reach`` before.
+        stop, base = min(begin + POSITIONS, len(codes)), max(0, begin - reach)
+        part = codes[base:stop].astype(np.uint64) + np.uint64(1)
+        matches: list[list[tuple[int, int]]] = [[] for _ in range(stop - begin)]
+        hashes = part.copy()
+        for length in range(1, min(reach, len(part)) + 1):
+            if length > 1:
+                hashes = hashes[:-1] * BASE + part[length - 1 :]
+            first = max(0, begin - base - length + 1)
+            found = vocab.find(hashes[first:])
+            for at in np.flatnonzero(found >= 0).tolist():
+                matches[base + first + at + length - begin - 1].append((base + first + at, int(found[at])))
+        for end in range(begin + 1, stop + 1):
+            ending = matches[end - begin - 1]
+            total = None if any(start == end - 1 for start, _ in ending) else ring[end - 1] + model.logs[-1]
+            for start, piece in ending:
+                value = ring[start] + model.logs[piece]
+                total = value if total is None else np.logaddexp(total, value)
+            ring[end] = total
+            ring.pop(end - reach - 1, None)
+    return ring[len(codes)]
 
 
 class Judge:
@@ -260,7 +271,7 @@ class Judge:
             part = short[start : start + step]
             self.store(part, short_words(part, self.model, self.vocab))
         for word in new:
-            if len(word) > SHORT_WORD:
+            if SHORT_WORD < len(word) <= LONGEST_REMEMBERED:
                 self.store([word], long_word(word, self.model, self.vocab)[None, :])
 
     def store(self, words: list[str], logs: np.ndarray) -> None:
@@ -286,8 +297,11 @@ class Judge:
                 labels.append(UNDETERMINED)
                 scores.append(0.0)
                 continue
-            rows = np.fromiter(map(self.row_of.__getitem__, words), dtype=np.int64, count=len(words))
-            total = self.model.prior + self.logs[rows].sum(axis=0)
+            known = [self.row_of[w] for w in words if len(w) <= LONGEST_REMEMBERED]
+            total = self.model.prior + self.logs[np.array(known, dtype=np.int64)].sum(axis=0)
+            for word in words:
+                if len(word) > LONGEST_REMEMBERED:
+                    total = total + long_word(word, self.model, self.vocab)
             best = int(total.argmax())
             labels.append(self.model.languages[best])
             scores.append(float(1.0 / np.exp(total - total[best]).sum()))
@@ -314,16 +328,11 @@ def op7_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return predict(docs, model).select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
 
 
-# Below this posterior a filtering stage takes the language as undetermined.
-REJECT_BELOW = 0.5
-
-
 def identified(docs: DataFrame, path: str = MODEL_FILE) -> DataFrame:
-    """The documents whose language is determined, all columns as they were.
+    """The documents that have a language, all columns as they were.
 
-    Learns as the query does, from the fold that is not held out. A text without a letter goes, and one whose best
-    language has a posterior below REJECT_BELOW; without any learned language only letters decide. Null ids are kept
-    by the same rule.
+    Learns as the query does, from the fold that is not held out. Only texts that the query calls undetermined go: null
+    ones and those without a letter. Without any learned language letters decide as well. Null ids are kept by the same rule.
     """
     model = fit(docs, ~held_out(F.col("doc_id")), path)
     at = docs.columns.index("text")
@@ -333,10 +342,11 @@ def identified(docs: DataFrame, path: str = MODEL_FILE) -> DataFrame:
         for batch in slices(batches):
             texts = batch.column(at).cast(pa.binary()).to_pylist()
             if model.languages:
-                labels, scores = judge.judge(texts)
-                keep = [la != UNDETERMINED and sc >= REJECT_BELOW for la, sc in zip(labels, scores, strict=True)]
+                keep = [label != UNDETERMINED for label in judge.judge(texts)[0]]
             else:
                 keep = [t is not None and LETTER.search(t.decode("utf-8", "replace")) is not None for t in texts]
             yield batch.filter(pa.array(keep, pa.bool_()))
 
-    return docs.mapInArrow(run, docs.schema)
+    # Plain names meanwhile: a dot in a name would be read as a field of it.
+    plain = docs.toDF(*(f"c{i}" for i in range(len(docs.columns))))
+    return plain.mapInArrow(run, plain.schema).toDF(*docs.columns)

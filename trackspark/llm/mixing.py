@@ -95,9 +95,9 @@ def dealt(rows: DataFrame, goals: DataFrame) -> DataFrame:
     return joined.withColumn("bucket", F.floor(lead * buckets / F.lit(1 << 28)))
 
 
-def planned(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+def planned(rows: DataFrame, goals: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """Goals of the sources and, per source and bucket, the words before the bucket; broadcast if measured small."""
-    goals = settled(targets(rows))
+    goals = settled(targets(rows) if goals is None else goals)
     per_bucket = dealt(rows, goals).groupBy("place", "bucket").agg(F.sum("size").alias("bucket_size"))
     so_far = Window.partitionBy("place").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     starts = per_bucket.select(
@@ -200,6 +200,24 @@ def mixed_documents(docs: DataFrame) -> DataFrame:
     return order.filter(F.col("words") * 2 >= F.col("size")).select(*(c.alias(n) for n, c in column.items()))
 
 
+def order_of_copies(docs: DataFrame) -> DataFrame:
+    """(doc_id, size, position, place, pass) of each row of mixed documents that has words.
+
+    The order is that of ``mixed_documents``, derived from the rows alone: a source's demand is the words its rows hold,
+    equal rows are its passes. So it depends neither on files nor on partitions.
+    """
+    rows = sized(docs if "source" in docs.columns else docs.withColumn("source", F.lit(None).cast("string")))
+    once = cut(rows.filter("size > 0").groupBy("doc_id", "source", "size", "spread").agg(F.count("*").alias("copies")))
+    per_source = once.groupBy("source").agg(
+        F.count("*").alias("source_rows"), F.sum("size").alias("source_size"), F.sum(F.col("size") * F.col("copies")).cast("double").alias("target")
+    )
+    goals = per_source.withColumn("place", F.row_number().over(Window.orderBy(F.asc_nulls_last("source"))) - 1)
+    placed = taken_from(once, *planned(once, goals))
+    each = placed.withColumn("pass", F.explode(F.sequence(F.lit(0), (F.col("copies") - 1).cast("int"))))
+    share = F.least(F.lit(1.0), (F.col("pass") * F.col("source_size") + F.col("offset")) / F.col("target"))
+    return each.select("doc_id", "size", time_of(share, F.col("place")).alias("position"), "place", "pass")
+
+
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ordered_mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 

@@ -7,11 +7,11 @@ chosen over all permitted lengths together: the one of least cost per token that
 with the cost of a sequence ``length + length^2 / QUADRATIC`` (linear work and attention). At the end each bin shrinks
 to the smallest permitted length that holds its contents.
 
-In order. ``pack_in_order`` keeps the order of its rows, which ``pack_documents`` has no use for: pieces are numbered
-through in that order, a group is a range of the numbers, and ``bin_order``, the least number in a bin, orders the
-bins. Groups are smaller there, at most 1 / ``ORDERED_GROUPS`` of all pieces but at least ``ORDERED_LEAST``, because
-within a group length decides. The order of rows read from files is that of the files' part numbers and of the rows in
-them; any other DataFrame has its own, part by part. Copies of one id are numbered in that order.
+In order. ``pack_in_order`` packs mixed documents along their training order, which ``pack_documents`` has no use for. The
+order is derived from the rows themselves (``mixing.order_of_copies``), so neither file names nor the order in which
+files are read matter. Pieces are numbered through in it, a group is a range of the numbers, and ``bin_order``, the least
+number in a bin, orders the bins. Groups are smaller there, at most 1 / ``ORDERED_GROUPS`` of all pieces but at least
+``ORDERED_LEAST``, because within a group length decides.
 
 Defined results. A null or empty text has no words and makes no piece. Texts are packed whole. Repeated rows are
 packed as often as they occur. Pieces of one length are taken in the order of document, copy and piece, so reruns
@@ -28,8 +28,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from trackspark.llm.common import WORD, cut, stored, table
-from trackspark.operators.sizes import settled
+from trackspark.llm.common import WORD, cut, table
+from trackspark.llm.mixing import order_of_copies
+from trackspark.operators.rows import global_row_number, numbered_by_key
 
 LENGTHS = (512, 1024, 2048, 4096, 8192)
 # Tokens at which a sequence's quadratic cost equals its linear cost.
@@ -37,8 +38,6 @@ QUADRATIC = 16_384
 GROUP_PIECES = 10_000
 ORDERED_GROUPS = 100
 ORDERED_LEAST = 200
-# Rows whose running sums are one task's window.
-BUCKET_ROWS = 10_000
 PACKED = "doc_id long, copy int, piece int, length int, bin_id string, position int, bin_length int, bin_used int"
 
 
@@ -136,69 +135,24 @@ def packed(spread: DataFrame, lengths: Sequence[int], ties: Sequence[str]) -> Da
     return spread.groupBy("group").applyInArrow(run, PACKED + ", bin_order long" * numbered)
 
 
-def placed_rows(docs: DataFrame) -> DataFrame:
-    """(doc_id, size, part, count, path, row) of each row with words: the last four are its place in the order.
-
-    Spark deals files to tasks by their sizes, so for rows read from files the files' names and row indexes tell the
-    order in which they were written.
-    """
-    size = F.coalesce(F.regexp_count(F.col("text"), F.lit(WORD)), F.lit(0)).cast("long")
-    plain = [F.col("doc_id").cast("long").alias("doc_id"), size.alias("size")]
-    if docs._jdf.queryExecution().analyzed().getClass().getSimpleName() == "LogicalRelation":
-        name = F.col("_metadata.file_name")
-        number = lambda expression: F.regexp_extract(name, expression, 1).try_cast("long")
-        rows = docs.select(
-            *plain,
-            F.coalesce(number(r"^part-([0-9]+)"), F.lit(-1)).alias("part"),
-            F.coalesce(number(r"-c([0-9]+)\."), F.lit(-1)).alias("count"),
-            F.col("_metadata.file_path").alias("path"),
-            F.col("_metadata.row_index").alias("row"),
-        )
-    else:
-        n = F.monotonically_increasing_id()
-        rows = docs.select(*plain, n.alias("n")).select(
-            "doc_id", "size", F.shiftright("n", 33).alias("part"), F.lit(0).cast("long").alias("count"), F.lit("").alias("path"),
-            F.col("n").bitwiseAND((1 << 33) - 1).alias("row"),
-        )
-    return stored(rows.filter("size > 0"))
-
-
 def numbered_pieces(docs: DataFrame, largest: int) -> tuple[DataFrame, int]:
-    """(doc_id, copy, piece, length, number) of the pieces, numbered from 0 in the order of the rows, and their count.
+    """(doc_id, copy, piece, length, number) of the pieces, numbered from 0 in training order, and their count.
 
-    Running sums go through buckets of a bounded number of rows; only rows per bucket are brought together.
+    Copies of an id are numbered in that order. Both numberings go over all tasks where a key or the table is large.
     """
-    pieces = F.ceil(F.col("size") / largest).cast("long")
-    rows = placed_rows(docs).withColumn("pieces", pieces).withColumn("bucket", F.floor(F.col("row") / BUCKET_ROWS))
-    keys = ("part", "count", "path", "bucket")
-    per_bucket = cut(rows.groupBy(*keys).agg(F.sum("pieces").alias("bucket_pieces")))
-    before = Window.orderBy(*keys).rowsBetween(Window.unboundedPreceding, -1)
-    so_far = F.coalesce(F.sum("bucket_pieces").over(before), F.lit(0)).alias("bucket_start")
-    starts = settled(per_bucket.select(*keys, so_far))
-    inside = Window.partitionBy(*keys).orderBy("row").rowsBetween(Window.unboundedPreceding, -1)
-    first = F.col("bucket_start") + F.coalesce(F.sum("pieces").over(inside), F.lit(0))
-    rows = rows.join(starts, list(keys)).select("doc_id", "size", "pieces", first.alias("first"))
-    # Copies of one id: counted per range of numbers, so that an id of very many rows is not one task's window.
-    rows = stored(rows.withColumn("range", F.floor(F.col("first") / BUCKET_ROWS)))
-    earlier = Window.partitionBy("doc_id").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
-    counts = rows.groupBy("doc_id", "range").agg(F.count("*").alias("rows"))
-    counts = counts.select(F.col("doc_id").alias("c_id"), F.col("range").alias("c_range"), F.sum("rows").over(earlier).alias("copies"))
-    same = F.col("doc_id").eqNullSafe(F.col("c_id")) & (F.col("range") == F.col("c_range"))
-    rank = F.row_number().over(Window.partitionBy("doc_id", "range").orderBy("first")) - 1
-    copies = rows.withColumn("rank", rank).join(counts.filter("copies > 0"), same, "left")
-    each = copies.withColumn("piece", F.explode(F.sequence(F.lit(0), (F.col("pieces") - 1).cast("int"))))
-    out = each.select(
-        "doc_id",
-        (F.coalesce("copies", F.lit(0)) + F.col("rank")).cast("int").alias("copy"),
-        "piece",
-        F.least(F.lit(largest), F.col("size") - F.col("piece") * largest).cast("int").alias("length"),
-        (F.col("first") + F.col("piece")).alias("number"),
-    )
-    return out, per_bucket.agg(F.coalesce(F.sum("bucket_pieces"), F.lit(0))).first()[0]
+    order = ["position", "place", "size", "pass"]
+    copies = numbered_by_key(cut(order_of_copies(docs)), ["doc_id"], order, "nth")
+    count = F.ceil(F.col("size") / largest)
+    each = copies.withColumn("piece", F.explode(F.sequence(F.lit(0), (count - 1).cast("int"))))
+    length = F.least(F.lit(largest), F.col("size") - F.col("piece") * largest).cast("int")
+    pieces = each.select("doc_id", (F.col("nth") - 1).cast("int").alias("copy"), "piece", length.alias("length"), "position", "place")
+    numbered = cut(global_row_number(pieces, ["position", "place", "doc_id", "copy", "piece"], "number"))
+    out = numbered.select("doc_id", "copy", "piece", "length", (F.col("number") - 1).alias("number"))
+    return out, out.count()
 
 
 def pack_in_order(docs: DataFrame, lengths: Sequence[int] = LENGTHS, group_pieces: int | None = None) -> DataFrame:
-    """The rows of ``pack_documents`` with ``bin_order``: groups are ranges of the order of ``docs``."""
+    """The rows of ``pack_documents`` with ``bin_order``: groups are ranges of the training order of mixed documents."""
     pieces, total = numbered_pieces(docs, max(lengths))
     size = group_pieces or min(GROUP_PIECES, max(ORDERED_LEAST, -(-total // ORDERED_GROUPS)))
     return packed(pieces.withColumn("group", F.floor(F.col("number") / size)), lengths, ("number",))

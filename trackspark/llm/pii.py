@@ -143,20 +143,27 @@ def confirmed(text: Column, spans: Column, kind: str) -> Column:
     return F.filter(spans, lambda s: score(s) >= KEEP_SCORE)
 
 
+# A column that the stage adds for a while; no document table has such a name.
+SPANS = "spans of the row"
 # What a text must contain before the expression of a kind is run at all.
 NEEDED = {"email": "@", "phone": "+"}
 
 
-def find_pii(docs: DataFrame, text: str = "text") -> DataFrame:
-    """Add ``pii``: the confirmed spans (kind, start, end, hit), kinds in the order of KINDS, then by start."""
-    body = F.coalesce(F.col(text), F.lit(""))
+def spans_of(text: Column) -> Column:
+    """The confirmed spans (kind, start, end, hit) of a text, kinds in the order of KINDS, then by start."""
+    body = F.coalesce(text, F.lit(""))
     none = F.expr("cast(array() as array<struct<kind:string,start:int,end:int,hit:string>>)")
     by_kind = []
     for kind in KINDS:
         spans = confirmed(body, proposals(body, kind), kind)
         ready = F.contains(body, F.lit(NEEDED[kind])) if kind in NEEDED else body.rlike(r"[0-9]")
         by_kind.append(F.when(ready, spans).otherwise(none))
-    return docs.withColumn("pii", F.concat(*by_kind))
+    return F.concat(*by_kind)
+
+
+def find_pii(docs: DataFrame, text: str = "text") -> DataFrame:
+    """Add ``pii``, the spans of each text; a column of that name is replaced."""
+    return docs.withColumn("pii", spans_of(F.col(f"`{text}`")))
 
 
 def as_text(spans: Column) -> Column:
@@ -169,16 +176,15 @@ def redacted(docs: DataFrame, text: str = "text") -> DataFrame:
 
     Rows without spans, null texts included, come back unchanged. A column ``n_chars`` follows the new text.
     """
-    found = find_pii(docs, text)
+    body, spans = F.col(f"`{text}`"), F.col(SPANS)
+    found = docs.withColumn(SPANS, spans_of(body))
     # By start, the longer first; equal spans in the order of their kinds' names.
-    ordered = F.array_sort(
-        F.transform(F.col("pii"), lambda s: F.struct(s["start"], (-s["end"]).alias("back"), s["kind"], s["end"]))
-    )
+    ordered = F.array_sort(F.transform(spans, lambda s: F.struct(s["start"], (-s["end"]).alias("back"), s["kind"], s["end"])))
     start = F.struct(F.lit(0).alias("at"), F.lit("").alias("done"))
 
     def put(seen: Column, s: Column) -> Column:
         fresh = s["start"] >= seen["at"]
-        gap = F.substring(F.col(text), seen["at"] + 1, s["start"] - seen["at"])
+        gap = F.substring(body, seen["at"] + 1, s["start"] - seen["at"])
         return F.struct(
             F.greatest(seen["at"], s["end"]).alias("at"),
             F.when(fresh, F.concat(seen["done"], gap, F.lit("["), F.upper(s["kind"]), F.lit("]")))
@@ -186,13 +192,12 @@ def redacted(docs: DataFrame, text: str = "text") -> DataFrame:
             .alias("done"),
         )
 
-    tail = lambda seen: F.concat(seen["done"], F.substring(F.col(text), seen["at"] + 1, F.length(F.col(text))))
-    new = F.when(F.size("pii") > 0, F.aggregate(ordered, start, put, tail)).otherwise(F.col(text))
-    out = found.withColumn(text, new).drop("pii") if "pii" not in docs.columns else found.withColumn(text, new)
+    tail = lambda seen: F.concat(seen["done"], F.substring(body, seen["at"] + 1, F.length(body)))
+    out = found.withColumn(text, F.when(F.size(spans) > 0, F.aggregate(ordered, start, put, tail)).otherwise(body))
     if "n_chars" in docs.columns:
         kind = docs.schema["n_chars"].dataType
-        out = out.withColumn("n_chars", F.when(F.col(text).isNull(), F.col("n_chars")).otherwise(F.length(text)).cast(kind))
-    return out.select(*docs.columns)
+        out = out.withColumn("n_chars", F.when(body.isNull(), F.col("n_chars")).otherwise(F.length(body)).cast(kind))
+    return out.select(*(F.col(f"`{c}`") for c in docs.columns))
 
 
 def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:

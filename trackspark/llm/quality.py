@@ -2,7 +2,7 @@
 
 Features of a text are counts of its words, word pairs and byte 3- and 4-grams, hashed into ``DIMS`` cells, damped by
 a logarithm and scaled to length one. A logistic regression learns the labelled quality from a bounded sample
-(``LABELLED_ROWS``, the rows with the smallest hash of their id, so reruns agree); a fifth of the sample is kept apart
+(``LABELLED_ROWS``, the ids with the smallest hash, one text of each, so reruns agree); a fifth of the sample is kept apart
 and turns margins into probabilities (Platt's two-parameter calibration). All texts are then scored in Arrow batches
 against the fixed threshold ``KEEP_FROM``.
 
@@ -95,12 +95,12 @@ class Model:
 
 
 def featured(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Sparse features of the sampled texts: cell numbers of two bytes, counts of one (255 and more are 255)."""
+    """Sparse features of the sampled texts: cell numbers of two bytes, counts of four."""
     for batch in slices(batches):
         found = []
         for text in batch.column("text").to_pylist():
             at, counts = cells(text, word_hashes(text))
-            found.append((at.astype(np.uint16).tobytes(), np.minimum(counts, 255).astype(np.uint8).tobytes()))
+            found.append((at.astype(np.uint16).tobytes(), counts.astype(np.uint32).tobytes()))
         yield pa.record_batch(
             [
                 batch.column("doc_id"),
@@ -165,12 +165,15 @@ def fit(docs: DataFrame, labels: DataFrame, most: int = LABELLED_ROWS) -> Model
     rows = docs.select("doc_id", F.col("text").cast("binary").alias("text")).join(
         F.broadcast(sample), F.col("doc_id") == F.col("known")
     )
-    shaped = rows.filter(F.col("text").isNotNull()).select(F.col("doc_id").cast("long").alias("doc_id"), "quality", "text")
+    # One text of each id, the least by a hash: the sample is bounded in rows, whatever ids repeat.
+    first = F.min_by("text", F.struct(F.xxhash64("text"), F.xxhash64(F.lit(1), "text"))).alias("text")
+    each = rows.filter(F.col("text").isNotNull()).groupBy(F.col("doc_id").cast("long").alias("doc_id"))
+    shaped = each.agg(F.first("quality").alias("quality"), first).select("doc_id", "quality", "text")
     found = shaped.mapInArrow(featured, "doc_id long, quality int, cells binary, counts binary").toArrow()
     found = found.sort_by([("doc_id", "ascending"), ("cells", "ascending")])
     target = found.column("quality").to_numpy()
     at = [np.frombuffer(c.as_py(), dtype=np.uint16).astype(np.int64) for c in found.column("cells")]
-    values = [weights_of(np.frombuffer(c.as_py(), dtype=np.uint8)) for c in found.column("counts")]
+    values = [weights_of(np.frombuffer(c.as_py(), dtype=np.uint32)) for c in found.column("counts")]
     use = np.array([len(c) > 0 for c in at], dtype=bool)
     fold = mixed(found.column("doc_id").to_numpy().astype(np.uint64)) % np.uint64(CALIBRATION_FOLD) == 0
     parts = [np.flatnonzero(use & ~fold), np.flatnonzero(use & fold)]
@@ -195,7 +198,7 @@ def judge(docs: DataFrame, model: Model | None) -> DataFrame:
                 chance = None
                 if model is not None and len(hashes):
                     at, counts = cells(text, hashes)
-                    chance = model.probability(model.weights[at] @ weights_of(np.minimum(counts, 255)) + model.weights[-1])
+                    chance = model.probability(model.weights[at] @ weights_of(counts) + model.weights[-1])
                 rows.append((len(hashes), *facts, failed, not failed and (chance is None or chance >= KEEP_FROM), chance))
             columns = list(zip(*rows, strict=True))
             kinds = [pa.int64()] * 5 + [pa.bool_()] * 2 + [pa.float64()]

@@ -15,7 +15,9 @@ remembered ones. Other columns are not read.
 
 from __future__ import annotations
 
+from array import array
 from collections.abc import Iterable, Iterator
+from math import inf
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -25,7 +27,8 @@ from trackspark.llm.common import slices, table
 from trackspark.llm.langid import MODEL_FILE, SPACE
 
 UNKNOWN_BELOW = 10.0
-REMEMBERED = 300_000
+# Parts remembered, and the longest of them in characters.
+REMEMBERED, LONGEST = 300_000, 64
 
 
 def pieces_of(path: str) -> list[tuple[str, float]]:
@@ -55,14 +58,16 @@ class Counter:
     def part(self, part: str) -> int:
         """Tokens of one part: best[i] is (score, tokens, ends in an unknown) of the first i characters."""
         size = len(part)
-        score, tokens, open_end = [0.0] + [None] * size, [0] * (size + 1), [False] * (size + 1)
-        single = [False] * size
+        # Arrays of numbers: a part takes 14 bytes a character, whatever its length.
+        score, tokens = array("d", [-inf]) * (size + 1), array("i", [0]) * (size + 1)
+        open_end, single = bytearray(size + 1), bytearray(size)
+        score[0] = 0.0
 
         def close(end: int) -> None:
             # The unknown token starts last of all that end here, so it must be strictly better.
             if not single[end - 1]:
                 other = score[end - 1] + self.unknown
-                if score[end] is None or other > score[end]:
+                if other > score[end]:
                     score[end], open_end[end] = other, True
                     tokens[end] = tokens[end - 1] + (not open_end[end - 1])
 
@@ -77,7 +82,7 @@ class Counter:
             if length == 1:
                 single[start] = True
             other = score[start] + worth
-            if score[end] is None or other > score[end]:
+            if other > score[end]:
                 score[end], tokens[end], open_end[end] = other, tokens[start] + 1, False
         while done < size:
             done += 1
@@ -88,15 +93,17 @@ class Counter:
         if not text:
             return 0
         known, total = self.known, 0
-        if len(known) > REMEMBERED:
-            known.clear()
         marked = text.replace(" ", SPACE)
         if not marked.startswith(SPACE):
             marked = SPACE + marked
         for part in marked.split(SPACE)[1:]:
             count = known.get(part)
             if count is None:
-                count = known[part] = self.part(SPACE + part)
+                count = self.part(SPACE + part)
+                if len(part) <= LONGEST:
+                    if len(known) >= REMEMBERED:
+                        known.clear()
+                    known[part] = count
             total += count
         return total
 

@@ -33,8 +33,12 @@ from trackspark.llm.common import scratch, table
 BLANK_LINE = "\r\n\r\n"
 # Page ids carry no time: a capture's time is this second plus its id, unless the caller names a column.
 FIRST_SECOND = 1_577_836_800
-# Records of a file; keeps a file, which is read as one row, small.
-RECORDS_PER_FILE = 2_000
+# Bytes of a file's records, so that a file, which is read as one row, is small; a larger payload has a file of its own.
+FILE_BYTES, RECORDS_PER_FILE = 32 << 20, 2_000
+# Payload sizes are written together with sizes up to so many times as large.
+STEP = 16
+# Index rows of a part of the global order.
+PART_ROWS = 200_000
 INDEX = T.StructType(
     [
         T.StructField("url_key", T.StringType()),
@@ -114,8 +118,29 @@ def classified(pages: DataFrame, min_bytes: int = 0, captured: Column | None = N
     )
 
 
-def write_archives(pages: DataFrame, folder: str, min_bytes: int = 0, records_per_file: int = RECORDS_PER_FILE) -> None:
-    """Write one WARC record per page; line ends in a URL are escaped so that headers stay intact."""
+def size_classes(file_bytes: int, records_per_file: int) -> list[tuple[int, int, int]]:
+    """(payloads from, up to and without, records of a file): a file's payloads are at most ``file_bytes`` together,
+    or one."""
+    upto = max(1, file_bytes // records_per_file)
+    classes = [(0, upto + 1, records_per_file)]
+    while classes[-1][2] > 1:
+        begin, upto = upto + 1, upto * STEP
+        records = file_bytes // upto
+        classes.append((begin, upto + 1, records) if records > 1 else (begin, 1 << 62, 1))
+    return classes
+
+
+def write_archives(
+    pages: DataFrame, folder: str, min_bytes: int = 0, records_per_file: int = RECORDS_PER_FILE, file_bytes: int = FILE_BYTES
+) -> int:
+    """Write one WARC record per page and return their number; line ends in a URL are escaped so that headers stay intact.
+
+    Pages are written by classes of payload size, each with its own number of records a file; classes without pages, in most
+    tables all but the first, cost nothing but the count.
+    """
+    classes = size_classes(file_bytes, records_per_file)
+    size = F.octet_length(F.coalesce(F.col("html"), F.lit("")))
+    counts = pages.agg(*[F.count_if(size.between(a, b - 1)).alias(f"c{i}") for i, (a, b, _) in enumerate(classes)]).first()
     page, digest, referred = F.col("page_id").cast("string"), F.col("payload_digest"), F.col("refers_to").cast("string")
     line = lambda name, value: F.concat(F.lit(f"{name}: "), value, F.lit("\r\n"))
     line_if = lambda name, value: F.coalesce(line(name, value), F.lit(""))
@@ -140,9 +165,14 @@ def write_archives(pages: DataFrame, folder: str, min_bytes: int = 0, records_pe
         F.lit("\r\n"),
     )
     record = F.concat(header, F.when(F.col("whole"), F.col("html")).otherwise(""))
-    rows = classified(pages, min_bytes).select(record.alias("value"))
-    writer = rows.write.option("lineSep", BLANK_LINE).option("compression", "gzip")
-    writer.option("maxRecordsPerFile", records_per_file).text(folder)
+    rows = classified(pages, min_bytes)
+    for i, (begin, end, records) in enumerate(classes):
+        # A table without pages gives an archive without records.
+        if counts[i] or (i == 0 and not any(counts)):
+            part = rows.filter(F.col("payload_bytes").between(begin, end - 1)).select(record.alias("value"))
+            writer = part.write.mode("append").option("lineSep", BLANK_LINE).option("compression", "gzip")
+            writer.option("maxRecordsPerFile", records).text(folder)
+    return sum(counts)
 
 
 def parsed(data: bytes) -> Iterator[tuple[int, int, dict[str, str], bytes]]:
@@ -188,7 +218,8 @@ def index_rows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def read_archives(spark: SparkSession, folder: str) -> DataFrame:
     """One index row per record of the archives in a folder, read back and checked."""
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.gz").load(folder).select("path", "content")
+    schema = "path string, modificationTime timestamp, length long, content binary"
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.gz").schema(schema).load(folder).select("path", "content")
     return files.mapInArrow(index_rows, INDEX)
 
 
@@ -246,19 +277,21 @@ def merge_partition(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatc
         yield pa.record_batch(list(map(list, zip(*block, strict=True))), schema=INDEX_ARROW)
 
 
-def capture_index(index: DataFrame) -> DataFrame:
+def capture_index(index: DataFrame, rows: int) -> DataFrame:
     """Global order by (URL key, time, page id): part by part ascending.
 
     The page id is part of the range key, so the captures of one URL may fill several parts. A part is held by its
-    task; its size follows the number of partitions, not the input.
+    task; there are as many as the ``rows`` of the index demand, or as Spark would make.
     """
-    return index.repartitionByRange("url_key", "captured", "page_id").mapInArrow(merge_partition, INDEX)
+    usual = int(index.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts = max(usual, -(-rows // PART_ROWS))
+    return index.repartitionByRange(parts, "url_key", "captured", "page_id").mapInArrow(merge_partition, INDEX)
 
 
 def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = scratch(spark, "warc")
-    write_archives(table(spark, sf_dir, "pages").select("page_id", "url", "html"), folder)
-    index = capture_index(read_archives(spark, folder))
+    rows = write_archives(table(spark, sf_dir, "pages").select("page_id", "url", "html"), folder)
+    index = capture_index(read_archives(spark, folder), rows)
     return index.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url_key", "captured")
 
 
