@@ -9,16 +9,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from trackspark.llm import jaccard, langid, mixing, packing, pii
-from trackspark.llm.common import scratch, table
+from trackspark.llm.common import discard, made, scratch, table
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language can be told; texts without a letter and undecided ones go."""
+    """Documents that have a language; texts without a letter go."""
     return langid.identified(docs)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of texts whose sets of five-word shingles are at least 80 % alike."""
+    """One document of each group of texts whose sets of five-word shingles are at least 80 % alike, told apart by id and text."""
     return jaccard.one_of_each(docs, words=5, percent=80)
 
 
@@ -50,10 +50,15 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Apply the stages to ``documents``; what lies between stages is written to the shared checkpoint folder."""
-    docs = table(spark, sf_dir, "documents")
+    """Apply the stages to ``documents``; what lies between stages is written to the shared checkpoint folder.
+
+    A stage's result is written before the next one begins; its input and what it wrote on the way are removed then.
+    """
+    docs, before = table(spark, sf_dir, "documents"), made()
     for name, stage in STAGES:
+        rows = stage(spark, docs, sf_dir)
         folder = scratch(spark, f"stage-{name}")
-        stage(spark, docs, sf_dir).write.parquet(folder)
+        rows.write.parquet(folder)
+        discard(spark, before, keep=[folder])
         docs = spark.read.parquet(folder)
     return docs
