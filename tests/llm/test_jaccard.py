@@ -124,11 +124,30 @@ def test_colliding_nodes_get_another_salt(spark, monkeypatch):
 
     from trackspark.llm import jaccard
 
-    whole = jaccard.row_node
-    monkeypatch.setattr(jaccard, "row_node", lambda docs, salt: F.pmod(whole(docs, salt), F.lit(4 if salt < 2 else 2**40)))
-    docs = spark.createDataFrame([(i, f"text number {i} stands alone") for i in range(12)], "doc_id long, text string")
-    assert jaccard.keyed_rows(docs)[0] == 2
-    assert one_of_each(docs).count() == 12
+    whole, salts = jaccard.hashed_node, []
+
+    def colliding(salt):
+        salts.append(salt)
+        return F.pmod(whole(salt), F.lit(4 if salt < 2 else 2**40)) + 2**41
+
+    monkeypatch.setattr(jaccard, "hashed_node", colliding)
+    rows = [(None if i % 2 else 5, f"text number {i} stands alone") for i in range(12)] + [(9, "an id of one text"), (9, "an id of one text")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    marked, nodes = jaccard.with_nodes(docs)
+    assert max(salts) == 2 and nodes.count() == 13
+    assert [r[jaccard.NODE] for r in marked.filter("doc_id = 9").collect()] == [9, 9]
+    assert one_of_each(docs).count() == 13
+
+
+def test_many_ids_with_several_texts(spark, monkeypatch):
+    """Where the ids of several texts are not broadcast, all nodes are hashes; the result is the same."""
+    from trackspark.llm import jaccard
+
+    rows = family(random.Random(3), 10, 6, 200, 2) + [(10, "other text"), (None, "no id"), (11, "third of eleven")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    want = sorted(map(str, one_of_each(docs).collect()))
+    monkeypatch.setattr(jaccard, "broadcast_if_small", lambda df: df)
+    assert sorted(map(str, one_of_each(docs).collect())) == want and len(want) == 4
 
 
 def test_no_key_is_held_by_a_share_of_all_sets():

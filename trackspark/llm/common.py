@@ -37,6 +37,10 @@ def made() -> int:
     return len(_MADE)
 
 
+def latest() -> str:
+    return _MADE[-1]
+
+
 def discard(spark: SparkSession, since: int, keep: Iterable[str] = ()) -> None:
     """Remove the folders made after the first ``since``, once what was computed from them is written elsewhere."""
     keep = set(keep)

@@ -5,8 +5,8 @@ are one class. Different sets are linked when ``100 * intersection >= percent *
 
 Meeting. Two linked sets differ in at most k elements, k bound by their sizes. Elements are dealt by hash into
 k + 1 + slack parts, so that linked sets agree on more than slack whole parts; each part's content is a key. A set with many
-empty parts gives keys for these too: the part's number with one of its k + 1 least elements, of which linked sets have one
-in common. So no key is held by a fixed share of all sets. Sizes fall into bands as wide as linked sizes can differ, and a set gives keys for
+empty parts is dealt again by another hash; one that still has many after the last gives keys for these too: the part's number
+with one of its k + 1 least elements, of which linked sets have one in common. So no key is held by a fixed share of all sets. Sizes fall into bands as wide as linked sizes can differ, and a set gives keys for
 its own band and the next. Keys of one document are a fixed share of its elements. Sets that only share a passage
 agree on few parts: a set with fewer shared keys than a link needs leaves, and so do keys that then have one set only,
 for ``PRUNING`` rounds.
@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from trackspark.llm.common import cut, mixed, rolled, slices, stored, table, word_hashes
+from trackspark.llm.common import cut, discard, latest, made, mixed, rolled, slices, stored, table, word_hashes
 from trackspark.operators.sizes import broadcast_if_small
 
 WORDS, PERCENT = 5, 80
@@ -46,6 +46,8 @@ BLOCK_SETS = 256
 # Elements of an edge compared before the bound is looked at again.
 STRIDE = 64
 STAR_ROUNDS = 2
+# Ways to deal a set into parts, tried until few parts are empty.
+DEALINGS = 4
 PRUNING = 2
 # Sides of a set in a block.
 STORED, PROBES, BOTH = 0, 1, 2
@@ -79,27 +81,33 @@ def part_keys(tokens: np.ndarray, percent: int, starts: list[int]) -> Iterator[t
     """(scheme, keys needed for a link, keys) of a set. Where k is 0 only equal sets are linked: one class already.
 
     Linked sets share parts - k parts at least; all but the empty parts of either set are full in both. So full parts
-    suffice for a set with few empty ones, and a set with more gives its empty parts too. An empty part says nothing of
-    itself, so its key holds an element: of the k + 1 least elements of either of two linked sets, the least common one is
-    among those of the other.
+    suffice if either set has few empty ones. A set with more is dealt again by another hash, up to ``DEALINGS`` times, until it
+    has few; of two linked sets either has few in a dealing that both have, or both are left at the last. There a set gives its
+    empty parts too. An empty part says nothing of itself, so its key holds an element: of the k + 1 least elements
+    of either of two linked sets, the least common one is among those of the other.
     """
     band = int(np.searchsorted(starts, len(tokens), side="right")) - 1
-    spread, worth = mixed(tokens ^ np.uint64(0x5851F42D4C957F2D)), mixed(tokens + np.uint64(1))
+    worth = mixed(tokens + np.uint64(1))
     for number in (band, band + 1):
         k, parts, needed = scheme(number, starts, percent)
         if not k:
             continue
-        part = (spread % np.uint64(parts)).astype(np.int64)
-        order = np.argsort(part, kind="stable")
-        part = part[order]
-        at = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1]]))
-        full = part[at]
-        tag = mixed(np.uint64(number << 32) + np.arange(parts, dtype=np.uint64))
-        keys = mixed(np.add.reduceat(worth[order], at) ^ tag[full])
-        if len(full) < k + needed:
-            least = mixed(tokens[: k + 1] + np.uint64(2))
-            keys = np.concatenate([keys, mixed(np.delete(tag, full)[:, None] ^ least).ravel()])
-        yield number, needed, keys
+        for dealing in range(DEALINGS):
+            own = number * DEALINGS + dealing
+            part = (mixed(tokens ^ np.uint64(0x5851F42D4C957F2D + dealing)) % np.uint64(parts)).astype(np.int64)
+            order = np.argsort(part, kind="stable")
+            part = part[order]
+            at = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1]]))
+            full = part[at]
+            tag = mixed(np.uint64(own << 32) + np.arange(parts, dtype=np.uint64))
+            keys = mixed(np.add.reduceat(worth[order], at) ^ tag[full])
+            few = len(full) >= k + needed
+            if not few and dealing == DEALINGS - 1:
+                least = mixed(tokens[: k + 1] + np.uint64(2))
+                keys = np.concatenate([keys, mixed(np.delete(tag, full)[:, None] ^ least).ravel()])
+            yield own, needed, keys
+            if few:
+                break
 
 
 def described(words: int):
@@ -124,14 +132,14 @@ def described(words: int):
 
 
 def keyed(words: int, percent: int):
-    """(key, doc_id, scheme, needed) of each set, once per set and task."""
+    """(key, doc_id, scheme) of each set, once per set and task; the scheme's lower half is the number of keys needed."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import xxhash
 
         seen, starts = set(), band_starts(percent, 1 << 10)
         for batch in slices(batches):
-            rows = [(np.empty(0, dtype=np.uint64), np.empty(0, dtype=np.int64), np.empty(0, dtype=np.int32), np.empty(0, dtype=np.int32))]
+            rows = [(np.empty(0, dtype=np.uint64), np.empty(0, dtype=np.int64), np.empty(0, dtype=np.int64))]
             for doc, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True):
                 tokens = shingles(text, words)
                 name = xxhash.xxh3_128_digest(tokens.tobytes())
@@ -141,10 +149,9 @@ def keyed(words: int, percent: int):
                 if starts[-3] <= len(tokens):
                     starts = band_starts(percent, 4 * len(tokens))
                 for number, needed, keys in part_keys(tokens, percent, starts):
-                    size = len(keys)
-                    rows.append((keys, np.full(size, doc), np.full(size, number, dtype=np.int32), np.full(size, needed, dtype=np.int32)))
-            keys, docs, numbers, needs = (np.concatenate(c) for c in zip(*rows, strict=True))
-            yield pa.record_batch([keys.view(np.int64), docs, numbers, needs], names=["key", "doc_id", "scheme", "needed"])
+                    rows.append((keys, np.full(len(keys), doc), np.full(len(keys), number << 32 | needed, dtype=np.int64)))
+            keys, docs, numbers = (np.concatenate(c) for c in zip(*rows, strict=True))
+            yield pa.record_batch([keys.view(np.int64), docs, numbers], names=["key", "doc_id", "scheme"])
 
     return run
 
@@ -334,12 +341,16 @@ def relabelled(labels: DataFrame, links: DataFrame) -> DataFrame:
     return cut(joined.select("rep", F.coalesce("new_comp", "comp").alias("comp")))
 
 
+def needed_keys() -> Column:
+    return F.col("scheme").bitwiseAND(0xFFFFFFFF)
+
+
 def pruned(keys: DataFrame) -> DataFrame:
     """Without the keys of one set only, and then without the sets that share too few keys of a scheme for a link."""
     by_key, by_set = Window.partitionBy("key"), Window.partitionBy("rep", "scheme")
     several = keys.withColumns({"lo": F.min("rep").over(by_key), "hi": F.max("rep").over(by_key)}).filter("lo < hi")
-    enough = several.withColumn("shared", F.count("*").over(by_set)).filter("shared >= needed")
-    return enough.select("key", "rep", "scheme", "needed")
+    enough = several.withColumn("shared", F.count("*").over(by_set)).filter(F.col("shared") >= needed_keys())
+    return enough.select("key", "rep", "scheme")
 
 
 def prefixes(keys: DataFrame) -> DataFrame:
@@ -353,7 +364,7 @@ def prefixes(keys: DataFrame) -> DataFrame:
     ranked = keys.withColumn("sets", F.count("*").over(by_key)).withColumns(
         {"place": F.row_number().over(order), "shared": F.count("*").over(Window.partitionBy("rep", "scheme"))}
     )
-    first = ranked.filter("place <= shared - needed + 1").select("key", "rep")
+    first = ranked.filter(F.col("place") <= F.col("shared") - needed_keys() + 1).select("key", "rep")
     several = first.withColumns({"lo": F.min("rep").over(by_key), "hi": F.max("rep").over(by_key)})
     return several.filter("lo < hi").select("key", "rep")
 
@@ -386,7 +397,7 @@ def met(keys: DataFrame, labels: DataFrame) -> DataFrame:
     found = keys.join(labels, "rep")
     by_key = Window.partitionBy("key")
     spread = found.withColumn("lo", F.min("comp").over(by_key)).withColumn("hi", F.max("comp").over(by_key))
-    return stored(spread.filter("lo < hi").select("key", "rep", "comp"))
+    return spread.filter("lo < hi").select("key", "rep", "comp")
 
 
 def group_blocks(meetings: DataFrame, sizes: DataFrame, percent: int) -> DataFrame:
@@ -423,13 +434,21 @@ def linked_components(docs: DataFrame, words: int = WORDS, percent: int = PERCEN
     own = cut(member.groupBy("doc_id", "rep").agg(F.max("n_shingles").alias("n_shingles")))
 
     # Keys that more than one document of different tasks holds, by class.
-    keys = rows.filter("doc_id is not null").mapInArrow(keyed(words, percent), "key long, doc_id long, scheme int, needed int")
+    keys = rows.filter("doc_id is not null").mapInArrow(keyed(words, percent), "key long, doc_id long, scheme long")
     by_key = Window.partitionBy("key")
     shared = keys.withColumn("lo", F.min("doc_id").over(by_key)).withColumn("hi", F.max("doc_id").over(by_key)).filter("lo < hi")
-    meeting_keys = shared.join(own.select("doc_id", "rep"), "doc_id").select("key", "rep", "scheme", "needed").distinct()
+    meeting_keys = shared.join(own.select("doc_id", "rep"), "doc_id").select("key", "rep", "scheme").distinct()
+    spark, before = docs.sparkSession, made()
+
+    def kept(df: DataFrame) -> DataFrame:
+        """``df`` written; what it was made of, since ``before``, is not needed any more."""
+        out = stored(df)
+        discard(spark, before, keep=[latest()])
+        return out
+
     for _ in range(PRUNING):
-        meeting_keys = stored(pruned(meeting_keys))
-    meeting_keys = stored(prefixes(meeting_keys))
+        meeting_keys = kept(pruned(meeting_keys))
+    meeting_keys = kept(prefixes(meeting_keys))
     active = cut(meeting_keys.select(F.col("rep").alias("active")).distinct())
     wanted = rows.join(broadcast_if_small(active), F.col("doc_id") == F.col("active")).select("doc_id", "text")
     sets = stored(wanted.mapInArrow(gathered(words), "rep long, tokens binary"))
@@ -439,12 +458,13 @@ def linked_components(docs: DataFrame, words: int = WORDS, percent: int = PERCEN
     # Rows of one id with different texts: their classes are one component.
     twice = own.groupBy("doc_id").agg(F.min("rep").alias("a"), F.max("rep").alias("b")).filter("a < b")
     links = [own.join(twice, "doc_id").select("a", F.col("rep").alias("b"))]
-    meetings = met(meeting_keys, labels)
+    before = made()
+    meetings = kept(met(meeting_keys, labels))
     for number in range(STAR_ROUNDS):
         found = cut(joined_blocks(star_blocks(meetings, number), sets.withColumn("keys", F.lit(None).cast("binary")), percent))
         links.append(found)
         labels = relabelled(labels, found)
-        meetings = met(meeting_keys, labels)
+        meetings = kept(met(meeting_keys, labels))
     # Within a group only sets that share a key can be linked.
     own_keys = meetings.select("rep", "key").distinct().groupBy("rep").agg(F.collect_list("key").alias("listed"))
     keyed_sets = sets.join(own_keys.mapInArrow(packed_keys, "rep long, keys binary"), "rep")
@@ -490,25 +510,49 @@ FROM sets JOIN (SELECT doc_id, min(seen) AS component_id FROM reach GROUP BY doc
 NODE, FIRST, LOST, REPEATED = "node of the row", "place within the node", "node that goes", "node of several rows"
 
 
-def row_node(docs: DataFrame, salt: int) -> Column:
+def text_prints() -> list[Column]:
+    """128 bits of a text, as two numbers."""
+    return [F.xxhash64(F.lit(1), "text").alias("t1"), F.xxhash64(F.lit(2), "text").alias("t2")]
+
+
+def hashed_node(salt: int) -> Column:
     """A number for each (id, text); nulls are values."""
-    doc_id, text = F.col("doc_id").cast("long"), F.col("text")
-    return F.xxhash64(F.lit(salt), F.isnull(doc_id), doc_id, text)
+    return F.xxhash64(F.lit(salt), F.isnull("doc_id"), "doc_id", "t1", "t2")
 
 
-def keyed_rows(docs: DataFrame) -> tuple[int, DataFrame]:
-    """(salt, table of node, id and row count): the salt gives different rows different nodes.
+def with_nodes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The documents with ``NODE``, a number for each (id, text), and the table (node, doc_id, rows).
 
-    Nodes have 64 bits; whether two rows (128-bit text hashes) share one is looked at, and then another salt is taken.
+    An id that stands for one text is its node. Rows without an id, and those of an id with several texts, have a hash for one; where
+    such ids are too many to be looked up in place, all rows have. Whether two nodes are one number is looked at,
+    and then another salt is taken.
     """
+    doc_id = F.col("doc_id").cast("long").alias("doc_id")
+    rows = cut(docs.select(doc_id, *text_prints()).groupBy("doc_id", "t1", "t2").agg(F.count("*").alias("rows")))
+    several = cut(rows.filter("doc_id is not null").groupBy("doc_id").count().filter("count > 1").select(F.col("doc_id").alias(REPEATED)))
+    # What is broadcast is bounded by its measured size.
+    small = broadcast_if_small(several) is not several
+
+    def noded(df: DataFrame, own_id: Column, salt: int) -> DataFrame:
+        if not small:
+            return df.withColumn(NODE, hashed_node(salt))
+        looked = df.join(F.broadcast(several), own_id == F.col(REPEATED), "left")
+        single = own_id.isNotNull() & F.col(REPEATED).isNull()
+        return looked.withColumn(NODE, F.when(single, own_id).otherwise(hashed_node(salt))).drop(REPEATED)
+
     salt = 0
     while True:
-        text = [F.xxhash64(F.lit(1), "text").alias("t1"), F.xxhash64(F.lit(2), "text").alias("t2")]
-        rows = docs.select(row_node(docs, salt).alias("node"), F.col("doc_id").cast("long").alias("doc_id"), *text)
-        once = cut(rows.groupBy("node", "doc_id", "t1", "t2").agg(F.count("*").alias("rows")))
-        if once.groupBy("node").count().filter("count > 1").isEmpty():
-            return salt, once.select("node", "doc_id", "rows")
+        nodes = cut(noded(rows, F.col("doc_id"), salt).select(F.col(NODE).alias("node"), "doc_id", "rows"))
+        if nodes.groupBy("node").count().filter("count > 1").isEmpty():
+            break
         salt += 1
+    # The hash reads plain names: they are put beside the columns of the table for a moment.
+    names = docs.columns
+    plain = docs.select(
+        *(F.col(f"`{n}`").alias(f"c{i}") for i, n in enumerate(names)), doc_id, *text_prints()
+    )
+    out = noded(plain, F.col("doc_id"), salt).select(*(F.col(f"c{i}").alias(n) for i, n in enumerate(names)), NODE)
+    return out, nodes
 
 
 def one_of_each(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
@@ -520,9 +564,8 @@ def one_of_each(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) ->
     word are linked with nothing and all stay.
     """
     names = docs.columns
-    plain = docs.select(F.col("`doc_id`").alias("doc_id"), F.col("`text`").alias("text"))
-    salt, rows = keyed_rows(plain)
-    linked = linked_components(plain.select(row_node(plain, salt).alias("doc_id"), "text"), words, percent)
+    marked, rows = with_nodes(docs)
+    linked = linked_components(marked.select(F.col(NODE).alias("doc_id"), "text"), words, percent)
     found = linked.filter("n_shingles > 0").select(F.col("doc_id").alias("node"), F.col("component_id").alias("component")).distinct()
     found = cut(found.join(rows, "node"))
     order = F.struct(F.isnull("doc_id").alias("last"), "doc_id", "node")
@@ -530,7 +573,6 @@ def one_of_each(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) ->
     losers = found.join(winners, F.col("node") == F.col("stays"), "left_anti").select(F.col("node").alias(LOST))
     losers = broadcast_if_small(cut(losers))
     several = broadcast_if_small(cut(found.filter("rows > 1").select(F.col("node").alias(REPEATED))))
-    marked = docs.withColumn(NODE, row_node(docs, salt))
     kept = marked.join(losers, F.col(NODE) == F.col(LOST), "left_anti")
     once = kept.join(several, F.col(NODE) == F.col(REPEATED), "left_anti")
     more = kept.join(several, F.col(NODE) == F.col(REPEATED), "left_semi")
