@@ -76,6 +76,29 @@ def test_texts_of_one_id_lose_their_own_words(spark):
     assert [r[:3] for r in run(spark, rows)] == [(1, 30, 0), (2, 33, 30), (2, 4, 0)]
 
 
+def test_texts_without_an_id_are_documents_of_their_own(spark):
+    shared = " ".join(f"s{i}" for i in range(25))
+    texts = [f"{' '.join(f'{n}x{i}' for i in range(n + 5))} {shared}" for n in range(40)]
+    rows = [(None, t) for t in texts] + [(None, texts[0]), (7, texts[1]), (8, "y " + shared)]
+    out = run(spark, rows)
+    removed = {(i, n): gone for i, n, gone, _ in out}
+    # One text keeps the passage; its copy without an id is the same document. Texts with an id come after those without.
+    kept = [n for (i, n), gone in removed.items() if i is None and not gone]
+    assert len(kept) == 1 and all(gone == 25 for (i, n), gone in removed.items() if i is None and n != kept[0])
+    assert removed[(7, 31)] == 31 and removed[(8, 26)] == 25 and len(out) == 43
+    assert out == run(spark, rows[::-1], 1 << 24)
+
+
+def test_many_texts_of_one_id_are_spread_over_buckets():
+    from trackspark.llm.substrings import doc_bucket, fingerprint, numbers_of
+
+    texts = [f"text {i}".encode() for i in range(1000)]
+    prints = np.array([fingerprint(t) for t in texts], dtype=np.uint64)
+    for ids in ([None] * 1000, [5] * 1000):
+        counts = np.bincount(doc_bucket(numbers_of(ids, texts), prints, 10), minlength=10)
+        assert counts.max() < 150
+
+
 def test_query_on_given_documents(spark):
     folder = "/root/testdata/sf0.001"
     rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text").collect()]

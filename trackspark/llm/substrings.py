@@ -1,4 +1,4 @@
-"""Removal of repeated word sequences of a given length, found by locally consistent recompression.
+"""Removal of repeated word sequences of a given length, found by winnowed blocks at the symbol starts of recompression.
 
 Names. Round 0 names words, round 1 maximal runs of one word (three and more), round 2 pairs (a symbol of the left
 half of a coin-tossed alphabet followed by one of the right half; only where they begin is kept), round 3 blocks of ``BLOCK`` words that begin where a
@@ -16,12 +16,14 @@ earliest (document, start) and marks all others. Marked windows meet their texts
 
 Scale. Before a shuffle, equal names of one task's documents are reduced to their earliest place: a passage that a
 third of all documents share sends one entry per task and not one per document. Entries travel as packed arrays.
-Texts are shuffled once, by bucket of their id, and read from that shuffle twice. Buckets are as many as the input's
-bytes demand (``BUCKET_BYTES`` of text each), so a task's memory does not grow with the input.
+Texts are shuffled once, by bucket of their id and text, and read from that shuffle twice. Buckets are as many as the input's
+bytes demand (``BUCKET_BYTES`` of text each), so a task's memory does not grow with the input, whatever ids repeat; equal
+rows are one bucket.
 
 Defined results. A null or empty text has no words. Rows with one id and one text are one document and get one result
 each; rows with one id and different texts count as one document in the order of starts, but words are removed from
-the right one. A null id comes before all others. Texts are processed whole. An empty table gives an empty result.
+the right one: texts of one id are told apart by 64 bits. A text without an id is a document of its own, known by 126 bits; such
+texts come in the order of a hash of theirs, before all ids from -2^62 on. Texts are processed whole. An empty table gives an empty result.
 Other columns are not read. Equality of words and windows is that of their 64- and 96-bit hashes.
 """
 
@@ -43,7 +45,8 @@ LONG_RUN = 3
 BUCKET_BYTES = 16 << 20
 # Entries a task gathers before it reduces and sends them.
 GATHERED = 1_000_000
-NO_ID = -(2**63)
+# Texts without an id have numbers from here on, up to LAST_NO_ID.
+NO_ID, LAST_NO_ID = -(2**63), -(2**62) - 1
 SECOND_BASE = 0xC2B2AE3D27D4EB4F
 PARTS = "kind int, bucket int, names binary, more binary, docs binary, prints binary, places binary"
 PARTS_ARROW = pa.schema(
@@ -122,7 +125,7 @@ class Entries:
     def add(self, names: np.ndarray, more: np.ndarray, doc: int, fingerprint: int, places: np.ndarray) -> None:
         size = len(names)
         if size:
-            self.parts.append((names, more, np.full(size, doc), np.full(size, fingerprint, dtype=np.uint32), places.astype(np.uint32)))
+            self.parts.append((names, more, np.full(size, doc), np.full(size, fingerprint, dtype=np.uint64), places.astype(np.uint32)))
             self.held += size
 
     def reduced(self, all_of_repeated: bool) -> Iterator[pa.RecordBatch]:
@@ -152,8 +155,8 @@ class Entries:
             yield from settled_rows(docs[settled], prints[settled], places[settled], self.buckets)
 
 
-def doc_bucket(docs: np.ndarray, buckets: int) -> np.ndarray:
-    return (mixed(docs.astype(np.int64).view(np.uint64)) % np.uint64(buckets)).astype(np.int64)
+def doc_bucket(docs: np.ndarray, prints: np.ndarray, buckets: int) -> np.ndarray:
+    return (mixed(docs.astype(np.int64).view(np.uint64) ^ mixed(prints)) % np.uint64(buckets)).astype(np.int64)
 
 
 def packed(kind: int, bucket: np.ndarray, *columns: np.ndarray) -> Iterator[pa.RecordBatch]:
@@ -172,13 +175,13 @@ def packed(kind: int, bucket: np.ndarray, *columns: np.ndarray) -> Iterator[pa.R
 
 
 def settled_rows(docs: np.ndarray, prints: np.ndarray, places: np.ndarray, buckets: int) -> Iterator[pa.RecordBatch]:
-    yield from packed(SETTLED, doc_bucket(docs, buckets), None, None, docs, prints, places)
+    yield from packed(SETTLED, doc_bucket(docs, prints, buckets), None, None, docs, prints, places)
 
 
 def unpacked(rows: pa.Table | pa.RecordBatch, named: bool) -> list[np.ndarray]:
     """The columns of packed rows, joined: (names, more,) docs, prints, places."""
     kinds = ([("names", np.uint64), ("more", np.uint32)] if named else []) + [
-        ("docs", np.int64), ("prints", np.uint32), ("places", np.uint32),
+        ("docs", np.int64), ("prints", np.uint64), ("places", np.uint32),
     ]
     return [np.frombuffer(b"".join(x.as_py() for x in rows.column(n)), dtype=k) for n, k in kinds]
 
@@ -186,7 +189,15 @@ def unpacked(rows: pa.Table | pa.RecordBatch, named: bool) -> list[np.ndarray]:
 def fingerprint(text: bytes) -> int:
     import xxhash
 
-    return xxhash.xxh3_64_intdigest(text) & 0xFFFFFFFF
+    return xxhash.xxh3_64_intdigest(text)
+
+
+def numbers_of(ids: list[int | None], texts: list[bytes]) -> np.ndarray:
+    """The ids as numbers; a text without one has a number by another hash than its print."""
+    import xxhash
+
+    span = LAST_NO_ID - NO_ID + 1
+    return np.array([NO_ID + xxhash.xxh64_intdigest(t, 1) % span if i is None else i for i, t in zip(ids, texts, strict=True)], dtype=np.int64)
 
 
 def reveal(buckets: int):
@@ -196,7 +207,8 @@ def reveal(buckets: int):
         entries = Entries(buckets)
         for batch in slices(batches):
             runs: list[tuple[int, int, int]] = []
-            for doc, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True):
+            texts = batch.column("text").to_pylist()
+            for doc, text in zip(numbers_of(batch.column("doc_id").to_pylist(), texts).tolist(), texts, strict=True):
                 words = word_hashes(text)
                 if len(words) < WINDOW:
                     continue
@@ -205,7 +217,7 @@ def reveal(buckets: int):
                 entries.add(names, np.zeros(len(names), dtype=np.uint32), doc, mark, places)
                 runs += [(doc, mark, p) for p in near_runs(words)]
             if runs:
-                docs, prints, places = (np.array(c, dtype=k) for c, k in zip(zip(*runs, strict=True), (np.int64, np.uint32, np.uint32), strict=True))
+                docs, prints, places = (np.array(c, dtype=k) for c, k in zip(zip(*runs, strict=True), (np.int64, np.uint64, np.uint32), strict=True))
                 yield from settled_rows(docs, prints, places, buckets)
             if entries.held >= GATHERED:
                 yield from entries.reduced(True)
@@ -252,12 +264,13 @@ def places_by_document(rows: pa.Table) -> dict[tuple[int, int], np.ndarray]:
 def verify(buckets: int):
     """Hash the candidate windows of a bucket's texts and reduce equal ones."""
 
-    def run(revealed: pa.Table, texts: pa.Table) -> pa.Table:
+    def run(revealed: pa.Table, own: pa.Table) -> pa.Table:
         found = places_by_document(revealed)
         entries, out = Entries(buckets), []
         if found:
-            for batch in texts.to_batches(max_chunksize=128):
-                for doc, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True):
+            for batch in own.to_batches(max_chunksize=128):
+                texts = batch.column("text").to_pylist()
+                for doc, text in zip(numbers_of(batch.column("doc_id").to_pylist(), texts).tolist(), texts, strict=True):
                     mark = fingerprint(text)
                     places = found.get((doc, mark))
                     if places is None:
@@ -282,10 +295,11 @@ KEPT_ARROW = pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()), ("n_rem
 def removed(digest: bool):
     """Drop the covered words of each text; what is left is joined by spaces, or its SHA-256."""
 
-    def run(marked: pa.Table, texts: pa.Table) -> pa.Table:
+    def run(marked: pa.Table, own: pa.Table) -> pa.Table:
         found, rows = places_by_document(marked), []
-        for batch in texts.to_batches(max_chunksize=128):
-            for doc, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True):
+        for batch in own.to_batches(max_chunksize=128):
+            ids, texts = batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()
+            for doc_id, doc, text in zip(ids, numbers_of(ids, texts).tolist(), texts, strict=True):
                 words = text.split()
                 starts, gone = found.get((doc, fingerprint(text))) if found else None, 0
                 kept = words
@@ -297,7 +311,7 @@ def removed(digest: bool):
                     gone = int(covered.sum())
                     kept = [w for w, c in zip(words, covered.tolist(), strict=True) if not c]
                 joined = b" ".join(kept)
-                rows.append((None if doc == NO_ID else doc, len(words), gone, hashlib.sha256(joined).hexdigest().encode() if digest else joined))
+                rows.append((doc_id, len(words), gone, hashlib.sha256(joined).hexdigest().encode() if digest else joined))
         return pa.table([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), KEPT_ARROW, strict=True)], schema=KEPT_ARROW) if rows else KEPT_ARROW.empty_table()
 
     return run
@@ -308,13 +322,15 @@ def remove_repeats(docs: DataFrame, digest: bool = False, bucket_bytes: int = BU
     total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = max(1, -(-total // bucket_bytes))
     rows = docs.select(
-        F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("doc_id"),
+        F.col("doc_id").cast("long").alias("doc_id"),
         F.coalesce(F.col("text"), F.lit("")).cast("binary").alias("text"),
     )
 
     def bucket_of(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            own = doc_bucket(batch.column("doc_id").to_numpy(), buckets).astype(np.int32)
+            texts = batch.column("text").to_pylist()
+            prints = np.array([fingerprint(t) for t in texts], dtype=np.uint64)
+            own = doc_bucket(numbers_of(batch.column("doc_id").to_pylist(), texts), prints, buckets).astype(np.int32)
             yield pa.record_batch([pa.array(own), *batch.columns], names=["bucket", "doc_id", "text"])
 
     # The same grouped texts stand twice in the plan; Spark shuffles them once.
