@@ -4,7 +4,7 @@ A text's set holds the hashes of its distinct n-grams of words, ascending: the g
 are one class. Different sets are linked when ``100 * intersection >= percent * union``.
 
 Meeting. Two linked sets differ in at most k elements, k bound by their sizes. Elements are dealt by hash into
-k + 1 + slack parts, so that linked sets agree on more than slack whole parts, of which a third is asked for; each part's content is a key. A set with many
+k + 1 + slack parts, so that linked sets agree on more than slack whole parts, of which a half is asked for; each part's content is a key. A set with many
 empty parts is dealt again by another hash; one that still has many after the last gives keys for these too: the part's number
 with one of its k + 1 least elements, of which linked sets have one in common. So no key is held by a fixed share of all sets. Sizes fall into bands as wide as linked sizes can differ, and a set gives keys for
 its own band and the next. Keys of one document are a fixed share of its elements. Sets that only share a passage
@@ -74,7 +74,7 @@ def scheme(number: int, starts: list[int], percent: int) -> tuple[int, int, int]
     most = starts[number + 1] - 1
     k = 2 * most * (100 - percent) // (100 + percent)
     slack = max(2, k // 4)
-    return k, k + 1 + slack, 1 + slack // 3
+    return k, k + 1 + slack, 1 + slack // 2
 
 
 def part_keys(tokens: np.ndarray, percent: int, starts: list[int]) -> Iterator[tuple[int, int, np.ndarray]]:
